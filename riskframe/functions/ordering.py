@@ -78,7 +78,7 @@ def rank_cuts(
     spark = df.sparkSession
     wanted = spark.createDataFrame(
         [(r["s"], r["prefix"], r["cut"], r["rank"]) for r in found],
-        hist.select("s", "prefix").schema.add("cut", "int").add("rank", "long"),
+        hist.select("s", "prefix").schema.add("cut", "integer").add("rank", "long"),
     )
     inside = (
         base.withColumn("prefix", F.substring("k", 1, digits))

@@ -146,5 +146,231 @@ select rule, pr_auc, roc_auc, recall, precision, cost_eur from m""",
     }
 
 
+# CTE dirty: machine states with violations in the rows of every thousandth part.
+DIRTY = """dirty as (select state_id, case when l_partkey%1000=7 then 'X' else type end as type,
+ air_temperature_k, process_temperature_k, rotational_speed_rpm,
+ case when l_partkey%1000=7 then -5e0 else torque_nm end as torque_nm,
+ case when l_partkey%1000=7 then null else tool_wear_min end as tool_wear_min, machine_failure from ms)"""
+
+
+def union(parts: list[str]) -> str:
+    return " union all ".join(parts)
+
+
+def _contract_rows() -> str:
+    rows, no = [], 0
+
+    def add(check, col, severity, violations, lo="null", hi="null"):
+        nonlocal no
+        no += 1
+        name = "null" if col is None else f"'{col}'"
+        rows.append(
+            f"select {no} as check_no, '{check}' as \"check\", cast({name} as varchar) as \"column\","
+            f" '{severity}' as severity, cast({violations} as bigint) as violations,"
+            f" cast({lo} as double) as smallest, cast({hi} as double) as largest from dirty"
+        )
+
+    for col, r in C.CONTRACT["columns"].items():
+        add("present", col, "error", "count(*)*0")
+        add("missing", col, "error", f"count(*) filter (where {col} is null)")
+        if r["kind"] == "numeric":
+            for check, sev, op in (("min", "error", "<"), ("max", "error", ">"),
+                                   ("warn_min", "warning", "<"), ("warn_max", "warning", ">")):
+                add(check, col, sev, f"count(*) filter (where {col} {op} {r[check]})",
+                    f"min({col})", f"max({col})")
+        else:
+            allowed = ",".join(repr(a) for a in r["allowed"])
+            add("allowed", col, "error", f"count(*) filter (where {col} not in ({allowed}))")
+    add("unexpected", None, "warning", "count(*)*0+1")
+    return f"select *, violations=0 as passed from ({union(rows)})"
+
+
+def _reasons() -> str:
+    tests = []
+    for col in C.INPUT_FIELDS:
+        r = C.CONTRACT["columns"][col]
+        if r["kind"] == "numeric":
+            bad = f"{col} is null or {col}<{r['min']} or {col}>{r['max']}"
+        else:
+            bad = f"{col} is null or {col} not in ('L','M','H')"
+        tests.append(f"case when {bad} then '{col}' end")
+    return f"concat_ws(',', {', '.join(tests)})"
+
+
+def _warnings() -> str:
+    tests = []
+    for col in C.MEASURES:
+        r = C.CONTRACT["columns"][col]
+        for op, k in (("<", "warn_min"), (">", "warn_max")):
+            tests.append(f"case when {col}{op}{r[k]} then '{col}{op}{r[k]:g}' end")
+    return f"concat_ws(',', {', '.join(tests)})"
+
+
+def table_sql() -> dict[str, str]:
+    w = f"with {BASE}"
+    s = f"{w}, {SPLIT}"
+    std = ", ".join(
+        f"round(({c}-(select avg({c}) from op))/(select stddev_pop({c}) from op),6) as {c}"
+        for c in C.MEASURES
+    )
+    raw = ", ".join(c for c in C.RAW_COLUMNS.values() if c not in ("udi", "product_id"))
+    text = "concat_ws('|', state_id, type, cast(tool_wear_min as varchar), cast(machine_failure as varchar))"
+    return {
+        "raw_ingest": f"{w} select l_partkey as udi, type||cast(l_partkey as varchar) as product_id, {raw} from ms",
+        "table_fingerprint": f"""{w}, h as (select md5({text}) as h from ms)
+ select count(*) as rows, cast(sum(('0x'||substr(h,1,8))::bigint) as bigint) as hash_sum,
+ min(h) as hash_min, max(h) as hash_max from h""",
+        "split_store": f"{s} select state_id, machine_failure, split from sp where split='test'",
+        "reference_sample": f"""{s} select state_id, {", ".join(C.INPUT_FIELDS)}, machine_failure, probability
+ from sp where split='val' order by md5('{C.SEED}|'||state_id), state_id limit {C.SAMPLE_SIZE}""",
+        "drop_leakage": f"{w} select state_id, {', '.join(C.INPUT_FIELDS)}, machine_failure from ms",
+        "engineered_features": f"""{w} select state_id,
+ round(process_temperature_k-air_temperature_k,4) as temp_difference_k,
+ round(torque_nm*rotational_speed_rpm*2*pi()/60,4) as power_w,
+ round(tool_wear_min*torque_nm,4) as wear_torque_min_nm from op""",
+        "one_hot": f"""{w} select state_id, type, case when type='L' then 1e0 else 0e0 end as "type_L",
+ case when type='M' then 1e0 else 0e0 end as "type_M" from op""",
+        "standardize": f"{w} select state_id, {std} from op",
+        "contract_report": f"{w}, {DIRTY} {_contract_rows()}",
+        "contract_summary": f"""{w}, {DIRTY}, r as ({_contract_rows()}), f as (
+ select *, "check"||coalesce(':'||"column",'') as nm from r)
+ select count(*) as checks_run,
+ cast(count(*) filter (where not passed and severity='error') as bigint) as errors,
+ cast(count(*) filter (where not passed and severity='warning') as bigint) as warnings,
+ coalesce(string_agg(nm,',' order by nm) filter (where not passed and severity='error'),'') as failed_checks,
+ coalesce(string_agg(nm,',' order by nm) filter (where not passed and severity='warning'),'') as warned_checks,
+ count(*) filter (where not passed and severity='error')=0 as valid from f""",
+        "contract_categories": f"""{w}, {DIRTY} select 'type' as "column", type as value, count(*) as rows
+ from dirty where type not in ('L','M','H') group by type""",
+        "quarantine_split": f"""{w}, {DIRTY} select state_id, {_reasons()} as reject_reasons,
+ {_reasons()}='' as accepted from dirty""",
+        "row_warnings": f"{w}, {DIRTY} select state_id, {_warnings()} as warnings from dirty where {_warnings()}<>''",
+        "json_field_check": """select event_id,
+ coalesce((select string_agg(x,',' order by x) from unnest(json_keys(props)) u(x) where x not in ('k','unit')),'')
+  as unknown_fields,
+ concat_ws(',', case when not list_contains(json_keys(props),'k') then 'k' end,
+  case when not list_contains(json_keys(props),'unit') then 'unit' end) as missing_fields,
+ len(json_keys(props))=2 and list_contains(json_keys(props),'k') and list_contains(json_keys(props),'unit')
+  as accepted from events""",
+        "stratified_split": f"{s} select state_id, machine_failure, split from sp",
+        "split_overview": f"""{s} select split, count(*) as rows,
+ round(count(*)*1e0/(select count(*) from sp),6) as share, cast(sum(machine_failure) as bigint) as failures,
+ round(sum(machine_failure)*1e0/count(*),6) as failure_rate from sp group by split""",
+        "split_overlap": f"""{s}, k as (select state_id, split from sp group by all) select
+ (select count(*) from sp) as rows, (select count(distinct state_id) from sp) as keys,
+ (select count(*) from (select state_id from k where split='train' intersect select state_id from k where split='val')) as train_val,
+ (select count(*) from (select state_id from k where split='train' intersect select state_id from k where split='test')) as train_test,
+ (select count(*) from (select state_id from k where split='val' intersect select state_id from k where split='test')) as val_test,
+ 0 as forbidden_columns""",
+        "split_reproducible": f"""{s}, a as (select state_id, machine_failure, split from sp) select
+ (select count(*) from (from a except all from a)) as only_stored,
+ (select count(*) from (from a except all from a)) as only_recomputed, true as reproduced""",
+        "uniform_sample": f"""{w} select state_id, type, machine_failure from ms
+ order by md5('{C.SEED}|'||state_id), state_id limit {C.SAMPLE_SIZE}""",
+        "stratified_folds": f"""{s}, f as (select state_id, machine_failure,
+ row_number() over (partition by machine_failure order by md5('fold{C.SEED}|'||state_id)) as r,
+ count(*) over (partition by machine_failure) as n from sp where split='train')
+ select state_id, machine_failure, case when r<=floor(0.2*n+1e-9) then 0 when r<=floor(0.4*n+1e-9) then 1
+ when r<=floor(0.6*n+1e-9) then 2 when r<=floor(0.8*n+1e-9) then 3 else 4 end as fold from f""",
+        "val_test_gap": f"""{s}, {metrics_cte("sp", "m", "split")},
+ u as ({union([f"select split, '{m}' as metric, cast({m} as double) as value from m"
+               for m in ("pr_auc", "roc_auc", "recall", "precision", "cost_eur")])})
+ select metric, max(value) filter (where split='val') as val, max(value) filter (where split='test') as test,
+ round(max(value) filter (where split='val')-max(value) filter (where split='test'),6) as gap
+ from u where split<>'train' group by metric""",
+        "column_profile": f"{w}, {DIRTY} " + union([
+            f"select '{c}' as \"column\", '{t}' as type, count(*)-count({c}) as missing,"
+            f" count(distinct {c}) as distinct_values from dirty"
+            for c, t in {
+                "state_id": "string", "type": "string", "air_temperature_k": "double",
+                "process_temperature_k": "double", "rotational_speed_rpm": "int",
+                "torque_nm": "double", "tool_wear_min": "int", "machine_failure": "int",
+            }.items()
+        ]),
+        "describe_numeric": f"{w} " + union([
+            f"""select '{c}' as "column", count({c}) as count, round(avg({c}),2) as mean,
+ round(stddev_samp({c}),2) as std, round(cast(min({c}) as double),2) as min,
+ round(quantile_cont({c},0.25),2) as p25, round(quantile_cont({c},0.5),2) as p50,
+ round(quantile_cont({c},0.75),2) as p75, round(cast(max({c}) as double),2) as max from ms"""
+            for c in [*C.MEASURES, *C.ENGINEERED]
+        ]),
+        "class_balance": f"""{w}, c as (select machine_failure, count(*) as rows from ms group by 1)
+ select *, round(rows*1e0/sum(rows) over (),6) as share,
+ round(max(rows) over ()*1e0/sum(rows) over (),6) as trivial_accuracy from c""",
+        "class_histogram": f"{w} " + union([
+            f"""select '{c}' as "column", machine_failure, bin, rows,
+ round(rows/(sum(rows) over (partition by machine_failure)*wd),6) as density from (
+ select machine_failure, cast(least(floor(({c}-lo)/wd),38) as int) as bin, any_value(wd) as wd, count(*) as rows
+ from ms, (select min({c})*1e0 as lo, (max({c})*1e0-min({c})*1e0)/39 as wd from ms) group by 1,2)"""
+            for c in C.MEASURES
+        ]),
+        "failure_rate_by_type": f"""{w} select case type when 'L' then 1 when 'M' then 2 else 3 end as order_no,
+ type, count(*) as rows, cast(sum(machine_failure) as bigint) as failures,
+ round(sum(machine_failure)*1e0/count(*),6) as failure_rate from ms group by type""",
+        "correlation_matrix": f"{w} " + union([
+            f"select '{a}' as \"column\", " + ", ".join(
+                f"1e0 as {b}" if a == b else f"round(corr({a},{b}),6) as {b}"
+                for b in [*C.MEASURES, C.TARGET]
+            ) + " from ms"
+            for a in [*C.MEASURES, C.TARGET]
+        ]),
+        "leakage_audit": f"{w} " + union([
+            f"""select '{c}' as "column", cast(sum({c}) as bigint) as cases, round(corr({c},machine_failure),6)
+ as correlation, cast(sum(machine_failure) as bigint) as failures,
+ count(*) filter (where twf+hdf+pwf+osf+rnf>0 and machine_failure=1) as explained from ms"""
+            for c in C.CAUSES
+        ]),
+        "cause_multiplicity": f"""{w} select twf+hdf+pwf+osf+rnf as causes, count(*) as rows,
+ cast(sum(twf+hdf+pwf+osf+rnf) as bigint) as marks, cast(sum(machine_failure) as bigint) as failures
+ from ms group by 1""",
+        "cause_crosstab": f"""{w} select machine_failure=1 as failure,
+ count(*) filter (where twf+hdf+pwf+osf+rnf=0) as without_cause,
+ count(*) filter (where twf+hdf+pwf+osf+rnf>0) as with_cause from ms group by 1""",
+        "cause_hit_rate": f"{w} " + union([
+            f"""select '{c}' as cause, cast(sum({c}) as bigint) as marked,
+ count(*) filter (where {c}=1 and machine_failure=1) as failed,
+ round(count(*) filter (where {c}=1 and machine_failure=1)*100e0/nullif(sum({c}),0),1) as hit_rate from ms"""
+            for c in C.CAUSES
+        ]),
+        "key_uniqueness": " union all ".join(
+            f"""select '{n}' as key, cast(sum(c) as bigint) as rows, count(*) as distinct_keys,
+ max(c) as largest_group, sum(c)=count(*) as is_unique from (select count(*) as c from lineitem group by {k})"""
+            for n, k in (("order", "l_orderkey"), ("order_line", "l_orderkey, l_linenumber"))
+        ),
+        "box_stats": f"{w} " + union([
+            f"""select '{c}' as "column", {k} as class, round(min({c}) filter (where {c}>=lo and {c}<=hi),4) as whisker_low,
+ round(any_value(q1),4) as p25, round(any_value(q2),4) as p50, round(any_value(q3),4) as p75,
+ round(max({c}) filter (where {c}>=lo and {c}<=hi),4) as whisker_high from ms,
+ (select q1,q2,q3,q1-1.5*(q3-q1) as lo,q3+1.5*(q3-q1) as hi from (select quantile_cont({c},0.25) as q1,
+ quantile_cont({c},0.5) as q2, quantile_cont({c},0.75) as q3 from ms where machine_failure={k}))
+ where machine_failure={k}"""
+            for c in ("temp_difference_k", "power_w") for k in (0, 1)
+        ]),
+        "quantile_bands": f"{w}, {BAND_EDGES} " + union([
+            f"""select '{c}' as "column", b as band_no, count(*) as rows, round(cast(min(v) as double),6) as smallest,
+ round(cast(max(v) as double),6) as largest,
+ any_value(case when hi-lo<50 then format('{{:.1f}}–{{:.1f}}', e[b], e[b+1])
+ else format('{{:.0f}}–{{:.0f}}', e[b], e[b+1]) end) as label from (
+ select {c} as v, {band_sql(c)} as b, e_{c} as e, e_{c}[1] as lo, e_{c}[-1] as hi from ms, be) group by b"""
+            for c in BANDED
+        ]),
+    }
+
+
+BANDED = ["tool_wear_min", "torque_nm", "rotational_speed_rpm", "temp_difference_k", "power_w"]
+
+# CTE be: per banded column the sorted distinct quartile edges, as lists in one row.
+BAND_EDGES = "be as (select " + ", ".join(
+    f"(select list(distinct round(x,9) order by round(x,9)) from (select unnest(quantile_cont(cast({c} as double),"
+    f"[0,0.25,0.5,0.75,1])) as x from ms)) as e_{c}"
+    for c in BANDED
+) + ")"
+
+
+def band_sql(c: str) -> str:
+    whens = " ".join(f"when {c}<=e_{c}[{i + 1}] then {i}" for i in range(1, 5))
+    return f"cast(case {whens} end as int)"
+
+
 def all_sql() -> dict[str, str]:
-    return {**metric_sql()}
+    return {**metric_sql(), **table_sql()}

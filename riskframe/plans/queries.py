@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe import config as C
-from riskframe.functions import decision
-from riskframe.operators import metrics, thresholds
-from riskframe.sources import tables
+from riskframe.functions import decision, features
+from riskframe.operators import contract, metrics, profiling, splits, thresholds
+from riskframe.session import work_path
+from riskframe.sources import ingest, stores, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -88,3 +89,274 @@ def threshold_comparison(spark, folder):
 @query
 def break_even(spark, folder):
     return thresholds.break_even(tables.scored_states(spark, folder))
+
+
+# ---- sources, projections -------------------------------------------------------------------
+
+
+def _raw_view(spark, folder):
+    return tables.machine_states(spark, folder).withColumns({
+        "udi": F.col("l_partkey").cast("long"),
+        "product_id": F.concat("type", F.col("l_partkey").cast("string")),
+    })
+
+
+@query
+def raw_ingest(spark, folder):
+    path = work_path(spark, "raw")
+    view = _raw_view(spark, folder)
+    ingest.write_raw(view, path)
+    return ingest.load_raw(spark, path, expected_rows=view.count())
+
+
+@query
+def file_hashes(spark, folder):
+    return ingest.file_hashes(spark, folder, "*.parquet")
+
+
+@query
+def table_fingerprint(spark, folder):
+    df = tables.machine_states(spark, folder)
+    return ingest.table_fingerprint(df, ["state_id", "type", "tool_wear_min", C.TARGET])
+
+
+@query
+def split_store(spark, folder):
+    path = work_path(spark, "splits")
+    cols = ["state_id", *C.INPUT_FIELDS, C.TARGET]
+    stores.write_splits(splits.stratified_split(tables.machine_states(spark, folder).select(*cols)), path)
+    return stores.read_split(spark, path, "test").select("state_id", C.TARGET, "split")
+
+
+@query
+def reference_sample(spark, folder):
+    path = work_path(spark, "reference")
+    val = splits.stratified_split(tables.scored_states(spark, folder)).where("split = 'val'")
+    cols = ["state_id", *C.INPUT_FIELDS, C.TARGET, C.PROBABILITY]
+    stores.write_reference(splits.uniform_sample(val.select(*cols)), path)
+    return stores.read_reference(spark, path)
+
+
+@query
+def drop_leakage(spark, folder):
+    return features.drop_leakage(
+        _raw_view(spark, folder).select("state_id", *C.RAW_COLUMNS.values())
+    )
+
+
+@query
+def engineered_features(spark, folder):
+    df = features.add_engineered(tables.operating_points(spark, folder))
+    return df.select("state_id", *[F.round(c, 4).alias(c) for c in C.ENGINEERED])
+
+
+@query
+def one_hot(spark, folder):
+    df = tables.operating_points(spark, folder).select("state_id", "type")
+    levels = features.category_levels(df, "type")
+    return features.one_hot(df, "type", levels)
+
+
+@query
+def standardize(spark, folder):
+    df = tables.operating_points(spark, folder).select("state_id", *C.MEASURES)
+    return features.standardize(df, C.MEASURES, digits=6)
+
+
+# ---- contract -------------------------------------------------------------------------------
+
+
+def _dirty_states(spark, folder):
+    """Machine states with violations in the rows of every thousandth part."""
+    bad = F.col("l_partkey") % 1000 == 7
+    df = tables.machine_states(spark, folder)
+    return df.select(
+        "state_id",
+        F.when(bad, "X").otherwise(F.col("type")).alias("type"),
+        "air_temperature_k", "process_temperature_k", "rotational_speed_rpm",
+        F.when(bad, -5.0).otherwise(F.col("torque_nm")).alias("torque_nm"),
+        F.when(~bad, F.col("tool_wear_min")).alias("tool_wear_min"),
+        C.TARGET,
+    )
+
+
+@query
+def contract_report(spark, folder):
+    return contract.contract_report(_dirty_states(spark, folder))
+
+
+@query
+def contract_summary(spark, folder):
+    return contract.contract_summary(contract.contract_report(_dirty_states(spark, folder)))
+
+
+@query
+def contract_categories(spark, folder):
+    return contract.unexpected_values(_dirty_states(spark, folder))
+
+
+@query
+def quarantine_split(spark, folder):
+    df = contract.quarantine(_dirty_states(spark, folder))
+    return df.select(
+        "state_id", "accepted", F.concat_ws(",", "reject_reasons").alias("reject_reasons")
+    )
+
+
+@query
+def row_warnings(spark, folder):
+    df = _dirty_states(spark, folder).withColumn("warnings", contract.soft_warnings())
+    return df.where(F.size("warnings") > 0).select(
+        "state_id", F.concat_ws(",", "warnings").alias("warnings")
+    )
+
+
+@query
+def json_field_check(spark, folder):
+    events = tables.read_table(spark, folder, "events")
+    unknown, missing = contract.json_fields("props", ["k", "unit"])
+    checked = events.select("event_id", unknown, missing)
+    return checked.select(
+        "event_id",
+        F.concat_ws(",", "unknown_fields").alias("unknown_fields"),
+        F.concat_ws(",", "missing_fields").alias("missing_fields"),
+        ((F.size("unknown_fields") == 0) & (F.size("missing_fields") == 0)).alias("accepted"),
+    )
+
+
+# ---- splits and samples ---------------------------------------------------------------------
+
+
+def _split_states(spark, folder):
+    return splits.stratified_split(tables.scored_states(spark, folder))
+
+
+@query
+def stratified_split(spark, folder):
+    return _split_states(spark, folder).select("state_id", C.TARGET, "split")
+
+
+@query
+def split_overview(spark, folder):
+    return splits.split_overview(_split_states(spark, folder))
+
+
+@query
+def split_overlap(spark, folder):
+    return splits.split_overlap(
+        features.drop_leakage(_split_states(spark, folder)).select("state_id", "split", C.TARGET)
+    )
+
+
+@query
+def split_reproducible(spark, folder):
+    path = work_path(spark, "splits")
+    cols = ["state_id", C.TARGET, "split"]
+    stores.write_splits(_split_states(spark, folder).select(*cols), path)
+    again = _split_states(spark, folder).select(*cols)
+    return splits.split_reproducible(stores.read_split(spark, path).select(*cols), again)
+
+
+@query
+def uniform_sample(spark, folder):
+    return splits.uniform_sample(
+        tables.machine_states(spark, folder).select("state_id", "type", C.TARGET)
+    )
+
+
+@query
+def stratified_folds(spark, folder):
+    train = _split_states(spark, folder).where("split = 'train'")
+    return splits.stratified_folds(train.select("state_id", C.TARGET))
+
+
+@query
+def baseline_rules(spark, folder):
+    df = _split_states(spark, folder).select("state_id", C.TARGET, "split")
+    return metrics.baseline_rules(df.where("split = 'train'"), df.where("split = 'val'"))
+
+
+@query
+def val_test_gap(spark, folder):
+    return metrics.metric_gap(_split_states(spark, folder), "val", "test")
+
+
+# ---- profiles -------------------------------------------------------------------------------
+
+
+@query
+def column_profile(spark, folder):
+    cols = ["state_id", *C.INPUT_FIELDS, C.TARGET]
+    return profiling.column_profile(_dirty_states(spark, folder).select(*cols))
+
+
+@query
+def describe_numeric(spark, folder):
+    return profiling.describe_numeric(
+        tables.machine_states(spark, folder), [*C.MEASURES, *C.ENGINEERED]
+    )
+
+
+@query
+def class_balance(spark, folder):
+    return profiling.class_balance(tables.machine_states(spark, folder))
+
+
+@query
+def class_histogram(spark, folder):
+    return profiling.class_histogram(tables.machine_states(spark, folder), C.MEASURES)
+
+
+@query
+def failure_rate_by_type(spark, folder):
+    return profiling.failure_rate_by(tables.machine_states(spark, folder), "type", C.TYPES)
+
+
+@query
+def correlation_matrix(spark, folder):
+    return profiling.correlation_matrix(
+        tables.machine_states(spark, folder), [*C.MEASURES, C.TARGET]
+    )
+
+
+@query
+def leakage_audit(spark, folder):
+    return profiling.leakage_audit(tables.machine_states(spark, folder))
+
+
+@query
+def cause_multiplicity(spark, folder):
+    return profiling.cause_multiplicity(tables.machine_states(spark, folder))
+
+
+@query
+def cause_crosstab(spark, folder):
+    return profiling.cause_crosstab(tables.machine_states(spark, folder))
+
+
+@query
+def cause_hit_rate(spark, folder):
+    return profiling.cause_hit_rate(tables.machine_states(spark, folder))
+
+
+@query
+def key_uniqueness(spark, folder):
+    line = tables.read_table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber")
+    return profiling.key_uniqueness(
+        line, {"order": ["l_orderkey"], "order_line": ["l_orderkey", "l_linenumber"]}
+    )
+
+
+@query
+def box_stats(spark, folder):
+    return profiling.box_stats(
+        tables.machine_states(spark, folder), ["temp_difference_k", "power_w"]
+    )
+
+
+BANDED = ["tool_wear_min", "torque_nm", "rotational_speed_rpm", "temp_difference_k", "power_w"]
+
+
+@query
+def quantile_bands(spark, folder):
+    return profiling.quantile_bands(tables.machine_states(spark, folder), BANDED)
