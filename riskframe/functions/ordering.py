@@ -17,25 +17,38 @@ LEVEL_BITS = 12     # bits resolved per counting pass
 
 
 def numbered_rows(
-    df: DataFrame, group: Sequence[str], order: str, name: str, lot_bits: int = 20
+    df: DataFrame,
+    group: Sequence[str],
+    order: str,
+    name: str,
+    lot: Column | None = None,
+    hot_rows: int = 1_000_000,
 ) -> DataFrame:
-    """``row_number() - 1`` per group in the order of a unique whole-number column.
+    """``row_number() - 1`` per group in the order of a unique column.
 
-    The window runs per (group, lot), a lot being a range of 2**lot_bits order values, so no task
-    sorts more than that many rows of a hot group. Lot offsets come from counts.
+    Groups beyond ``hot_rows`` rows are cut into lots, a lot being a range of the order column
+    (``lot``: any column that never decreases with it), so that no task sorts a hot group. Their
+    lot offsets come from counts; all other groups take the plain window.
     """
-    lot = "__lot"
-    cut = df.withColumn(lot, F.shiftright(F.col(order).cast("long"), lot_bits))
-    keys = [*group, lot]
-    counts = cut.groupBy(*keys).agg(F.count("*").alias("__n"))
-    before = Window.partitionBy(*group).orderBy(lot).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0)))
-    within = F.row_number().over(Window.partitionBy(*keys).orderBy(order)) - 1
+    lot = F.shiftright(F.col(order).cast("long"), 20) if lot is None else lot
+    keys = list(group)
+    sizes = df.groupBy(*keys).agg(F.count("*").alias("__n"))
+    hot = sizes.where(F.col("__n") > hot_rows).select(*keys, F.lit(True).alias("__hot"))
+    cut = df.join(hot, keys, "left").withColumn("__lot", F.when(F.col("__hot"), lot))
+    counts = (
+        df.join(hot, keys, "left_semi").withColumn("__lot", lot)
+        .groupBy(*keys, "__lot").agg(F.count("*").alias("__n"))
+    )
+    before = Window.partitionBy(*keys).orderBy("__lot").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    offsets = counts.select(*keys, "__lot", F.sum("__n").over(before).alias("__before"))
+    within = F.row_number().over(Window.partitionBy(*keys, "__lot").orderBy(order)) - 1
     return (
         cut.withColumn("__pos", within)
-        .join(offsets.drop("__n"), keys)
-        .withColumn(name, F.col("__pos") + F.col("__before"))
-        .drop(lot, "__pos", "__before")
+        .join(offsets, [*keys, "__lot"], "left")
+        .withColumn(name, F.col("__pos") + F.coalesce(F.col("__before"), F.lit(0)))
+        .drop("__lot", "__hot", "__pos", "__before")
     )
 
 
@@ -141,9 +154,12 @@ def _names(df: DataFrame, cols: Sequence[Column]) -> list[str]:
     return df.select(*cols).columns if cols else []
 
 
-def value_ranges(df: DataFrame, values: Mapping[str, Column]) -> dict:
-    """Per spec: rows, rough number of distinct values, smallest and largest (one pass)."""
-    row = df.agg(*[
+def value_ranges(df: DataFrame, values: Mapping[str, Column], **extra: Column) -> dict:
+    """Per spec: rows, rough number of distinct values, smallest and largest (one pass).
+
+    Further aggregates asked for by name come along in the same pass.
+    """
+    row = df.agg(*[e.alias(n) for n, e in extra.items()], *[
         F.struct(
             F.count(v).alias("n"),
             F.approx_count_distinct(v.cast("double")).alias("distinct"),
@@ -152,7 +168,8 @@ def value_ranges(df: DataFrame, values: Mapping[str, Column]) -> dict:
         ).alias(f"r{i}")
         for i, v in enumerate(values.values())
     ]).first()
-    return {name: row[f"r{i}"] for i, name in enumerate(values)}
+    found = {name: row[f"r{i}"] for i, name in enumerate(values)}
+    return {**found, **{n: row[n] for n in extra}}
 
 
 def with_path(rows: DataFrame, ranges: Mapping) -> DataFrame:

@@ -27,7 +27,7 @@ BASE = f"""op as (
   round(295+l_discount*100,1) as air_temperature_k,
   round(303+l_discount*100+l_tax*50,1) as process_temperature_k,
   cast(floor(1150+l_extendedprice/60) as int) as rotational_speed_rpm,
-  3+l_quantity*1.5 as torque_nm, {_DAY}%254 as tool_wear_min from lineitem),
+  3+l_quantity*1.5 as torque_nm, cast({_DAY}%254 as int) as tool_wear_min from lineitem),
 mf as (select *, round(process_temperature_k-air_temperature_k,1) as temp_difference_k,
   torque_nm*rotational_speed_rpm*2*pi()/60 as power_w,
   tool_wear_min*torque_nm as wear_torque_min_nm from op),
@@ -372,5 +372,271 @@ def band_sql(c: str) -> str:
     return f"cast(case {whens} end as int)"
 
 
+# ---- slicing --------------------------------------------------------------------------------
+
+SLICE_BANDS = {
+    "wear_band": "tool_wear_min", "torque_band": "torque_nm", "speed_band": "rotational_speed_rpm",
+    "temp_difference_band": "temp_difference_k", "power_band": "power_w",
+}
+_EDGES = ", ".join(
+    f"(select list(distinct round(x,9) order by round(x,9)) from (select unnest(quantile_cont(cast({c} as double),"
+    f"[0,0.25,0.5,0.75,1])) as x from va)) as e_{c}"
+    for c in SLICE_BANDS.values()
+)
+_LABELS = "".join(
+    f", case when e_{c}[-1]-e_{c}[1]<50 then format('{{:.1f}}–{{:.1f}}', e_{c}[{n}], e_{c}[{n}+1])"
+    f" else format('{{:.0f}}–{{:.0f}}', e_{c}[{n}], e_{c}[{n}+1]) end as l_{n}"
+    for n, c in SLICE_BANDS.items()
+)
+# CTEs va (validation rows), sl (rows with band numbers n), lb (with labels), lv (slice long form).
+SLICES = f"""va as (select * from sp where split='val'), be as (select {_EDGES}),
+sl as (select va.*, be.*, case type when 'L' then 1 when 'M' then 2 else 3 end as type_no, {", ".join(f"{band_sql(c)} as {n}" for n, c in SLICE_BANDS.items())},
+ probability>={C.THRESHOLD} as hit from va, be),
+lb as (select *{_LABELS} from sl),
+lv as (select 'type' as slice, type_no as value_no, type as value, machine_failure, hit from lb union all
+ {" union all ".join(f"select '{n}', {n}, l_{n}, machine_failure, hit from lb" for n in SLICE_BANDS)})"""
+
+_OUT = """cast(count(*) as bigint) as rows, cast(count(*) filter (where machine_failure=1 and hit) as bigint) as tp,
+ cast(count(*) filter (where machine_failure=0 and hit) as bigint) as fp,
+ cast(count(*) filter (where machine_failure=1 and not hit) as bigint) as fn"""
+_SLICE = f"""tp+fn as failures, {ratio("tp+fn", "rows")} as failure_rate, {ratio("tp", "tp+fn")} as recall,
+ {ratio("tp", "tp+fp")} as precision,
+ case when tp>0 then round(2*(tp*1e0/(tp+fp))*(tp*1e0/(tp+fn))/(tp*1e0/(tp+fp)+tp*1e0/(tp+fn)),6) end as f1,
+ {COST} as cost_eur"""
+
+
+def slice_sql() -> dict[str, str]:
+    s = f"with {BASE}, {SPLIT}, {SLICES}"
+    table = f"""t as (select slice, value_no, value, {_OUT} from lv group by all),
+m as (select *, {_SLICE} from t),
+sm as (select *, round(coalesce(cost_eur/nullif(sum(cost_eur) over (partition by slice),0),0),6) as cost_share from m)"""
+    crosses = []
+    for a, b in (("type", "wear_band"), ("torque_band", "speed_band"), ("temp_difference_band", "speed_band")):
+        an = "type_no" if a == "type" else a
+        av = "type" if a == "type" else f"l_{a}"
+        cells = ", ".join(
+            f"max(case when b={i} and rows>=50 then r end) as recall_{i}" for i in range(1, 5)
+        ) + ", " + ", ".join(f"max(case when b={i} then rows end) as rows_{i}" for i in range(1, 5))
+        crosses.append(
+            f"select '{a} x {b}' as pair, a as row_no, any_value(v) as row_value, {cells} from ("
+            f"select {an} as a, {av} as v, {b} as b, count(*) as rows,"
+            f" round(count(*) filter (where machine_failure=1 and hit)*1e0/nullif(sum(machine_failure),0),6) as r"
+            f" from lb group by all) group by a"
+        )
+    causes = [(c, f"{c}=1") for c in C.CAUSES] + [("none recorded", "twf+hdf+pwf+osf+rnf=0")]
+    by_cause = union([
+        f"""select '{n}' as cause, count(*) as failures, count(*) filter (where hit) as found,
+ round(avg(probability),6) as mean_probability, count(*) filter (where not hit) as missed,
+ round(count(*) filter (where hit)*1e0/nullif(count(*),0),6) as recall from sl where machine_failure=1 and {w}"""
+        for n, w in causes
+    ])
+    return {
+        "attach_causes": f"with {BASE}, {SPLIT} select state_id, probability, machine_failure, twf, hdf, pwf, osf, rnf from sp where split='val'",
+        "slice_metrics": f"{s}, {table} select * from sm",
+        "overall_metrics": f"{s}, t as (select {_OUT} from sl) select *, {_SLICE} from t",
+        "metrics_by_cause": f"{s} select * from ({by_cause}) where cause<>'none recorded' or failures>0",
+        "cross_metrics": f"{s} {union(crosses)}",
+        "worst_slices": f"""{s}, {table}, g as (select *, round(tp*1e0/(tp+fn)
+ -(select count(*) filter (where hit)*1e0/count(*) from sl where machine_failure=1),6) as recall_gap from sm
+ where rows>=50 and failures>0)
+ select slice, value_no, value, rows, failures, recall, recall_gap, fn, cost_eur, cost_share from g
+ order by recall_gap, slice, value_no limit {C.WORST_SLICES}""",
+        "document_quality_by_language": """select case lang when 'de' then 1 when 'en' then 2 when 'es' then 3 else 4 end
+ as order_no, lang, count(*) as rows, cast(sum(quality) as bigint) as failures,
+ round(sum(quality)*1e0/count(*),6) as failure_rate from documents join labels using (doc_id)
+ where lang in ('de','en','es','fr') group by lang""",
+    }
+
+
+# ---- drift ----------------------------------------------------------------------------------
+
+# CTEs pr (reference half) and pc (current half, shifted) of the scored states.
+PAIR = f"""pr as (select state_id, {", ".join(C.INPUT_FIELDS)}, machine_failure, probability from ss where state_id<'8'),
+pc0 as (select state_id, case when l_linenumber>=4 then 'H' else type end as type, air_temperature_k,
+ process_temperature_k+3e0 as process_temperature_k, rotational_speed_rpm, torque_nm, tool_wear_min from op where state_id>='8'),
+pc1 as (select *, round(process_temperature_k-air_temperature_k,1) as temp_difference_k,
+ torque_nm*rotational_speed_rpm*2*pi()/60 as power_w, tool_wear_min*torque_nm as wear_torque_min_nm from pc0),
+pc as (select state_id, {", ".join(C.INPUT_FIELDS)}, 0 as machine_failure, {score_sql()} as probability from pc1)"""
+# the unshifted pair
+EVEN = """pr as (select * from ss where state_id<'8'), pc as (select * from ss where state_id>='8')"""
+
+VERDICT = "case when psi is null then 'unknown' when psi>=0.25 then 'act' when psi>=0.1 then 'watch' else 'stable' end"
+_DECILES = "[" + ",".join(str(i / 10) for i in range(11)) + "]"
+
+
+def psi_term(r: str, a: str) -> str:
+    r, a = f"greatest({r},1e-6)", f"greatest({a},1e-6)"
+    return f"({a}-{r})*ln({a}/{r})"
+
+
+def numeric_drift(cols: list[str], extra: str = "") -> str:
+    """CTEs lg, ed, bn, ps (PSI and means), ks (distance), kp (p-value) over pr and pc."""
+    long = union([
+        f"select '{c}' as feature, cast({c} as double) as v, {r} as r from {t}"
+        for c in cols for t, r in (("pr", 1), ("pc", 0))
+    ])
+    lam = "sqrt(nr*1e0*nc/(nr+nc))*d"
+    large = "+".join(f"({2 * (-1) ** (k - 1)})*exp(-2e0*{k * k}*l*l)" for k in range(1, 20))
+    small = "+".join(f"exp(-{(2 * k - 1) ** 2}*pi()*pi()/(8*l*l))" for k in range(1, 8))
+    return f"""lg as ({long}),
+ed as (select feature, list(distinct round(x,9) order by round(x,9)) as e from (
+ select feature, unnest(quantile_cont(v,{_DECILES})) as x from lg where r=1 group by feature) group by feature),
+bn as (select feature, len(list_filter(e[2:len(e)-1], lambda z: v>=z)) as b, sum(r) as nr, sum(1-r) as nc
+ from lg join ed using (feature) where v is not null group by all),
+tt as (select feature, sum(r) as nr, sum(1-r) as nc, avg(v) filter (where r=1) as mr, avg(v) filter (where r=0) as mc
+ from lg where v is not null group by feature),
+ps as (select feature, sum({psi_term("bn.nr/tt.nr", "bn.nc/tt.nc")}) as psi, any_value(mr) as mr, any_value(mc) as mc,
+ any_value(tt.nr) as nr, any_value(tt.nc) as nc from bn join tt using (feature) group by feature),
+ks as (select feature, max(abs(cr*1e0/nr-cc*1e0/nc)) as d from (select feature, sum(a) over w as cr, sum(b) over w as cc
+ from (select feature, v, sum(r) as a, sum(1-r) as b from lg where v is not null group by feature, v)
+ window w as (partition by feature order by v rows unbounded preceding)) join tt using (feature) group by feature),
+kl as (select feature, d, {lam} as l from ks join tt using (feature)),
+kp as (select feature, d, case when l<=1e-3 then 1e0 when l<1 then 1-sqrt(2*pi())/l*({small})
+ else greatest({large},0) end as p from kl)"""
+
+
+# CTEs ct (counts per type), cp (PSI), ch (chi-square and p-value at two degrees of freedom).
+CATEGORY = f"""ct as (select type as c, sum(r) as nr, sum(1-r) as nc from (select type, 1 as r from pr union all
+ select type, 0 from pc) where type is not null group by type),
+cp as (select sum({psi_term("nr/(select sum(nr) from ct)", "nc/(select sum(nc) from ct)")}) as psi,
+ sum(nr) as nr, sum(nc) as nc from ct),
+ce as (select nr, nc, (nr+nc)*(sum(nr) over ())/(sum(nr+nc) over ()) as er, (nr+nc)*(sum(nc) over ())/(sum(nr+nc) over ()) as ec from ct),
+ch as (select sum((nr-er)*(nr-er)/er+(nc-ec)*(nc-ec)/ec) as x, count(*)-1 as dof from ce)"""
+
+_TABLE = f"""dt as (select feature, round(psi,4) as psi, {VERDICT} as verdict, 'KS' as test, round(d,4) as statistic,
+ round(p,6) as p_value, p<{C.ALPHA} as significant, round(mr,3) as ref_mean, round(mc,3) as cur_mean,
+ len(e)<3 as degenerate_reference from ps join kp using (feature) join ed using (feature) where feature<>'probability'
+ union all select 'type', round(psi,4), {VERDICT}, 'chi2', round(x,4), round(exp(-x/2),6), exp(-x/2)<{C.ALPHA}, null, null,
+ false from cp, ch),
+om as (select {C.THRESHOLD} as threshold, round(psi,4) as prediction_psi, {VERDICT} as prediction_verdict,
+ (select round(avg(case when probability>={C.THRESHOLD} then 1e0 else 0e0 end),4) from pr) as alarm_rate_reference,
+ (select round(avg(case when probability>={C.THRESHOLD} then 1e0 else 0e0 end),4) from pc) as alarm_rate_current,
+ round(mr,4) as mean_probability_reference, round(mc,4) as mean_probability_current from ps where feature='probability')"""
+
+# CTE lo: the prediction log.
+LOG = """lo as (select event_id as id, ts, cast(user_id as varchar)||'-'||cast(cast(ts as date) as varchar) as request_id,
+ cast(row_number() over (partition by user_id, cast(ts as date) order by event_id)-1 as int) as row_no,
+ round(least(value/500e0,1e0),6) as probability, round(least(value/500e0,1e0),6)>=0.06 as alarm,
+ cast(0.06 as double) as threshold, round(value,3) as latency_ms, event_type='error' as failed,
+ cast(json_extract_string(props,'$.k') as int) as k, props as inputs from events)"""
+
+
+def _runs_sql() -> str:
+    """CTE dp: PSI of each day after the tenth against the first ten days, per feature."""
+    long = union([f"select day, '{c}' as feature, cast({c} as double) as v from dl" for c in ("probability", "latency_ms", "k")])
+    return f"""{LOG}, dl as (select cast(ts as date) as day, probability, k,
+ case when cast(ts as date) between date '2024-01-14' and date '2024-01-15'
+  or cast(ts as date) between date '2024-01-20' and date '2024-01-27' then latency_ms*2 else latency_ms end as latency_ms from lo),
+lg as ({long}),
+ed as (select feature, list(distinct round(x,9) order by round(x,9)) as e from (select feature,
+ unnest(quantile_cont(v,{_DECILES})) as x from lg where day<=date '2024-01-10' group by feature) group by feature),
+bx as (select day, feature, len(list_filter(e[2:len(e)-1], lambda z: v>=z)) as b from lg join ed using (feature)),
+rb as (select feature, b, count(*)*1e0/sum(count(*)) over (partition by feature) as s from bx
+ where day<=date '2024-01-10' group by feature, b),
+cb as (select day, feature, b, count(*) as n, sum(count(*)) over (partition by day, feature) as t from bx
+ where day>date '2024-01-10' group by day, feature, b),
+gr as (select distinct day, feature, rb.b, s from (select distinct day, feature from cb) join rb using (feature)),
+dp as (select day as run, feature, sum({psi_term("gr.s", "coalesce(cb.n,0)/(select max(t) from cb c2 where c2.day=gr.day and c2.feature=gr.feature)")}) as psi
+ from gr left join cb using (day, feature, b) group by day, feature),
+pd as (select run, feature, round(psi,4) as psi, {VERDICT} as verdict, case when count(*) over w<3 then 'stable'
+ when min(psi) over w>=0.25 then 'act' when min(psi) over w>=0.1 then 'watch' else 'stable' end as persistent_verdict
+ from dp window w as (partition by feature order by run rows between 2 preceding and current row))"""
+
+
+def _scenario_ctes() -> str:
+    """CTE st: the scenario table by running every scenario on its own."""
+    variants = {
+        "control": ("type", "process_temperature_k", "tool_wear_min"),
+        "temperature_calibration": ("type", "process_temperature_k+3e0", "tool_wear_min"),
+        "high_wear": ("type", "process_temperature_k", "tool_wear_min+60"),
+        "type_shift": (
+            "case when row_number() over (order by state_id)<=floor(0.8*(select count(*) from pc)) then 'H' else type end",
+            "process_temperature_k", "tool_wear_min",
+        ),
+    }
+    rows = union([
+        f"""select '{n}' as scenario, machine_failure, {t} as type, air_temperature_k, {p} as process_temperature_k,
+ rotational_speed_rpm, torque_nm, {w} as tool_wear_min from pc""" for n, (t, p, w) in variants.items()
+    ])
+    cols = [*C.MEASURES, C.PROBABILITY]
+    ref = union([f"select '{c}' as feature, cast({c} as double) as v from pr" for c in cols])
+    cur = union([f"select scenario, '{c}' as feature, cast({c} as double) as v from sv" for c in cols])
+    return f"""sa as ({rows}), sb as (select *, round(process_temperature_k-air_temperature_k,1) as temp_difference_k,
+ torque_nm*rotational_speed_rpm*2*pi()/60 as power_w, tool_wear_min*torque_nm as wear_torque_min_nm from sa),
+sv as (select *, {score_sql()} as probability from sb),
+rl as ({ref}), cl as ({cur}),
+ed as (select feature, list(distinct round(x,9) order by round(x,9)) as e from (select feature,
+ unnest(quantile_cont(v,{_DECILES})) as x from rl group by feature) group by feature),
+rb as (select feature, cast(len(list_filter(e[2:len(e)-1], lambda z: v>=z)) as varchar) as b, count(*) as n
+ from rl join ed using (feature) group by all union all select 'type', type, count(*) from pr group by type),
+cb as (select scenario, feature, cast(len(list_filter(e[2:len(e)-1], lambda z: v>=z)) as varchar) as b, count(*) as n
+ from cl join ed using (feature) group by all union all select scenario, 'type', type, count(*) from sv group by all),
+al as (select scenario, feature, b, 0 as nr, n as nc from cb union all
+ select scenario, feature, b, n, 0 from rb, (select distinct scenario from sv)),
+ag as (select scenario, feature, b, sum(nr) as nr, sum(nc) as nc from al group by all),
+sp2 as (select scenario, feature, psi, {VERDICT} as v from (select scenario, feature,
+ sum({psi_term("nr/(select count(*) from pr)", "nc/(select count(*) from pc)")}) as psi from ag group by all)),
+so as (select scenario, {confusion(f"probability>={C.THRESHOLD}")} from sv group by scenario),
+sd as (select scenario, case when bool_or(v='act') then 'act' when bool_or(v='watch') then 'watch' else 'stable' end as verdict,
+ max(round(psi,4)) filter (where feature<>'probability') as max_psi,
+ first(feature order by round(psi,4) desc, feature) filter (where feature<>'probability') as max_psi_feature,
+ max(round(psi,4)) filter (where feature='probability') as prediction_psi,
+ max(v) filter (where feature='probability') as prediction_verdict from sp2 group by scenario),
+st as (select sd.*, {div("tp+fp", "tp+fp+fn+tn", 4)} as alarm_rate, {div("tp", "tp+fn", 4)} as recall,
+ {div("tp", "tp+fp", 4)} as precision, {COST} as cost_eur from sd join so using (scenario)),
+ctl as (select alarm_rate as ca, recall as cr, cost_eur as cc from st where scenario='control')"""
+
+
+def drift_sql() -> dict[str, str]:
+    cols = [*C.MEASURES, C.PROBABILITY]
+    w = f"with {BASE}, {PAIR}, {numeric_drift(cols)}"
+    full = f"{w}, {CATEGORY}, {_TABLE}"
+    sc = f"with {BASE}, {EVEN}, {_scenario_ctes()}"
+    return {
+        "psi_numeric": f"{w} select feature, round(psi,4) as psi, len(e)<3 as degenerate_reference from ps join ed using (feature) where feature<>'probability'",
+        "psi_categorical": f"""with {BASE}, {PAIR}, {CATEGORY} select 'type' as feature, cast(nr as bigint) as ref_rows,
+ cast(nc as bigint) as cur_rows, round(psi,4) as psi from cp""",
+        "ks_two_sample": f"{w} select feature, round(d,6) as statistic, round(p,6) as p_value from kp",
+        "chi2_homogeneity": f"""with {BASE}, {EVEN}, {CATEGORY} select 'type' as feature, round(x,4) as statistic,
+ cast(dof as int) as dof, round(exp(-x/2),6) as p_value from ch""",
+        "drift_table": f"{full} select * from dt",
+        "operating_metrics": f"{full} select * from om",
+        "drift_verdict": f"""{full}, v as (select verdict from dt union all select prediction_verdict from om) select
+ (select count(*) from pr) as reference_rows, (select count(*) from pc) as current_rows,
+ (select count(*) from pc)>={C.MIN_ROWS} as enough_data,
+ case when (select count(*) from pc)<{C.MIN_ROWS} then 'too little data' when (select bool_or(verdict='act') from v) then 'act'
+ when (select bool_or(verdict='watch') from v) then 'watch' else 'stable' end as verdict,
+ (select prediction_verdict from om) as prediction_verdict, {", ".join(
+     f"(select count(*) from dt where verdict='{x}') as {x}" for x in ("act", "watch", "unknown"))}""",
+        "drift_confirmed": f"{full} select feature, psi, verdict, p_value from dt where significant and psi>=0.1",
+        "operating_bands": f"""with {LOG}, t as (select round(avg(case when alarm then 1e0 else 0e0 end),6) as alarm_rate,
+ round(quantile_cont(latency_ms,0.5),3) as median_latency_ms,
+ round(avg(case when failed then 1e0 else 0e0 end),6) as error_rate from lo) select *,
+ case when alarm_rate>0.25 or alarm_rate<0.01 then 'act' when alarm_rate<0.03 or alarm_rate>0.1 then 'watch' else 'stable' end as alarm_band,
+ case when median_latency_ms>200 then 'act' when median_latency_ms>=50 then 'watch' else 'stable' end as latency_band,
+ case when error_rate>0.05 then 'act' when error_rate>=0.01 then 'watch' else 'stable' end as error_band from t""",
+        "drift_persistent": f"with {_runs_sql()} select * from pd",
+        "retrain_trigger": f"""with {_runs_sql()}, pa as (select run, bool_or(persistent_verdict='act') as persistent_act from pd group by run),
+ n as (select cast(ts as date) as run, count(*) as n from lo group by 1),
+ c as (select run, cast(sum(n) over (order by run) as bigint) as new_rows,
+ cast(date_diff('day', min(run) over (), run) as int) as days_since from n)
+ select run, new_rows, days_since, persistent_act,
+ case when persistent_act then 'drift' when new_rows>={C.RETRAIN_ROWS} then 'volume'
+ when days_since>={C.RETRAIN_DAYS} then 'schedule' else 'none' end as trigger,
+ persistent_act or new_rows>={C.RETRAIN_ROWS} or days_since>={C.RETRAIN_DAYS} as retrain from c join pa using (run)""",
+        "scenario_table": f"{sc} select * from st",
+        "scenario_silent": f"""{sc} select scenario, alarm_rate, recall, round(cr-recall,4) as recall_drop, max_psi, prediction_psi
+ from st, ctl where scenario<>'control' and abs(alarm_rate-ca)<=0.25*ca and round(cr-recall,4)>=0.05
+ order by round(cr-recall,4) desc, scenario limit 1""",
+        "scenario_harmless": f"""{sc} select scenario, max_psi, max_psi_feature, recall, cost_eur from st, ctl
+ where scenario<>'control' and verdict='act' and recall>=cr-0.01 and abs(cost_eur-cc)<1""",
+        "scenario_selfcheck": f"""{sc} select bool_and(verdict='stable') filter (where scenario='control') as control_stable,
+ bool_and(verdict<>'stable') filter (where scenario<>'control') as all_noticed,
+ coalesce(string_agg(scenario,',' order by scenario) filter (where scenario<>'control' and verdict='stable'),'') as unnoticed,
+ bool_and(verdict='stable') filter (where scenario='control') and
+ bool_and(verdict<>'stable') filter (where scenario<>'control') as passed from st""",
+    }
+
+
 def all_sql() -> dict[str, str]:
-    return {**metric_sql(), **table_sql()}
+    return {**metric_sql(), **table_sql(), **slice_sql(), **drift_sql()}

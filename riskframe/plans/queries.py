@@ -2,14 +2,29 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskframe import config as C
 from riskframe.functions import decision, features
-from riskframe.operators import contract, metrics, profiling, splits, thresholds
-from riskframe.session import work_path
+from riskframe.functions.ordering import numbered_rows
+from riskframe.operators import (
+    bootstrap,
+    contract,
+    drift,
+    metrics,
+    models,
+    predlog,
+    profiling,
+    promotion,
+    scenarios,
+    slicing,
+    splits,
+    thresholds,
+)
+from riskframe.session import stage, work_path
 from riskframe.sources import ingest, stores, tables
+from riskframe.streaming import log_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -360,3 +375,521 @@ BANDED = ["tool_wear_min", "torque_nm", "rotational_speed_rpm", "temp_difference
 @query
 def quantile_bands(spark, folder):
     return profiling.quantile_bands(tables.machine_states(spark, folder), BANDED)
+
+
+# ---- error slicing --------------------------------------------------------------------------
+
+
+def _val_states(spark, folder):
+    return _split_states(spark, folder).where("split = 'val'")
+
+
+@query
+def attach_causes(spark, folder):
+    scored = _val_states(spark, folder).select("state_id", C.PROBABILITY, C.TARGET)
+    states = tables.machine_states(spark, folder).select("state_id", *C.CAUSES)
+    return slicing.attach_causes(scored, states)
+
+
+@query
+def slice_metrics(spark, folder):
+    return slicing.slice_metrics(*slicing.slice_cells(_val_states(spark, folder)))
+
+
+@query
+def overall_metrics(spark, folder):
+    cells, _ = slicing.slice_cells(_val_states(spark, folder))
+    return slicing.overall_metrics(cells)
+
+
+@query
+def metrics_by_cause(spark, folder):
+    return slicing.metrics_by_cause(_val_states(spark, folder))
+
+
+@query
+def cross_metrics(spark, folder):
+    cells, labels = slicing.slice_cells(_val_states(spark, folder))
+    cells = stage(cells, "slice-cells")
+    out = None
+    for pair in slicing.CROSSES:
+        part = slicing.cross_metrics(cells, labels, pair)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query
+def worst_slices(spark, folder):
+    return slicing.worst_slices(*slicing.slice_cells(_val_states(spark, folder)))
+
+
+@query
+def document_quality_by_language(spark, folder):
+    docs = tables.labelled_documents(spark, folder)
+    return profiling.failure_rate_by(docs, "lang", ["de", "en", "es", "fr"], target="quality")
+
+
+# ---- drift ----------------------------------------------------------------------------------
+
+
+def _drift_pair(spark, folder, shifted: bool = True):
+    """Reference and current half of the scored states by key; the current half is shifted."""
+    cols = ["state_id", *C.INPUT_FIELDS, C.TARGET, C.PROBABILITY]
+    if not shifted:
+        both = tables.scored_states(spark, folder)
+        return both.where("state_id < '8'").select(*cols), both.where("state_id >= '8'").select(*cols)
+    ref = tables.scored_states(spark, folder).where("state_id < '8'")
+    cur = tables.operating_points(spark, folder).where("state_id >= '8'").withColumns({
+        "process_temperature_k": F.col("process_temperature_k") + 3.0,
+        "type": F.when(F.col("l_linenumber") >= 4, "H").otherwise(F.col("type")),
+    })
+    truth = F.lit(0).alias(C.TARGET)
+    scored = _score(cur).withColumn(C.TARGET, truth)
+    return ref.select(*cols), scored.select(*cols)
+
+
+def _score(df):
+    """Derived features and the fixed score of rows that have the input fields."""
+    featured = features.add_engineered(df).withColumn(
+        "temp_difference_k", F.round("temp_difference_k", 1)
+    )
+    return featured.withColumn(C.PROBABILITY, tables.fixed_score())
+
+
+@query
+def psi_numeric(spark, folder):
+    ref, cur = _drift_pair(spark, folder)
+    check = drift.DriftCheck(ref.select(*C.MEASURES), cur.select(*C.MEASURES))
+    return check.numeric_summary().select(
+        "feature", F.round("psi", 4).alias("psi"), "degenerate_reference"
+    )
+
+
+@query
+def psi_categorical(spark, folder):
+    ref, cur = _drift_pair(spark, folder)
+    counts = drift.category_counts(ref, cur, ["type"])
+    return drift.psi_from_counts(counts).select(
+        "feature", "ref_rows", "cur_rows", F.round("psi", 4).alias("psi")
+    )
+
+
+@query
+def ks_two_sample(spark, folder):
+    ref, cur = _drift_pair(spark, folder)
+    cols = [*C.MEASURES, C.PROBABILITY]
+    check = drift.DriftCheck(ref.select(*cols), cur.select(*cols))
+    return check.numeric_summary().select(
+        "feature", F.round("statistic", 6).alias("statistic"), F.round("p", 6).alias("p_value")
+    )
+
+
+@query
+def chi2_homogeneity(spark, folder):
+    ref, cur = _drift_pair(spark, folder, shifted=False)
+    counts = drift.category_counts(ref, cur, ["type"])
+    return drift.chi2_from_counts(counts).select(
+        "feature", F.round("statistic", 4).alias("statistic"), "dof",
+        F.round("p", 6).alias("p_value"),
+    )
+
+
+@query
+def drift_table(spark, folder):
+    return drift.drift_table(*_drift_pair(spark, folder))
+
+
+@query
+def operating_metrics(spark, folder):
+    return drift.operating_metrics(*_drift_pair(spark, folder))
+
+
+@query
+def drift_verdict(spark, folder):
+    return drift.drift_verdict(*_drift_pair(spark, folder))
+
+
+@query
+def drift_confirmed(spark, folder):
+    return drift.confirmed(drift.drift_table(*_drift_pair(spark, folder)))
+
+
+@query
+def operating_bands(spark, folder):
+    return drift.operating_bands(tables.prediction_log(spark, folder))
+
+
+def _daily_runs(spark, folder):
+    """The log's first ten days as reference, each later day a run; two spells run slower."""
+    day = F.to_date("ts")
+    slow = day.between("2024-01-14", "2024-01-15") | day.between("2024-01-20", "2024-01-27")
+    rows = tables.prediction_log(spark, folder).select(
+        day.alias("day"), "probability", "k",
+        F.when(slow, F.col("latency_ms") * 2).otherwise(F.col("latency_ms")).alias("latency_ms"),
+    )
+    split = F.col("day") <= "2024-01-10"
+    return drift.psi_by_run(
+        rows.where(split), rows.where(~split), "day", ["probability", "latency_ms", "k"]
+    )
+
+
+@query
+def drift_persistent(spark, folder):
+    return drift.persistent_drift(_daily_runs(spark, folder))
+
+
+@query
+def retrain_trigger(spark, folder):
+    runs = drift.persistent_drift(_daily_runs(spark, folder)).groupBy("run").agg(
+        F.bool_or(F.col("persistent_verdict") == "act").alias("persistent_act")
+    )
+    rows = tables.prediction_log(spark, folder).groupBy(F.to_date("ts").alias("run")).agg(
+        F.count("*").alias("rows")
+    )
+    since = Window.orderBy("run").rowsBetween(Window.unboundedPreceding, 0)  # one row per day
+    seen = rows.select(
+        "run",
+        F.sum("rows").over(since).alias("new_rows"),
+        F.datediff("run", F.min("run").over(since)).alias("days_since"),
+    )
+    return seen.join(runs, "run").select(
+        "run", "new_rows", "days_since", "persistent_act",
+        *drift.retrain_trigger(F.col("new_rows"), F.col("persistent_act"), F.col("days_since")),
+    )
+
+
+# ---- what-if scenarios ----------------------------------------------------------------------
+
+
+@query
+def scenario_table(spark, folder):
+    ref, cur = _drift_pair(spark, folder, shifted=False)
+    return scenarios.scenario_table(ref, cur.drop(C.PROBABILITY), _score)
+
+
+@query
+def scenario_silent(spark, folder):
+    return scenarios.silent_failure(scenario_table(spark, folder))
+
+
+@query
+def scenario_harmless(spark, folder):
+    return scenarios.harmless_drift(scenario_table(spark, folder))
+
+
+@query
+def scenario_selfcheck(spark, folder):
+    return scenarios.self_check(scenario_table(spark, folder))
+
+
+# ---- prediction log -------------------------------------------------------------------------
+
+
+def _records(spark, folder, with_inputs: bool = True):
+    """Log records of scored states: time, request and latency derived from the row."""
+    seconds = F.col("l_partkey") % 30 * 86400 + F.col("l_linenumber") * 60
+    df = tables.scored_states(spark, folder).withColumns({
+        "ts": F.timestamp_seconds(F.lit(1704067200) + seconds),
+        "request_id": F.col("state_id"),
+        "row_no": F.lit(0),
+        "latency_ms": F.conv(F.substring("state_id", 1, 4), 16, 10).cast("double") / 1000,
+        "warnings": contract.soft_warnings(),
+    })
+    return predlog.log_records(df, model_version="1", with_inputs=with_inputs)
+
+
+@query
+def log_records(spark, folder):
+    return _records(spark, folder).select(
+        "ts", "request_id", "row_no", "probability", "alarm", "threshold", "model_name",
+        "model_version", "latency_ms", F.concat_ws(",", "warnings").alias("warnings"),
+        "inputs.torque_nm", "inputs.type",
+    )
+
+
+@query
+def log_append(spark, folder):
+    records = _records(spark, folder)
+    lines, table = work_path(spark, "log-json"), work_path(spark, "log-table")
+    for half in (records.where("request_id < '8'"), records.where("request_id >= '8'")):
+        predlog.append_json(half, lines)
+        predlog.append_table(half, table)
+    stats = [
+        F.count("*").alias("rows"),
+        F.sum(F.col("alarm").cast("int").cast("long")).alias("alarms"),
+        F.round(F.sum("probability"), 4).alias("probability_sum"),
+    ]
+    first = predlog.read_json(spark, lines, records).agg(
+        F.lit("json").alias("store"), *stats,
+        F.sum(F.size("warnings").cast("long")).alias("warnings"),
+    )
+    texts = F.from_json("warnings", "array<string>")
+    second = spark.read.parquet(table).agg(
+        F.lit("table").alias("store"), *stats, F.sum(F.size(texts).cast("long")).alias("warnings"),
+    )
+    return first.unionByName(second)
+
+
+@query
+def log_to_features(spark, folder):
+    flat = _records(spark, folder).withColumn("inputs", F.to_json("inputs"))
+    return predlog.features_from_log(flat)
+
+
+@query
+def log_latest(spark, folder):
+    return predlog.latest_records(
+        tables.prediction_log(spark, folder).select("id", "ts", "request_id", "row_no", "probability")
+    )
+
+
+@query
+def log_daily_stats(spark, folder):
+    return predlog.daily_stats(tables.prediction_log(spark, folder))
+
+
+@query
+def log_counters(spark, folder):
+    notes = F.array_compact(F.array(
+        F.when(F.col("k") < 10, "k<10"), F.when(F.col("latency_ms") > 250, "latency_ms>250")
+    ))
+    log = tables.prediction_log(spark, folder).withColumn("warnings", notes)
+    return predlog.counters(log)
+
+
+@query
+def explode_batches(spark, folder):
+    return predlog.explode_batches(predlog.batches(tables.prediction_log(spark, folder)))
+
+
+def _requests(spark, folder):
+    """Scored states as requests: one request per part, rows numbered in key order."""
+    df = tables.scored_states(spark, folder).select(
+        "state_id", C.PROBABILITY, F.concat(F.lit("part-"), F.col("l_partkey")).alias("request_id")
+    )
+    return numbered_rows(df, ["request_id"], "state_id", "row_no", lot=F.substring("state_id", 1, 4))
+
+
+@query
+def batch_predictions(spark, folder):
+    return predlog.batch_predictions(_requests(spark, folder))
+
+
+@query
+def batch_summary(spark, folder):
+    df = tables.scored_states(spark, folder).select(
+        F.concat(F.lit("part-"), F.col("l_partkey")).alias("request_id"),
+        F.lit(0).alias("row_no"), C.PROBABILITY,
+    )
+    return predlog.batch_summary(predlog.batch_predictions(df))
+
+
+# ---- streaming ------------------------------------------------------------------------------
+
+
+@query
+def stream_scored(spark, folder):
+    source, out = work_path(spark, "stream-in"), work_path(spark, "stream-out")
+    points = _dirty_states(spark, folder).select("state_id", *C.INPUT_FIELDS)
+    points.write.json(source)
+    stream = log_stream.json_stream(spark, source, points.schema)
+    scored = log_stream.score_stream(stream, _score).select(
+        "state_id", "accepted", F.concat_ws(",", "reject_reasons").alias("reject_reasons"),
+        C.PROBABILITY, "alarm",
+    )
+    log_stream.finish(log_stream.append_stream(scored, out, work_path(spark, "checkpoint"), "accepted"))
+    return spark.read.parquet(out).select(
+        "state_id", "accepted", "reject_reasons", C.PROBABILITY, "alarm"
+    )
+
+
+@query
+def stream_daily_stats(spark, folder):
+    source, out = work_path(spark, "stream-in"), work_path(spark, "stream-out")
+    checkpoint = work_path(spark, "checkpoint")
+    log = tables.prediction_log(spark, folder).select("ts", "probability", "alarm", "latency_ms")
+    cut = F.col("ts") < F.lit("2024-01-16").cast("timestamp")
+    for part in (log.where(cut), log.where(~cut)):  # the second run continues from the first
+        part.write.mode("append").json(source)
+        stream = log_stream.json_stream(spark, source, log.schema)
+        log_stream.finish(
+            log_stream.update_stream(log_stream.daily_stats_stream(stream), out, checkpoint)
+        )
+    return log_stream.current_daily_stats(spark, out)
+
+
+@query
+def stream_drift(spark, folder):
+    ref, cur = _drift_pair(spark, folder)
+    source, out = work_path(spark, "stream-in"), work_path(spark, "stream-out")
+    cols = [*C.INPUT_FIELDS, C.PROBABILITY]
+    cur = cur.select(*cols)
+    cur.write.json(source)
+    stream = log_stream.json_stream(spark, source, cur.schema)
+    log_stream.finish(
+        log_stream.drift_stream(stream, ref.select(*cols), out, work_path(spark, "checkpoint"))
+    )
+    return spark.read.parquet(out)
+
+
+# ---- gate, ledger, champion, final evaluation -----------------------------------------------
+
+VARIANTS = {
+    "heat": ("heat",),
+    "overload_power": ("overload", "power"),
+    "full": ("heat", "overload", "power"),
+    "heat_power": ("heat", "power"),
+    "heat_overload": ("heat", "overload"),
+}
+
+
+@query
+def quality_gate(spark, folder):
+    table = metrics.evaluate(_val_states(spark, folder))
+    gated = promotion.quality_gate(table)
+    return gated.select(
+        "pr_auc", "recall", "cost_eur", F.concat_ws(",", "violations").alias("violations"), "passed"
+    )
+
+
+def _ledger(spark, folder):
+    """A ledger with one run per scorer variant, all evaluated in one pass over the split."""
+    runs = F.array(*[
+        F.struct(
+            F.lit(i).alias("run_no"), F.lit(name).alias("run_name"),
+            tables.fixed_score(parts=parts).alias(C.PROBABILITY),
+        )
+        for i, (name, parts) in enumerate(VARIANTS.items(), 1)
+    ])
+    scored = splits.stratified_split(tables.machine_states(spark, folder)).where("split = 'val'")
+    each = scored.select(C.TARGET, F.explode(runs).alias("r")).select(C.TARGET, "r.*")
+    gated = promotion.quality_gate(
+        metrics.evaluate(each, by=["run_no", "run_name"]),
+        {**C.QUALITY_GATE, "min_recall": 0.5, "max_expected_cost_eur": promotion.cost_limit_for(limit=1000000)},
+    )
+    params = F.concat(F.lit("scorer="), F.col("run_name"))
+    path = work_path(spark, "ledger")
+    promotion.append_ledger(promotion.ledger_rows(gated, params, "1"), path)
+    return promotion.read_ledger(spark, path)
+
+
+@query
+def run_ledger(spark, folder):
+    return _ledger(spark, folder).withColumn("violations", F.concat_ws(",", "violations"))
+
+
+@query
+def run_compare(spark, folder):
+    return promotion.run_compare(_ledger(spark, folder), list(VARIANTS))
+
+
+@query
+def gated_promotion(spark, folder):
+    return promotion.versions(_ledger(spark, folder))
+
+
+@query
+def champion(spark, folder):
+    return promotion.champion(_ledger(spark, folder))
+
+
+@query
+def champion_rollback(spark, folder):
+    return promotion.champion(_ledger(spark, folder), back=1)
+
+
+BOOTSTRAP_DRAWS = 100
+
+
+@query
+def bootstrap_ci(spark, folder):
+    test = _split_states(spark, folder).where("split = 'test'")
+    return bootstrap.bootstrap_interval(test, BOOTSTRAP_DRAWS)
+
+
+@query
+def final_evaluation(spark, folder):
+    return promotion.final_evaluation(_split_states(spark, folder), BOOTSTRAP_DRAWS)
+
+
+# ---- Spark ML -------------------------------------------------------------------------------
+
+
+def _train_val(spark, folder):
+    cols = ["state_id", *C.INPUT_FIELDS, C.TARGET, *C.CAUSES, "split"]
+    df = stage(splits.stratified_split(tables.machine_states(spark, folder)).select(*cols), "model-data")
+    return df.where("split = 'train'"), df.where("split = 'val'")
+
+
+def _small_forest():
+    return models.random_forest(trees=20, depth=8)
+
+
+@query
+def model_scores(spark, folder):
+    train, val = _train_val(spark, folder)
+    model = models.fit(train, _small_forest())
+    return models.score(model, val).select("state_id", C.PROBABILITY)
+
+
+@query
+def logreg_metrics(spark, folder):
+    train, val = _train_val(spark, folder)
+    model = models.fit(train, models.logistic_regression(train.count()), scaled=True)
+    return models.evaluate(model, val)
+
+
+@query
+def rf_metrics(spark, folder):
+    train, val = _train_val(spark, folder)
+    return models.evaluate(models.fit(train, models.random_forest()), val)
+
+
+@query
+def gbt_metrics(spark, folder):
+    train, val = _train_val(spark, folder)
+    return models.evaluate(models.fit(train, models.boosting(rounds=20)), val)
+
+
+@query
+def cv_compare(spark, folder):
+    train, _ = _train_val(spark, folder)
+    tried = models.candidates({
+        "logistic_regression": {"max_iter": 100},
+        "random_forest": {"trees": 10, "depth": 8},
+        "boosting": {"rounds": 5, "depth": 5, "step": 0.1},
+    })
+    return models.cross_validate(splits.stratified_folds(train, 3), tried, folds=3)
+
+
+@query
+def random_search(spark, folder):
+    train, _ = _train_val(spark, folder)
+    space = {
+        "numTrees": lambda r: r.randrange(5, 15),
+        "maxDepth": lambda r: r.choice([4, 6, 8]),
+        "weightCol": lambda r: r.choice(models.WEIGHTS),
+    }
+    found, _model = models.random_search(
+        splits.stratified_folds(train, 3), "random_forest", trials=3, folds=3, space=space
+    )
+    return found
+
+
+@query
+def feature_importance(spark, folder):
+    train, _ = _train_val(spark, folder)
+    model = models.fit(train, _small_forest())
+    return models.feature_importance(model, models.feature_names(), spark)
+
+
+@query
+def ablation(spark, folder):
+    train, val = _train_val(spark, folder)
+    return models.ablation(train, val, _small_forest)
+
+
+@query
+def tree_sweep(spark, folder):
+    train, val = _train_val(spark, folder)
+    return models.tree_sweep(models.fit(train, _small_forest()), val, [5, 10, 20])
