@@ -90,7 +90,7 @@ def failed_run(spark: SparkSession, run_no: int, run_name: str, error: str, code
 def versions(ledger: DataFrame) -> DataFrame:
     """Promoted versions: runs that passed, numbered in run order."""
     return ledger.where("passed").select(
-        F.row_number().over(Window.orderBy("run_no")).alias("version"),  # one row per passed run
+        F.row_number().over(Window.orderBy("run_no")).cast("long").alias("version"),  # one row per passed run
         "run_no", "run_name", "pr_auc", "recall", "cost_eur",
     )
 

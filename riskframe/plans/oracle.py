@@ -591,6 +591,13 @@ def drift_sql() -> dict[str, str]:
     cols = [*C.MEASURES, C.PROBABILITY]
     w = f"with {BASE}, {PAIR}, {numeric_drift(cols)}"
     full = f"{w}, {CATEGORY}, {_TABLE}"
+    overall = f"""{full}, v as (select verdict from dt union all select prediction_verdict from om) select
+ (select count(*) from pr) as reference_rows, (select count(*) from pc) as current_rows,
+ (select count(*) from pc)>={C.MIN_ROWS} as enough_data,
+ case when (select count(*) from pc)<{C.MIN_ROWS} then 'too little data' when (select bool_or(verdict='act') from v) then 'act'
+ when (select bool_or(verdict='watch') from v) then 'watch' else 'stable' end as verdict,
+ (select prediction_verdict from om) as prediction_verdict, {", ".join(
+     f"(select count(*) from dt where verdict='{x}') as {x}" for x in ("act", "watch", "unknown"))}"""
     sc = f"with {BASE}, {EVEN}, {_scenario_ctes()}"
     return {
         "psi_numeric": f"{w} select feature, round(psi,4) as psi, len(e)<3 as degenerate_reference from ps join ed using (feature) where feature<>'probability'",
@@ -601,13 +608,8 @@ def drift_sql() -> dict[str, str]:
  cast(dof as int) as dof, round(exp(-x/2),6) as p_value from ch""",
         "drift_table": f"{full} select * from dt",
         "operating_metrics": f"{full} select * from om",
-        "drift_verdict": f"""{full}, v as (select verdict from dt union all select prediction_verdict from om) select
- (select count(*) from pr) as reference_rows, (select count(*) from pc) as current_rows,
- (select count(*) from pc)>={C.MIN_ROWS} as enough_data,
- case when (select count(*) from pc)<{C.MIN_ROWS} then 'too little data' when (select bool_or(verdict='act') from v) then 'act'
- when (select bool_or(verdict='watch') from v) then 'watch' else 'stable' end as verdict,
- (select prediction_verdict from om) as prediction_verdict, {", ".join(
-     f"(select count(*) from dt where verdict='{x}') as {x}" for x in ("act", "watch", "unknown"))}""",
+        "drift_verdict": overall,
+        "stream_drift": f"{overall}, cast(0 as int) as batch",
         "drift_confirmed": f"{full} select feature, psi, verdict, p_value from dt where significant and psi>=0.1",
         "operating_bands": f"""with {LOG}, t as (select round(avg(case when alarm then 1e0 else 0e0 end),6) as alarm_rate,
  round(quantile_cont(latency_ms,0.5),3) as median_latency_ms,
@@ -615,12 +617,12 @@ def drift_sql() -> dict[str, str]:
  case when alarm_rate>0.25 or alarm_rate<0.01 then 'act' when alarm_rate<0.03 or alarm_rate>0.1 then 'watch' else 'stable' end as alarm_band,
  case when median_latency_ms>200 then 'act' when median_latency_ms>=50 then 'watch' else 'stable' end as latency_band,
  case when error_rate>0.05 then 'act' when error_rate>=0.01 then 'watch' else 'stable' end as error_band from t""",
-        "drift_persistent": f"with {_runs_sql()} select * from pd",
+        "drift_persistent": f"with {_runs_sql()} select * replace (cast(run as varchar) as run) from pd",
         "retrain_trigger": f"""with {_runs_sql()}, pa as (select run, bool_or(persistent_verdict='act') as persistent_act from pd group by run),
  n as (select cast(ts as date) as run, count(*) as n from lo group by 1),
  c as (select run, cast(sum(n) over (order by run) as bigint) as new_rows,
  cast(date_diff('day', min(run) over (), run) as int) as days_since from n)
- select run, new_rows, days_since, persistent_act,
+ select cast(run as varchar) as run, new_rows, days_since, persistent_act,
  case when persistent_act then 'drift' when new_rows>={C.RETRAIN_ROWS} then 'volume'
  when days_since>={C.RETRAIN_DAYS} then 'schedule' else 'none' end as trigger,
  persistent_act or new_rows>={C.RETRAIN_ROWS} or days_since>={C.RETRAIN_DAYS} as retrain from c join pa using (run)""",
@@ -638,5 +640,135 @@ def drift_sql() -> dict[str, str]:
     }
 
 
+# ---- prediction log, streaming --------------------------------------------------------------
+
+# CTE rc: log records of the scored states.
+RECORDS = """rc as (select *, timestamp '2024-01-01' + to_seconds(l_partkey%30*86400+l_linenumber*60) as ts,
+ round(('0x'||substr(state_id,1,4))::bigint/1e3,3) as latency_ms, probability>=0.06 as alarm from ss)"""
+
+
+def log_sql() -> dict[str, str]:
+    r = f"with {BASE}, {RECORDS}"
+    lo = f"with {LOG}"
+    inputs = ", ".join(
+        c if c == "type" else f"cast({c} as double) as {c}" for c in C.INPUT_FIELDS
+    )
+    stats = """count(*) as requests, round(avg(case when alarm then 1e0 else 0e0 end),6) as alarm_rate,
+ round(avg(probability),6) as mean_probability, round(avg(latency_ms),6) as mean_latency_ms"""
+    n_warnings = "+".join(
+        f"case when {c}{op}{C.CONTRACT['columns'][c][k]} then 1 else 0 end"
+        for c in C.MEASURES for op, k in (("<", "warn_min"), (">", "warn_max"))
+    )
+    store = f"""count(*) as rows, cast(sum(case when alarm then 1 else 0 end) as bigint) as alarms,
+ round(sum(probability),4) as probability_sum, cast(sum({n_warnings}) as bigint) as warnings from rc"""
+    scored_dirty = f"""{DIRTY}, df0 as (select *, round(process_temperature_k-air_temperature_k,1) as temp_difference_k,
+ torque_nm*rotational_speed_rpm*2*pi()/60 as power_w, tool_wear_min*torque_nm as wear_torque_min_nm,
+ {_reasons()} as reject_reasons from dirty),
+ df1 as (select state_id, reject_reasons, reject_reasons='' as accepted,
+ case when reject_reasons='' then {score_sql()} end as probability from df0)"""
+    return {
+        "log_records": f"""{r} select strftime(ts,'%Y-%m-%d %H:%M:%S') as ts, state_id as request_id, cast(0 as int) as row_no,
+ probability, alarm, 0.06::double as threshold, '{C.MODEL_NAME}' as model_name, '1' as model_version, latency_ms,
+ {_warnings()} as warnings, torque_nm, type from rc""",
+        "log_append": f"{r} select 'json' as store, {store} union all select 'table', {store}",
+        "log_to_features": f"{r} select {inputs}, probability from rc",
+        "log_latest": f"{lo} select id, strftime(ts,'%Y-%m-%d %H:%M:%S') as ts, request_id, row_no, probability from lo order by lo.ts desc, id desc limit 10",
+        "log_daily_stats": f"{lo} select cast(cast(ts as date) as varchar) as day, {stats} from lo group by 1",
+        "log_counters": f"""{lo}, q as (select *, case when k<10 then 1 else 0 end+case when latency_ms>250 then 1 else 0 end as w from lo)
+ select count(distinct request_id) as requests, count(distinct case when failed then request_id end) as requests_failed,
+ count(*) as predictions, count(*) filter (where alarm) as alarms, cast(sum(w) as bigint) as warnings,
+ count(inputs) as logged, count(*)-count(inputs) as log_failures, round(sum(latency_ms)/1000,3) as latency_seconds from q""",
+        "explode_batches": f"""{lo} select request_id, cast(row_no//{C.MAX_BATCH_ITEMS} as int) as batch_no, row_no, probability, alarm,
+ round(round(sum(latency_ms) over (partition by request_id, row_no//{C.MAX_BATCH_ITEMS}),3)
+  /count(*) over (partition by request_id, row_no//{C.MAX_BATCH_ITEMS}),6) as latency_ms from lo""",
+        "batch_predictions": f"""with {BASE} select 'part-'||l_partkey as request_id,
+ row_number() over (partition by l_partkey order by state_id)-1 as row_no, probability, probability>=0.06 as alarm,
+ 0.06::double as threshold, '{C.MODEL_NAME}' as model from ss""",
+        "batch_summary": f"""with {BASE} select 'part-'||l_partkey as request_id, count(*) as rows,
+ count(*) filter (where probability>=0.06) as alarms, max(probability) as max_probability from ss group by 1""",
+        "stream_scored": f"""with {BASE}, {scored_dirty} select state_id, accepted, reject_reasons, probability,
+ case when accepted then probability>={C.THRESHOLD} end as alarm from df1""",
+        "stream_daily_stats": f"{lo} select cast(cast(ts as date) as varchar) as day, {stats} from lo group by 1",
+    }
+
+
+# ---- gate, ledger, final evaluation ---------------------------------------------------------
+
+VARIANTS = {
+    "heat": ("heat",),
+    "overload_power": ("overload", "power"),
+    "full": ("heat", "overload", "power"),
+    "heat_power": ("heat", "power"),
+    "heat_overload": ("heat", "overload"),
+}
+
+
+def _violations(min_recall: float, cost: str) -> str:
+    return f"""concat_ws(',', case when pr_auc<0.75 then 'pr_auc<0.75' end,
+ case when recall<{min_recall} then 'recall<'||format('{{:.2f}}', {min_recall}) end,
+ case when cost_eur>{cost} then 'cost_eur>'||format('{{:.2f}}', cast({cost} as double)) end)"""
+
+
+def poisson_sql() -> str:
+    """CTE pt: Poisson distribution functions for means 1..30, as lists."""
+    return """pk as (select m, k, exp(-m + k*ln(m) - lgamma(k+1)) as p from range(1,31) a(m), range(0,120) b(k)),
+pt as (select m, list(c order by k) as cdf from (select m, k, sum(p) over (partition by m order by k) as c from pk) group by m)"""
+
+
+def bootstrap_ctes(source: str, draws: int) -> str:
+    """CTEs ending in bi: one row with interval ends, from per-cell Poisson weights."""
+    unit = "(('0x'||substr(dg,{},13))::bigint+0.5)/4503599627370496e0"
+    return f"""{poisson_sql()},
+cl as (select probability, machine_failure as y, count(*) as n from {source} group by all),
+dr as (select *, md5('{C.SEED}|'||d||'|'||cast(round(probability*1e6) as bigint)||'|'||y) as dg from cl, range(1,{draws + 1}) g(d)),
+du as (select *, {unit.format(1)} as u, {unit.format(14)} as v from dr),
+dz as (select *, sqrt(-2*ln(u))*cos(2*pi()*v) as z from du),
+dw as (select d, probability, y, case when n<=30 then len(list_filter(cdf, lambda x: x<u))
+ else greatest(floor(n+sqrt(n)*z+(z*z-1)/6+0.5),0) end as w from dz left join pt on m=n),
+bh as (select d, probability, sum(w) as n, sum(w*y) as pos from dw group by all having sum(w)>0),
+br as (select *, sum(n) over q as cn, sum(pos) over q as cp from bh window q as (partition by d order by probability desc rows unbounded preceding)),
+ba as (select d, sum(pos*(cp*1e0/cn))/nullif(sum(pos),0) as ap, sum(pos) filter (where probability>={C.THRESHOLD})/nullif(sum(pos),0) as rec from br group by d),
+bi as (select count(ap) as draws, round(quantile_cont(ap,0.025),4) as pr_auc_low, round(quantile_cont(ap,0.975),4) as pr_auc_high,
+ round(quantile_cont(rec,0.025),4) as recall_low, round(quantile_cont(rec,0.975),4) as recall_high from ba)"""
+
+
+def promotion_sql(draws: int = 100) -> dict[str, str]:
+    s = f"with {BASE}, {SPLIT}"
+    runs = union([
+        f"select {i} as run_no, '{n}' as run_name, machine_failure, {score_sql(parts=p)} as probability from sp where split='val'"
+        for i, (n, p) in enumerate(VARIANTS.items(), 1)
+    ])
+    limit = "rows*(1000000/1500e0)"
+    ledger = f"""{s}, vr as ({runs}), {metrics_cte("vr", "m", "run_no, run_name")},
+ lg as (select run_no, run_name, 'scorer='||run_name as params, rows, pr_auc, roc_auc, recall, "precision", cost_eur,
+ {_violations(0.5, limit)}='' as passed, {_violations(0.5, limit)} as violations, '1' as code_version, 'finished' as status from m),
+ ve as (select row_number() over (order by run_no) as version, run_no, run_name, pr_auc, recall, cost_eur from lg where passed)"""
+    pivots = ", ".join(f"max(value) filter (where run_name='{n}') as {n}" for n in VARIANTS)
+    long = union([
+        f"select run_name, '{m}' as metric, cast({m} as double) as value from lg"
+        for m in ("pr_auc", "roc_auc", "recall", "precision", "cost_eur")
+    ])
+    final_limit = "rows*(200000/1500e0)"
+    gaps = ", ".join(f"round(t.{m}-v.{m},6) as {m}_gap" for m in ("pr_auc", "roc_auc", "recall", "precision"))
+    return {
+        "quality_gate": f"""{s}, va as (select * from sp where split='val'), {metrics_cte("va", "m")}
+ select pr_auc, recall, cost_eur, {_violations(0.8, "200000")} as violations, {_violations(0.8, "200000")}='' as passed from m""",
+        "run_ledger": f"{ledger} select * from lg",
+        "run_compare": f"{ledger} select metric, {pivots} from ({long}) group by metric",
+        "gated_promotion": f"{ledger} select * from ve",
+        "champion": f"{ledger} select * from ve order by version desc limit 1",
+        "champion_rollback": f"{ledger} select * from ve order by version desc limit 1 offset 1",
+        "bootstrap_ci": f"{s}, te as (select * from sp where split='test'), {bootstrap_ctes('te', draws)} select * from bi",
+        "final_evaluation": f"""{s}, te as (select * from sp where split='test'), {bootstrap_ctes('te', draws)},
+ {metrics_cte("sp", "m", "split")}, t as (select * from m where split='test'), v as (select * from m where split='val'),
+ g as (select *, {_violations(0.8, final_limit)} as violations from t)
+ select t.rows, t.failures, t.pr_auc, pr_auc_low, pr_auc_high, t.roc_auc, t.recall, recall_low, recall_high,
+ t.precision, t.tp, t.fp, t.fn, t.tn, t.cost_eur, t.do_nothing_eur, t.saving_eur, {gaps}, g.violations='' as passed, g.violations
+ from t, v, g, bi""",
+    }
+
+
 def all_sql() -> dict[str, str]:
-    return {**metric_sql(), **table_sql(), **slice_sql(), **drift_sql()}
+    return {
+        **metric_sql(), **table_sql(), **slice_sql(), **drift_sql(), **log_sql(), **promotion_sql(),
+    }

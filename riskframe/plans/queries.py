@@ -432,6 +432,15 @@ def document_quality_by_language(spark, folder):
 # ---- drift ----------------------------------------------------------------------------------
 
 
+def _day_text(df, *cols):
+    """Days and times as text, so that any two engines' results compare as they are."""
+    text = {
+        c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") if c == "ts" else F.col(c).cast("string")
+        for c in cols
+    }
+    return df.withColumns(text)
+
+
 def _drift_pair(spark, folder, shifted: bool = True):
     """Reference and current half of the scored states by key; the current half is shifted."""
     cols = ["state_id", *C.INPUT_FIELDS, C.TARGET, C.PROBABILITY]
@@ -535,7 +544,7 @@ def _daily_runs(spark, folder):
 
 @query
 def drift_persistent(spark, folder):
-    return drift.persistent_drift(_daily_runs(spark, folder))
+    return _day_text(drift.persistent_drift(_daily_runs(spark, folder)), "run")
 
 
 @query
@@ -553,7 +562,7 @@ def retrain_trigger(spark, folder):
         F.datediff("run", F.min("run").over(since)).alias("days_since"),
     )
     return seen.join(runs, "run").select(
-        "run", "new_rows", "days_since", "persistent_act",
+        F.col("run").cast("string").alias("run"), "new_rows", "days_since", "persistent_act",
         *drift.retrain_trigger(F.col("new_rows"), F.col("persistent_act"), F.col("days_since")),
     )
 
@@ -600,7 +609,7 @@ def _records(spark, folder, with_inputs: bool = True):
 
 @query
 def log_records(spark, folder):
-    return _records(spark, folder).select(
+    return _day_text(_records(spark, folder), "ts").select(
         "ts", "request_id", "row_no", "probability", "alarm", "threshold", "model_name",
         "model_version", "latency_ms", F.concat_ws(",", "warnings").alias("warnings"),
         "inputs.torque_nm", "inputs.type",
@@ -638,14 +647,14 @@ def log_to_features(spark, folder):
 
 @query
 def log_latest(spark, folder):
-    return predlog.latest_records(
+    return _day_text(predlog.latest_records(
         tables.prediction_log(spark, folder).select("id", "ts", "request_id", "row_no", "probability")
-    )
+    ), "ts")
 
 
 @query
 def log_daily_stats(spark, folder):
-    return predlog.daily_stats(tables.prediction_log(spark, folder))
+    return _day_text(predlog.daily_stats(tables.prediction_log(spark, folder)), "day")
 
 
 @query
@@ -699,7 +708,8 @@ def stream_scored(spark, folder):
     )
     log_stream.finish(log_stream.append_stream(scored, out, work_path(spark, "checkpoint"), "accepted"))
     return spark.read.parquet(out).select(
-        "state_id", "accepted", "reject_reasons", C.PROBABILITY, "alarm"
+        "state_id", F.col("accepted").cast("boolean").alias("accepted"), "reject_reasons",
+        C.PROBABILITY, "alarm",
     )
 
 
@@ -715,7 +725,7 @@ def stream_daily_stats(spark, folder):
         log_stream.finish(
             log_stream.update_stream(log_stream.daily_stats_stream(stream), out, checkpoint)
         )
-    return log_stream.current_daily_stats(spark, out)
+    return _day_text(log_stream.current_daily_stats(spark, out), "day")
 
 
 @query

@@ -92,7 +92,7 @@ def prediction_log(spark: SparkSession, folder: str) -> DataFrame:
     p = F.round(F.least(F.col("value") / 500.0, F.lit(1.0)), 6)
     return numbered.select(
         F.col("event_id").alias("id"),
-        "ts",
+        F.col("ts").cast("timestamp").alias("ts"),
         "request_id",
         F.col("row_no").cast("int").alias("row_no"),
         p.alias("probability"),
