@@ -17,7 +17,7 @@ def poisson_cdf(mean: int) -> list[float]:
     """P(X <= k) for k = 0, 1, ... until it reaches one in floating point."""
     term = total = math.exp(-mean)
     out, k = [total], 0
-    while k < mean + 12 * math.sqrt(mean) + 20:
+    while k < mean or term > 1e-18:
         k += 1
         term *= mean / k
         total += term
@@ -31,12 +31,14 @@ def poisson_draw(mean: Column, u: Column, v: Column) -> Column:
     Inverse distribution function up to mean 30, beyond it a normal draw with the second-order
     (Cornish-Fisher) correction for skewness.
     """
-    table = F.array(*[F.array(*[F.lit(x) for x in poisson_cdf(m)]) for m in range(1, EXACT_MEAN + 1)])
+    rows = (",".join(f"{x!r}D" for x in poisson_cdf(m)) for m in range(1, EXACT_MEAN + 1))
+    table = F.expr("array(" + ",".join(f"array({r})" for r in rows) + ")")
     index = F.least(mean, F.lit(EXACT_MEAN)).cast("int")
     exact = F.size(F.filter(F.element_at(table, index), lambda x: x < u)).cast("double")
     z = F.sqrt(F.lit(-2.0) * F.ln(u)) * F.cos(F.lit(2 * math.pi) * v)
     wide = F.floor(mean + F.sqrt(mean.cast("double")) * z + (z * z - 1) / 6 + 0.5)
-    return F.when(mean <= EXACT_MEAN, exact).otherwise(F.greatest(wide, F.lit(0))).cast("long")
+    drawn = F.when(mean <= EXACT_MEAN, exact).otherwise(F.greatest(wide, F.lit(0)))
+    return F.when(mean > 0, drawn).otherwise(0).cast("long")
 
 
 def uniform(digest: Column, start: int) -> Column:
@@ -52,18 +54,28 @@ def replicates(df: DataFrame, draws: int, threshold: float = C.THRESHOLD, seed:
     ``draws`` times the distinct scores, whatever the table's size. Draws are hashes of
     (seed, replicate, score, label): a rerun repeats them.
     """
-    cells = df.groupBy(C.PROBABILITY, C.TARGET).agg(F.count("*").alias("rows"))
-    micro = F.round(F.col(C.PROBABILITY) * 1e6).cast("long").cast("string")
-    each = cells.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws))))
-    digest = F.md5(F.concat_ws(
-        "|", F.lit(str(seed)), F.col("draw").cast("string"), micro, F.col(C.TARGET).cast("string")
-    ))
-    weighted = each.withColumn("digest", digest).withColumn(
-        "w", poisson_draw(F.col("rows"), uniform(F.col("digest"), 1), uniform(F.col("digest"), 14))
+    cells = df.groupBy(C.PROBABILITY).agg(
+        F.sum(F.col(C.TARGET).cast("long")).alias("n1"),
+        F.sum(1 - F.col(C.TARGET).cast("long")).alias("n0"),
+    )
+    # the counts are small but grow by the draws: keep them spread instead of coalesced
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cells = cells.repartition(width, C.PROBABILITY).withColumn(
+        "micro", F.round(F.col(C.PROBABILITY) * 1e6).cast("long").cast("string")
     )
-    counts = weighted.groupBy("draw", C.PROBABILITY).agg(
-        F.sum("w").alias("n"), F.sum(F.col("w") * F.col(C.TARGET)).alias("pos")
-    ).where("n > 0")
+    each = cells.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws))))
+
+    digest = F.sha2(F.concat_ws("|", F.lit(str(seed)), F.col("draw").cast("string"), "micro"), 256)
+    # a draw looks at its first uniform once per table entry, so that is a column of its own
+    hashed = each.withColumn("digest", digest).withColumns({
+        "u0": F.when(F.col("n0") > 0, uniform(F.col("digest"), 1)),
+        "u1": F.when(F.col("n1") > 0, uniform(F.col("digest"), 14)),
+    })
+    counts = hashed.select(
+        "draw", C.PROBABILITY,
+        poisson_draw(F.col("n0"), F.col("u0"), uniform(F.col("digest"), 27)).alias("neg"),
+        poisson_draw(F.col("n1"), F.col("u1"), uniform(F.col("digest"), 40)).alias("pos"),
+    ).withColumn("n", F.col("neg") + F.col("pos"))
     hit = alarm(threshold=threshold)
     return (
         with_ranking(counts, ["draw"]).groupBy("draw").agg(

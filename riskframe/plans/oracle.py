@@ -720,8 +720,9 @@ def bootstrap_ctes(source: str, draws: int) -> str:
     unit = "(('0x'||substr(dg,{},13))::bigint+0.5)/4503599627370496e0"
     return f"""{poisson_sql()},
 cl as (select probability, machine_failure as y, count(*) as n from {source} group by all),
-dr as (select *, md5('{C.SEED}|'||d||'|'||cast(round(probability*1e6) as bigint)||'|'||y) as dg from cl, range(1,{draws + 1}) g(d)),
-du as (select *, {unit.format(1)} as u, {unit.format(14)} as v from dr),
+dr as (select *, sha256('{C.SEED}|'||d||'|'||cast(round(probability*1e6) as bigint)) as dg from cl, range(1,{draws + 1}) g(d)),
+du as (select *, case y when 0 then {unit.format(1)} else {unit.format(14)} end as u,
+ case y when 0 then {unit.format(27)} else {unit.format(40)} end as v from dr),
 dz as (select *, sqrt(-2*ln(u))*cos(2*pi()*v) as z from du),
 dw as (select d, probability, y, case when n<=30 then len(list_filter(cdf, lambda x: x<u))
  else greatest(floor(n+sqrt(n)*z+(z*z-1)/6+0.5),0) end as w from dz left join pt on m=n),

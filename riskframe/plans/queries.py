@@ -138,17 +138,15 @@ def table_fingerprint(spark, folder):
 @query
 def split_store(spark, folder):
     path = work_path(spark, "splits")
-    cols = ["state_id", *C.INPUT_FIELDS, C.TARGET]
-    stores.write_splits(splits.stratified_split(tables.machine_states(spark, folder).select(*cols)), path)
+    stores.write_splits(_split_states(spark, folder, *C.INPUT_FIELDS), path)
     return stores.read_split(spark, path, "test").select("state_id", C.TARGET, "split")
 
 
 @query
 def reference_sample(spark, folder):
     path = work_path(spark, "reference")
-    val = splits.stratified_split(tables.scored_states(spark, folder)).where("split = 'val'")
-    cols = ["state_id", *C.INPUT_FIELDS, C.TARGET, C.PROBABILITY]
-    stores.write_reference(splits.uniform_sample(val.select(*cols)), path)
+    val = _split_states(spark, folder, *C.INPUT_FIELDS, C.PROBABILITY).where("split = 'val'")
+    stores.write_reference(splits.uniform_sample(val.drop("split")), path)
     return stores.read_reference(spark, path)
 
 
@@ -242,8 +240,9 @@ def json_field_check(spark, folder):
 # ---- splits and samples ---------------------------------------------------------------------
 
 
-def _split_states(spark, folder):
-    return splits.stratified_split(tables.scored_states(spark, folder))
+def _split_states(spark, folder, *cols):
+    """Selected columns of the scored states with label and split; stored, as several passes follow."""
+    return splits.stratified_split(tables.stored_states(spark, folder, C.TARGET, *cols))
 
 
 @query
@@ -258,9 +257,7 @@ def split_overview(spark, folder):
 
 @query
 def split_overlap(spark, folder):
-    return splits.split_overlap(
-        features.drop_leakage(_split_states(spark, folder)).select("state_id", "split", C.TARGET)
-    )
+    return splits.split_overlap(features.drop_leakage(_split_states(spark, folder)))
 
 
 @query
@@ -287,13 +284,13 @@ def stratified_folds(spark, folder):
 
 @query
 def baseline_rules(spark, folder):
-    df = _split_states(spark, folder).select("state_id", C.TARGET, "split")
+    df = _split_states(spark, folder)
     return metrics.baseline_rules(df.where("split = 'train'"), df.where("split = 'val'"))
 
 
 @query
 def val_test_gap(spark, folder):
-    return metrics.metric_gap(_split_states(spark, folder), "val", "test")
+    return metrics.metric_gap(_split_states(spark, folder, C.PROBABILITY), "val", "test")
 
 
 # ---- profiles -------------------------------------------------------------------------------
@@ -307,9 +304,8 @@ def column_profile(spark, folder):
 
 @query
 def describe_numeric(spark, folder):
-    return profiling.describe_numeric(
-        tables.machine_states(spark, folder), [*C.MEASURES, *C.ENGINEERED]
-    )
+    cols = [*C.MEASURES, *C.ENGINEERED]
+    return profiling.describe_numeric(tables.stored_states(spark, folder, *cols), cols)
 
 
 @query
@@ -364,9 +360,8 @@ def key_uniqueness(spark, folder):
 
 @query
 def box_stats(spark, folder):
-    return profiling.box_stats(
-        tables.machine_states(spark, folder), ["temp_difference_k", "power_w"]
-    )
+    cols = ["temp_difference_k", "power_w"]
+    return profiling.box_stats(tables.stored_states(spark, folder, C.TARGET, *cols), cols)
 
 
 BANDED = ["tool_wear_min", "torque_nm", "rotational_speed_rpm", "temp_difference_k", "power_w"]
@@ -374,14 +369,18 @@ BANDED = ["tool_wear_min", "torque_nm", "rotational_speed_rpm", "temp_difference
 
 @query
 def quantile_bands(spark, folder):
-    return profiling.quantile_bands(tables.machine_states(spark, folder), BANDED)
+    return profiling.quantile_bands(tables.stored_states(spark, folder, *BANDED), BANDED)
 
 
 # ---- error slicing --------------------------------------------------------------------------
 
 
-def _val_states(spark, folder):
-    return _split_states(spark, folder).where("split = 'val'")
+def _val_states(spark, folder, *cols):
+    return _split_states(spark, folder, C.PROBABILITY, *cols).where("split = 'val'")
+
+
+def _sliced(spark, folder):
+    return slicing.slice_cells(_val_states(spark, folder, "type", *slicing.BANDS.values()))
 
 
 @query
@@ -393,23 +392,23 @@ def attach_causes(spark, folder):
 
 @query
 def slice_metrics(spark, folder):
-    return slicing.slice_metrics(*slicing.slice_cells(_val_states(spark, folder)))
+    return slicing.slice_metrics(*_sliced(spark, folder))
 
 
 @query
 def overall_metrics(spark, folder):
-    cells, _ = slicing.slice_cells(_val_states(spark, folder))
+    cells, _ = _sliced(spark, folder)
     return slicing.overall_metrics(cells)
 
 
 @query
 def metrics_by_cause(spark, folder):
-    return slicing.metrics_by_cause(_val_states(spark, folder))
+    return slicing.metrics_by_cause(_val_states(spark, folder, *C.CAUSES))
 
 
 @query
 def cross_metrics(spark, folder):
-    cells, labels = slicing.slice_cells(_val_states(spark, folder))
+    cells, labels = _sliced(spark, folder)
     cells = stage(cells, "slice-cells")
     out = None
     for pair in slicing.CROSSES:
@@ -420,7 +419,7 @@ def cross_metrics(spark, folder):
 
 @query
 def worst_slices(spark, folder):
-    return slicing.worst_slices(*slicing.slice_cells(_val_states(spark, folder)))
+    return slicing.worst_slices(*_sliced(spark, folder))
 
 
 @query
@@ -445,8 +444,8 @@ def _drift_pair(spark, folder, shifted: bool = True):
     """Reference and current half of the scored states by key; the current half is shifted."""
     cols = ["state_id", *C.INPUT_FIELDS, C.TARGET, C.PROBABILITY]
     if not shifted:
-        both = tables.scored_states(spark, folder)
-        return both.where("state_id < '8'").select(*cols), both.where("state_id >= '8'").select(*cols)
+        both = tables.stored_states(spark, folder, *cols)
+        return both.where("state_id < '8'"), both.where("state_id >= '8'")
     ref = tables.scored_states(spark, folder).where("state_id < '8'")
     cur = tables.operating_points(spark, folder).where("state_id >= '8'").withColumns({
         "process_temperature_k": F.col("process_temperature_k") + 3.0,
@@ -454,7 +453,7 @@ def _drift_pair(spark, folder, shifted: bool = True):
     })
     truth = F.lit(0).alias(C.TARGET)
     scored = _score(cur).withColumn(C.TARGET, truth)
-    return ref.select(*cols), scored.select(*cols)
+    return stage(ref.select(*cols), "reference"), stage(scored.select(*cols), "current")
 
 
 def _score(df):
@@ -771,7 +770,7 @@ def _ledger(spark, folder):
         )
         for i, (name, parts) in enumerate(VARIANTS.items(), 1)
     ])
-    scored = splits.stratified_split(tables.machine_states(spark, folder)).where("split = 'val'")
+    scored = _val_states(spark, folder, *C.ENGINEERED)
     each = scored.select(C.TARGET, F.explode(runs).alias("r")).select(C.TARGET, "r.*")
     gated = promotion.quality_gate(
         metrics.evaluate(each, by=["run_no", "run_name"]),
@@ -813,21 +812,22 @@ BOOTSTRAP_DRAWS = 100
 
 @query
 def bootstrap_ci(spark, folder):
-    test = _split_states(spark, folder).where("split = 'test'")
+    test = _split_states(spark, folder, C.PROBABILITY).where("split = 'test'")
     return bootstrap.bootstrap_interval(test, BOOTSTRAP_DRAWS)
 
 
 @query
 def final_evaluation(spark, folder):
-    return promotion.final_evaluation(_split_states(spark, folder), BOOTSTRAP_DRAWS)
+    return promotion.final_evaluation(
+        _split_states(spark, folder, C.PROBABILITY), BOOTSTRAP_DRAWS
+    )
 
 
 # ---- Spark ML -------------------------------------------------------------------------------
 
 
 def _train_val(spark, folder):
-    cols = ["state_id", *C.INPUT_FIELDS, C.TARGET, *C.CAUSES, "split"]
-    df = stage(splits.stratified_split(tables.machine_states(spark, folder)).select(*cols), "model-data")
+    df = _split_states(spark, folder, *C.INPUT_FIELDS, *C.CAUSES)
     return df.where("split = 'train'"), df.where("split = 'val'")
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 from riskframe import config as C
 from riskframe.functions.features import add_engineered
 from riskframe.functions.ordering import numbered_rows
+from riskframe.session import stage
 
 DAY_ZERO = "1995-01-01"
 
@@ -15,6 +16,20 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+SMALL_INPUT_BYTES = 256 * 1024 * 1024
+
+
+def spread_small(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread a small input over all cores; larger inputs keep their file splits.
+
+    A small file is often a single row group, which one task reads and computes alone. Beyond the
+    limit the splits already outnumber the cores, and nothing is shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(cores, *keys) if cores > 1 and size <= SMALL_INPUT_BYTES else df
+
+
 def operating_points(spark: SparkSession, folder: str) -> DataFrame:
     """Machine operating points (key, type, five measures) from ``lineitem``, one row per row."""
     day = f"datediff(cast(l_shipdate as date), date '{DAY_ZERO}')"
@@ -23,7 +38,7 @@ def operating_points(spark: SparkSession, folder: str) -> DataFrame:
         " cast(l_suppkey as string), cast(l_linenumber as string),"
         f" cast(cast(round(l_extendedprice*100) as bigint) as string), cast({day} as string)))"
     )
-    return read_table(spark, folder, "lineitem").selectExpr(
+    return spread_small(read_table(spark, folder, "lineitem"), "l_partkey", "l_suppkey").selectExpr(
         f"{key} as state_id",
         "l_partkey",
         "l_linenumber",
@@ -42,6 +57,7 @@ def machine_states(spark: SparkSession, folder: str) -> DataFrame:
     featured = add_engineered(base).withColumn(
         "temp_difference_k", F.round("temp_difference_k", 1)
     )
+    # cause flags: fixture rules, one condition per cause
     flagged = featured.withColumns({
         "twf": F.expr(
             "case when tool_wear_min between 200 and 240 and l_linenumber=1"
@@ -82,6 +98,16 @@ def scored_states(spark: SparkSession, folder: str) -> DataFrame:
     return machine_states(spark, folder).withColumn(C.PROBABILITY, fixed_score())
 
 
+def stored_states(spark: SparkSession, folder: str, *cols: str) -> DataFrame:
+    """Selected columns of the scored states, written once and read back.
+
+    For operators that pass over the table several times: keys, labels and scores are computed
+    once, and the later passes read narrow columns with filters pushed to the scan.
+    """
+    wanted = dict.fromkeys([C.KEY, *cols])
+    return stage(scored_states(spark, folder).select(*wanted), "states")
+
+
 def prediction_log(spark: SparkSession, folder: str) -> DataFrame:
     """The scoring log from ``events``: one record per row, rows of a request numbered from 0."""
     day = F.to_date("ts")
