@@ -291,15 +291,12 @@ def quantile_edges(
 
 
 def band_number(col: str, edges: list[float]) -> Column:
-    """1-based quantile band: right-closed intervals, the lowest value included."""
+    """1-based quantile band: right-closed intervals; the outer bands are open."""
     x = F.col(col).cast("double")
-    if len(edges) < 2:
-        return F.when(x.isNotNull(), 1)
-    expr = None
-    for i, upper in enumerate(edges[1:], 1):
-        cond = x <= F.lit(upper)
-        expr = F.when(cond, i) if expr is None else expr.when(cond, i)
-    return expr
+    number = F.lit(1)
+    for e in edges[1:-1]:
+        number = number + F.when(x > F.lit(e), 1).otherwise(0)
+    return F.when(x.isNotNull(), number)
 
 
 def band_labels(edges: list[float]) -> list[str]:

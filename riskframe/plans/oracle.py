@@ -368,8 +368,7 @@ BAND_EDGES = "be as (select " + ", ".join(
 
 
 def band_sql(c: str) -> str:
-    whens = " ".join(f"when {c}<=e_{c}[{i + 1}] then {i}" for i in range(1, 5))
-    return f"cast(case {whens} end as int)"
+    return f"cast(1+len(list_filter(e_{c}[2:len(e_{c})-1], lambda z: {c}>z)) as int)"
 
 
 # ---- slicing --------------------------------------------------------------------------------
