@@ -54,20 +54,21 @@ def one_hot(df: DataFrame, col: str, levels: list) -> DataFrame:
 
 
 def standardize(df: DataFrame, cols: list[str], digits: int | None = None) -> DataFrame:
-    """Zero mean and unit population deviation per column; a constant column becomes zero."""
+    """Zero mean and unit population deviation per column; a constant column becomes zero.
+
+    Two numbers per column are fitted in one aggregate and applied as constants.
+    """
     stats = df.agg(
         *[F.avg(c).alias(f"m_{c}") for c in cols],
         *[F.stddev_pop(c).alias(f"s_{c}") for c in cols],
-    )
-    joined = df.crossJoin(F.broadcast(stats))  # one row on the right
-    scaled = {
-        c: F.when(F.col(f"s_{c}") == 0, F.lit(0.0)).otherwise(
-            (F.col(c) - F.col(f"m_{c}")) / F.col(f"s_{c}")
-        )
-        for c in cols
-    }
-    if digits is not None:
-        scaled = {c: F.round(e, digits) for c, e in scaled.items()}
-    return joined.withColumns(scaled).drop(
-        *[f"m_{c}" for c in cols], *[f"s_{c}" for c in cols]
-    )
+    ).first()
+    scaled = {}
+    for c in cols:
+        mean, spread = stats[f"m_{c}"], stats[f"s_{c}"]
+        if mean is None or spread == 0:
+            scaled[c] = F.when(F.col(c).isNotNull(), F.lit(0.0))
+        else:
+            scaled[c] = (F.col(c) - F.lit(mean)) / F.lit(spread)
+        if digits is not None:
+            scaled[c] = F.round(scaled[c], digits)
+    return df.withColumns(scaled)

@@ -1,8 +1,9 @@
 """Prediction log: records, appends, reads, daily statistics, counters and batches."""
 
 import logging
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,7 +49,7 @@ def log_records(
 
 def append_json(records: DataFrame, path: str) -> int:
     """Append records as JSON lines; a failed write is reported and returns 0, never raised."""
-    return _append(records, lambda: records.write.mode("append").json(path))
+    return _append(records, lambda df: df.write.mode("append").json(path))
 
 
 def append_table(records: DataFrame, path: str) -> int:
@@ -59,13 +60,15 @@ def append_table(records: DataFrame, path: str) -> int:
         "inputs": F.to_json("inputs"),
         "day": F.to_date("ts"),
     })
-    return _append(flat, lambda: flat.write.mode("append").partitionBy("day").parquet(path))
+    return _append(flat, lambda df: df.write.mode("append").partitionBy("day").parquet(path))
 
 
-def _append(df: DataFrame, write) -> int:
+def _append(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
+    """Write and return the rows written, counted while they are written."""
+    seen = Observation()
     try:
-        write()
-        return df.count()
+        write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
+        return seen.get["rows"]
     except Exception as e:  # noqa: BLE001 - a full log store must not stop scoring
         log.error("log records could not be written: %s", e)
         return 0

@@ -134,20 +134,23 @@ def final_evaluation(
 ) -> DataFrame:
     """Test metrics with intervals, cost and saving, gap to validation, and the gate check."""
     both = metrics.evaluate(df.where("split in ('val', 'test')"), threshold, by=["split"])
-    test = quality_gate(
-        both.where("split = 'test'"),
-        {**C.QUALITY_GATE, "max_expected_cost_eur": cost_limit_for()},
-    ).drop("split")
-    val = both.where("split = 'val'").select(
-        *[F.col(m).alias(f"v_{m}") for m in ("pr_auc", "roc_auc", "recall", "precision")]
+    compared = ["pr_auc", "roc_auc", "recall", "precision"]
+    row = both.agg(
+        F.max(F.when(F.col("split") == "test", F.struct(*[c for c in both.columns if c != "split"]))).alias("t"),
+        *[F.max(F.when(F.col("split") == "val", F.col(m))).alias(f"v_{m}") for m in compared],
+    ).select("t.*", *[f"v_{m}" for m in compared])
+    gated = quality_gate(
+        row, {**C.QUALITY_GATE, "max_expected_cost_eur": cost_limit_for()}
     )
-    interval = bootstrap_interval(df.where("split = 'test'"), draws, threshold)
-    joined = test.crossJoin(F.broadcast(val)).crossJoin(F.broadcast(interval))  # one row each
+    ends = bootstrap_interval(df.where("split = 'test'"), draws, threshold).first()  # one row
+    interval = {
+        c: F.lit(ends[c]).cast("double")
+        for c in ("pr_auc_low", "pr_auc_high", "recall_low", "recall_high")
+    }
     gaps = [
-        F.round(F.col(m) - F.col(f"v_{m}"), 6).alias(f"{m}_gap")
-        for m in ("pr_auc", "roc_auc", "recall", "precision")
+        F.round(F.col(m) - F.col(f"v_{m}"), 6).alias(f"{m}_gap") for m in compared
     ]
-    return joined.select(
+    return gated.withColumns(interval).select(
         "rows", "failures", "pr_auc", "pr_auc_low", "pr_auc_high", "roc_auc", "recall",
         "recall_low", "recall_high", "precision", "tp", "fp", "fn", "tn", "cost_eur",
         "do_nothing_eur", "saving_eur", *gaps, "passed",

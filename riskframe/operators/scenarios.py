@@ -3,7 +3,7 @@
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe import config as C
@@ -132,12 +132,14 @@ def scenario_table(
 
 
 def _with_control(table: DataFrame) -> DataFrame:
-    control = table.where("scenario = 'control'").select(
-        F.col("alarm_rate").alias("c_alarm_rate"),
-        F.col("recall").alias("c_recall"),
-        F.col("cost_eur").alias("c_cost_eur"),
-    )
-    return table.where("scenario <> 'control'").crossJoin(F.broadcast(control))  # one row
+    """Every other scenario with the control's numbers beside it (one row per scenario)."""
+    whole = Window.partitionBy()
+    control = F.col("scenario") == "control"
+    beside = {
+        f"c_{c}": F.max(F.when(control, F.col(c))).over(whole)
+        for c in ("alarm_rate", "recall", "cost_eur")
+    }
+    return table.withColumns(beside).where(~control)
 
 
 def silent_failure(table: DataFrame) -> DataFrame:

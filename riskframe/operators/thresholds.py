@@ -53,17 +53,27 @@ def cost_curve(df: DataFrame, by: Sequence[str] = (), steps: int = C.GRID_STEPS)
 def curve_from_cells(
     cells: DataFrame, by: Sequence[str] = (), steps: int = C.GRID_STEPS
 ) -> DataFrame:
-    swept = cells.withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(steps))))
+    return _rates(_sweep(cells, by, 1, steps), by).drop("i")
+
+
+def _sweep(cells: DataFrame, by: Sequence[str], first: int, steps: int) -> DataFrame:
+    """Confusion counts per grid index i; index 0 is the off-grid cut of the cells."""
+    swept = cells.withColumn("i", F.explode(F.sequence(F.lit(first), F.lit(steps))))
     hit = F.col("k") >= F.col("i")
+    if first == 0:
+        hit = F.when(F.col("i") == 0, F.col("at_cut")).otherwise(hit)
     neg = F.col("n") - F.col("pos")
-    counts = swept.groupBy(*by, "i").agg(
+    return swept.groupBy(*by, "i").agg(
         F.sum(F.when(hit, F.col("pos")).otherwise(0)).alias("tp"),
         F.sum(F.when(hit, neg).otherwise(0)).alias("fp"),
         F.sum(F.when(hit, 0).otherwise(F.col("pos"))).alias("fn"),
         F.sum(F.when(hit, 0).otherwise(neg)).alias("tn"),
     )
+
+
+def _rates(counts: DataFrame, by: Sequence[str]) -> DataFrame:
     return counts.select(
-        *by,
+        *by, "i",
         F.round(F.col("i") / 100, 2).alias("threshold"),
         "tp", "fp", "fn", "tn",
         ratio_or_zero("tp", F.col("tp") + F.col("fn")).alias("recall"),
@@ -111,22 +121,25 @@ def threshold_comparison(df: DataFrame) -> DataFrame:
     )
 
 
-def break_even(df: DataFrame) -> DataFrame:
-    """The analytic break-even probability applied to the table, next to the empirical best."""
-    cells = grid_cells(df, cut=BREAK_EVEN)
-    hit, neg = F.col("at_cut"), F.col("n") - F.col("pos")
-    cut = cells.agg(
-        F.sum(F.when(hit, F.col("pos")).otherwise(0)).alias("tp"),
-        F.sum(F.when(hit, neg).otherwise(0)).alias("fp"),
-        F.sum(F.when(hit, 0).otherwise(F.col("pos"))).alias("fn"),
-    ).select(
+def break_even(df: DataFrame, steps: int = C.GRID_STEPS) -> DataFrame:
+    """The analytic break-even probability applied to the table, next to the empirical best.
+
+    The cut is one more index of the sweep, so both come from the same counts.
+    """
+    swept = _rates(_sweep(grid_cells(df, (), steps, BREAK_EVEN), (), 0, steps), ())
+    fields = ["threshold", "alarms", "recall", "precision", "cost_eur"]
+    at_cut = F.struct(
         F.round(F.lit(BREAK_EVEN), 6).alias("threshold"),
         (F.col("tp") + F.col("fp")).alias("alarms"),
-        ratio_or_zero("tp", F.col("tp") + F.col("fn")).alias("recall"),
-        ratio_or_zero("tp", F.col("tp") + F.col("fp")).alias("precision"),
-        expected_cost().alias("cost_eur"),
+        "recall", "precision", "cost_eur",
     )
-    best = best_threshold(curve_from_cells(cells)).select(
-        F.col("threshold").alias("best_threshold"), F.col("cost_eur").alias("best_cost_eur")
+    on_grid = F.col("i") > 0
+    best = F.struct(-F.col("cost_eur"), F.col("threshold"))
+    return swept.agg(
+        F.max(F.when(F.col("i") == 0, at_cut)).alias("cut"),
+        F.max(F.when(on_grid, best)).alias("best"),
+    ).select(
+        *[f"cut.{f}" for f in fields],
+        F.col("best.threshold").alias("best_threshold"),
+        (-F.col("best.col1")).alias("best_cost_eur"),
     )
-    return cut.crossJoin(F.broadcast(best))  # one row each

@@ -119,9 +119,8 @@ def _raw_view(spark, folder):
 @query
 def raw_ingest(spark, folder):
     path = work_path(spark, "raw")
-    view = _raw_view(spark, folder)
-    ingest.write_raw(view, path)
-    return ingest.load_raw(spark, path, expected_rows=view.count())
+    written = ingest.write_raw(_raw_view(spark, folder), path)
+    return ingest.load_raw(spark, path, expected_rows=written)
 
 
 @query

@@ -1,6 +1,6 @@
 """Reading raw files: header check and renaming, file hashes, content fingerprints."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,14 +40,20 @@ def load_raw(spark: SparkSession, path: str, expected_rows: int | None = None) -
     return df
 
 
-def write_raw(df: DataFrame, path: str, bom: bool = True) -> None:
-    """Write a table under the original header, optionally with a byte order mark."""
+def write_raw(df: DataFrame, path: str, bom: bool = True) -> int:
+    """Write a table under the original header, optionally with a byte order mark.
+
+    Returns the rows written, counted on the way.
+    """
     names = {tech: raw for raw, tech in C.RAW_COLUMNS.items()}
     cols = [F.col(t).alias(r) for t, r in names.items()]
     if bom:
         first = next(iter(names))
         cols[0] = F.col(first).alias(BOM + names[first])
-    df.select(*cols).write.option("header", True).csv(path)
+    seen = Observation()
+    out = df.select(*cols).observe(seen, F.count(F.lit(1)).alias("rows"))
+    out.write.option("header", True).csv(path)
+    return seen.get["rows"]
 
 
 def read_any(spark: SparkSession, path: str) -> DataFrame:
