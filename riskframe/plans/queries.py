@@ -442,17 +442,14 @@ def _day_text(df, *cols):
 def _drift_pair(spark, folder, shifted: bool = True):
     """Reference and current half of the scored states by key; the current half is shifted."""
     cols = ["state_id", *C.INPUT_FIELDS, C.TARGET, C.PROBABILITY]
-    if not shifted:
-        both = tables.stored_states(spark, folder, *cols)
-        return both.where("state_id < '8'"), both.where("state_id >= '8'")
-    ref = tables.scored_states(spark, folder).where("state_id < '8'")
-    cur = tables.operating_points(spark, folder).where("state_id >= '8'").withColumns({
-        "process_temperature_k": F.col("process_temperature_k") + 3.0,
-        "type": F.when(F.col("l_linenumber") >= 4, "H").otherwise(F.col("type")),
-    })
-    truth = F.lit(0).alias(C.TARGET)
-    scored = _score(cur).withColumn(C.TARGET, truth)
-    return stage(ref.select(*cols), "reference"), stage(scored.select(*cols), "current")
+    both = tables.stored_states(spark, folder, *cols, "l_linenumber")
+    ref, cur = both.where("state_id < '8'"), both.where("state_id >= '8'")
+    if shifted:
+        cur = _score(cur.withColumns({
+            "process_temperature_k": F.col("process_temperature_k") + 3.0,
+            "type": F.when(F.col("l_linenumber") >= 4, "H").otherwise(F.col("type")),
+        }))
+    return ref.select(*cols), cur.select(*cols)
 
 
 def _score(df):
