@@ -137,48 +137,43 @@ def _ordered(value: Column) -> Column:
     return F.signum(v) * F.log1p(F.abs(v))
 
 
-def long_values(df: DataFrame, values: Mapping[str, Column], keep: Sequence[Column] = ()) -> DataFrame:
-    """(spec, value, ...) rows: one row per non-null value of each named expression."""
-    packed = F.array(*[
-        F.struct(F.lit(name).alias("spec"), v.cast("double").alias("value"))
-        for name, v in values.items()
-    ])
-    return (
-        df.select(F.explode(packed).alias("x"), *keep)
-        .select("x.spec", "x.value", *[c for c in _names(df, keep)])
-        .where("value is not null")
-    )
+def long_values(
+    df: DataFrame, values: Mapping[str, Column], keep: Sequence[str] = ()
+) -> DataFrame:
+    """(spec, value, ...) rows, one per non-null value; ``spec`` is the expression's number.
 
+    Numbers instead of names keep the grouping keys of the following aggregate narrow.
+    """
+    cells = [x for i, v in enumerate(values.values()) for x in (F.lit(i), v.cast("double"))]
+    return df.select(*keep, F.stack(F.lit(len(values)), *cells).alias("spec", "value")).where(
+        "value is not null"
+    )
 
-def _names(df: DataFrame, cols: Sequence[Column]) -> list[str]:
-    return df.select(*cols).columns if cols else []
 
+def distinct_counts(df: DataFrame, values: Mapping[str, Column], **extra: Column) -> tuple[dict, dict]:
+    """Rough number of distinct values per expression, and further aggregates of the same pass."""
+    row = df.agg(
+        *[e.alias(n) for n, e in extra.items()],
+        *[F.approx_count_distinct(v.cast("double")).alias(f"r{i}") for i, v in enumerate(values.values())],
+    ).first()
+    return {name: row[f"r{i}"] for i, name in enumerate(values)}, {n: row[n] for n in extra}
 
-def value_ranges(df: DataFrame, values: Mapping[str, Column], **extra: Column) -> dict:
-    """Per spec: rows, rough number of distinct values, smallest and largest (one pass).
 
-    Further aggregates asked for by name come along in the same pass.
-    """
-    row = df.agg(*[e.alias(n) for n, e in extra.items()], *[
+def value_ranges(df: DataFrame, values: Mapping[str, Column]) -> list[dict]:
+    """Per expression: rows, smallest and largest order-preserving position (one pass)."""
+    row = df.agg(*[
         F.struct(
-            F.count(v).alias("n"),
-            F.approx_count_distinct(v.cast("double")).alias("distinct"),
-            F.min(_ordered(v)).alias("lo"),
-            F.max(_ordered(v)).alias("hi"),
+            F.count(v).alias("n"), F.min(_ordered(v)).alias("lo"), F.max(_ordered(v)).alias("hi")
         ).alias(f"r{i}")
         for i, v in enumerate(values.values())
     ]).first()
-    found = {name: row[f"r{i}"] for i, name in enumerate(values)}
-    return {**found, **{n: row[n] for n in extra}}
+    return [row[f"r{i}"].asDict() for i in range(len(values))]
 
 
-def with_path(rows: DataFrame, ranges: Mapping) -> DataFrame:
+def with_path(rows: DataFrame, ranges: Sequence[Mapping]) -> DataFrame:
     """Add ``path``, a PATH_BITS-bit position that never decreases with the value of its spec."""
-    lo = hi = None
-    for name, r in ranges.items():
-        cond = F.col("spec") == name
-        lo = F.when(cond, F.lit(r["lo"])) if lo is None else lo.when(cond, F.lit(r["lo"]))
-        hi = F.when(cond, F.lit(r["hi"])) if hi is None else hi.when(cond, F.lit(r["hi"]))
+    lo = F.element_at(F.array(*[F.lit(r["lo"]) for r in ranges]), F.col("spec") + 1)
+    hi = F.element_at(F.array(*[F.lit(r["hi"]) for r in ranges]), F.col("spec") + 1)
     unit = F.coalesce(F.try_divide(_ordered(F.col("value")) - lo, hi - lo), F.lit(0.0))
     top = float(2**PATH_BITS)
     return rows.withColumn("path", F.least(F.floor(unit * top), F.lit(2**PATH_BITS - 1)).cast("long"))
@@ -200,37 +195,34 @@ def exact_percentiles(
     if not values:
         return {}
     probs = list(probs)
-    ranges = value_ranges(df, values)
+    distinct, _ = distinct_counts(df, values)
     out: dict[str, list] = {name: [None] * len(probs) for name in values}
-    small = {k: v for k, v in values.items() if ranges[k]["distinct"] <= max_distinct}
+    small = {k: v for k, v in values.items() if distinct[k] <= max_distinct}
     large = {k: v for k, v in values.items() if k not in small}
     if small:
+        names = list(small)
         counts = long_values(df, small).groupBy("spec", "value").agg(F.count("*").alias("n"))
         found = counts.groupBy("spec").agg(F.percentile("value", probs, F.col("n")).alias("q"))
         for r in found.collect():
-            out[r["spec"]] = list(r["q"])
+            out[names[r["spec"]]] = list(r["q"])
     if large:
-        wanted = {}
-        for name in large:
-            n = ranges[name]["n"]
-            spots = [p * (n - 1) for p in probs]
-            wanted[name] = sorted({math.floor(s) for s in spots} | {math.ceil(s) for s in spots})
+        ranges = value_ranges(df, large)
+        spots = [[p * (r["n"] - 1) for p in probs] for r in ranges]
+        wanted = [sorted({f(x) for x in at for f in (math.floor, math.ceil)}) for at in spots]
         ranked = _values_at_ranks(df, large, ranges, wanted, max_distinct)
-        for name in large:
-            n = ranges[name]["n"]
-            for i, p in enumerate(probs):
-                a = ranked[name, math.floor(p * (n - 1))]
-                b = ranked[name, math.ceil(p * (n - 1))]
-                out[name][i] = a + (b - a) * (p * (n - 1) - math.floor(p * (n - 1)))
+        for s, name in enumerate(large):
+            for i, x in enumerate(spots[s]):
+                a, b = ranked[s, math.floor(x)], ranked[s, math.ceil(x)]
+                out[name][i] = a + (b - a) * (x - math.floor(x))
     return out
 
 
 def _values_at_ranks(df, values, ranges, wanted, max_rows) -> dict:
     """{(spec, rank): value} for 0-based ranks; see ``exact_percentiles``."""
     spark = df.sparkSession
-    rows = with_path(long_values(df, values), {k: ranges[k] for k in values})
+    rows = with_path(long_values(df, values), ranges)
     # open buckets: (spec, level, bucket) -> (rows before the bucket, ranks inside, rows inside)
-    open_ = {(s, 0, 0): (0, ranks, ranges[s]["n"]) for s, ranks in wanted.items()}
+    open_ = {(s, 0, 0): (0, ranks, ranges[s]["n"]) for s, ranks in enumerate(wanted)}
     leaves = {}
     levels = PATH_BITS // LEVEL_BITS
     while open_:
@@ -239,7 +231,7 @@ def _values_at_ranks(df, values, ranges, wanted, max_rows) -> dict:
         if not deep:
             break
         level = next(iter(deep))[1]
-        parents = spark.createDataFrame([(s, b) for s, _, b in deep], "spec string, parent long")
+        parents = spark.createDataFrame([(s, b) for s, _, b in deep], "spec int, parent long")
         shift = PATH_BITS - LEVEL_BITS * (level + 1)
         counted = (
             rows.withColumn("parent", F.shiftright("path", shift + LEVEL_BITS))
@@ -265,7 +257,7 @@ def _values_at_ranks(df, values, ranges, wanted, max_rows) -> dict:
     for level, group in by_level.items():
         table = spark.createDataFrame(
             [(s, b, state[0], state[1]) for (s, _, b), state in group.items()],
-            "spec string, bucket long, before long, ranks array<long>",
+            "spec int, bucket long, before long, ranks array<long>",
         )
         counts = (
             rows.withColumn("bucket", F.shiftright("path", PATH_BITS - LEVEL_BITS * level))

@@ -29,7 +29,8 @@ def kolmogorov_p(distance: Column, n_ref: Column, n_cur: Column) -> Column:
 
     The alternating series converges fast for large arguments, its theta transform for small ones.
     """
-    lam = F.sqrt(n_ref * n_cur / (n_ref + n_cur).cast("double")) * distance
+    r, c = n_ref.cast("double"), n_cur.cast("double")  # whole numbers would overflow
+    lam = F.sqrt(F.try_divide(r * c, r + c)) * distance
     large = sum(
         (F.lit(2.0 * (-1) ** (k - 1)) * F.exp(F.lit(-2.0 * k * k) * lam * lam) for k in range(1, 9)),
         F.lit(0.0),

@@ -10,6 +10,7 @@ from riskframe.functions.features import common_columns, numeric_columns
 from riskframe.functions.ordering import (
     LEVEL_BITS,
     PATH_BITS,
+    distinct_counts,
     exact_percentiles,
     long_values,
     value_ranges,
@@ -74,12 +75,12 @@ class DriftCheck:
         columns = [*self.numeric, *self.categorical]
         both = _both(ref, cur, columns)
         values = {c: F.col(c) for c in self.numeric}
-        ranges = value_ranges(
-            both, values, _rows=F.count("*"), _ref=F.coalesce(F.sum("is_ref"), F.lit(0))
+        distinct, sizes = distinct_counts(
+            both, values, rows=F.count("*"), ref=F.coalesce(F.sum("is_ref"), F.lit(0))
         )
-        self.reference_rows = ranges["_ref"]
-        self.current_rows = ranges["_rows"] - ranges["_ref"]
-        small = [c for c in self.numeric if ranges[c]["distinct"] <= max_distinct]
+        self.reference_rows = sizes["ref"]
+        self.current_rows = sizes["rows"] - sizes["ref"]
+        small = [c for c in self.numeric if distinct[c] <= max_distinct]
         large = [c for c in self.numeric if c not in small]
         probs = [i / bins for i in range(bins + 1)]
         self.edges: dict[str, list[float]] = {c: [] for c in self.numeric}
@@ -118,7 +119,7 @@ class DriftCheck:
             found = exact_percentiles(ref, wide, probs, max_distinct)
             self.edges.update({c: distinct_edges(found[c]) for c in large})
             parts.append(self._binned(both, large))
-            gaps = ks_by_narrowing(both, wide, ranges, max_distinct)
+            gaps = ks_by_narrowing(both, wide, max_distinct)
             distances.append(
                 self.spark.createDataFrame(list(gaps.items()), "feature string, distance double")
             )
@@ -169,35 +170,39 @@ class DriftCheck:
     def table(self) -> DataFrame:
         """Per common feature: PSI, verdict (on the unrounded PSI), test, p-value and means."""
         columns = [
-            "feature", "psi", "test", "statistic", "p", "ref_mean", "cur_mean",
-            "degenerate_reference",
+            "feature", "psi", "statistic", "p", "ref_mean", "cur_mean", "degenerate_reference",
         ]
         parts = []
         if self.numeric:
             numeric = self.numeric_summary().where(F.col("feature") != C.PROBABILITY)
-            parts.append(numeric.withColumn("test", F.lit("KS")).select(*columns))
+            parts.append(numeric.select(*columns))
         if self.categorical:
             rows = psi_from_counts(self.categories).join(
                 F.broadcast(chi2_from_counts(self.categories)), "feature"  # one row per column
             )
             none = F.lit(None).cast("double")
             parts.append(rows.withColumns({
-                "test": F.lit("chi2"), "ref_mean": none, "cur_mean": none,
+                "ref_mean": none, "cur_mean": none,
                 "degenerate_reference": F.lit(False),
             }).select(*columns))
         if not parts:
             return self.spark.createDataFrame([], DRIFT_SCHEMA)
-        return _union(parts).select(
+        tests = [(c, "KS") for c in self.numeric if c != C.PROBABILITY]
+        tests += [(c, "chi2") for c in self.categorical]
+        # a column that is null throughout has no counts, but its row belongs in the table
+        listed = self.spark.createDataFrame(tests, "feature string, test string")
+        rows = listed.join(F.broadcast(_union(parts)), "feature", "left")
+        return rows.select(
             "feature",
             F.round("psi", 4).alias("psi"),
             verdict(F.col("psi")).alias("verdict"),
             "test",
             F.round("statistic", 4).alias("statistic"),
             F.round("p", 6).alias("p_value"),
-            (F.col("p") < C.ALPHA).alias("significant"),
+            F.coalesce(F.col("p") < C.ALPHA, F.lit(False)).alias("significant"),
             F.round("ref_mean", 3).alias("ref_mean"),
             F.round("cur_mean", 3).alias("cur_mean"),
-            "degenerate_reference",
+            F.coalesce("degenerate_reference", F.lit(False)).alias("degenerate_reference"),
         ).orderBy(F.desc("psi"), "feature")
 
     def operations(self) -> DataFrame:
@@ -263,21 +268,33 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame | None:
 
 
 def _per_value(both: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
-    """Rows of both sides per distinct value of each column, nulls dropped."""
-    no_number, no_text = F.lit(None).cast("double"), F.lit(None).cast("string")
-
-    def cell(name: str, value: Column, category: Column) -> Column:
-        return F.struct(
-            F.lit(name).alias("spec"), value.alias("value"), category.alias("category")
-        )
+    """Rows of both sides per distinct value of each column, nulls dropped.
 
-    cells = [cell(c, F.col(c).cast("double"), no_text) for c in numeric]
-    cells += [cell(c, no_number, F.col(c).cast("string")) for c in categorical]
-    return (
-        both.select("is_ref", F.explode(F.array(*cells)).alias("x")).select("is_ref", "x.*")
-        .where("value is not null or category is not null")
-        .groupBy("spec", "value", "category").agg(*_side_counts())
-    )
+    Numeric and categorical columns are counted side by side, so that each kind has narrow keys.
+    """
+    parts = []
+    if numeric:
+        rows = long_values(both, {c: F.col(c) for c in numeric}, ["is_ref"])
+        counts = rows.groupBy("spec", "value").agg(*_side_counts())
+        parts.append(counts.select(
+            _name(numeric).alias("spec"), "value", F.lit(None).cast("string").alias("category"),
+            "n_ref", "n_cur",
+        ))
+    if categorical:
+        cells = [x for i, c in enumerate(categorical) for x in (F.lit(i), F.col(c).cast("string"))]
+        rows = both.select(
+            "is_ref", F.stack(F.lit(len(categorical)), *cells).alias("spec", "category")
+        ).where("category is not null")
+        counts = rows.groupBy("spec", "category").agg(*_side_counts())
+        parts.append(counts.select(
+            _name(categorical).alias("spec"), F.lit(None).cast("double").alias("value"), "category",
+            "n_ref", "n_cur",
+        ))
+    return _union(parts)
+
+
+def _name(names: Sequence[str]) -> Column:
+    return F.element_at(F.array(*[F.lit(n) for n in names]), F.col("spec") + 1)
 
 
 def category_counts(ref: DataFrame, cur: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -315,7 +332,7 @@ def _ks_from_counts(counts: DataFrame) -> DataFrame:
     )
 
 
-def ks_by_narrowing(both: DataFrame, values: dict, ranges: dict, max_rows: int) -> dict:
+def ks_by_narrowing(both: DataFrame, values: dict[str, Column], max_rows: int) -> dict[str, float]:
     """Exact KS distances of columns with unboundedly many distinct values.
 
     Rows are counted per bucket and side. Distances at bucket edges are exact; inside a bucket the
@@ -324,19 +341,18 @@ def ks_by_narrowing(both: DataFrame, values: dict, ranges: dict, max_rows: int)
     large, and finally ranked value by value.
     """
     spark = both.sparkSession
-    rows = with_path(
-        long_values(both, values, [F.col("is_ref")]), {c: ranges[c] for c in values}
-    )
-    best = dict.fromkeys(values, 0.0)
+    specs = range(len(values))
+    rows = with_path(long_values(both, values, ["is_ref"]), value_ranges(both, values))
+    best = dict.fromkeys(specs, 0.0)
     sizes: dict = {}
     # (spec, level, bucket) -> (reference rows before, current rows before)
-    open_ = {(c, 0, 0): (0, 0) for c in values}
+    open_ = {(c, 0, 0): (0, 0) for c in specs}
     leaves = []
     for level in range(PATH_BITS // LEVEL_BITS):
         if not open_:
             break
         shift = PATH_BITS - LEVEL_BITS * (level + 1)
-        parents = spark.createDataFrame([(c, b) for c, _, b in open_], "spec string, parent long")
+        parents = spark.createDataFrame([(c, b) for c, _, b in open_], "spec int, parent long")
         counted = (
             rows.withColumn("parent", F.shiftright("path", shift + LEVEL_BITS))
             .join(F.broadcast(parents), ["spec", "parent"])  # opened buckets only
@@ -345,7 +361,7 @@ def ks_by_narrowing(both: DataFrame, values: dict, ranges: dict, max_rows: int)
             .collect()
         )
         if level == 0:
-            for c in values:
+            for c in specs:
                 sizes[c] = (
                     max(1, sum(r["n_ref"] for r in counted if r["spec"] == c)),
                     max(1, sum(r["n_cur"] for r in counted if r["spec"] == c)),
@@ -373,7 +389,7 @@ def ks_by_narrowing(both: DataFrame, values: dict, ranges: dict, max_rows: int)
     for shift in sorted({x[1] for x in leaves}):
         table = spark.createDataFrame(
             [(c, b, br, bc, *sizes[c]) for c, s, b, br, bc in leaves if s == shift],
-            "spec string, bucket long, br long, bc long, nr long, nc long",
+            "spec int, bucket long, br long, bc long, nr long, nc long",
         )
         counts = (
             rows.withColumn("bucket", F.shiftright("path", shift))
@@ -389,7 +405,7 @@ def ks_by_narrowing(both: DataFrame, values: dict, ranges: dict, max_rows: int)
         gap = F.abs((F.col("br") + F.col("cr")) / F.col("nr") - (F.col("bc") + F.col("cc")) / F.col("nc"))
         for r in ranked.groupBy("spec").agg(F.max(gap).alias("d")).collect():
             best[r["spec"]] = max(best[r["spec"]], r["d"])
-    return best
+    return {name: float(best[c]) for c, name in enumerate(values)}
 
 
 def psi_from_counts(

@@ -89,6 +89,17 @@ def test_empty_side_is_unknown(spark):
     assert all(r["statistic"] is None and r["p_value"] is None for r in rows)
 
 
+def test_column_without_values_is_listed_as_unknown(spark):
+    df = spark.createDataFrame([(1.0, None, None), (2.0, None, None)], "x double, y double, c string")
+    rows = {r["feature"]: r["verdict"] for r in drift.drift_table(df, df).collect()}
+    assert rows == {"x": "stable", "y": "unknown", "c": "unknown"}
+
+
+def test_prediction_only_pair_has_an_empty_feature_table(spark):
+    df = spark.createDataFrame([(0.5,)], "probability double")
+    assert drift.drift_table(df, df).count() == 0
+
+
 def chi2(spark, ref, cur):
     mk = lambda d: spark.createDataFrame([(k,) for k, n in d.items() for _ in range(n)], "c string")
     return drift.chi2_from_counts(drift.category_counts(mk(ref), mk(cur), ["c"])).first()

@@ -10,7 +10,7 @@ from riskframe.functions import ordering
 
 def keyed(spark, n, copies=0):
     rows = [(hashlib.md5(str(i).encode()).hexdigest(), i % 10 == 0) for i in range(n)]
-    rows += [rows[3]] * copies
+    rows += [rows[min(3, n - 1)]] * copies
     return rows, spark.createDataFrame(rows, "k string, y boolean")
 
 
