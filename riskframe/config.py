@@ -92,6 +92,29 @@ COMPARISON = {
 CV_FOLDS = 5
 SEARCH_TRIALS = 30
 
+# Fixed values of the random search: ranges are (from, to), lists are choices.
+SEARCH_RANGES = {
+    "random_forest": {
+        "numTrees": ("whole", 100, 600),
+        "maxDepth": [6, 10, 15, 20, 30],
+        "minInstancesPerNode": ("whole", 1, 10),
+        "featureSubsetStrategy": ["sqrt", "log2", "0.5"],
+        "weightCol": ["unit_weight", "balanced_weight"],
+    },
+    "boosting": {
+        "maxIter": ("whole", 100, 600),
+        "maxDepth": ("whole", 3, 10),
+        "stepSize": ("log", 0.01, 0.3),
+        "subsamplingRate": ("even", 0.6, 1.0),
+        "minInstancesPerNode": ("whole", 1, 10),
+        "weightCol": ["unit_weight", "balanced_weight"],
+    },
+    "logistic_regression": {
+        "C": ("log", 0.01, 100.0),
+        "weightCol": ["unit_weight", "balanced_weight"],
+    },
+}
+
 SAMPLE_SIZE = 1000
 PSI_BINS = 10
 PSI_WARN = 0.10

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_STRATA = 1000
+MAX_BROADCAST_ROWS = 100_000
 PATH_BITS = 48      # positions between a column's minimum and maximum
 LEVEL_BITS = 12     # bits resolved per counting pass
 
@@ -26,19 +27,23 @@ def numbered_rows(
 ) -> DataFrame:
     """``row_number() - 1`` per group in the order of a unique column.
 
-    Groups beyond ``hot_rows`` rows are cut into lots, a lot being a range of the order column
-    (``lot``: any column that never decreases with it), so that no task sorts a hot group. Their
-    lot offsets come from counts; all other groups take the plain window.
+    Groups beyond ``hot_rows`` rows are looked for first. Without any, this is the plain window.
+    Hot groups are cut into lots, a lot being a range of the order column (``lot``: any column
+    that never decreases with it), so that no task sorts a whole hot group; lot offsets come from
+    counts.
     """
-    lot = F.shiftright(F.col(order).cast("long"), 20) if lot is None else lot
     keys = list(group)
     sizes = df.groupBy(*keys).agg(F.count("*").alias("__n"))
     hot = sizes.where(F.col("__n") > hot_rows).select(*keys, F.lit(True).alias("__hot"))
+    found = hot.count()
+    if not found:
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy(order)) - 1
+        return df.withColumn(name, place.cast("long"))
+    if found <= MAX_BROADCAST_ROWS:
+        hot = F.broadcast(hot)
+    lot = F.shiftright(F.col(order).cast("long"), 20) if lot is None else lot
     cut = df.join(hot, keys, "left").withColumn("__lot", F.when(F.col("__hot"), lot))
-    counts = (
-        df.join(hot, keys, "left_semi").withColumn("__lot", lot)
-        .groupBy(*keys, "__lot").agg(F.count("*").alias("__n"))
-    )
+    counts = cut.where("__hot").groupBy(*keys, "__lot").agg(F.count("*").alias("__n"))
     before = Window.partitionBy(*keys).orderBy("__lot").rowsBetween(
         Window.unboundedPreceding, -1
     )

@@ -59,7 +59,8 @@ def replicates(df: DataFrame, draws: int, threshold: float = C.THRESHOLD, seed:
         F.sum(1 - F.col(C.TARGET).cast("long")).alias("n0"),
     )
     # the counts are small but grow by the draws: keep them spread instead of coalesced
-    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    setting = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    width = int(setting) if setting.isdigit() else 200
     cells = cells.repartition(width, C.PROBABILITY).withColumn(
         "micro", F.round(F.col(C.PROBABILITY) * 1e6).cast("long").cast("string")
     )

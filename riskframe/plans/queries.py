@@ -643,7 +643,9 @@ def log_to_features(spark, folder):
 @query
 def log_latest(spark, folder):
     return _day_text(predlog.latest_records(
-        tables.prediction_log(spark, folder).select("id", "ts", "request_id", "row_no", "probability")
+        tables.prediction_log(spark, folder, numbered=True).select(
+            "id", "ts", "request_id", "row_no", "probability"
+        )
     ), "ts")
 
 
@@ -663,7 +665,7 @@ def log_counters(spark, folder):
 
 @query
 def explode_batches(spark, folder):
-    return predlog.explode_batches(predlog.batches(tables.prediction_log(spark, folder)))
+    return predlog.explode_batches(predlog.batches(tables.prediction_log(spark, folder, numbered=True)))
 
 
 def _requests(spark, folder):

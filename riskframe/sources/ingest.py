@@ -68,7 +68,8 @@ def read_any(spark: SparkSession, path: str) -> DataFrame:
 def file_hashes(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """Size and SHA-256 per file. Files beyond the cell limit get no hash: fingerprint the table."""
     files = (
-        spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
+        spark.read.format("binaryFile").option("pathGlobFilter", pattern)
+        .option("recursiveFileLookup", True).load(path)
     )
     name = F.element_at(F.split("path", "/"), -1).alias("file")
     hashed = files.where(F.col("length") <= HASH_LIMIT).select(

@@ -108,19 +108,23 @@ def stored_states(spark: SparkSession, folder: str, *cols: str) -> DataFrame:
     return stage(scored_states(spark, folder).select(*wanted), "states")
 
 
-def prediction_log(spark: SparkSession, folder: str) -> DataFrame:
-    """The scoring log from ``events``: one record per row, rows of a request numbered from 0."""
+def prediction_log(spark: SparkSession, folder: str, numbered: bool = False) -> DataFrame:
+    """The scoring log from ``events``, one record per row.
+
+    With ``numbered``, the rows of a request are numbered from 0 in ``row_no``.
+    """
     day = F.to_date("ts")
     events = read_table(spark, folder, "events").withColumn(
         "request_id", F.concat_ws("-", F.col("user_id").cast("string"), day.cast("string"))
     )
-    numbered = numbered_rows(events, ["request_id"], "event_id", "row_no")
+    if numbered:
+        events = numbered_rows(events, ["request_id"], "event_id", "row_no")
     p = F.round(F.least(F.col("value") / 500.0, F.lit(1.0)), 6)
-    return numbered.select(
+    return events.select(
         F.col("event_id").alias("id"),
         F.col("ts").cast("timestamp").alias("ts"),
         "request_id",
-        F.col("row_no").cast("int").alias("row_no"),
+        *([F.col("row_no").cast("int").alias("row_no")] if numbered else []),
         p.alias("probability"),
         (p >= C.THRESHOLD).alias("alarm"),
         F.lit(C.THRESHOLD).alias("threshold"),
