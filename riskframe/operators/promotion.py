@@ -9,6 +9,7 @@ from pyspark.sql.utils import AnalysisException
 from riskframe import config as C
 from riskframe.operators import metrics
 from riskframe.operators.bootstrap import bootstrap_interval
+from riskframe.session import stage
 
 # limit -> (metric, comparison); limits themselves pass
 RULES = {
@@ -122,6 +123,7 @@ def promote(
 
     A failing run leaves every earlier version untouched.
     """
+    gated = stage(gated, "gated-run")  # one row; the evaluation behind it runs once
     append_ledger(ledger_rows(gated, params, code_version), ledger_path)
     run = gated.select("run_no", "passed").first()
     if run["passed"]:

@@ -149,3 +149,27 @@ def test_average_precision_evaluator_equals_metric(labelled):
     assert by_evaluator == pytest.approx(
         metrics.average_precision(models.score(model, val)).first()["pr_auc"], abs=1e-6
     )
+
+
+def test_training_run_end_to_end(spark, labelled, tmp_path):
+    from riskframe.plans.training import train_run
+    from riskframe.sources.stores import read_reference
+
+    states = labelled[0].unionByName(labelled[1]).drop("split")
+    store = str(tmp_path / "store")
+    forest = models.random_forest(trees=5, depth=6, min_leaf=1)
+    loose = {"min_pr_auc": 0.5}
+    assert train_run(states, store, 1, "first", forest, limits=loose)
+    assert not train_run(states, store, 2, "second", forest, limits={"min_pr_auc": 1.01})
+    with pytest.raises(ValueError, match="contract"):
+        train_run(states.withColumn("torque_nm", F.lit(-1.0)), store, 3, "third", forest)
+    ledger = {r["run_no"]: r for r in promotion.read_ledger(spark, store + "/ledger").collect()}
+    assert ledger[1]["passed"] and not ledger[2]["passed"]
+    assert ledger[3]["status"].startswith("failed") and ledger[2]["pr_auc"] == ledger[1]["pr_auc"]
+    model, threshold = models.load_model(spark, f"{store}/models/version=1")
+    assert threshold == C.THRESHOLD
+    sample = read_reference(spark, store + "/reference")
+    assert set(C.INPUT_FIELDS) | {C.TARGET, C.PROBABILITY} <= set(sample.columns)
+    assert not set(sample.columns) & set(C.CAUSES)
+    again = {r["state_id"]: r["probability"] for r in models.score(model, sample).collect()}
+    assert again == {r["state_id"]: r["probability"] for r in sample.collect()}
