@@ -134,12 +134,12 @@ def break_even(df: DataFrame, steps: int = C.GRID_STEPS) -> DataFrame:
         "recall", "precision", "cost_eur",
     )
     on_grid = F.col("i") > 0
-    best = F.struct(-F.col("cost_eur"), F.col("threshold"))
+    best = F.struct((-F.col("cost_eur")).alias("saved"), F.col("threshold"))
     return swept.agg(
         F.max(F.when(F.col("i") == 0, at_cut)).alias("cut"),
         F.max(F.when(on_grid, best)).alias("best"),
     ).select(
         *[f"cut.{f}" for f in fields],
         F.col("best.threshold").alias("best_threshold"),
-        (-F.col("best.col1")).alias("best_cost_eur"),
+        (-F.col("best.saved")).alias("best_cost_eur"),
     )

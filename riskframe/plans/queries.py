@@ -591,9 +591,9 @@ def scenario_selfcheck(spark, folder):
 
 def _records(spark, folder, with_inputs: bool = True):
     """Log records of scored states: time, request and latency derived from the row."""
-    seconds = F.col("l_partkey") % 30 * 86400 + F.col("l_linenumber") * 60
+    after = F.expr("make_dt_interval(cast(l_partkey % 30 as int), 0, l_linenumber)")
     df = tables.scored_states(spark, folder).withColumns({
-        "ts": F.timestamp_seconds(F.lit(1704067200) + seconds),
+        "ts": F.lit("2024-01-01").cast("timestamp") + after,
         "request_id": F.col("state_id"),
         "row_no": F.lit(0),
         "latency_ms": F.conv(F.substring("state_id", 1, 4), 16, 10).cast("double") / 1000,
