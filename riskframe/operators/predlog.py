@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskframe import config as C
+from riskframe.functions.times import utc_day
 
 log = logging.getLogger(__name__)
 
@@ -58,7 +59,7 @@ def append_table(records: DataFrame, path: str) -> int:
         "alarm": F.col("alarm").cast("int"),
         "warnings": F.to_json("warnings"),
         "inputs": F.to_json("inputs"),
-        "day": F.to_date("ts"),
+        "day": utc_day("ts"),
     })
     return _append(flat, lambda df: df.write.mode("append").partitionBy("day").parquet(path))
 
@@ -95,7 +96,7 @@ def latest_records(records: DataFrame, n: int = 10) -> DataFrame:
 
 def daily_stats(records: DataFrame) -> DataFrame:
     """Rows, alarm rate, mean score and mean latency per UTC day, newest first."""
-    return records.groupBy(F.to_date("ts").alias("day")).agg(*stat_columns()).orderBy(F.desc("day"))
+    return records.groupBy(utc_day("ts").alias("day")).agg(*stat_columns()).orderBy(F.desc("day"))
 
 
 def stat_columns() -> list[Column]:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from riskframe import config as C
 from riskframe.functions import decision, features
 from riskframe.functions.ordering import numbered_rows
+from riskframe.functions.times import utc_day, utc_wall
 from riskframe.operators import (
     bootstrap,
     contract,
@@ -433,7 +434,7 @@ def document_quality_by_language(spark, folder):
 def _day_text(df, *cols):
     """Days and times as text, so that any two engines' results compare as they are."""
     text = {
-        c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") if c == "ts" else F.col(c).cast("string")
+        c: F.date_format(utc_wall(c), "yyyy-MM-dd HH:mm:ss") if c == "ts" else F.col(c).cast("string")
         for c in cols
     }
     return df.withColumns(text)
@@ -525,7 +526,7 @@ def operating_bands(spark, folder):
 
 def _daily_runs(spark, folder):
     """The log's first ten days as reference, each later day a run; two spells run slower."""
-    day = F.to_date("ts")
+    day = utc_day("ts")
     slow = day.between("2024-01-14", "2024-01-15") | day.between("2024-01-20", "2024-01-27")
     rows = tables.prediction_log(spark, folder).select(
         day.alias("day"), "probability", "k",
@@ -547,7 +548,7 @@ def retrain_trigger(spark, folder):
     runs = drift.persistent_drift(_daily_runs(spark, folder)).groupBy("run").agg(
         F.bool_or(F.col("persistent_verdict") == "act").alias("persistent_act")
     )
-    rows = tables.prediction_log(spark, folder).groupBy(F.to_date("ts").alias("run")).agg(
+    rows = tables.prediction_log(spark, folder).groupBy(utc_day("ts").alias("run")).agg(
         F.count("*").alias("rows")
     )
     since = Window.orderBy("run").rowsBetween(Window.unboundedPreceding, 0)  # one row per day
@@ -593,7 +594,7 @@ def _records(spark, folder, with_inputs: bool = True):
     """Log records of scored states: time, request and latency derived from the row."""
     after = F.expr("make_dt_interval(cast(l_partkey % 30 as int), 0, l_linenumber)")
     df = tables.scored_states(spark, folder).withColumns({
-        "ts": F.lit("2024-01-01").cast("timestamp") + after,
+        "ts": F.lit("2024-01-01T00:00:00Z").cast("timestamp") + after,
         "request_id": F.col("state_id"),
         "row_no": F.lit(0),
         "latency_ms": F.conv(F.substring("state_id", 1, 4), 16, 10).cast("double") / 1000,

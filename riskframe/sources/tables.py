@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 from riskframe import config as C
 from riskframe.functions.features import add_engineered
 from riskframe.functions.ordering import numbered_rows
+from riskframe.functions.times import from_utc_wall
 from riskframe.session import stage
 
 DAY_ZERO = "1995-01-01"
@@ -122,7 +123,7 @@ def prediction_log(spark: SparkSession, folder: str, numbered: bool = False) ->
     p = F.round(F.least(F.col("value") / 500.0, F.lit(1.0)), 6)
     return events.select(
         F.col("event_id").alias("id"),
-        F.col("ts").cast("timestamp").alias("ts"),
+        from_utc_wall(F.col("ts").cast("timestamp")).alias("ts"),
         "request_id",
         *([F.col("row_no").cast("int").alias("row_no")] if numbered else []),
         p.alias("probability"),

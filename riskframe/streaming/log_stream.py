@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from riskframe import config as C
+from riskframe.functions.times import utc_day
 from riskframe.operators.contract import quarantine
 from riskframe.operators.drift import DriftCheck
 
@@ -55,7 +56,7 @@ def daily_stats_stream(records: DataFrame, delay: str = "1 day") -> DataFrame:
             F.sum("probability").alias("probability_sum"),
             F.sum("latency_ms").alias("latency_sum"),
         )
-        .select(F.to_date("w.start").alias("day"), "requests", "alarms", "probability_sum", "latency_sum")
+        .select(utc_day("w.start").alias("day"), "requests", "alarms", "probability_sum", "latency_sum")
     )
 
 
