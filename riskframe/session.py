@@ -1,10 +1,15 @@
 """Session helpers: a local session for tests, and the shared folder for written intermediates."""
 
+import atexit
+import functools
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_WRITTEN: list[str] = []
+
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSession:
     """A local session with the settings the operators assume (UTC, AQE)."""
@@ -21,12 +26,36 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSes
     )
 
 
+@functools.cache
+def _local_folder() -> str:
+    base = tempfile.mkdtemp(prefix="riskframe-")
+    atexit.register(shutil.rmtree, base, True)
+    return base
+
+
 def work_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below ``spark.checkpoint.dir``; a temporary folder only where that is unset."""
+    """A fresh path below ``spark.checkpoint.dir``, the folder that all executors share.
+
+    Where that is unset, a session that runs in one process gets a temporary folder for its lifetime;
+    on a cluster it must be set, as executors do not see one another's disks.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="riskframe-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = _local_folder()
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
+
+
+def release(spark: SparkSession) -> None:
+    """Delete what ``work_path`` has handed out so far; results that still read it are lost."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    while _WRITTEN:
+        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
