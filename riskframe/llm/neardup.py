@@ -28,8 +28,8 @@ from riskframe.llm.components import components
 
 WORDS, PERCENT = 5, 80
 SIGNATURE = 128
-TREES, LEVELS, SECOND = 8, 12, 0.3
-SMALL, PIVOTS = 24, 3
+TREES, LEVELS, SECOND = 8, 4, 0.15
+SMALL, PIVOTS = 12, 3
 #: Largest difference of two 128-bit sketches; pairs at the threshold differ in far fewer bits.
 SLACK_SIGMAS = 5.0
 
@@ -200,13 +200,13 @@ def links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> tuple[
     )
     pairs = stage(candidate_pairs(classes, percent), "near-pairs")
     needed = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
-    sets = docs.join(needed, F.col("doc_id") == F.col("rep"), "left_semi").select(
+    sets = docs.join(needed.hint("shuffle_hash"), F.col("doc_id") == F.col("rep"), "left_semi").select(
         F.col("doc_id").alias("rep"), _sets(words)(F.col("text")).alias("elements")
     )
     sets = stage(sets.dropDuplicates(["rep"]), "near-full")
     full_a = sets.select(F.col("rep").alias("a"), F.col("elements").alias("x"))
     full_b = sets.select(F.col("rep").alias("b"), F.col("elements").alias("y"))
-    checked = pairs.join(full_a, "a").join(full_b, "b")
+    checked = pairs.join(full_a.hint("merge"), "a").join(full_b.hint("merge"), "b")
     confirmed = checked.where(_similar(F.lit(percent), F.col("x"), F.col("y"))).select("a", "b")
     return described.select("doc_id", "size", "hi", "lo"), stage(confirmed, "near-links")
 
