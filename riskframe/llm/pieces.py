@@ -37,16 +37,16 @@ from riskframe.llm.common import text_bytes, work_path
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MAX_SPACES, MAX_WORD = 16, 48
 #: Text bytes of a block: what one task holds the words of.
-BLOCK_BYTES = 48 * 1024 * 1024
+BLOCK_BYTES = 28 * 1024 * 1024
 #: Largest vocabulary that is sent to all executors.
 MAX_PIECES = 1_000_000
 
-_FIRST = "block int, at int, doc_id bigint, word string, payload binary"
-_TYPES = {"int": pa.int32(), "bigint": pa.int64(), "string": pa.string(), "binary": pa.binary()}
-
-
-def _schema(names: str) -> pa.Schema:
-    return pa.schema([(n, _TYPES[t]) for n, t in (c.split(" ") for c in names.split(", "))])
+_FIRST = "block int, at int, word string, docs array<bigint>, payload binary"
+_FIRST_SCHEMA = pa.schema([
+    ("block", pa.int32()), ("at", pa.int32()), ("word", pa.string()), ("docs", pa.list_(pa.int64())),
+    ("payload", pa.binary()),
+])
+_NULL = 0xFFFFFFFF
 
 
 class Vocabulary:
@@ -94,10 +94,29 @@ def load(model_file: str = MODEL) -> Vocabulary:
 
 
 class _Numbers(dict):
+    """Numbers of words by first occurrence, and of the words between single spaces as bytes."""
+
+    def __init__(self, words: re.Pattern):
+        super().__init__()
+        self.words, self.known = words, {}
+
     def __missing__(self, word: str) -> int:
         value = self[word] = len(self)
         return value
 
+    def packed(self, text: str) -> bytes:
+        found = self.words.findall(text)
+        return np.fromiter(map(self.__getitem__, found), dtype=np.uint32, count=len(found)).tobytes()
+
+    def of(self, text: str) -> bytes:
+        """The word numbers of a text with its leading space."""
+        if text[0] == " " or "  " in text:
+            return self.packed(" " + text)
+        known, parts = self.known, text.split(" ")  # words end at spaces: each part is cut once
+        for part in set(parts).difference(known):
+            known[part] = self.packed(" " + part)
+        return b"".join(map(known.__getitem__, parts))
+
 
 def _number_words(pattern: str, limit: int):
     """Texts to word numbers within a block of texts; then the block's words."""
@@ -105,97 +124,91 @@ def _number_words(pattern: str, limit: int):
     def run(batches):
         import zstandard
 
-        schema, words, pack = _schema(_FIRST), re.compile(pattern), zstandard.ZstdCompressor(3)
-        part, chunk, seen, numbers = TaskContext.get().partitionId(), 0, 0, _Numbers()
+        words, pack = re.compile(pattern), zstandard.ZstdCompressor(3)
+        part, chunk, seen, numbers = TaskContext.get().partitionId(), 0, 0, _Numbers(words)
 
         def flush(block):
-            found = list(numbers)
+            # sorted words compress best on their way to the lattice
+            found = sorted(numbers.items())
             for i in range(0, len(found), 20_000):
-                some = found[i : i + 20_000]
+                some, at = zip(*found[i : i + 20_000], strict=True)
                 n = len(some)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(n, block, np.int32)),
-                        pa.array(np.arange(i, i + n, dtype=np.int32)),
-                        pa.nulls(n, pa.int64()),
-                        pa.array(some, pa.string()),
-                        pa.nulls(n, pa.binary()),
-                    ],
-                    schema=schema,
-                )
+                columns = [
+                    pa.array(np.full(n, block, np.int32)), pa.array(at, pa.int32()), pa.array(some, pa.string()),
+                    pa.nulls(n, pa.list_(pa.int64())), pa.nulls(n, pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, schema=_FIRST_SCHEMA)
 
         for b in batches:
-            docs, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-            block, payloads = part * 4096 + chunk, []
-            for text in texts:
-                if text is None:
-                    payloads.append(None)
-                    continue
-                found = words.findall(" " + text) if text else []
-                at = np.fromiter(map(numbers.__getitem__, found), dtype=np.uint32, count=len(found))
-                payloads.append(pack.compress(at.tobytes()))
-                seen += len(text)
-            n = len(docs)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(n, block, np.int32)),
-                    pa.nulls(n, pa.int32()),
-                    pa.array(docs, pa.int64()),
-                    pa.nulls(n, pa.string()),
-                    pa.array(payloads, pa.binary()),
-                ],
-                schema=schema,
-            )
-            if seen > limit:
+            block, lens, each = part * 4096 + chunk, [], []
+            for text in b.column(1).to_pylist():
+                found = numbers.of(text) if text else b""
+                each.append(found)
+                lens.append(_NULL if text is None else len(found) // 4)
+                seen += len(text or "")
+            all_numbers = np.frombuffer(b"".join(each), np.uint8).reshape(-1, 4)
+            body = np.array(lens, np.uint32).tobytes() + all_numbers.T.tobytes()
+            columns = [
+                pa.array([block], pa.int32()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.string()),
+                pa.array([b.column(0).to_pylist()], pa.list_(pa.int64())), pa.array([pack.compress(body)], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, schema=_FIRST_SCHEMA)
+            if seen > 1.5 * limit:
                 yield from flush(block)
-                chunk, seen, numbers = chunk + 1, 0, _Numbers()
+                chunk, seen, numbers = chunk + 1, 0, _Numbers(words)
         yield from flush(part * 4096 + chunk)
 
     return run
 
 
 def segment(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """The relational lattice: per distinct ``word``, its ``places`` and best ``ids``."""
+    """The relational lattice: per distinct word, its ``places`` and best ``ids``."""
     spark = words.sparkSession
     table = spark.createDataFrame(vocabulary.pieces, "id int, piece string, score double")
     grouped = words.groupBy("word").agg(F.collect_list("place").alias("places"))
-    spans = F.expr(
-        "concat(array(named_struct('s', -1, 'l', 0, 'piece', '')), flatten(transform(sequence(1, length(word)), s ->"
-        f" transform(sequence(1, least({vocabulary.longest}, length(word) - s + 1)), l ->"
-        " named_struct('s', s - 1, 'l', l, 'piece', substring(word, s, l))))))"
+    starts = grouped.select("word", "places", F.explode(F.expr("sequence(0, length(word) - 1)")).alias("s"))
+    # the row of length 0 carries the places of a word through the join
+    longest = F.expr(f"sequence(if(s = 0, 0, 1), least({vocabulary.longest}, length(word) - s))")
+    spans = starts.select(
+        "word", F.when(F.col("s") == 0, F.col("places")).alias("places"), "s", F.explode(longest).alias("l")
+    ).select(
+        "word", F.when(F.col("l") == 0, F.col("places")).alias("places"), "s", "l",
+        F.expr("substring(word, s + 1, l)").alias("piece"),
     )
-    edges = grouped.select("word", "places", F.explode(spans).alias("x")).select(
-        "word", F.when(F.col("x.s") == -1, F.col("places")).alias("places"), "x.s", "x.l", "x.piece"
+    edge = F.struct(
+        (F.col("s") + F.col("l")).alias("e"),
+        "s",
+        F.coalesce("id", -F.col("s") - 1).alias("id"),
+        F.coalesce("score", F.lit(vocabulary.unknown)).alias("score"),
     )
-    # the head row of a word carries its places through the join
-    joined = edges.join(F.broadcast(table), "piece", "left").where(F.col("id").isNotNull() | (F.col("s") == -1))
+    # a character without piece is an edge of its own, numbered below 0
+    joined = spans.join(F.broadcast(table), "piece", "left").where(F.col("id").isNotNull() | (F.col("l") <= 1))
     lattice = joined.groupBy("word").agg(
         F.first("places", ignorenulls=True).alias("places"),
-        F.collect_list(
-            F.when(F.col("id").isNotNull(), F.struct((F.col("s") + F.col("l")).alias("e"), "s", "id", "score"))
-        ).alias("edges"),
+        F.collect_list(F.when(F.col("l") > 0, edge)).alias("edges"),
     )
-    best = lattice.withColumn(
-        "best",
-        F.expr(
-            "aggregate(sequence(1, length(word)), array(named_struct('score', 0D, 's', 0, 'id', 0)), (st, e) ->"
-            " concat(st, array(array_max(concat("
-            f"array(named_struct('score', st[e - 1].score + {vocabulary.unknown}D, 's', e - 1, 'id', -1)),"
-            " transform(filter(edges, x -> x.e = e), x ->"
-            " named_struct('score', st[x.s].score + x.score, 's', x.s, 'id', x.id)))))))"
-        ),
+    longer = "named_struct('score', st[x.s].score + x.score, 'ids', concat(st[x.s].ids, array(x.id)))"
+    # by end, then start: numbers sort far faster than structs
+    in_order = (
+        "transform(array_sort(transform(edges, (x, i) -> shiftleft(cast(x.e * 256 + x.s as bigint), 16) + i)),"
+        " k -> edges[cast(k & 65535 as int)])"
+    )
+    path = F.expr(
+        f"aggregate({in_order}, array(named_struct('score', 0D, 'ids', cast(array() as array<int>))), (st, x) ->"
+        f" if(x.e >= size(st), concat(st, array({longer})),"
+        f" if(st[x.s].score + x.score >= st[x.e].score, concat(slice(st, 1, x.e), array({longer})), st)),"
+        " st -> element_at(st, -1).ids)"
     )
     byte_ids = "array(" + ", ".join(map(str, vocabulary.byte_ids)) + ")"
+    code = "hex(encode(substring(word, -i, 1), 'utf-8'))"
     in_bytes = (
-        "transform(sequence(1, length(hex(encode(substring(word, b.e, 1), 'utf-8'))), 2), i ->"
-        f" element_at({byte_ids}, 1 + cast(conv(substring(hex(encode(substring(word, b.e, 1), 'utf-8')), i, 2), 16, 10) as int)))"
+        f"transform(sequence(1, length({code}), 2), k ->"
+        f" element_at({byte_ids}, 1 + cast(conv(substring({code}, k, 2), 16, 10) as int)))"
     )
-    path = (
-        "aggregate(sequence(1, length(word)), named_struct('e', length(word), 'ids', cast(array() as array<int>)),"
-        " (b, r) -> if(b.e = 0, b, named_struct('e', best[b.e].s, 'ids',"
-        f" concat(if(best[b.e].id >= 0, array(best[b.e].id), {in_bytes}), b.ids))), b -> b.ids)"
+    spelled = F.expr(
+        f"if(exists(path, i -> i < 0), flatten(transform(path, i -> if(i >= 0, array(i), {in_bytes}))), path)"
     )
-    return best.select("word", "places", F.expr(path).alias("ids"))
+    return lattice.select("word", "places", path.alias("path")).select("places", spelled.alias("ids"))
 
 
 def _gather(starts: np.ndarray, lens: np.ndarray, flat: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -262,21 +275,16 @@ def _assemble(docs: pa.Table, blobs: pa.Table) -> pa.Table:
     starts[number] = np.cumsum(length) - length
     by_number = np.empty(len(number), np.int64)
     by_number[number] = length
-    out = []
-    for b in docs.select(["doc_id", "payload"]).to_batches(max_chunksize=64):
-        offsets, parts = [0], []
-        for payload in b.column("payload").to_pylist():
-            if payload is not None:
-                at = np.frombuffer(unpack.decompress(payload), np.uint32).astype(np.int64)
-                parts.append(_gather(starts, by_number, ids, at)[0])
-                offsets.append(offsets[-1] + len(parts[-1]))
-            else:
-                offsets.append(offsets[-1])
-        values = pa.array(np.concatenate([*parts, np.empty(0, np.int32)]), pa.int32())
-        lists = pa.ListArray.from_arrays(
-            pa.array(offsets, pa.int32()), values, mask=pa.array(b.column("payload").is_null().to_pylist(), pa.bool_())
-        )
-        out.append(pa.table({"doc_id": b.column("doc_id"), "ids": lists}))
+    out = [pa.table({"doc_id": pa.nulls(0, pa.int64()), "ids": pa.nulls(0, pa.list_(pa.int32()))})]
+    for names, payload in zip(docs.column("docs").to_pylist(), docs.column("payload").to_pylist(), strict=True):
+        raw, n = unpack.decompress(payload), len(names)
+        lens = np.frombuffer(raw[: 4 * n], np.uint32)
+        at = np.ascontiguousarray(np.frombuffer(raw[4 * n :], np.uint8).reshape(4, -1).T).view(np.uint32).ravel()
+        null = lens == _NULL
+        values, sizes = _gather(starts, by_number, ids, at.astype(np.int64))
+        ends = np.append(0, np.cumsum(sizes))[np.append(0, np.cumsum(np.where(null, 0, lens).astype(np.int64)))]
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()), mask=pa.array(null))
+        out.append(pa.table({"doc_id": pa.array(names, pa.int64()), "ids": lists}))
     return pa.concat_tables(out)
 
 
@@ -296,7 +304,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, block_bytes: int = BLOCK_BYT
     )
     found = segment(words, vocabulary).select(F.explode("places").alias("place"), "ids")
     blobs = found.mapInArrow(_pack_by_block, "block int, blob binary")
-    texts = stored.where(F.col("word").isNull()).select("block", "doc_id", "payload")
+    texts = stored.where(F.col("word").isNull()).select("block", "docs", "payload")
     return texts.groupBy("block").cogroup(blobs.groupBy("block")).applyInArrow(
         _assemble, "doc_id bigint, ids array<int>"
     )
