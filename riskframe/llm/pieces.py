@@ -4,7 +4,8 @@ Encoding finds, for every word, the segmentation into vocabulary pieces with the
 scores. Words are runs of one character class with the spaces before them; no piece of a vocabulary
 that ``load`` accepts crosses their borders, so words are segmented independently. Distinct words are
 exploded into substrings of bounded length, equi-joined to the piece table, the edges grouped by word,
-and the best path folded with ``aggregate``. Characters without piece fall back to byte pieces.
+and the best path folded with ``aggregate``. Pieces that shorter ones equal or beat are on no best path
+and are left out of the table. Characters without piece fall back to byte pieces.
 
 Texts are never shuffled. A first pass replaces each text by the numbers of its words within a block
 of texts and stores these numbers bucketed by block, with the block's distinct words; the lattice runs
@@ -23,6 +24,7 @@ table; extra columns are not read.
 
 import re
 import uuid
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,6 +40,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MAX_SPACES, MAX_WORD = 16, 48
 #: Text bytes of a block: what one task holds the words of.
 BLOCK_BYTES = 28 * 1024 * 1024
+#: Parts between spaces that a task remembers.
+MAX_KNOWN = 100_000
 #: Largest vocabulary that is sent to all executors.
 MAX_PIECES = 1_000_000
 
@@ -55,7 +59,8 @@ class Vocabulary:
     def __init__(self, pieces: list[tuple[int, str, float]], byte_ids: list[int], size: int):
         self.pieces, self.byte_ids, self.size = pieces, byte_ids, size
         self.unknown = min((s for _, _, s in pieces), default=0.0) - 10.0
-        self.longest = max((len(p) for _, p, _ in pieces), default=1)
+        self.useful = self._useful(pieces)
+        self.longest = max((len(p) for _, p, _ in self.useful), default=1)
         # characters that the vocabulary joins with the other class than their own
         own = "".join(sorted({c for _, p, _ in pieces for c in p if self._mixed(p) and not c.isascii()}))
         spaces, letters = f" {{0,{MAX_SPACES}}}", f"[^\\W\\d_{re.escape(own)}]"
@@ -68,6 +73,23 @@ class Vocabulary:
         if crossing:
             raise ValueError(f"pieces cross word borders: {crossing[:5]}")
 
+    @staticmethod
+    def _useful(pieces: list[tuple[int, str, float]]) -> list[tuple[int, str, float]]:
+        """Pieces that some best path may take: those that no sequence of shorter ones equals or beats."""
+        scores: dict[str, float] = {}
+        useful = []
+        for i, piece, own in sorted(pieces, key=lambda p: (len(p[1]), p[0])):
+            best = [0.0] + [float("-inf")] * len(piece)
+            for e in range(1, len(piece) + 1):
+                for s in range(e):
+                    score = scores.get(piece[s:e])
+                    if score is not None and best[s] + score > best[e]:
+                        best[e] = best[s] + score
+            if best[-1] < own:
+                scores[piece] = own
+                useful.append((i, piece, own))
+        return useful
+
     @staticmethod
     def _mixed(piece: str) -> bool:
         body = piece.lstrip(" ")
@@ -105,14 +127,15 @@ class _Numbers(dict):
         return value
 
     def packed(self, text: str) -> bytes:
-        found = self.words.findall(text)
-        return np.fromiter(map(self.__getitem__, found), dtype=np.uint32, count=len(found)).tobytes()
+        return array("I", map(self.__getitem__, self.words.findall(text))).tobytes()
 
     def of(self, text: str) -> bytes:
         """The word numbers of a text with its leading space."""
         if text[0] == " " or "  " in text:
             return self.packed(" " + text)
-        known, parts = self.known, text.split(" ")  # words end at spaces: each part is cut once
+        known, parts = self.known, text.split(" ")  # words end at spaces: frequent parts are cut once
+        if len(known) > MAX_KNOWN:
+            known.clear()
         for part in set(parts).difference(known):
             known[part] = self.packed(" " + part)
         return b"".join(map(known.__getitem__, parts))
@@ -164,7 +187,7 @@ def _number_words(pattern: str, limit: int):
 def segment(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """The relational lattice: per distinct word, its ``places`` and best ``ids``."""
     spark = words.sparkSession
-    table = spark.createDataFrame(vocabulary.pieces, "id int, piece string, score double")
+    table = spark.createDataFrame(vocabulary.useful, "id int, piece string, score double")
     grouped = words.groupBy("word").agg(F.collect_list("place").alias("places"))
     starts = grouped.select("word", "places", F.explode(F.expr("sequence(0, length(word) - 1)")).alias("s"))
     # the row of length 0 carries the places of a word through the join
@@ -297,7 +320,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, block_bytes: int = BLOCK_BYT
     )
     name = f"pieces_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    numbered.write.bucketBy(buckets, "block").option("path", work_path(spark, "word-numbers")).saveAsTable(name)
+    numbered.write.option("compression", "zstd").bucketBy(buckets, "block").option("path", work_path(spark, "word-numbers")).saveAsTable(name)
     stored = spark.table(name)
     words = stored.where(F.col("word").isNotNull()).select(
         "word", (F.shiftleft(F.col("block").cast("long"), 32) + F.col("at")).alias("place")
