@@ -40,8 +40,6 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MAX_SPACES, MAX_WORD = 16, 48
 #: Text bytes of a block: what one task holds the words of.
 BLOCK_BYTES = 28 * 1024 * 1024
-#: Parts between spaces that a task remembers.
-MAX_KNOWN = 100_000
 #: Largest vocabulary that is sent to all executors.
 MAX_PIECES = 1_000_000
 
@@ -116,29 +114,14 @@ def load(model_file: str = MODEL) -> Vocabulary:
 
 
 class _Numbers(dict):
-    """Numbers of words by first occurrence, and of the words between single spaces as bytes."""
-
-    def __init__(self, words: re.Pattern):
-        super().__init__()
-        self.words, self.known = words, {}
+    """Numbers of words by first occurrence."""
 
     def __missing__(self, word: str) -> int:
         value = self[word] = len(self)
         return value
 
-    def packed(self, text: str) -> bytes:
-        return array("I", map(self.__getitem__, self.words.findall(text))).tobytes()
-
-    def of(self, text: str) -> bytes:
-        """The word numbers of a text with its leading space."""
-        if text[0] == " " or "  " in text:
-            return self.packed(" " + text)
-        known, parts = self.known, text.split(" ")  # words end at spaces: frequent parts are cut once
-        if len(known) > MAX_KNOWN:
-            known.clear()
-        for part in set(parts).difference(known):
-            known[part] = self.packed(" " + part)
-        return b"".join(map(known.__getitem__, parts))
+    def of(self, words: list[str]) -> bytes:
+        return array("I", map(self.__getitem__, words)).tobytes()
 
 
 def _number_words(pattern: str, limit: int):
@@ -148,16 +131,16 @@ def _number_words(pattern: str, limit: int):
         import zstandard
 
         words, pack = re.compile(pattern), zstandard.ZstdCompressor(3)
-        part, chunk, seen, numbers = TaskContext.get().partitionId(), 0, 0, _Numbers(words)
+        part, chunk, seen, numbers = TaskContext.get().partitionId(), 0, 0, _Numbers()
 
         def flush(block):
             # sorted words compress best on their way to the lattice
-            found = sorted(numbers.items())
+            found = sorted(numbers)
             for i in range(0, len(found), 20_000):
-                some, at = zip(*found[i : i + 20_000], strict=True)
-                n = len(some)
+                some = found[i : i + 20_000]
+                n, at = len(some), numbers.of(some)
                 columns = [
-                    pa.array(np.full(n, block, np.int32)), pa.array(at, pa.int32()), pa.array(some, pa.string()),
+                    pa.array(np.full(n, block, np.int32)), pa.array(np.frombuffer(at, np.int32)), pa.array(some, pa.string()),
                     pa.nulls(n, pa.list_(pa.int64())), pa.nulls(n, pa.binary()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, schema=_FIRST_SCHEMA)
@@ -165,7 +148,7 @@ def _number_words(pattern: str, limit: int):
         for b in batches:
             block, lens, each = part * 4096 + chunk, [], []
             for text in b.column(1).to_pylist():
-                found = numbers.of(text) if text else b""
+                found = numbers.of(words.findall(" " + text)) if text else b""
                 each.append(found)
                 lens.append(_NULL if text is None else len(found) // 4)
                 seen += len(text or "")
@@ -178,8 +161,10 @@ def _number_words(pattern: str, limit: int):
             yield pa.RecordBatch.from_arrays(columns, schema=_FIRST_SCHEMA)
             if seen > 1.5 * limit:
                 yield from flush(block)
-                chunk, seen, numbers = chunk + 1, 0, _Numbers(words)
+                chunk, seen, numbers = chunk + 1, 0, _Numbers()
         yield from flush(part * 4096 + chunk)
+        numbers.clear()
+        pa.default_memory_pool().release_unused()
 
     return run
 
@@ -199,8 +184,7 @@ def segment(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         F.expr("substring(word, s + 1, l)").alias("piece"),
     )
     edge = F.struct(
-        (F.col("s") + F.col("l")).alias("e"),
-        "s",
+        ((F.col("s") + F.col("l")) * 256 + F.col("s")).alias("es"),
         F.coalesce("id", -F.col("s") - 1).alias("id"),
         F.coalesce("score", F.lit(vocabulary.unknown)).alias("score"),
     )
@@ -210,16 +194,18 @@ def segment(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         F.first("places", ignorenulls=True).alias("places"),
         F.collect_list(F.when(F.col("l") > 0, edge)).alias("edges"),
     )
-    longer = "named_struct('score', st[x.s].score + x.score, 'ids', concat(st[x.s].ids, array(x.id)))"
+    score = "st[x.es & 255].score + x.score"
+    longer = f"named_struct('score', {score}, 'ids', concat(st[x.es & 255].ids, array(x.id)))"
+    end = "shiftright(x.es, 8)"
     # by end, then start: numbers sort far faster than structs
     in_order = (
-        "transform(array_sort(transform(edges, (x, i) -> shiftleft(cast(x.e * 256 + x.s as bigint), 16) + i)),"
+        "transform(array_sort(transform(edges, (x, i) -> shiftleft(cast(x.es as bigint), 16) + i)),"
         " k -> edges[cast(k & 65535 as int)])"
     )
     path = F.expr(
         f"aggregate({in_order}, array(named_struct('score', 0D, 'ids', cast(array() as array<int>))), (st, x) ->"
-        f" if(x.e >= size(st), concat(st, array({longer})),"
-        f" if(st[x.s].score + x.score >= st[x.e].score, concat(slice(st, 1, x.e), array({longer})), st)),"
+        f" if({end} >= size(st), concat(st, array({longer})),"
+        f" if({score} >= element_at(st, -1).score, concat(slice(st, 1, {end}), array({longer})), st)),"
         " st -> element_at(st, -1).ids)"
     )
     byte_ids = "array(" + ", ".join(map(str, vocabulary.byte_ids)) + ")"
