@@ -40,6 +40,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MAX_SPACES, MAX_WORD = 16, 48
 #: Text bytes of a block: what one task holds the words of.
 BLOCK_BYTES = 28 * 1024 * 1024
+#: Words of a lattice task, up to ten times the shuffle partitions.
+TASK_WORDS = 50_000
 #: Largest vocabulary that is sent to all executors.
 MAX_PIECES = 1_000_000
 
@@ -311,7 +313,9 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, block_bytes: int = BLOCK_BYT
     words = stored.where(F.col("word").isNotNull()).select(
         "word", (F.shiftleft(F.col("block").cast("long"), 32) + F.col("at")).alias("place")
     )
-    found = segment(words, vocabulary).select(F.explode("places").alias("place"), "ids")
+    # many small tasks: the edges of a task's words are sorted in memory
+    tasks = max(buckets, min(words.count() // TASK_WORDS, 10 * buckets))
+    found = segment(words.repartition(tasks, "word"), vocabulary).select(F.explode("places").alias("place"), "ids")
     blobs = found.mapInArrow(_pack_by_block, "block int, blob binary")
     texts = stored.where(F.col("word").isNull()).select("block", "docs", "payload")
     return texts.groupBy("block").cogroup(blobs.groupBy("block")).applyInArrow(
