@@ -134,3 +134,17 @@ RETRAIN_ROWS = 2000
 RETRAIN_DAYS = 182
 PERSISTENCE_RUNS = 3
 MAX_BATCH_ITEMS = 1000
+
+# The measures whose quartile bands are sliced by, and the pairs that are crossed.
+SLICE_BANDS = {
+    "wear_band": "tool_wear_min",
+    "torque_band": "torque_nm",
+    "speed_band": "rotational_speed_rpm",
+    "temp_difference_band": "temp_difference_k",
+    "power_band": "power_w",
+}
+SLICE_CROSSES = [
+    ("type", "wear_band"),
+    ("torque_band", "speed_band"),
+    ("temp_difference_band", "speed_band"),
+]

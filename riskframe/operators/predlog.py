@@ -3,12 +3,13 @@
 import logging
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskframe import config as C
 from riskframe.functions.times import utc_day
+from riskframe.session import stage
 
 log = logging.getLogger(__name__)
 
@@ -65,11 +66,11 @@ def append_table(records: DataFrame, path: str) -> int:
 
 
 def _append(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
-    """Write and return the rows written, counted while they are written."""
-    seen = Observation()
+    """Write and return the rows written; they are stored once for both."""
     try:
-        write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
-        return seen.get["rows"]
+        rows = stage(df, "log-rows")
+        write(rows)
+        return rows.count()
     except Exception as e:  # noqa: BLE001 - a full log store must not stop scoring
         log.error("log records could not be written: %s", e)
         return 0

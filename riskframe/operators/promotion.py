@@ -124,10 +124,10 @@ def promote(
     A failing run leaves every earlier version untouched.
     """
     gated = stage(gated, "gated-run")  # one row; the evaluation behind it runs once
-    append_ledger(ledger_rows(gated, params, code_version), ledger_path)
     run = gated.select("run_no", "passed").first()
-    if run["passed"]:
+    if run["passed"]:  # first the model: a recorded version always has one
         save(f"{model_path}/version={run['run_no']}")
+    append_ledger(ledger_rows(gated, params, code_version), ledger_path)
     return run["passed"]
 
 

@@ -33,17 +33,17 @@ class Scenario:
 
 
 SCENARIOS = {
-    "control": Scenario("unchanged data"),
+    "control": Scenario("the table as it is, to compare with"),
     "temperature_calibration": Scenario(
-        "process temperature reads 3 K too high",
+        "sensor offset: + 3 K on the process temperature",
         lambda df: {"process_temperature_k": F.col("process_temperature_k") + 3.0},
     ),
     "high_wear": Scenario(
-        "tools are used 60 minutes longer",
+        "later tool changes: + 60 min of wear",
         lambda df: {"tool_wear_min": F.col("tool_wear_min") + 60},
     ),
     "type_shift": Scenario(
-        "80 % of the parts are type H",
+        "product mix: four of five parts become type H",
         lambda df: {"type": F.when(first_share(df, 0.8), "H").otherwise(F.col("type"))},
     ),
 }

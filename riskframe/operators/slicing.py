@@ -9,20 +9,9 @@ from riskframe import config as C
 from riskframe.functions.decision import alarm, error_kind, expected_cost, ratio_or_null
 from riskframe.operators.profiling import band_labels, band_number, quantile_edges
 
-# slice name -> banded measure, in the order of evaluation; ``type`` is a slice of its own
-BANDS = {
-    "wear_band": "tool_wear_min",
-    "torque_band": "torque_nm",
-    "speed_band": "rotational_speed_rpm",
-    "temp_difference_band": "temp_difference_k",
-    "power_band": "power_w",
-}
+BANDS = C.SLICE_BANDS
 SLICES = ["type", *BANDS]
-CROSSES = [
-    ("type", "wear_band"),
-    ("torque_band", "speed_band"),
-    ("temp_difference_band", "speed_band"),
-]
+CROSSES = C.SLICE_CROSSES
 
 
 def attach_causes(scored: DataFrame, states: DataFrame, key: str = C.KEY) -> DataFrame:

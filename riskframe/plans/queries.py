@@ -837,7 +837,7 @@ def _small_forest():
 @query
 def model_scores(spark, folder):
     train, val = _train_val(spark, folder)
-    model = models.fit(train, _small_forest())
+    model = models.fit(train, models.random_forest())
     return models.score(model, val).select("state_id", C.PROBABILITY)
 
 
@@ -888,7 +888,7 @@ def random_search(spark, folder):
 @query
 def feature_importance(spark, folder):
     train, _ = _train_val(spark, folder)
-    model = models.fit(train, _small_forest())
+    model = models.fit(train, models.random_forest())
     return models.feature_importance(model, models.feature_names(), spark)
 
 
@@ -901,4 +901,4 @@ def ablation(spark, folder):
 @query
 def tree_sweep(spark, folder):
     train, val = _train_val(spark, folder)
-    return models.tree_sweep(models.fit(train, _small_forest()), val, [5, 10, 20])
+    return models.tree_sweep(models.fit(train, models.random_forest()), val, [50, 100, 150])

@@ -1,10 +1,11 @@
 """Reading raw files: header check and renaming, file hashes, content fingerprints."""
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskframe import config as C
+from riskframe.session import stage
 
 RAW_TYPES = {
     "udi": T.LongType(), "product_id": T.StringType(), "type": T.StringType(),
@@ -20,11 +21,17 @@ HASH_LIMIT = 2**31 - 1  # a binary cell cannot be larger
 def load_raw(spark: SparkSession, path: str, expected_rows: int | None = None) -> DataFrame:
     """Read raw CSV files with their original header under technical names.
 
-    Fails when an expected column is absent or the row count differs; drops nothing. Types are
-    declared, not inferred, so the data is not read twice.
+    Fails when the files' headers differ, an expected column is absent, a value does not parse, or
+    the row count differs; drops nothing. Types are declared, not inferred.
     """
-    header = spark.read.option("header", True).csv(path).columns
-    names = [h.lstrip(BOM) for h in header]
+    headers = (
+        spark.read.text(path).where(F.col("_metadata.file_block_start") == 0)
+        .select("value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("line"))
+        .groupBy("file").agg(F.min_by("value", "line").alias("header")).select("header").distinct().limit(2).collect()
+    )
+    if len(headers) > 1:
+        raise ValueError("the raw files differ in their headers: " + " | ".join(r["header"] for r in headers))
+    names = [h.lstrip(BOM) for h in spark.read.option("header", True).csv(path).columns]
     absent = sorted(set(C.RAW_COLUMNS) - set(names))
     if absent:
         raise ValueError("expected columns are missing in the raw file: " + ", ".join(absent))
@@ -32,7 +39,10 @@ def load_raw(spark: SparkSession, path: str, expected_rows: int | None = None) -
         T.StructField(C.RAW_COLUMNS.get(n, n), RAW_TYPES.get(C.RAW_COLUMNS.get(n), T.StringType()))
         for n in names
     ])
-    df = spark.read.schema(schema).option("header", True).option("encoding", "UTF-8").csv(path)
+    df = (
+        spark.read.schema(schema).option("header", True).option("encoding", "UTF-8")
+        .option("mode", "FAILFAST").csv(path)
+    )
     if expected_rows is not None:
         found = df.count()
         if found != expected_rows:
@@ -43,17 +53,16 @@ def load_raw(spark: SparkSession, path: str, expected_rows: int | None = None) -
 def write_raw(df: DataFrame, path: str, bom: bool = True) -> int:
     """Write a table under the original header, optionally with a byte order mark.
 
-    Returns the rows written, counted on the way.
+    Returns the rows written; they are stored once, so that writing and counting see the same.
     """
     names = {tech: raw for raw, tech in C.RAW_COLUMNS.items()}
     cols = [F.col(t).alias(r) for t, r in names.items()]
     if bom:
         first = next(iter(names))
         cols[0] = F.col(first).alias(BOM + names[first])
-    seen = Observation()
-    out = df.select(*cols).observe(seen, F.count(F.lit(1)).alias("rows"))
+    out = stage(df.select(*cols), "raw-rows")
     out.write.option("header", True).csv(path)
-    return seen.get["rows"]
+    return out.count()
 
 
 def read_any(spark: SparkSession, path: str) -> DataFrame:
@@ -72,6 +81,12 @@ def file_hashes(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame
         .option("recursiveFileLookup", True).load(path)
     )
     name = F.element_at(F.split("path", "/"), -1).alias("file")
+    large = files.where(F.col("length") > HASH_LIMIT).select(name).collect()
+    if large:
+        raise ValueError(
+            f"files beyond {HASH_LIMIT} bytes have no hash, fingerprint the table: "
+            + ", ".join(sorted(r["file"] for r in large))
+        )
     hashed = files.where(F.col("length") <= HASH_LIMIT).select(
         name, F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256")
     )
@@ -92,7 +107,7 @@ def check_integrity(spark: SparkSession, path: str, expected: dict[str, str], pa
         bad = (
             hashes.join(want, "file", "full")
             .where(~F.col("sha256").eqNullSafe(F.col("expected")))
-            .limit(20).collect()
+            .orderBy("file").collect()  # at most the files and the expectations
         )
         if bad:
             raise ValueError("files differ from their frozen state: " + ", ".join(r["file"] for r in bad))

@@ -11,6 +11,7 @@ from riskframe import config as C
 from riskframe.functions.times import utc_day
 from riskframe.operators.contract import quarantine
 from riskframe.operators.drift import DriftCheck
+from riskframe.session import stage
 
 
 def json_stream(
@@ -95,10 +96,11 @@ def current_daily_stats(spark: SparkSession, path: str) -> DataFrame:
 def drift_stream(
     stream: DataFrame, ref: DataFrame, path: str, checkpoint: str, min_rows: int = C.MIN_ROWS
 ) -> StreamingQuery:
-    """A drift verdict per micro-batch against a static reference."""
+    """A drift verdict per micro-batch against a static reference, stored once as each batch is."""
+    ref = stage(ref, "drift-reference")
 
     def check(batch: DataFrame, batch_id: int) -> None:
-        DriftCheck(ref, batch).verdict(min_rows).write.mode("overwrite").parquet(
+        DriftCheck(ref, stage(batch, "drift-batch")).verdict(min_rows).write.mode("overwrite").parquet(
             f"{path}/batch={batch_id}"
         )
 
