@@ -28,8 +28,8 @@ from riskframe.llm.components import components
 
 WORDS, PERCENT = 5, 80
 SIGNATURE = 128
-TREES, LEVELS, SECOND = 8, 4, 0.15
-SMALL, PIVOTS = 12, 3
+TREES, LEVELS, SECOND = 8, 5, 0.15
+SMALL, PIVOTS = 12, 2
 #: Largest difference of two 128-bit sketches; pairs at the threshold differ in far fewer bits.
 SLACK_SIGMAS = 5.0
 
@@ -151,6 +151,30 @@ def _pairs(left: DataFrame, right: DataFrame, percent: int, ordered: bool) -> Da
 _NODE = ["path", "rep", "size", "s0", "s1"]
 
 
+def _pivots(nodes: DataFrame) -> DataFrame:
+    """The class nearest to the bitwise majority of each node's sketches, and drawn ones.
+
+    Edited copies differ from their original less than from one another, so the original of a group is
+    the class nearest to the majority.
+    """
+    bits = [(c, i) for c in ("s0", "s1") for i in range(64)]
+    counts = nodes.groupBy("path").agg(
+        F.count("*").alias("m"),
+        *[F.sum(F.expr(f"shiftrightunsigned({c}, {i}) & 1L")).alias(f"{c}_{i}") for c, i in bits],
+    )
+    major = {
+        c: " | ".join(f"if(2 * {c}_{i} > m, shiftleft(1L, {i}), 0L)" for i in range(64)) for c in ("s0", "s1")
+    }
+    centres = counts.select("path", F.expr(major["s0"]).alias("c0"), F.expr(major["s1"]).alias("c1"))
+    far = F.bit_count(F.col("s0").bitwiseXOR(F.col("c0"))) + F.bit_count(F.col("s1").bitwiseXOR(F.col("c1")))
+    one = F.struct("rep", "size", "s0", "s1")
+    drawn = [F.min_by(one, F.struct(F.xxhash64("rep", F.lit(i)), "rep")) for i in range(1, PIVOTS)]
+    chosen = nodes.join(centres, "path").groupBy("path").agg(
+        F.array(F.min_by(one, F.struct(far, "rep")), *drawn).alias("p")
+    )
+    return chosen.select("path", F.explode(F.array_distinct("p")).alias("p")).select("path", "p.*")
+
+
 def candidate_pairs(classes: DataFrame, percent: int) -> DataFrame:
     """Pairs of classes (``rep``, ``size``, ``s0``, ``s1``, ``signature``) that some tree compares."""
     trees = F.explode(F.sequence(F.lit(1), F.lit(TREES)))
@@ -170,12 +194,8 @@ def candidate_pairs(classes: DataFrame, percent: int) -> DataFrame:
         if large.isEmpty():
             break
     else:
-        pivots = whole.groupBy("path").agg(*[
-            F.min_by(F.struct("rep", "size", "s0", "s1"), F.xxhash64("rep", F.lit(i))).alias(f"p{i}")
-            for i in range(PIVOTS)
-        ])
-        pivots = pivots.select("path", F.explode(F.array_distinct(F.array(*[f"p{i}" for i in range(PIVOTS)]))).alias("p"))
-        found.append(_pairs(whole.select(*_NODE), pivots.select("path", "p.*"), percent, ordered=False))
+        pivots = _pivots(whole)
+        found.append(_pairs(whole.select(*_NODE), pivots, percent, ordered=False))
     out = found[0]
     for more in found[1:]:
         out = out.union(more)
