@@ -8,7 +8,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from riskframe.plans.queries import all_queries  # noqa: E402
-from riskframe.session import local_session  # noqa: E402
+from riskframe.session import local_session, release  # noqa: E402
 
 HEADLINE = [
     "best_threshold", "cost_curve", "evaluate_scores", "contract_report", "stratified_split",
@@ -32,6 +32,7 @@ def main() -> None:
         start = time.perf_counter()
         all_queries()[name](spark, folder).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - start, 3)
+        release(spark)
     print(json.dumps({
         "metric": "headline_queries_total",
         "value": round(sum(times.values()), 3),
