@@ -4,10 +4,16 @@ Texts become sets of word shingles (64-bit hashes); equal sets form a class at o
 below is on classes. Independent trees branch the classes recursively: a node draws one signature
 position, and a second one with probability ``SECOND``, and sends each class to the child named by
 its minwise token there, so that a similar pair has more than one common child in expectation at
-every level. Nodes of at most ``SMALL`` classes are compared exhaustively, larger ones branch on, and
-those that are still larger after ``LEVELS`` levels (copies of one another throughout) compare all
-classes with ``PIVOTS`` of them. Pairs must agree in size and in a 128-bit sketch; the rest is
-confirmed on the full sets. Pairs that two trees find are confirmed once.
+every level. Nodes of at most ``SMALL`` classes are compared exhaustively, larger ones branch on. Those
+that are still larger after ``LEVELS`` levels (copies of one another throughout) compare all classes
+with ``PIVOTS`` of them; the links found so far are confirmed and joined to components, and of these
+nodes only those go on that hold several components. There the classes outside of the node's largest
+component are compared with all classes of other components, at once where they are at most
+``OUTSIDE``, after branching on otherwise, and after ``DEEPER`` further levels in any case: no node is left
+uncompared, and a group of copies that its centre links costs no further pairs. Pairs must agree in
+size and in a 128-bit sketch; the rest is confirmed on the full sets. Pairs that two trees find are
+confirmed once. Two levels are branched at a time, so a signature is dealt out once per two levels and
+not at all for the first two.
 
 Defined results: null, empty and wordless texts have an empty set, link with nothing and are kept;
 with fewer words than a shingle the whole sequence is the only element; repeated rows are copies;
@@ -30,6 +36,7 @@ WORDS, PERCENT = 5, 80
 SIGNATURE = 128
 TREES, LEVELS, SECOND = 8, 4, 0.15
 SMALL, PIVOTS = 12, 2
+OUTSIDE, DEEPER = 64, 4
 #: Largest difference of two 128-bit sketches; pairs at the threshold differ in far fewer bits.
 SLACK_SIGMAS = 5.0
 
@@ -88,24 +95,36 @@ def _sets(words: int):
     return sets
 
 
-@F.pandas_udf(T.ArrayType(T.LongType()))
-def _children(tree: pd.Series, level: pd.Series, path: pd.Series, signatures: pd.Series) -> pd.Series:
-    """The children of a class below a node: one, or two, minwise tokens drawn by the node."""
-    t, lev = tree.to_numpy(np.uint64), level.to_numpy(np.uint64)
-    node = mix64(path.to_numpy(np.int64).view(np.uint64) ^ mix64(t * np.uint64(1000) + lev + np.uint64(1)))
-    sig = np.frombuffer(b"".join(signatures), np.uint32).reshape(-1, SIGNATURE)
+def _branch(tree: np.ndarray, level: np.ndarray, path: np.ndarray, sig: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Two children of classes below nodes, by minwise tokens the node draws, and whether both count."""
+    node = mix64(path ^ mix64(tree * np.uint64(1000) + level + np.uint64(1)))
     row = np.arange(len(node))
     out = []
     for j in range(2):
         draw = mix64(node + np.uint64(j + 1))
         at = (draw % np.uint64(SIGNATURE)).astype(np.int64)
-        child = mix64(node ^ mix64(sig[row, at].astype(np.uint64) + (draw & np.uint64(127)) * np.uint64(1 << 32)))
-        out.append(child.view(np.int64))
-    two = mix64(node + np.uint64(9)) % np.uint64(1000) < np.uint64(int(SECOND * 1000))
-    return pd.Series(
-        [[a, b] if w and a != b else [a] for a, b, w in zip(out[0].tolist(), out[1].tolist(), two, strict=True)],
-        dtype=object,
-    )
+        out.append(mix64(node ^ mix64(sig[row, at].astype(np.uint64) + (draw & np.uint64(127)) * np.uint64(1 << 32))))
+    two = (mix64(node + np.uint64(9)) % np.uint64(1000) < np.uint64(int(SECOND * 1000))) & (out[0] != out[1])
+    return out[0], out[1], two
+
+
+@F.pandas_udf(T.ArrayType(T.ArrayType(T.LongType())))
+def _two_levels(tree: pd.Series, level: pd.Series, path: pd.Series, signatures: pd.Series) -> pd.Series:
+    """Per child of a class below a node: the child, and its own one or two children."""
+    t, lev = tree.to_numpy(np.uint64), level.to_numpy(np.uint64)
+    sig = np.frombuffer(b"".join(signatures), np.uint32).reshape(-1, SIGNATURE)
+    first, second, two = _branch(t, lev, path.to_numpy(np.int64).view(np.uint64), sig)
+
+    def listed(child: np.ndarray, which: np.ndarray) -> list[list[int]]:
+        a, b, both = _branch(t[which], lev[which] + np.uint64(1), child, sig[which])
+        rows = zip(child.view(np.int64).tolist(), a.view(np.int64).tolist(), b.view(np.int64).tolist(), both, strict=True)
+        return [[c, x, y] if w else [c, x] for c, x, y, w in rows]
+
+    out = [[x] for x in listed(first, np.arange(len(t)))]
+    also = np.flatnonzero(two)
+    for i, x in zip(also.tolist(), listed(second[also], also), strict=True):
+        out[i].append(x)
+    return pd.Series(out, dtype=object)
 
 
 @F.pandas_udf(T.BooleanType())
@@ -139,8 +158,10 @@ def _alike(percent: int):
     )
 
 
-def _pairs(left: DataFrame, right: DataFrame, percent: int, ordered: bool) -> DataFrame:
+def _pairs(left: DataFrame, right: DataFrame, percent: int, ordered: bool, apart: bool = False) -> DataFrame:
     how = _alike(percent) & (F.col("l.path") == F.col("r.path"))
+    if apart:
+        how = how & (F.col("l.comp") != F.col("r.comp"))
     if ordered:
         how = how & (F.col("l.rep") < F.col("r.rep"))
     return left.alias("l").join(right.alias("r"), how).select(
@@ -175,37 +196,94 @@ def _pivots(nodes: DataFrame) -> DataFrame:
     return chosen.select("path", F.explode(F.array_distinct("p")).alias("p")).select("path", "p.*")
 
 
-def candidate_pairs(classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of classes (``rep``, ``size``, ``s0``, ``s1``, ``signature``) that some tree compares."""
+def _branched(large: DataFrame, level: int) -> DataFrame:
+    """The rows of ``large`` in the children of their nodes at an odd level, the next one's in ``below``."""
+    x = F.explode(_two_levels(F.col("tree"), F.lit(level), F.col("path"), F.col("signature")))
+    rows = large.withColumn("x", x).withColumns({"path": F.col("x")[0], "below": F.slice("x", 2, 2)})
+    return stage(rows.drop("x", "signature"), f"near-level-{level}")
+
+
+def _below(large: DataFrame) -> DataFrame:
+    """The rows of ``large`` in the children of their nodes at an even level."""
+    return large.withColumn("path", F.explode("below")).drop("below")
+
+
+def candidate_pairs(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs of classes (``rep``, ``size``, ``s0``, ``s1``, ``signature``) that some tree compares.
+
+    Second, the rows of the nodes that are still large after the last level.
+    """
+    signatures = classes.select("rep", "signature")
     trees = F.explode(F.sequence(F.lit(1), F.lit(TREES)))
-    large = classes.select(trees.alias("tree"), F.lit(0).cast("long").alias("path"), "rep")
-    found = []
+    roots = classes.select(trees.alias("tree"), F.lit(0).cast("long").alias("path"), "rep", "size", "s0", "s1", "signature")
+    found, large = [], roots
     for level in range(1, LEVELS + 1):
-        here = large.join(classes.select("rep", "size", "s0", "s1", "signature"), "rep").withColumn(
-            "path", F.explode(_children(F.col("tree"), F.lit(level), F.col("path"), F.col("signature")))
-        )
-        nodes = stage(here.select("tree", *_NODE), f"near-level-{level}")
+        if level % 2 == 0:
+            nodes = _below(large)
+        else:
+            nodes = _branched(large if level == 1 else large.join(signatures, "rep"), level)
         counts = nodes.groupBy("path").agg(F.count("*").alias("n")).where("n > 1")
         sized = stage(nodes.join(counts, "path"), f"near-nodes-{level}")
         small = sized.where(F.col("n") <= SMALL).select(*_NODE)
         found.append(_pairs(small, small, percent, ordered=True))
-        whole = sized.where(F.col("n") > SMALL)
-        large = whole.select("tree", "path", "rep")
+        large = sized.where(F.col("n") > SMALL).drop("n")
         if large.isEmpty():
             break
     else:
-        pivots = _pivots(whole)
-        found.append(_pairs(whole.select(*_NODE), pivots, percent, ordered=False))
+        found.append(_pairs(large.select(*_NODE), _pivots(large.select(*_NODE)), percent, ordered=False))
     out = found[0]
     for more in found[1:]:
         out = out.union(more)
-    return out.distinct()
+    return out.distinct(), large.select("tree", *_NODE)
+
+
+def pairs_outside(dense: DataFrame, classes: DataFrame, confirmed: DataFrame, percent: int) -> DataFrame | None:
+    """Pairs that the large nodes have left: classes outside of a node's largest component, with all others.
+
+    ``confirmed`` are the links so far; pairs within one of their components are not needed.
+    """
+    if dense.isEmpty():
+        return None
+    signatures = classes.select("rep", "signature")
+    known = components(confirmed).select(F.col("node").alias("rep"), "component")
+    nodes = dense.join(known, "rep", "left").withColumn("comp", F.coalesce("component", "rep")).drop("component")
+    found = []
+    for level in range(LEVELS + 1, LEVELS + DEEPER + 2):
+        shares = nodes.groupBy("path", "comp").agg(F.count("*").alias("m")).groupBy("path").agg(
+            F.max_by("comp", F.struct("m", "comp")).alias("main"), (F.sum("m") - F.max("m")).alias("outside")
+        ).where("outside > 0")
+        mixed = stage(nodes.join(shares, "path"), f"near-mixed-{level}")
+        if mixed.isEmpty():
+            break
+        few = F.lit(level > LEVELS + DEEPER) | (F.col("outside") <= OUTSIDE)
+        now = mixed.where(few).select(*_NODE, "comp", "main")
+        rest = now.where(F.col("comp") != F.col("main"))
+        found.append(_pairs(now, rest, percent, ordered=False, apart=True))
+        large = mixed.where(~few).drop("main", "outside")
+        # LEVELS is even, so odd levels branch and even ones follow what was branched
+        if level % 2 == 0:
+            nodes = _below(large)
+        else:
+            nodes = _branched(large.drop("below").join(signatures, "rep"), level)
+    out = None
+    for more in found:
+        out = more if out is None else out.union(more)
+    return out if out is None else out.distinct()
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int, name: str) -> DataFrame:
+    """The pairs whose full sets (``rep``, ``elements``) are similar."""
+    full_a = sets.select(F.col("rep").alias("a"), F.col("elements").alias("x"))
+    full_b = sets.select(F.col("rep").alias("b"), F.col("elements").alias("y"))
+    checked = pairs.join(full_a.hint("merge"), "a").join(full_b.hint("merge"), "b")
+    return stage(checked.where(_similar(F.lit(percent), F.col("x"), F.col("y"))).select("a", "b"), name)
 
 
 def links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """The described rows (``doc_id``, set size and digest) and the confirmed pairs of classes.
+    """The described rows (``doc_id``, set size and digest) and confirmed pairs of classes.
 
-    A class is named by its smallest document.
+    A class is named by its smallest document. The pairs connect all classes that are linked; pairs
+    of large nodes that other links already connect may be absent.
     """
     described = docs.select("doc_id", _described(words)(F.col("text")).alias("s")).select("doc_id", "s.*")
     described = stage(described, "near-sets")
@@ -218,17 +296,20 @@ def links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> tuple[
         ).where(F.col("rep").isNotNull()),
         "near-classes",
     )
-    pairs = stage(candidate_pairs(classes, percent), "near-pairs")
-    needed = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
+    pairs, dense = candidate_pairs(classes, percent)
+    pairs = stage(pairs, "near-pairs")
+    needed = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).union(dense.select("rep")).distinct()
     sets = docs.join(needed.hint("shuffle_hash"), F.col("doc_id") == F.col("rep"), "left_semi").select(
         F.col("doc_id").alias("rep"), _sets(words)(F.col("text")).alias("elements")
     )
     sets = stage(sets.dropDuplicates(["rep"]), "near-full")
-    full_a = sets.select(F.col("rep").alias("a"), F.col("elements").alias("x"))
-    full_b = sets.select(F.col("rep").alias("b"), F.col("elements").alias("y"))
-    checked = pairs.join(full_a.hint("merge"), "a").join(full_b.hint("merge"), "b")
-    confirmed = checked.where(_similar(F.lit(percent), F.col("x"), F.col("y"))).select("a", "b")
-    return described.select("doc_id", "size", "hi", "lo"), stage(confirmed, "near-links")
+    confirmed = _confirmed(pairs, sets, percent, "near-links")
+    more = pairs_outside(dense, classes, confirmed, percent)
+    if more is not None:
+        more = stage(more.join(pairs, ["a", "b"], "left_anti"), "near-pairs-outside")
+        asked = more.select(F.col("a").alias("rep")).union(more.select("b")).distinct()
+        confirmed = confirmed.union(_confirmed(more, sets.join(asked, "rep", "left_semi"), percent, "near-links-outside"))
+    return described.select("doc_id", "size", "hi", "lo"), confirmed
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:

@@ -46,6 +46,24 @@ def test_large_groups_of_near_copies(spark, table, prose, monkeypatch):
     assert got == want
 
 
+def test_chained_copies_in_large_nodes(spark, table, prose, monkeypatch):
+    # copies of copies: each is near the one before, the ends of a chain are near no common centre
+    docs = []
+    for chain in range(2):
+        text = prose(200, seed=70 + chain)
+        for k in range(60):
+            docs.append((100 * chain + k, text))
+            text = edited(text, 3, seed=1000 * chain + k)
+    monkeypatch.setattr(neardup, "LEVELS", 2)
+    monkeypatch.setattr(neardup, "SMALL", 3)
+    want = {i: c for i, (_, c) in near(docs, 3, 85).items()}
+    for outside, deeper in ((64, 4), (2, 1)):
+        monkeypatch.setattr(neardup, "OUTSIDE", outside)
+        monkeypatch.setattr(neardup, "DEEPER", deeper)
+        got = {r.doc_id: r.component_id for r in neardup.near_duplicates(table(docs), 3, 85).collect()}
+        assert got == want
+
+
 def test_odd_rows(spark, table):
     docs = [(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f"), (None, None), (2, "A B C D E F"), (3, "word " * 50_000)]
     out = sorted((r.doc_id or -1, r.component_id or -1, r.kept) for r in neardup.near_duplicates(table(docs)).collect())
