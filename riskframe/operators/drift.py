@@ -8,13 +8,9 @@ from pyspark.sql import functions as F
 from riskframe import config as C
 from riskframe.functions.features import common_columns, numeric_columns
 from riskframe.functions.ordering import (
-    LEVEL_BITS,
-    PATH_BITS,
     distinct_counts,
     exact_percentiles,
     long_values,
-    value_ranges,
-    with_path,
 )
 from riskframe.functions.stats import chi2_p, kolmogorov_p, psi_term, verdict
 from riskframe.session import stage
@@ -57,7 +53,7 @@ class DriftCheck:
     A first pass finds sizes and value ranges. Categorical columns and numeric columns with few
     distinct values are then counted per value in a second pass into a small written table from
     which everything is derived. Numeric columns with many distinct values are binned in a pass
-    of their own and their KS distance is found by narrowing.
+    of their own and their KS distance is found from running counts over value ranges.
     """
 
     def __init__(
@@ -119,10 +115,7 @@ class DriftCheck:
             found = exact_percentiles(ref, wide, probs, max_distinct)
             self.edges.update({c: distinct_edges(found[c]) for c in large})
             parts.append(self._binned(both, large))
-            gaps = ks_by_narrowing(both, wide, max_distinct)
-            distances.append(
-                self.spark.createDataFrame(list(gaps.items()), "feature string, distance double")
-            )
+            distances.append(ks_by_ranges(both, wide))
         self._binned_rows, self._distances = _union(parts), _union(distances)
 
     def _binned(self, both: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -332,80 +325,39 @@ def _ks_from_counts(counts: DataFrame) -> DataFrame:
     )
 
 
-def ks_by_narrowing(both: DataFrame, values: dict[str, Column], max_rows: int) -> dict[str, float]:
-    """Exact KS distances of columns with unboundedly many distinct values.
+def ks_by_ranges(both: DataFrame, values: dict[str, Column]) -> DataFrame:
+    """KS distance per column for columns with unboundedly many distinct values.
 
-    Rows are counted per bucket and side. Distances at bucket edges are exact; inside a bucket the
-    distance can rise by at most the bucket's reference share and fall by at most its current
-    share, so only buckets that could beat the best edge are opened, subdivided while they are
-    large, and finally ranked value by value.
+    Rows are counted per value, the counts dealt out by ranges of the values and written once; running
+    counts within a range start from the sums of the ranges before it. Only those sums, one row per
+    column and range, are ordered in one place; nothing reaches the driver.
     """
-    spark = both.sparkSession
-    specs = range(len(values))
-    rows = with_path(long_values(both, values, ["is_ref"]), value_ranges(both, values))
-    best = dict.fromkeys(specs, 0.0)
-    sizes: dict = {}
-    # (spec, level, bucket) -> (reference rows before, current rows before)
-    open_ = {(c, 0, 0): (0, 0) for c in specs}
-    leaves = []
-    for level in range(PATH_BITS // LEVEL_BITS):
-        if not open_:
-            break
-        shift = PATH_BITS - LEVEL_BITS * (level + 1)
-        parents = spark.createDataFrame([(c, b) for c, _, b in open_], "spec int, parent long")
-        counted = (
-            rows.withColumn("parent", F.shiftright("path", shift + LEVEL_BITS))
-            .join(F.broadcast(parents), ["spec", "parent"])  # opened buckets only
-            .groupBy("spec", "parent", F.shiftright("path", shift).alias("bucket"))
-            .agg(*_side_counts())
-            .collect()
-        )
-        if level == 0:
-            for c in specs:
-                sizes[c] = (
-                    max(1, sum(r["n_ref"] for r in counted if r["spec"] == c)),
-                    max(1, sum(r["n_cur"] for r in counted if r["spec"] == c)),
-                )
-        states = []
-        for (c, _, parent), (br, bc) in open_.items():
-            nr, nc = sizes[c]
-            for r in sorted(
-                (r for r in counted if r["spec"] == c and r["parent"] == parent),
-                key=lambda r: r["bucket"],
-            ):
-                left = br / nr - bc / nc
-                high = max(left + r["n_ref"] / nr, r["n_cur"] / nc - left)
-                states.append((c, r["bucket"], br, bc, r["n_ref"] + r["n_cur"], high))
-                br, bc = br + r["n_ref"], bc + r["n_cur"]
-                best[c] = max(best[c], abs(br / nr - bc / nc))
-        open_ = {}
-        for c, bucket, br, bc, n, high in states:
-            if high <= best[c]:
-                continue
-            if n > max_rows and shift > 0:
-                open_[c, level + 1, bucket] = (br, bc)
-            else:
-                leaves.append((c, shift, bucket, br, bc))
-    for shift in sorted({x[1] for x in leaves}):
-        table = spark.createDataFrame(
-            [(c, b, br, bc, *sizes[c]) for c, s, b, br, bc in leaves if s == shift],
-            "spec int, bucket long, br long, bc long, nr long, nc long",
-        )
-        counts = (
-            rows.withColumn("bucket", F.shiftright("path", shift))
-            .join(F.broadcast(table.select("spec", "bucket")), ["spec", "bucket"])
-            .groupBy("spec", "bucket", "value").agg(*_side_counts())
-        )
-        upto = Window.partitionBy("spec", "bucket").orderBy("value").rowsBetween(
-            Window.unboundedPreceding, 0
-        )
-        ranked = counts.withColumns({
-            "cr": F.sum("n_ref").over(upto), "cc": F.sum("n_cur").over(upto)
-        }).join(F.broadcast(table), ["spec", "bucket"])
-        gap = F.abs((F.col("br") + F.col("cr")) / F.col("nr") - (F.col("bc") + F.col("cc")) / F.col("nc"))
-        for r in ranked.groupBy("spec").agg(F.max(gap).alias("d")).collect():
-            best[r["spec"]] = max(best[r["spec"]], r["d"])
-    return {name: float(best[c]) for c, name in enumerate(values)}
+    counts = long_values(both, values, ["is_ref"]).groupBy("spec", "value").agg(*_side_counts())
+    placed = counts.repartitionByRange("spec", "value").withColumn("block", F.spark_partition_id())
+    placed = stage(placed, "ks-counts")
+    whole = Window.partitionBy("spec")
+    before = whole.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    sums = placed.groupBy("spec", "block").agg(F.sum("n_ref").alias("r"), F.sum("n_cur").alias("c"))
+    starts = sums.select(
+        "spec", "block",
+        F.coalesce(F.sum("r").over(before), F.lit(0)).alias("br"),
+        F.coalesce(F.sum("c").over(before), F.lit(0)).alias("bc"),
+        F.sum("r").over(whole).alias("nr"),
+        F.sum("c").over(whole).alias("nc"),
+    )
+    upto = Window.partitionBy("spec", "block").orderBy("value").rowsBetween(
+        Window.unboundedPreceding, 0
+    )
+    running = placed.withColumns({"cr": F.sum("n_ref").over(upto), "cc": F.sum("n_cur").over(upto)})
+    gap = F.abs(
+        F.try_divide(F.col("br") + F.col("cr"), F.col("nr"))
+        - F.try_divide(F.col("bc") + F.col("cc"), F.col("nc"))
+    )
+    names = F.array(*[F.lit(c) for c in values])
+    # one row per column and range
+    return running.join(F.broadcast(starts), ["spec", "block"]).groupBy(
+        F.element_at(names, F.col("spec") + 1).alias("feature")
+    ).agg(F.max(gap).alias("distance"))
 
 
 def psi_from_counts(
