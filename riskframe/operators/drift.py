@@ -500,6 +500,22 @@ def persistent_drift(runs: DataFrame, length: int = C.PERSISTENCE_RUNS) -> DataF
     )
 
 
+def since_training(rows: DataFrame, day: Column, label: Column, trained_on: str) -> DataFrame:
+    """Per day after the last training: rows labelled since then (``new_rows``) and ``days_since``.
+
+    Rows without label do not count; a new training starts the count anew by its date.
+    """
+    daily = rows.where(day > F.lit(trained_on).cast("date")).groupBy(day.alias("run")).agg(
+        F.count(label).alias("labelled")
+    )
+    upto = Window.orderBy("run").rowsBetween(Window.unboundedPreceding, 0)  # one row per day
+    return daily.select(
+        "run",
+        F.sum("labelled").over(upto).alias("new_rows"),
+        F.datediff("run", F.lit(trained_on).cast("date")).alias("days_since"),
+    )
+
+
 def retrain_trigger(
     new_rows: Column, persistent_act: Column, days_since: Column
 ) -> list[Column]:

@@ -618,9 +618,9 @@ def drift_sql() -> dict[str, str]:
  case when error_rate>0.05 then 'act' when error_rate>=0.01 then 'watch' else 'stable' end as error_band from t""",
         "drift_persistent": f"with {_runs_sql()} select * replace (cast(run as varchar) as run) from pd",
         "retrain_trigger": f"""with {_runs_sql()}, pa as (select run, bool_or(persistent_verdict='act') as persistent_act from pd group by run),
- n as (select cast(ts as date) as run, count(*) as n from lo group by 1),
+ n as (select cast(ts as date) as run, count(failed) as n from lo where cast(ts as date)>date '2024-01-10' group by 1),
  c as (select run, cast(sum(n) over (order by run) as bigint) as new_rows,
- cast(date_diff('day', min(run) over (), run) as int) as days_since from n)
+ cast(date_diff('day', date '2024-01-10', run) as int) as days_since from n)
  select cast(run as varchar) as run, new_rows, days_since, persistent_act,
  case when persistent_act then 'drift' when new_rows>={C.RETRAIN_ROWS} then 'volume'
  when days_since>={C.RETRAIN_DAYS} then 'schedule' else 'none' end as trigger,

@@ -2,7 +2,7 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe import config as C
@@ -524,6 +524,10 @@ def operating_bands(spark, folder):
     return drift.operating_bands(tables.prediction_log(spark, folder))
 
 
+#: The model in use was trained on the log's first ten days.
+LAST_TRAINING = "2024-01-10"
+
+
 def _daily_runs(spark, folder):
     """The log's first ten days as reference, each later day a run; two spells run slower."""
     day = utc_day("ts")
@@ -532,7 +536,7 @@ def _daily_runs(spark, folder):
         day.alias("day"), "probability", "k",
         F.when(slow, F.col("latency_ms") * 2).otherwise(F.col("latency_ms")).alias("latency_ms"),
     )
-    split = F.col("day") <= "2024-01-10"
+    split = F.col("day") <= LAST_TRAINING
     return drift.psi_by_run(
         rows.where(split), rows.where(~split), "day", ["probability", "latency_ms", "k"]
     )
@@ -548,14 +552,8 @@ def retrain_trigger(spark, folder):
     runs = drift.persistent_drift(_daily_runs(spark, folder)).groupBy("run").agg(
         F.bool_or(F.col("persistent_verdict") == "act").alias("persistent_act")
     )
-    rows = tables.prediction_log(spark, folder).groupBy(utc_day("ts").alias("run")).agg(
-        F.count("*").alias("rows")
-    )
-    since = Window.orderBy("run").rowsBetween(Window.unboundedPreceding, 0)  # one row per day
-    seen = rows.select(
-        "run",
-        F.sum("rows").over(since).alias("new_rows"),
-        F.datediff("run", F.min("run").over(since)).alias("days_since"),
+    seen = drift.since_training(
+        tables.prediction_log(spark, folder), utc_day("ts"), F.col("failed"), LAST_TRAINING
     )
     return seen.join(runs, "run").select(
         F.col("run").cast("string").alias("run"), "new_rows", "days_since", "persistent_act",

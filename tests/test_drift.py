@@ -228,3 +228,13 @@ def test_scenarios_show_silent_and_harmless_drift(spark):
     assert "type_shift" in {r["scenario"] for r in harmless_drift(table).collect()}
     shifted = SCENARIOS["type_shift"].apply(df).where("type = 'H'").count()
     assert shifted == 960
+
+
+def test_volume_counts_rows_labelled_since_the_last_training(spark):
+    log = spark.createDataFrame(
+        [(d, y) for d, n in ((1, 5), (2, 3), (3, 2)) for y in [1] * n + [None]], "d int, label int"
+    ).withColumn("day", F.date_add(F.lit("2024-01-01").cast("date"), F.col("d")))
+    out = drift.since_training(log, F.col("day"), F.col("label"), "2024-01-02")
+    assert [tuple(r)[1:] for r in out.orderBy("run").collect()] == [(3, 1), (5, 2)]
+    again = drift.since_training(log, F.col("day"), F.col("label"), "2024-01-03")
+    assert [tuple(r)[1:] for r in again.collect()] == [(2, 1)]
