@@ -125,10 +125,11 @@ def class_histogram(
 def failure_rate_by(
     df: DataFrame, col: str, order: list, target: str = C.TARGET
 ) -> DataFrame:
-    """Rows, failures and failure rate per category in a given order."""
-    rank = F.array_position(F.array(*[F.lit(v) for v in order]), F.col(col))
+    """Rows, failures and failure rate per category in a given order; unlisted ones and null come last."""
+    listed = F.array_position(F.array(*[F.lit(v) for v in order]), F.col(col))
+    rank = F.when(listed > 0, listed).otherwise(len(order) + 1)
     return (
-        df.where(F.col(col).isin(order)).groupBy(col)
+        df.groupBy(col)
         .agg(F.count("*").alias("rows"), F.sum(F.col(target).cast("long")).alias("failures"))
         .select(
             rank.cast("int").alias("order_no"), col, "rows", "failures",

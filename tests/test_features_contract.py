@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from riskframe import config as C
 from riskframe.functions import features
-from riskframe.operators import contract
+from riskframe.operators import contract, profiling
 
 
 def test_engineered_features_by_hand(states):
@@ -108,3 +108,9 @@ def test_json_fields(spark):
     out = df.select(*contract.json_fields("t", ["a", "b"])).collect()
     assert (out[0]["unknown_fields"], out[0]["missing_fields"]) == (["x"], ["b"])
     assert (out[1]["unknown_fields"], out[1]["missing_fields"]) == ([], [])
+
+
+def test_failure_rate_lists_unknown_categories(spark):
+    df = spark.createDataFrame([("L", 1), ("M", 0), ("X", 1), ("X", 0), (None, 0)], "type string, machine_failure int")
+    out = {r["type"]: (r["order_no"], r["rows"], r["failures"]) for r in profiling.failure_rate_by(df, "type", ["L", "M"]).collect()}
+    assert out == {"L": (1, 1, 1), "M": (2, 1, 0), "X": (3, 2, 1), None: (3, 1, 0)}
