@@ -1,14 +1,17 @@
 """License scans: phrases, and an exact set-similarity join of text blocks with license templates.
 
-A block is a line. A block meets a template if it holds at least ``CONTAINMENT`` of the template's
-distinct words. Words that occur in a template are ordered by their global frequency, rarest first.
-With ``o`` the words needed, a matching block must share one of its first ``m - o + 1`` words with the
+Blocks are the lines, and the windows of consecutive words over the whole text, whatever its line breaks:
+one starts at every word that occurs in a template, and a template sees as many of its words as the template
+has itself and may be missing. A block meets a template if it holds at least ``CONTAINMENT`` of the
+template's distinct words. Words that occur in a template are ordered by their global frequency, rarest
+first. With ``o`` the words needed, a matching block must share one of its first ``m - o + 1`` words with the
 template's first ``t - o + 1`` words (prefix filter), have ``m >= o`` words (length filter), and have
 enough words left after the shared one on both sides (positional filter). Pairs that pass, each
 emitted at its first shared word only, are confirmed by their full overlap.
 
 Templates are a parameter; their words and prefixes are small by that and are sent along as literals
-and a broadcast table. Texts are read once; only blocks long enough for a template are kept.
+and a broadcast table. Texts are read once; blocks are made only of texts that hold enough words of a template,
+and only windows with a word of some template's prefix are kept.
 
 Defined results: null, empty and wordless texts have no words, no labels and score 0; a text without
 license has empty label strings; repeated rows get equal rows; an empty table gives an empty table;
@@ -67,8 +70,17 @@ def _places(phrase: str) -> str:
     )
 
 
-def _parsed(docs: DataFrame, vocabulary: list[str], least: int) -> DataFrame:
-    """Per row: word count, phrase places, and the template words of each block that is long enough."""
+def _literals(words: list[str]):
+    return F.array(*[F.lit(w) for w in words])
+
+
+def _parsed(docs: DataFrame, sets: dict[str, list[str]], needed: dict[str, int]) -> DataFrame:
+    """Per row: word count, phrase places, and the template words of its lines and of the whole text.
+
+    The latter two are null if the text holds too few words of every template.
+    """
+    vocabulary = _literals(sorted({w for words in sets.values() for w in words}))
+    least = min(needed.values())
     words = docs.select(
         "doc_id",
         F.xxhash64("text").alias("version"),
@@ -76,39 +88,65 @@ def _parsed(docs: DataFrame, vocabulary: list[str], least: int) -> DataFrame:
             F.split(lower_ascii("text"), "\n", -1), lambda line: F.regexp_extract_all(line, F.lit(WORD), F.lit(0))
         ).alias("lines"),
         F.contains(lower_ascii("text"), F.lit("license")).alias("named"),
+    ).withColumn("flat", F.flatten("lines"))
+    words = words.withColumn("held", F.array_intersect("flat", vocabulary))
+    able = F.lit(False)
+    for name, template in sets.items():
+        able = able | (F.size(F.array_intersect("held", _literals(template))) >= needed[name])
+    lines = F.filter(
+        F.transform("lines", lambda w: F.array_intersect(w, vocabulary)), lambda tokens: F.size(tokens) >= least
     )
-    known = F.array(*[F.lit(w) for w in vocabulary])
-    blocks = F.filter(
-        F.transform("lines", lambda w, i: F.struct(i.alias("line"), F.array_intersect(w, known).alias("tokens"))),
-        lambda b: F.size(b["tokens"]) >= least,
+    places = F.filter(
+        F.transform("flat", lambda w, i: F.struct(i.alias("at"), w.alias("token"))),
+        lambda x: F.array_contains("held", x["token"]),
     )
-    found = words.select(
+    found = words.withColumn("able", able).select(
         "doc_id",
         "version",
-        F.aggregate("lines", F.lit(0).cast("long"), lambda n, w: n + F.size(w)).alias("n_words"),
-        blocks.alias("blocks"),
-        F.when(F.col("named"), F.flatten("lines")).otherwise(F.expr("cast(array() as array<string>)")).alias("flat"),
+        F.size("flat").cast("long").alias("n_words"),
+        F.when(F.col("able"), lines).alias("line_tokens"),
+        F.when(F.col("able"), places).alias("places"),
+        F.when(F.col("named"), F.col("flat")).otherwise(F.expr("cast(array() as array<string>)")).alias("flat"),
     )
     for i, phrase in enumerate(PHRASES):
         found = found.withColumn(f"at{i}", F.expr(_places(phrase)))
     return found.drop("flat")
 
 
+def _blocks(parsed: DataFrame, rare: list[str], least: int, longest: int) -> DataFrame:
+    """One row per block with its template words and their distances from its start (0 in a line)."""
+    able = parsed.where(F.col("places").isNotNull())
+    line = able.select("doc_id", "version", F.explode("line_tokens").alias("tokens")).withColumn(
+        "block", F.transform("tokens", lambda t: F.struct(F.lit(0).alias("off"), t.alias("token")))
+    )
+    windows = F.transform(
+        "places",
+        lambda x, k: F.transform(
+            F.filter(F.slice("places", k + 1, longest), lambda y: y["at"] < x["at"] + longest),
+            lambda y: F.struct((y["at"] - x["at"]).alias("off"), y["token"].alias("token")),
+        ),
+    )
+    kept = F.filter(windows, lambda w: (F.size(w) >= least) & F.arrays_overlap(w["token"], _literals(rare)))
+    window = able.select("doc_id", "version", F.explode(kept).alias("block")).withColumn(
+        "tokens", F.array_distinct(F.col("block")["token"])
+    )
+    return line.unionByName(window.where(F.size("tokens") >= least))
+
+
 def licenses(
     docs: DataFrame, templates: dict[str, str] | None = None, containment: float = CONTAINMENT
 ) -> DataFrame:
     """Per row: ``doc_id``, words, phrase places, labels, and the best containment of a template."""
     spark = docs.sparkSession
-    sets = {name: list(dict.fromkeys(_words(text))) for name, text in (templates or TEMPLATES).items()}
+    lists = {name: _words(text) for name, text in (templates or TEMPLATES).items()}
+    sets = {name: list(dict.fromkeys(words)) for name, words in lists.items()}
     needed = {name: _needed(len(words), containment) for name, words in sets.items()}
+    reach = {name: len(words) + len(sets[name]) - needed[name] for name, words in lists.items()}
     vocabulary = sorted({w for words in sets.values() for w in words})
     least = min(needed.values())
-    parsed = stage(_parsed(docs, vocabulary, least), "license-blocks")
-    blocks = parsed.where(F.size("blocks") > 0).select("doc_id", "version", F.explode("blocks").alias("b")).select(
-        "doc_id", "version", "b.*"
-    )
+    parsed = stage(_parsed(docs, sets, needed), "license-blocks")
     # global frequency order of the template words: at most one row per word
-    counts = {r["token"]: r["n"] for r in blocks.select(F.explode("tokens").alias("token")).groupBy("token").agg(
+    counts = {r["token"]: r["n"] for r in parsed.select(F.explode("places.token").alias("token")).groupBy("token").agg(
         F.count("*").alias("n")
     ).collect()}
     order = sorted(vocabulary, key=lambda w: (counts.get(w, 0), w))
@@ -116,11 +154,13 @@ def licenses(
     index = []
     for name, words in sets.items():
         ranked, o = sorted(words, key=rank.__getitem__), needed[name]
-        index += [(w, i, name, len(words), o, ranked) for i, w in enumerate(ranked[: len(words) - o + 1])]
+        prefix = ranked[: len(words) - o + 1]
+        index += [(w, i, name, len(words), o, reach[name], ranked) for i, w in enumerate(prefix)]
     prefixes = spark.createDataFrame(
-        index, "token string, at_t int, template string, t int, o int, words array<string>"
+        index, "token string, at_t int, template string, t int, o int, reach int, words array<string>"
     )
-    ordered = blocks.withColumn("tokens", F.array_intersect(F.array(*[F.lit(w) for w in order]), "tokens")).withColumn(
+    blocks = _blocks(parsed, sorted({x[0] for x in index}), least, max(reach.values()))
+    ordered = blocks.withColumn("tokens", F.array_intersect(_literals(order), "tokens")).withColumn(
         "m", F.size("tokens")
     )
     probes = ordered.select(
@@ -132,7 +172,8 @@ def licenses(
         & (F.least(F.col("m") - F.col("at_b"), F.col("t") - F.col("at_t")) >= F.col("o"))
         & (F.size(F.array_intersect(F.expr("slice(tokens, 1, at_b)"), "words")) == 0)
     )
-    overlap = F.size(F.array_intersect("tokens", "words"))
+    within = F.filter("block", lambda x: x["off"] < F.col("reach"))
+    overlap = F.size(F.array_intersect("words", F.transform(within, lambda x: x["token"])))
     matches = pairs.withColumn("overlap", overlap).where(F.col("overlap") >= F.col("o"))
     best = matches.groupBy(F.col("doc_id").alias("_doc"), F.col("version").alias("_version")).agg(
         F.collect_set("template").alias("templates"), F.max(F.col("overlap") / F.col("t")).alias("best")

@@ -51,6 +51,54 @@ def test_licenses_odd_rows(spark, table):
     assert licenses.licenses(table([])).count() == 0
 
 
+WRAPPED = {
+    "gpl-text": [
+        "you can redistribute it and/or modify",
+        "it under the terms of the GNU General Public License as published by",
+    ],
+    "bsd-text": [
+        "Redistribution and use in source and binary forms, with or without",
+        "modification, are permitted provided that the following conditions",
+    ],
+}
+
+
+@pytest.mark.parametrize("name", sorted(WRAPPED))
+@pytest.mark.parametrize("before", ["", " * ", "# "])
+def test_licenses_outlive_line_breaks(spark, table, prose, name, before):
+    lines = [prose(40, seed=1), *WRAPPED[name], prose(40, seed=2)]
+    assert all(name not in plain(x)[5] for x in lines)
+    narrow = [" ".join(w) for w in zip(*[iter(" ".join(lines).split())] * 3, strict=False)]
+    docs = [(i, "\n".join(before + x for x in some)) for i, some in enumerate((lines, narrow, lines[:2], lines[2:]))]
+    got = {r.doc_id: (r.labels.split(","), r.score) for r in licenses.licenses(table(docs)).collect()}
+    assert all(name in got[i][0] and got[i][1] == 1.0 for i in (0, 1))
+    assert all(name not in got[i][0] for i in (2, 3))
+
+
+def test_license_windows_equal_plain(spark, table, prose):
+    rng, docs = random.Random(4), []
+    for i in range(60):
+        w = " ".join(rng.choice(list(licenses.TEMPLATES.values())) + " " + prose(2, seed=i) for _ in range(3)).split()
+        for _ in range(rng.randrange(12)):
+            w.insert(rng.randrange(len(w)), rng.choice(["the", "license", "zzz", "GNU"]))
+        docs.append((i, "".join(x + rng.choice(" \n") for x in w)))
+
+    def reached(text):
+        w, out, best = words(text), set(plain(text)[5].split(",")) - {""}, plain(text)[6]
+        for name, template in licenses.TEMPLATES.items():
+            t = set(words(template))
+            o = licenses._needed(len(t), licenses.CONTAINMENT)
+            size = len(words(template)) + len(t) - o
+            n = max(len(t & set(w[i : i + size])) for i in range(len(w)))
+            if n >= o:
+                out.add(name)
+                best = max(best, n / len(t))
+        return ",".join(sorted(out)), best
+
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.licenses(table(docs)).collect()}
+    assert got == {i: reached(t) for i, t in docs}
+
+
 @pytest.mark.parametrize("rows_per_range", [200_000, 7])
 def test_fingerprints_equal_plain(spark, table, prose, monkeypatch, rows_per_range):
     monkeypatch.setattr(fingerprints, "RANGE_ROWS", rows_per_range)
