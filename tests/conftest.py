@@ -30,9 +30,3 @@ def states(spark):
         "state_id string, type string, air_temperature_k double, process_temperature_k double,"
         " rotational_speed_rpm int, torque_nm double, tool_wear_min int, machine_failure int",
     )
-
-
-def scored(spark, labels, scores):
-    return spark.createDataFrame(
-        list(zip(labels, scores, strict=True)), "machine_failure int, probability double"
-    )

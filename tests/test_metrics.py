@@ -2,7 +2,7 @@ import itertools
 import random
 
 import pytest
-from conftest import scored
+from score_tables import scored
 
 from riskframe import config as C
 from riskframe.operators import metrics, thresholds

@@ -1,5 +1,5 @@
 import pytest
-from conftest import scored
+from score_tables import scored
 from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.sql import functions as F
 
