@@ -117,6 +117,50 @@ select doc_id, count(*) as n_lines, cast(count(*) filter (gone) as bigint) as n_
 from m group by doc_id"""
 
 
+_AUDIT = """
+with d as (
+  select doc_id, coalesce(source, '') as part, coalesce(text, '') as text from documents
+), w as (
+  select *, string_split_regex(text, '[\\x20\\x09-\\x0D]+') as pieces from d
+), v as (
+  select *, list_filter(pieces, lambda x: x <> '') as words from w
+), first as (select text, min(doc_id) as low from d group by text),
+good as (select doc_id, max(quality) = 1 as good, max(toxic) = 1 as toxic from labels group by doc_id),
+f as (
+  select v.doc_id, part, coalesce(good, false) as good, coalesce(toxic, false) as toxic,
+    (case when len(words) < 200 then 'A' else '' end)
+    || (case when 100 * len(list_distinct(words)) < 50 * len(words) then 'B' else '' end)
+    || (case when 100 * length(regexp_replace(text, '[^A-Z]+', '', 'g')) > 2 * length(text) then 'C' else '' end)
+    || (case when regexp_matches(text, '[#$%&*|]') then 'D' else '' end)
+    || (case when low < v.doc_id then 'E' else '' end) as fails
+  from v join first using (text) left join good using (doc_id)
+), g as (
+  select part, fails, count(*) as n, count(*) filter (good) as n_good, count(*) filter (toxic) as n_toxic
+  from f group by part, fails
+), letters(x) as (values ('A'), ('B'), ('C'), ('D'), ('E')),
+orders as (
+  select a.x || b.x || c.x || d.x || e.x as filter_order from letters a, letters b, letters c, letters d, letters e
+  where len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), steps as (
+  select filter_order, step, filter_order[step] as own, filter_order[1 : step - 1] as before
+  from orders, unnest(range(1, 6)) t(step)
+), r as (
+  select part, filter_order, step, own, n, n_good, n_toxic, contains(fails, own) as failing, fails = own as only_it,
+    len(list_intersect(string_split(fails, ''), string_split(before, ''))) > 0 as gone
+  from g, steps
+), s as (
+  select part, filter_order, cast(step as integer) as step, own,
+    cast(coalesce(sum(n) filter (not failing and not gone), 0) as bigint) as kept,
+    cast(coalesce(sum(n) filter (failing and not gone), 0) as bigint) as removed,
+    cast(coalesce(sum(n) filter (failing and gone), 0) as bigint) as redundant,
+    cast(coalesce(sum(n) filter (only_it), 0) as bigint) as unique_fails,
+    cast(coalesce(sum(n_good) filter (failing and not gone), 0) as bigint) as good_lost,
+    cast(coalesce(sum(n_toxic) filter (failing and not gone), 0) as bigint) as toxic_lost
+  from r group by part, filter_order, step, own
+)
+select s.* exclude (own), cast(sum(removed) over (partition by part, own) as bigint) as shapley from s"""
+
+
 def llm_sql() -> dict[str, str]:
     return {
         "op1_chat_formatting": _chat(),
@@ -124,4 +168,5 @@ def llm_sql() -> dict[str, str]:
         "op7_near_duplicates": _NEAR,
         "op8_decontamination": _BENCH,
         "op9_line_dedup": _LINES,
+        "op11_filter_audit": _AUDIT,
     }

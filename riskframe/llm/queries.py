@@ -5,7 +5,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import chat, decontaminate, fingerprints, html, licenses, linededup, neardup, pieces, secrets, toxicity
+from riskframe.llm import (
+    chat,
+    conversation_repair,
+    decontaminate,
+    filter_audit,
+    fingerprints,
+    html,
+    licenses,
+    linededup,
+    neardup,
+    pieces,
+    secrets,
+    simhash,
+    toxicity,
+)
 from riskframe.llm.common import read, small_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,3 +119,20 @@ def op10_toxicity(spark, folder):
         "doc_id", toxicity.is_held_out().alias("held_out"), toxicity.score(docs, model).alias("score")
     )
     return scored.withColumn("predicted", F.when(F.col("score") >= toxicity.REJECT, 1).otherwise(0))
+
+
+@query
+def op11_filter_audit(spark, folder):
+    return filter_audit.audit(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
+@query
+def op12_simhash(spark, folder):
+    small_batches(spark)
+    return simhash.near_duplicates(read(spark, folder, "documents"))
+
+
+@query
+def op13_conversation_repair(spark, folder):
+    small_batches(spark)
+    return conversation_repair.repaired(conversation_repair.damaged(read(spark, folder, "conversations")))

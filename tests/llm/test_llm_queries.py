@@ -41,7 +41,7 @@ def test_query_equals_sql(spark, con, name):
 
 def test_every_operator_and_the_pipeline_are_registered():
     names = entry.queries()
-    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11)) and "pipeline" in names
+    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 14)) and "pipeline" in names
     assert set(llm_sql()) <= set(entry.oracle_sql())
 
 
