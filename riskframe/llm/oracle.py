@@ -146,7 +146,7 @@ orders as (
   from orders, unnest(range(1, 6)) t(step)
 ), r as (
   select part, filter_order, step, own, n, n_good, n_toxic, contains(fails, own) as failing, fails = own as only_it,
-    len(list_intersect(string_split(fails, ''), string_split(before, ''))) > 0 as gone
+    before <> '' and regexp_matches(fails, '[' || before || '_]') as gone
   from g, steps
 ), s as (
   select part, filter_order, cast(step as integer) as step, own,
