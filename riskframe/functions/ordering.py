@@ -1,11 +1,10 @@
-"""Order statistics without a global sort: row numbers, rank cuts and exact percentiles.
+"""Row numbers and rank cuts without a global sort.
 
 A plain window over a huge group sorts it in one task. The helpers here first count rows per
 fine bucket (map-side combined), find the few buckets that matter from the cumulated counts, and
 look at single values only inside those.
 """
 
-import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -13,8 +12,6 @@ from pyspark.sql import functions as F
 
 MAX_STRATA = 1000
 MAX_BROADCAST_ROWS = 100_000
-PATH_BITS = 48      # positions between a column's minimum and maximum
-LEVEL_BITS = 12     # bits resolved per counting pass
 
 
 def numbered_rows(
@@ -134,155 +131,3 @@ def position(key: str, cuts: Mapping, strata: str | None = None) -> Column:
         cond = F.col(strata).eqNullSafe(F.lit(s))
         expr = F.when(cond, one(keys)) if expr is None else expr.when(cond, one(keys))
     return expr
-
-
-def _ordered(value: Column) -> Column:
-    """An order-preserving compression, so that far outliers do not swallow all buckets."""
-    v = value.cast("double")
-    return F.signum(v) * F.log1p(F.abs(v))
-
-
-def long_values(
-    df: DataFrame, values: Mapping[str, Column], keep: Sequence[str] = ()
-) -> DataFrame:
-    """(spec, value, ...) rows, one per non-null value; ``spec`` is the expression's number.
-
-    Numbers instead of names keep the grouping keys of the following aggregate narrow.
-    """
-    cells = [x for i, v in enumerate(values.values()) for x in (F.lit(i), v.cast("double"))]
-    return df.select(*keep, F.stack(F.lit(len(values)), *cells).alias("spec", "value")).where(
-        "value is not null"
-    )
-
-
-def distinct_counts(df: DataFrame, values: Mapping[str, Column], **extra: Column) -> tuple[dict, dict]:
-    """Rough number of distinct values per expression, and further aggregates of the same pass."""
-    row = df.agg(
-        *[e.alias(n) for n, e in extra.items()],
-        *[F.approx_count_distinct(v.cast("double")).alias(f"r{i}") for i, v in enumerate(values.values())],
-    ).first()
-    return {name: row[f"r{i}"] for i, name in enumerate(values)}, {n: row[n] for n in extra}
-
-
-def value_ranges(df: DataFrame, values: Mapping[str, Column]) -> list[dict]:
-    """Per expression: rows, smallest and largest order-preserving position (one pass)."""
-    row = df.agg(*[
-        F.struct(
-            F.count(v).alias("n"), F.min(_ordered(v)).alias("lo"), F.max(_ordered(v)).alias("hi")
-        ).alias(f"r{i}")
-        for i, v in enumerate(values.values())
-    ]).first()
-    return [row[f"r{i}"].asDict() for i in range(len(values))]
-
-
-def with_path(rows: DataFrame, ranges: Sequence[Mapping]) -> DataFrame:
-    """Add ``path``, a PATH_BITS-bit position that never decreases with the value of its spec."""
-    lo = F.element_at(F.array(*[F.lit(r["lo"]) for r in ranges]), F.col("spec") + 1)
-    hi = F.element_at(F.array(*[F.lit(r["hi"]) for r in ranges]), F.col("spec") + 1)
-    unit = F.coalesce(F.try_divide(_ordered(F.col("value")) - lo, hi - lo), F.lit(0.0))
-    top = float(2**PATH_BITS)
-    return rows.withColumn("path", F.least(F.floor(unit * top), F.lit(2**PATH_BITS - 1)).cast("long"))
-
-
-def exact_percentiles(
-    df: DataFrame,
-    values: Mapping[str, Column],
-    probs: Sequence[float],
-    max_distinct: int = 500_000,
-) -> dict[str, list[float | None]]:
-    """Exact percentiles (linear interpolation) of several expressions, as plain numbers.
-
-    Expressions with few distinct values are counted per value and handed to ``percentile`` with
-    frequencies. The others are narrowed: rows are counted per bucket between minimum and maximum,
-    the buckets holding the wanted ranks are subdivided until they are small, and only their
-    values are ranked.
-    """
-    if not values:
-        return {}
-    probs = list(probs)
-    distinct, _ = distinct_counts(df, values)
-    out: dict[str, list] = {name: [None] * len(probs) for name in values}
-    small = {k: v for k, v in values.items() if distinct[k] <= max_distinct}
-    large = {k: v for k, v in values.items() if k not in small}
-    if small:
-        names = list(small)
-        counts = long_values(df, small).groupBy("spec", "value").agg(F.count("*").alias("n"))
-        found = counts.groupBy("spec").agg(F.percentile("value", probs, F.col("n")).alias("q"))
-        for r in found.collect():
-            out[names[r["spec"]]] = list(r["q"])
-    if large:
-        ranges = value_ranges(df, large)
-        spots = [[p * (r["n"] - 1) for p in probs] for r in ranges]
-        wanted = [sorted({f(x) for x in at for f in (math.floor, math.ceil)}) for at in spots]
-        ranked = _values_at_ranks(df, large, ranges, wanted, max_distinct)
-        for s, name in enumerate(large):
-            for i, x in enumerate(spots[s]):
-                a, b = ranked[s, math.floor(x)], ranked[s, math.ceil(x)]
-                out[name][i] = a + (b - a) * (x - math.floor(x))
-    return out
-
-
-def _values_at_ranks(df, values, ranges, wanted, max_rows) -> dict:
-    """{(spec, rank): value} for 0-based ranks; see ``exact_percentiles``."""
-    spark = df.sparkSession
-    rows = with_path(long_values(df, values), ranges)
-    # open buckets: (spec, level, bucket) -> (rows before the bucket, ranks inside, rows inside)
-    open_ = {(s, 0, 0): (0, ranks, ranges[s]["n"]) for s, ranks in enumerate(wanted)}
-    leaves = {}
-    levels = PATH_BITS // LEVEL_BITS
-    while open_:
-        deep = {k: v for k, v in open_.items() if v[2] > max_rows and k[1] < levels}
-        leaves.update({k: v for k, v in open_.items() if k not in deep})
-        if not deep:
-            break
-        level = next(iter(deep))[1]
-        parents = spark.createDataFrame([(s, b) for s, _, b in deep], "spec int, parent long")
-        shift = PATH_BITS - LEVEL_BITS * (level + 1)
-        counted = (
-            rows.withColumn("parent", F.shiftright("path", shift + LEVEL_BITS))
-            .join(F.broadcast(parents), ["spec", "parent"])  # a handful of open buckets
-            .groupBy("spec", "parent", F.shiftright("path", shift).alias("bucket"))
-            .agg(F.count("*").alias("n"))
-            .collect()
-        )
-        open_ = {}
-        for (s, _, parent), (before, ranks, _n) in deep.items():
-            for r in sorted(
-                (r for r in counted if r["spec"] == s and r["parent"] == parent),
-                key=lambda r: r["bucket"],
-            ):
-                inside = [k for k in ranks if before <= k < before + r["n"]]
-                if inside:
-                    open_[s, level + 1, r["bucket"]] = (before, inside, r["n"])
-                before += r["n"]
-    result = {}
-    by_level: dict[int, dict] = {}
-    for key, state in leaves.items():
-        by_level.setdefault(key[1], {})[key] = state
-    for level, group in by_level.items():
-        table = spark.createDataFrame(
-            [(s, b, state[0], state[1]) for (s, _, b), state in group.items()],
-            "spec int, bucket long, before long, ranks array<long>",
-        )
-        counts = (
-            rows.withColumn("bucket", F.shiftright("path", PATH_BITS - LEVEL_BITS * level))
-            .join(F.broadcast(table.select("spec", "bucket")), ["spec", "bucket"])
-            .groupBy("spec", "bucket", "value")
-            .agg(F.count("*").alias("n"))
-        )
-        upto = F.sum("n").over(
-            Window.partitionBy("spec", "bucket").orderBy("value")
-            .rowsBetween(Window.unboundedPreceding, 0)
-        )
-        hits = (
-            counts.withColumn("upto", upto)
-            .join(F.broadcast(table), ["spec", "bucket"])
-            .withColumn("rank", F.explode("ranks"))
-            .where(
-                (F.col("rank") < F.col("before") + F.col("upto"))
-                & (F.col("rank") >= F.col("before") + F.col("upto") - F.col("n"))
-            )
-        )
-        for r in hits.select("spec", "rank", "value").collect():
-            result[r["spec"], r["rank"]] = r["value"]
-    return result

@@ -1,91 +1,106 @@
-"""Bootstrap intervals for ranking quality and recall from weighted score counts."""
-
-import math
-
+"""Bootstrap intervals for ranking quality and recall: exact resampling of a fixed number of rows.
+
+Rows with the same score and label are exchangeable, so a resample of n rows is a multinomial draw of n
+over the (score, label) cells. It is drawn top-down along a tree: first n is split over blocks of
+neighbouring scores (and labels), then a block's share over its cells, each split by conditional
+binomial draws that are exact for every mean. The blocks of a replicate are drawn in different
+tasks: the top split is repeated from its seed wherever it is needed, so a task knows the rows before its
+block without any shuffle of drawn data, and returns one partial sum per replicate and block. Work is
+proportional to draws times distinct scores, whatever the number of rows. Seeds are (seed, chunk of
+replicates, block): a retried task repeats its draws.
+"""
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe import config as C
-from riskframe.functions.decision import alarm
-from riskframe.operators.metrics import average_precision_column, with_ranking
-
-EXACT_MEAN = 30
-_UNIT = float(2**52)
-
-
-def poisson_cdf(mean: int) -> list[float]:
-    """P(X <= k) for k = 0, 1, ... until it reaches one in floating point."""
-    term = total = math.exp(-mean)
-    out, k = [total], 0
-    while k < mean or term > 1e-18:
-        k += 1
-        term *= mean / k
-        total += term
-        out.append(min(total, 1.0))
-    return out
+from riskframe.session import by_value, stage
 
+by_value(__name__)
 
-def poisson_draw(mean: Column, u: Column, v: Column) -> Column:
-    """A Poisson draw with whole-number mean from two uniforms.
+#: Scores of six decimals fall into at most 245 blocks of this width.
+BLOCK_WIDTH = 4096
+#: Replicates drawn together.
+CHUNK = 50
 
-    Inverse distribution function up to mean 30, beyond it a normal draw with the second-order
-    (Cornish-Fisher) correction for skewness.
-    """
-    rows = (",".join(f"{x!r}D" for x in poisson_cdf(m)) for m in range(1, EXACT_MEAN + 1))
-    table = F.expr("array(" + ",".join(f"array({r})" for r in rows) + ")")
-    index = F.least(mean, F.lit(EXACT_MEAN)).cast("int")
-    exact = F.size(F.filter(F.element_at(table, index), lambda x: x < u)).cast("double")
-    z = F.sqrt(F.lit(-2.0) * F.ln(u)) * F.cos(F.lit(2 * math.pi) * v)
-    wide = F.floor(mean + F.sqrt(mean.cast("double")) * z + (z * z - 1) / 6 + 0.5)
-    drawn = F.when(mean <= EXACT_MEAN, exact).otherwise(F.greatest(wide, F.lit(0)))
-    return F.when(mean > 0, drawn).otherwise(0).cast("long")
+_PARTIAL = "draw int, rows long, positives long, hits long, ranked double"
 
 
-def uniform(digest: Column, start: int) -> Column:
-    """A uniform number in (0, 1) from 13 hex digits of a digest."""
-    return (F.conv(F.substring(digest, start, 13), 16, 10).cast("double") + 0.5) / F.lit(_UNIT)
+def score_blocks(df: DataFrame, threshold: float = C.THRESHOLD) -> DataFrame:
+    """One row per block of scores: its cells in descending order and its totals."""
+    cells = df.where(F.col(C.PROBABILITY).isNotNull() & F.col(C.TARGET).isNotNull()).groupBy(C.PROBABILITY).agg(
+        F.sum((F.col(C.TARGET) == 0).cast("long")).alias("n0"),
+        F.sum((F.col(C.TARGET) == 1).cast("long")).alias("n1"),
+    )
+    block = F.floor(F.round(F.col(C.PROBABILITY) * 1e6) / BLOCK_WIDTH).cast("long")
+    cell = F.struct(
+        (-F.col(C.PROBABILITY)).alias("order"), "n0", "n1", (F.col(C.PROBABILITY) >= threshold).alias("hit")
+    )
+    return cells.groupBy(block.alias("block")).agg(
+        F.sort_array(F.collect_list(cell)).alias("cells"),  # at most BLOCK_WIDTH of them
+        F.sum("n0").alias("n0"), F.sum("n1").alias("n1"),
+    ).select("block", "n0", "n1", *(F.col(f"cells.{c}").alias(f"cell_{c}") for c in ("n0", "n1", "hit")))
 
 
-def replicates(df: DataFrame, draws: int, threshold: float = C.THRESHOLD, seed: int = C.SEED) -> DataFrame:
-    """Average precision and recall of every replicate with at least one positive.
+def _shares(counts: np.ndarray) -> np.ndarray:
+    total = counts.sum()
+    return counts / total if total else np.full(len(counts), 1 / len(counts))
+
 
-    Rows with the same score and label are exchangeable, and a sum of n Poisson(1) row weights is
-    Poisson(n), so weights are drawn per (score, label) count. The replicated data has at most
-    ``draws`` times the distinct scores, whatever the table's size. Draws are hashes of
-    (seed, replicate, score, label): a rerun repeats them.
+def resampled(block: int, blocks: np.ndarray, totals: np.ndarray, cells: np.ndarray, chunk: int, draws: int, seed: int):
+    """Drawn rows of one block for some replicates.
+
+    ``blocks`` are the block numbers in descending order, ``totals`` their rows per label (2 x blocks),
+    ``cells`` the rows per label and score of this block (2 x scores). Returns the drawn counts
+    (2 x replicates x scores) and the drawn rows of the blocks before (2 x replicates).
     """
-    cells = df.groupBy(C.PROBABILITY).agg(
-        F.sum(F.col(C.TARGET).cast("long")).alias("n1"),
-        F.sum(1 - F.col(C.TARGET).cast("long")).alias("n0"),
-    )
-    # the counts are small but grow by the draws: keep them spread instead of coalesced
-    setting = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    width = int(setting) if setting.isdigit() else 200
-    cells = cells.repartition(width, C.PROBABILITY).withColumn(
-        "micro", F.round(F.col(C.PROBABILITY) * 1e6).cast("long").cast("string")
-    )
-    each = cells.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws))))
-
-    digest = F.sha2(F.concat_ws("|", F.lit(str(seed)), F.col("draw").cast("string"), "micro"), 256)
-    # a draw looks at its first uniform once per table entry, so that is a column of its own
-    hashed = each.withColumn("digest", digest).withColumns({
-        "u0": F.when(F.col("n0") > 0, uniform(F.col("digest"), 1)),
-        "u1": F.when(F.col("n1") > 0, uniform(F.col("digest"), 14)),
-    })
-    counts = hashed.select(
-        "draw", C.PROBABILITY,
-        poisson_draw(F.col("n0"), F.col("u0"), uniform(F.col("digest"), 27)).alias("neg"),
-        poisson_draw(F.col("n1"), F.col("u1"), uniform(F.col("digest"), 40)).alias("pos"),
-    ).withColumn("n", F.col("neg") + F.col("pos"))
-    hit = alarm(threshold=threshold)
-    return (
-        with_ranking(counts, ["draw"]).groupBy("draw").agg(
-            average_precision_column().alias("pr_auc"),
-            F.try_divide(
-                F.sum(F.when(hit, F.col("pos")).otherwise(0)), F.sum("pos")
-            ).alias("recall"),
-        ).where("pr_auc is not null")
-    )
+    top = np.random.Generator(np.random.PCG64([seed, chunk]))
+    split = top.multinomial(int(totals.sum()), _shares(totals.ravel().astype(float)), size=draws)
+    split = split.reshape(draws, 2, len(blocks)).transpose(1, 0, 2)
+    at = int(np.flatnonzero(blocks == block)[0])
+    own = np.random.Generator(np.random.PCG64([seed, chunk, at + 1]))
+    drawn = np.stack([own.multinomial(split[y, :, at], _shares(cells[y].astype(float))) for y in (0, 1)])
+    return drawn, split[:, :, :at].sum(axis=2)
+
+
+def replicates(df: DataFrame, draws: int, threshold: float = C.THRESHOLD, seed: int = C.SEED) -> DataFrame:
+    """Rows, average precision and recall of every replicate with at least one positive."""
+    spark = df.sparkSession
+    blocks = stage(score_blocks(df, threshold), "score-blocks")
+    # at most 245 rows of three numbers for scores of six decimals
+    total = blocks.select("block", "n0", "n1").orderBy(F.desc("block")).collect()
+    names = np.array([r["block"] for r in total], dtype=np.int64)
+    totals = np.array([[r["n0"] for r in total], [r["n1"] for r in total]], dtype=np.int64)
+
+    def draw(batches):
+        for frame in batches:
+            for row in frame.itertuples(index=False):
+                size = min(CHUNK, draws - row.chunk * CHUNK)
+                cells = np.array([row.cell_n0, row.cell_n1], dtype=np.int64)
+                drawn, before = resampled(row.block, names, totals, cells, row.chunk, size, seed)
+                pos = drawn[1]
+                above = np.cumsum(drawn, axis=2) + before[:, :, None]
+                n = np.maximum(above.sum(axis=0), 1)
+                yield pd.DataFrame({
+                    "draw": np.arange(size, dtype=np.int32) + row.chunk * CHUNK,
+                    "rows": drawn.sum(axis=(0, 2)),
+                    "positives": pos.sum(axis=1),
+                    "hits": pos[:, np.asarray(row.cell_hit, dtype=bool)].sum(axis=1),
+                    "ranked": (pos * (above[1] / n)).sum(axis=1),
+                })
+
+    chunks = -(-draws // CHUNK)
+    each = blocks.select("*", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"))
+    width = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    partial = each.repartition(width, "block", "chunk").mapInPandas(draw, _PARTIAL)
+    out = partial.groupBy("draw").agg(
+        F.sum("rows").alias("rows"),
+        F.try_divide(F.sum("ranked"), F.sum("positives")).alias("pr_auc"),
+        F.try_divide(F.sum("hits"), F.sum("positives")).alias("recall"),
+    ).where("pr_auc is not null")
+    return out
 
 
 def bootstrap_interval(
@@ -93,12 +108,13 @@ def bootstrap_interval(
     draws: int = C.BOOTSTRAP_DRAWS,
     threshold: float = C.THRESHOLD,
     seed: int = C.SEED,
+    digits: int = 4,
 ) -> DataFrame:
     """95 % percentile intervals, one row; replicates without positives are skipped."""
     reps = replicates(df, draws, threshold, seed)
 
     def ends(c: str) -> list[Column]:
         q = F.percentile(c, [0.025, 0.975])
-        return [F.round(q[0], 4).alias(f"{c}_low"), F.round(q[1], 4).alias(f"{c}_high")]
+        return [F.round(q[0], digits).alias(f"{c}_low"), F.round(q[1], digits).alias(f"{c}_high")]
 
     return reps.agg(F.count("*").alias("draws"), *ends("pr_auc"), *ends("recall"))

@@ -1,17 +1,14 @@
 """Drift between a reference and a current table: PSI, KS, chi-square, verdicts, policies."""
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe import config as C
 from riskframe.functions.features import common_columns, numeric_columns
-from riskframe.functions.ordering import (
-    distinct_counts,
-    exact_percentiles,
-    long_values,
-)
+from riskframe.functions.ranks import ValueRanks, exact_percentiles, long_values
 from riskframe.functions.stats import chi2_p, kolmogorov_p, psi_term, verdict
 from riskframe.session import stage
 
@@ -50,10 +47,9 @@ def reference_edges(
 class DriftCheck:
     """One drift check of a table pair; table, operating metrics and verdict share its counts.
 
-    A first pass finds sizes and value ranges. Categorical columns and numeric columns with few
-    distinct values are then counted per value in a second pass into a small written table from
-    which everything is derived. Numeric columns with many distinct values are binned in a pass
-    of their own and their KS distance is found from running counts over value ranges.
+    Numeric columns are counted per value into stored ranges (``ValueRanks``), from which edges, bins,
+    means and KS distances are derived; a column of constants counts the rows of both sides in
+    the same pass. Categorical columns are counted per value beside it.
     """
 
     def __init__(
@@ -63,81 +59,41 @@ class DriftCheck:
         without: Sequence[str] = (C.TARGET, C.KEY),
         threshold: float = C.THRESHOLD,
         bins: int = C.PSI_BINS,
-        max_distinct: int = 500_000,
     ):
         self.spark = ref.sparkSession
         self.threshold = threshold
         self.numeric, self.categorical = feature_kinds(ref, cur, without)
-        columns = [*self.numeric, *self.categorical]
-        both = _both(ref, cur, columns)
-        values = {c: F.col(c) for c in self.numeric}
-        distinct, sizes = distinct_counts(
-            both, values, rows=F.count("*"), ref=F.coalesce(F.sum("is_ref"), F.lit(0))
-        )
-        self.reference_rows = sizes["ref"]
-        self.current_rows = sizes["rows"] - sizes["ref"]
-        small = [c for c in self.numeric if distinct[c] <= max_distinct]
-        large = [c for c in self.numeric if c not in small]
-        probs = [i / bins for i in range(bins + 1)]
+        both = _both(ref, cur, [*self.numeric, *self.categorical])
+        rows = long_values(both, {**{c: F.col(c) for c in self.numeric}, "": F.lit(0.0)}, ["is_ref"])
+        sides = dict(zip(("n_ref", "n_cur"), _side_counts(), strict=True))
+        ranks = ValueRanks(rows, sides)
+        every = len(self.numeric)
+        sizes = ranks.values.where(F.col("spec") == every).first()  # one row, none for empty tables
+        self.reference_rows, self.current_rows = (sizes["n_ref"], sizes["n_cur"]) if sizes else (0, 0)
         self.edges: dict[str, list[float]] = {c: [] for c in self.numeric}
-        parts, distances = [], []
-        self.categories = None
-        if small or self.categorical:
-            counts = stage(_per_value(both, small, self.categorical), "value-counts")
-            self.categories = counts.where("category is not null").select(
-                F.col("spec").alias("feature"), F.col("category").alias("bin"), "n_ref", "n_cur"
-            )
-        if small:
-            numbers = counts.where("value is not null")
-            found = numbers.where("n_ref > 0").groupBy("spec").agg(
-                F.percentile("value", probs, F.col("n_ref")).alias("q")
-            )
-            for r in found.collect():
-                self.edges[r["spec"]] = distinct_edges(r["q"])
-            number = None
-            for c in small:
-                cond, n = F.col("spec") == c, bin_number(F.col("value"), self.edges[c])
-                number = F.when(cond, n) if number is None else number.when(cond, n)
-            hit = F.col("value") >= threshold
-            parts.append(
-                numbers.groupBy(F.col("spec").alias("feature"), number.alias("bin")).agg(
-                    F.sum("n_ref").alias("n_ref"),
-                    F.sum("n_cur").alias("n_cur"),
-                    F.sum(F.col("value") * F.col("n_ref")).alias("s_ref"),
-                    F.sum(F.col("value") * F.col("n_cur")).alias("s_cur"),
-                    F.sum(F.when(hit, F.col("n_ref")).otherwise(0)).alias("a_ref"),
-                    F.sum(F.when(hit, F.col("n_cur")).otherwise(0)).alias("a_cur"),
-                )
-            )
-            distances.append(_ks_from_counts(numbers))
-        if large:
-            wide = {c: values[c] for c in large}
-            found = exact_percentiles(ref, wide, probs, max_distinct)
-            self.edges.update({c: distinct_edges(found[c]) for c in large})
-            parts.append(self._binned(both, large))
-            distances.append(ks_by_ranges(both, wide))
-        self._binned_rows, self._distances = _union(parts), _union(distances)
-
-    def _binned(self, both: DataFrame, cols: Sequence[str]) -> DataFrame:
-        cells = F.array(*[
-            F.struct(
-                F.lit(c).alias("feature"),
-                bin_number(F.col(c), self.edges[c]).alias("bin"),
-                F.col(c).cast("double").alias("value"),
-            )
-            for c in cols
-        ])
-        side, hit = F.col("is_ref"), (F.col("value") >= self.threshold).cast("long")
-        return (
-            both.select("is_ref", F.explode(cells).alias("x")).select("is_ref", "x.*")
-            .where("value is not null").groupBy("feature", "bin").agg(
-                *_side_counts(),
-                F.sum(F.col("value") * side).alias("s_ref"),
-                F.sum(F.col("value") * (1 - side)).alias("s_cur"),
-                F.sum(hit * side).alias("a_ref"),
-                F.sum(hit * (1 - side)).alias("a_cur"),
-            )
+        self._binned_rows = self._distances = self.categories = None
+        if self.categorical:
+            self.categories = stage(_per_category(both, self.categorical), "category-counts")
+        if not self.numeric:
+            return
+        for r in ranks.percentiles([i / bins for i in range(bins + 1)], "n_ref").collect():
+            if r["spec"] < every:
+                self.edges[self.numeric[r["spec"]]] = distinct_edges(r["q"])
+        number = F.lit(0)
+        for i, c in enumerate(self.numeric):
+            number = F.when(F.col("spec") == i, bin_number(F.col("value"), self.edges[c])).otherwise(number)
+        hit = F.col("value") >= threshold
+        feature = _name([*self.numeric, ""]).alias("feature")
+        values = ranks.values.where(F.col("spec") < every)
+        self._binned_rows = values.groupBy(feature, number.alias("bin")).agg(
+            F.sum("n_ref").alias("n_ref"),
+            F.sum("n_cur").alias("n_cur"),
+            F.sum(F.col("value") * F.col("n_ref")).alias("s_ref"),
+            F.sum(F.col("value") * F.col("n_cur")).alias("s_cur"),
+            F.sum(F.when(hit, F.col("n_ref")).otherwise(0)).alias("a_ref"),
+            F.sum(F.when(hit, F.col("n_cur")).otherwise(0)).alias("a_cur"),
         )
+        self._distances = ranks.distances("n_ref", "n_cur").where(F.col("spec") < every).select(feature, "distance")
 
     def numeric_summary(self) -> DataFrame:
         """One row per numeric column: sizes, PSI, KS distance and p-value, means, alarm shares."""
@@ -260,30 +216,13 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame | None:
     return out
 
 
-def _per_value(both: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
-    """Rows of both sides per distinct value of each column, nulls dropped.
-
-    Numeric and categorical columns are counted side by side, so that each kind has narrow keys.
-    """
-    parts = []
-    if numeric:
-        rows = long_values(both, {c: F.col(c) for c in numeric}, ["is_ref"])
-        counts = rows.groupBy("spec", "value").agg(*_side_counts())
-        parts.append(counts.select(
-            _name(numeric).alias("spec"), "value", F.lit(None).cast("string").alias("category"),
-            "n_ref", "n_cur",
-        ))
-    if categorical:
-        cells = [x for i, c in enumerate(categorical) for x in (F.lit(i), F.col(c).cast("string"))]
-        rows = both.select(
-            "is_ref", F.stack(F.lit(len(categorical)), *cells).alias("spec", "category")
-        ).where("category is not null")
-        counts = rows.groupBy("spec", "category").agg(*_side_counts())
-        parts.append(counts.select(
-            _name(categorical).alias("spec"), F.lit(None).cast("double").alias("value"), "category",
-            "n_ref", "n_cur",
-        ))
-    return _union(parts)
+def _per_category(both: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Rows of both sides per category of each column; nulls are dropped."""
+    cells = [x for i, c in enumerate(cols) for x in (F.lit(i), F.col(c).cast("string"))]
+    rows = both.select("is_ref", F.stack(F.lit(len(cols)), *cells).alias("spec", "bin")).where("bin is not null")
+    return rows.groupBy("spec", "bin").agg(*_side_counts()).select(
+        _name(cols).alias("feature"), "bin", "n_ref", "n_cur"
+    )
 
 
 def _name(names: Sequence[str]) -> Column:
@@ -292,9 +231,7 @@ def _name(names: Sequence[str]) -> Column:
 
 def category_counts(ref: DataFrame, cur: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Rows of both sides per category over the union of categories; nulls are dropped."""
-    return _per_value(_both(ref, cur, cols), [], cols).select(
-        F.col("spec").alias("feature"), F.col("category").alias("bin"), "n_ref", "n_cur"
-    )
+    return _per_category(_both(ref, cur, cols), cols)
 
 
 def drift_table(ref: DataFrame, cur: DataFrame) -> DataFrame:
@@ -312,54 +249,6 @@ def drift_verdict(ref: DataFrame, cur: DataFrame, min_rows: int = C.MIN_ROWS) ->
     return DriftCheck(ref, cur).verdict(min_rows)
 
 
-def _ks_from_counts(counts: DataFrame) -> DataFrame:
-    """KS distance per column from (spec, value, n_ref, n_cur) rows."""
-    whole = Window.partitionBy("spec")
-    upto = whole.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    gap = F.abs(
-        F.try_divide(F.sum("n_ref").over(upto), F.sum("n_ref").over(whole))
-        - F.try_divide(F.sum("n_cur").over(upto), F.sum("n_cur").over(whole))
-    )
-    return counts.withColumn("gap", gap).groupBy(F.col("spec").alias("feature")).agg(
-        F.max("gap").alias("distance")
-    )
-
-
-def ks_by_ranges(both: DataFrame, values: dict[str, Column]) -> DataFrame:
-    """KS distance per column for columns with unboundedly many distinct values.
-
-    Rows are counted per value, the counts dealt out by ranges of the values and written once; running
-    counts within a range start from the sums of the ranges before it. Only those sums, one row per
-    column and range, are ordered in one place; nothing reaches the driver.
-    """
-    counts = long_values(both, values, ["is_ref"]).groupBy("spec", "value").agg(*_side_counts())
-    placed = counts.repartitionByRange("spec", "value").withColumn("block", F.spark_partition_id())
-    placed = stage(placed, "ks-counts")
-    whole = Window.partitionBy("spec")
-    before = whole.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    sums = placed.groupBy("spec", "block").agg(F.sum("n_ref").alias("r"), F.sum("n_cur").alias("c"))
-    starts = sums.select(
-        "spec", "block",
-        F.coalesce(F.sum("r").over(before), F.lit(0)).alias("br"),
-        F.coalesce(F.sum("c").over(before), F.lit(0)).alias("bc"),
-        F.sum("r").over(whole).alias("nr"),
-        F.sum("c").over(whole).alias("nc"),
-    )
-    upto = Window.partitionBy("spec", "block").orderBy("value").rowsBetween(
-        Window.unboundedPreceding, 0
-    )
-    running = placed.withColumns({"cr": F.sum("n_ref").over(upto), "cc": F.sum("n_cur").over(upto)})
-    gap = F.abs(
-        F.try_divide(F.col("br") + F.col("cr"), F.col("nr"))
-        - F.try_divide(F.col("bc") + F.col("cc"), F.col("nc"))
-    )
-    names = F.array(*[F.lit(c) for c in values])
-    # one row per column and range
-    return running.join(F.broadcast(starts), ["spec", "block"]).groupBy(
-        F.element_at(names, F.col("spec") + 1).alias("feature")
-    ).agg(F.max(gap).alias("distance"))
-
-
 def psi_from_counts(
     binned: DataFrame, by: Sequence[str] = (), extra: Sequence[str] = ()
 ) -> DataFrame:
@@ -449,38 +338,46 @@ def operating_bands(log: DataFrame) -> DataFrame:
     })
 
 
+class Bins(NamedTuple):
+    """A column's bins against a reference: the bin of a value (null for null), the reference's counts."""
+
+    number: Column
+    reference: list[int]
+
+
+def reference_bins(ref: DataFrame, cols: Sequence[str], bins: int = C.PSI_BINS) -> dict[str, Bins]:
+    """Bins per column from the reference's quantiles: a few numbers per column."""
+    edges = reference_edges(ref, cols, bins)
+    number = {c: F.when(F.col(c).isNotNull(), bin_number(F.col(c), edges[c])) for c in cols}
+    size = {c: max(1, len(edges[c]) - 1) for c in cols}
+    cells = [(c, i) for c in cols for i in range(size[c])]
+    row = ref.agg(*[F.sum((number[c] == i).cast("long")).alias(f"n{k}") for k, (c, i) in enumerate(cells)]).first()
+    counts: dict[str, list[int]] = {c: [] for c in cols}
+    for k, (c, _) in enumerate(cells):
+        counts[c].append(row[f"n{k}"] or 0)
+    return {c: Bins(number[c], counts[c]) for c in cols}
+
+
 def psi_by_run(
     ref: DataFrame, cur: DataFrame, run: str, cols: Sequence[str], bins: int = C.PSI_BINS
 ) -> DataFrame:
     """PSI of every run (e.g. day) of a table against one reference, per column.
 
-    Edges and the reference's bin shares are a few numbers per column; the runs are counted in a
-    single aggregate with one sum per column and bin, so no row is multiplied.
+    The runs are counted in a single aggregate with one sum per column and bin, so no row is multiplied.
     """
-    edges = reference_edges(ref, cols, bins)
-    size = {c: max(1, len(edges[c]) - 1) for c in cols}
-
-    def counts(c: str) -> list[Column]:
-        number = bin_number(F.col(c), edges[c])
-        return [
-            F.sum(F.when(F.col(c).isNotNull() & (number == i), 1).otherwise(0)).alias(f"{c}|{i}")
-            for i in range(size[c])
-        ]
-
-    every = [x for c in cols for x in counts(c)]
-    base = ref.agg(*every).first()
+    found = reference_bins(ref, cols, bins)
+    wide = cur.groupBy(run).agg(*[
+        F.sum((b.number == i).cast("long")).alias(f"{c}|{i}") for c, b in found.items() for i in range(len(b.reference))
+    ])
     rows = []
-    for c in cols:
-        shares = [base[f"{c}|{i}"] or 0 for i in range(size[c])]
-        total = sum(shares)
-        n = sum((F.col(f"`{c}|{i}`") for i in range(size[c])), F.lit(0))
+    for c, b in found.items():
+        counts = [F.coalesce(F.col(f"`{c}|{i}`"), F.lit(0)) for i in range(len(b.reference))]
+        n, total = sum(counts[1:], counts[0]), sum(b.reference)
         terms = [
-            psi_term(F.lit(shares[i] / total), F.try_divide(F.col(f"`{c}|{i}`"), n))
-            for i in range(size[c])
+            psi_term(F.lit(r / total), F.try_divide(x, n)) for r, x in zip(b.reference, counts, strict=True)
         ] if total else []
         psi = sum(terms, F.lit(0.0)) if terms else F.lit(None).cast("double")
         rows.append(F.struct(F.lit(c).alias("feature"), F.when(n > 0, psi).alias("psi")))
-    wide = cur.groupBy(run).agg(*every)
     return wide.select(F.col(run).alias("run"), F.explode(F.array(*rows)).alias("x")).select(
         "run", "x.*"
     )

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe import config as C
-from riskframe.functions.ordering import exact_percentiles
+from riskframe.functions.ranks import exact_percentiles
 
 
 def column_profile(df: DataFrame, exact: bool = True) -> DataFrame:

@@ -4,12 +4,12 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from riskframe import config as C
 from riskframe.operators import metrics
 from riskframe.operators.bootstrap import bootstrap_interval
 from riskframe.session import stage
+from riskframe.sources import versions as versioned
 
 # limit -> (metric, comparison); limits themselves pass
 RULES = {
@@ -67,14 +67,18 @@ def ledger_rows(
 
 
 def append_ledger(rows: DataFrame, path: str) -> None:
-    rows.write.mode("append").parquet(path)
+    """Add rows to the ledger; concurrent runs follow one another, none is lost."""
+
+    def with_rows(ledger: DataFrame | None, _version) -> DataFrame:
+        # one row per run: a snapshot is one small file
+        return (rows if ledger is None else ledger.unionByName(rows, allowMissingColumns=True)).coalesce(1)
+
+    versioned.update(rows.sparkSession, path, with_rows)
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    """The newest snapshot of the ledger, or None before its first row."""
+    return versioned.read(spark, path)
 
 
 def failed_run(spark: SparkSession, run_no: int, run_name: str, error: str, code_version: str) -> DataFrame:
@@ -132,7 +136,10 @@ def promote(
 
 
 def final_evaluation(
-    df: DataFrame, draws: int = C.BOOTSTRAP_DRAWS, threshold: float = C.THRESHOLD
+    df: DataFrame,
+    draws: int = C.BOOTSTRAP_DRAWS,
+    threshold: float = C.THRESHOLD,
+    interval_digits: int = 4,
 ) -> DataFrame:
     """Test metrics with intervals, cost and saving, gap to validation, and the gate check."""
     both = metrics.evaluate(df.where("split in ('val', 'test')"), threshold, by=["split"])
@@ -144,7 +151,9 @@ def final_evaluation(
     gated = quality_gate(
         row, {**C.QUALITY_GATE, "max_expected_cost_eur": cost_limit_for()}
     )
-    ends = bootstrap_interval(df.where("split = 'test'"), draws, threshold).first()  # one row
+    ends = bootstrap_interval(
+        df.where("split = 'test'"), draws, threshold, digits=interval_digits
+    ).first()  # one row
     interval = {
         c: F.lit(ends[c]).cast("double")
         for c in ("pr_auc_low", "pr_auc_high", "recall_low", "recall_high")
@@ -171,13 +180,24 @@ def final_evaluation_once(
     if force and not reason:
         raise ValueError("a forced repetition needs a reason")
     spark = df.sparkSession
-    earlier = read_ledger(spark, path)
+    earlier = versioned.latest(spark, path)
     if earlier is not None and not force:
         raise RuntimeError("the final evaluation has been run; force it with a reason to repeat it")
+    before = None if earlier is None else versioned.read(spark, path, earlier.number)
+    # the test set is claimed before it is looked at: of two runs that start together one is refused
+    claim = spark.createDataFrame([(earlier is None, reason if earlier else None)], "first_run boolean, repeat_reason string")
+    claim = claim.withColumns({"measured_at": F.current_timestamp(), "state": F.lit("claimed")})
+    kept = claim if before is None else before.unionByName(claim, allowMissingColumns=True)
+    try:
+        claimed = versioned.commit(kept.coalesce(1), path, earlier.number if earlier else 0, {"state": "claimed"})
+    except versioned.CommitConflict as lost:
+        raise RuntimeError("another run is doing the final evaluation; force it with a reason to repeat it") from lost
     row = final_evaluation(df, draws).withColumns({
         "first_run": F.lit(earlier is None),
         "repeat_reason": F.lit(reason if earlier is not None else None).cast("string"),
         "measured_at": F.current_timestamp(),
+        "state": F.lit("measured"),
     })
-    append_ledger(row, path)
+    rows = row if before is None else before.unionByName(row, allowMissingColumns=True)
+    versioned.commit(rows.coalesce(1), path, claimed.number, {"state": "measured"})
     return read_ledger(spark, path)

@@ -16,6 +16,7 @@ from riskframe.operators.drift import (
     worst_verdict,
 )
 from riskframe.operators.splits import first_share
+from riskframe.session import stage
 
 
 @dataclass
@@ -74,27 +75,34 @@ def scenario_table(
 ) -> DataFrame:
     """Drift, alarm rate, quality and cost of every scenario against one reference.
 
-    All scenarios are scored and counted in one job: bins, categories and outcomes of a row are
-    cells of the same map-side combined aggregate.
+    All scenarios are scored and counted in one job: a scenario's row adds to one conditional sum for each
+    bin and outcome, grouped by scenario and category, so no row is multiplied by its columns.
     """
     edges = reference_edges(ref, [*C.MEASURES, C.PROBABILITY])
     numeric = [*C.MEASURES, C.PROBABILITY]
+    bins = [(c, i) for c in numeric for i in range(max(1, len(edges[c]) - 1))]
+    kinds = ["TP", "FP", "FN", "TN"]
 
     def cells(df: DataFrame, side: int, keys: Sequence[str]) -> DataFrame:
-        packed = [
-            F.struct(F.lit(c).alias("feature"), bin_number(F.col(c), edges[c]).cast("string").alias("bin"))
-            for c in numeric
-        ]
-        packed.append(F.struct(F.lit("type").alias("feature"), F.col("type").alias("bin")))
+        def rows(cond: Column, name: str) -> Column:
+            return F.sum(cond.cast("long")).alias(name)
+
+        number = {c: bin_number(F.col(c), edges[c]) for c in numeric}
+        sums = [rows(F.col(c).isNotNull() & (number[c] == i), f"b{k}") for k, (c, i) in enumerate(bins)]
         if not side:
             kind = error_kind(C.TARGET, alarm(threshold=threshold))
-            packed.append(F.struct(F.lit("outcome").alias("feature"), kind.alias("bin")))
-        n = F.count("*")
+            sums += [rows(kind == name, name) for name in kinds]
+        wide = df.groupBy(*keys, "type").agg(F.count("*").alias("of_type"), *sums)
+        packed = [(c, F.lit(str(i)), F.col(f"b{k}")) for k, (c, i) in enumerate(bins)]
+        packed.append(("type", F.col("type").cast("string"), F.col("of_type")))
+        packed += [] if side else [("outcome", F.lit(name), F.col(name)) for name in kinds]
+        entries = F.array(*[
+            F.struct(F.lit(f).alias("feature"), b.alias("bin"), n.alias("n")) for f, b, n in packed
+        ])
+        n = F.coalesce("n", F.lit(0))
         zero = F.lit(0).cast("long")
-        return (
-            df.select(*keys, F.explode(F.array(*packed)).alias("x")).select(*keys, "x.*")
-            .where("bin is not null").groupBy(*keys, "feature", "bin")
-            .agg((n if side else zero).alias("n_ref"), (zero if side else n).alias("n_cur"))
+        return wide.select(*keys, F.explode(entries).alias("x")).select(*keys, "x.*").where("bin is not null").select(
+            *keys, "feature", "bin", (n if side else zero).alias("n_ref"), (zero if side else n).alias("n_cur")
         )
 
     names = F.array(*[F.lit(n) for n in scenarios])
@@ -102,7 +110,8 @@ def scenario_table(
     current = cells(score(scenario_rows(cur, scenarios)), 0, ["scenario"])
     counts = reference.unionByName(current).groupBy("scenario", "feature", "bin").agg(
         F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur")
-    )
+    ).where("n_ref + n_cur > 0")
+    counts = stage(counts, "scenario-counts")  # a row per scenario and bin, read for drift and outcomes
     psi = psi_from_counts(counts.where("feature <> 'outcome'"), ["scenario"])
     inputs = F.col("feature") != C.PROBABILITY
     drift = psi.groupBy("scenario").agg(

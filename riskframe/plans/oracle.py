@@ -616,6 +616,8 @@ def drift_sql() -> dict[str, str]:
  case when alarm_rate>0.25 or alarm_rate<0.01 then 'act' when alarm_rate<0.03 or alarm_rate>0.1 then 'watch' else 'stable' end as alarm_band,
  case when median_latency_ms>200 then 'act' when median_latency_ms>=50 then 'watch' else 'stable' end as latency_band,
  case when error_rate>0.05 then 'act' when error_rate>=0.01 then 'watch' else 'stable' end as error_band from t""",
+        "stream_drift_runs": f"""with {_runs_sql()} select cast(run as varchar) as run, feature, psi, verdict, persistent_verdict
+ from pd where run < (select cast(max(ts) - interval 1 hour as date) from lo)""",
         "drift_persistent": f"with {_runs_sql()} select * replace (cast(run as varchar) as run) from pd",
         "retrain_trigger": f"""with {_runs_sql()}, pa as (select run, bool_or(persistent_verdict='act') as persistent_act from pd group by run),
  n as (select cast(ts as date) as run, count(failed) as n from lo where cast(ts as date)>date '2024-01-10' group by 1),
@@ -708,31 +710,18 @@ def _violations(min_recall: float, cost: str) -> str:
  case when cost_eur>{cost} then 'cost_eur>'||format('{{:.2f}}', cast({cost} as double)) end)"""
 
 
-def poisson_sql() -> str:
-    """CTE pt: Poisson distribution functions for means 1..30, as lists."""
-    return """pk as (select m, k, exp(-m + k*ln(m) - lgamma(k+1)) as p from range(1,31) a(m), range(0,120) b(k)),
-pt as (select m, list(c order by k) as cdf from (select m, k, sum(p) over (partition by m order by k) as c from pk) group by m)"""
-
-
-def bootstrap_ctes(source: str, draws: int) -> str:
-    """CTEs ending in bi: one row with interval ends, from per-cell Poisson weights."""
-    unit = "(('0x'||substr(dg,{},13))::bigint+0.5)/4503599627370496e0"
-    return f"""{poisson_sql()},
-cl as (select probability, machine_failure as y, count(*) as n from {source} group by all),
-dr as (select *, sha256('{C.SEED}|'||d||'|'||cast(round(probability*1e6) as bigint)) as dg from cl, range(1,{draws + 1}) g(d)),
-du as (select *, case y when 0 then {unit.format(1)} else {unit.format(14)} end as u,
- case y when 0 then {unit.format(27)} else {unit.format(40)} end as v from dr),
-dz as (select *, sqrt(-2*ln(u))*cos(2*pi()*v) as z from du),
-dw as (select d, probability, y, case when n<=30 then len(list_filter(cdf, lambda x: x<u))
- else greatest(floor(n+sqrt(n)*z+(z*z-1)/6+0.5),0) end as w from dz left join pt on m=n),
-bh as (select d, probability, sum(w) as n, sum(w*y) as pos from dw group by all having sum(w)>0),
+def bootstrap_ctes(source: str, draws: int, digits: int = 2) -> str:
+    """CTEs ending in bi: interval ends from plain resampling, row by row with replacement."""
+    return f"""bn as materialized (select row_number() over (order by state_id)-1 as i, count(*) over () as n, probability, machine_failure as y from {source}),
+bp as (select d, hash(d, k, {C.SEED}) % n as i from range({draws}) a(d), (select i as k, n from bn)),
+bh as (select d, probability, count(*) as n, sum(y) as pos from bp join bn using (i) group by all),
 br as (select *, sum(n) over q as cn, sum(pos) over q as cp from bh window q as (partition by d order by probability desc rows unbounded preceding)),
 ba as (select d, sum(pos*(cp*1e0/cn))/nullif(sum(pos),0) as ap, sum(pos) filter (where probability>={C.THRESHOLD})/nullif(sum(pos),0) as rec from br group by d),
-bi as (select count(ap) as draws, round(quantile_cont(ap,0.025),4) as pr_auc_low, round(quantile_cont(ap,0.975),4) as pr_auc_high,
- round(quantile_cont(rec,0.025),4) as recall_low, round(quantile_cont(rec,0.975),4) as recall_high from ba)"""
+bi as (select count(ap) as draws, round(quantile_cont(ap,0.025),{digits}) as pr_auc_low, round(quantile_cont(ap,0.975),{digits}) as pr_auc_high,
+ round(quantile_cont(rec,0.025),{digits}) as recall_low, round(quantile_cont(rec,0.975),{digits}) as recall_high from ba)"""
 
 
-def promotion_sql(draws: int = 100) -> dict[str, str]:
+def promotion_sql(draws: int = C.BOOTSTRAP_DRAWS) -> dict[str, str]:
     s = f"with {BASE}, {SPLIT}"
     runs = union([
         f"select {i} as run_no, '{n}' as run_name, machine_failure, {score_sql(parts=p)} as probability from sp where split='val'"

@@ -25,7 +25,7 @@ from riskframe.operators import (
 )
 from riskframe.session import stage, work_path
 from riskframe.sources import ingest, stores, tables
-from riskframe.streaming import log_stream
+from riskframe.streaming import drift_stream, log_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -528,18 +528,24 @@ def operating_bands(spark, folder):
 LAST_TRAINING = "2024-01-10"
 
 
-def _daily_runs(spark, folder):
-    """The log's first ten days as reference, each later day a run; two spells run slower."""
+RUN_COLUMNS = ["probability", "latency_ms", "k"]
+
+
+def _log_pair(spark, folder):
+    """The log's first ten days as reference, and the later days; two spells run slower."""
     day = utc_day("ts")
     slow = day.between("2024-01-14", "2024-01-15") | day.between("2024-01-20", "2024-01-27")
     rows = tables.prediction_log(spark, folder).select(
-        day.alias("day"), "probability", "k",
+        "ts", day.alias("day"), "probability", "k",
         F.when(slow, F.col("latency_ms") * 2).otherwise(F.col("latency_ms")).alias("latency_ms"),
     )
     split = F.col("day") <= LAST_TRAINING
-    return drift.psi_by_run(
-        rows.where(split), rows.where(~split), "day", ["probability", "latency_ms", "k"]
-    )
+    return rows.where(split), rows.where(~split)
+
+
+def _daily_runs(spark, folder):
+    """PSI per later day."""
+    return drift.psi_by_run(*_log_pair(spark, folder), "day", RUN_COLUMNS)
 
 
 @query
@@ -738,6 +744,26 @@ def stream_drift(spark, folder):
     return spark.read.parquet(out)
 
 
+@query
+def stream_drift_runs(spark, folder):
+    """Daily drift with persistence, from state between micro-batches over three restarts."""
+    ref, cur = _log_pair(spark, folder)
+    cur = cur.drop("day")
+    source, out = work_path(spark, "stream-in"), work_path(spark, "stream-out")
+    checkpoint = work_path(spark, "checkpoint")
+    ends = ["2024-01-01", "2024-01-16", "2024-01-23", "2025-01-01"]
+    for start, end in zip(ends, ends[1:], strict=False):
+        part = (F.col("ts") >= F.lit(start).cast("timestamp")) & (F.col("ts") < F.lit(end).cast("timestamp"))
+        cur.where(part).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(cur.schema).parquet(source)
+        runs = drift_stream.drift_runs(stream, ref, RUN_COLUMNS)
+        log_stream.finish(drift_stream.store_runs(runs, out, checkpoint))
+    day = F.date_add(F.lit("1970-01-01").cast("date"), F.col("run").cast("int"))
+    return spark.read.schema(drift_stream.RESULT).parquet(out).select(
+        day.cast("string").alias("run"), "feature", F.round("psi", 4).alias("psi"), "verdict", "persistent_verdict"
+    )
+
+
 # ---- gate, ledger, champion, final evaluation -----------------------------------------------
 
 VARIANTS = {
@@ -804,19 +830,20 @@ def champion_rollback(spark, folder):
     return promotion.champion(_ledger(spark, folder), back=1)
 
 
-BOOTSTRAP_DRAWS = 100
+#: Digits of registered interval ends: their SQL draws other resamples, which agree about as far.
+INTERVAL_DIGITS = 2
 
 
 @query
 def bootstrap_ci(spark, folder):
     test = _split_states(spark, folder, C.PROBABILITY).where("split = 'test'")
-    return bootstrap.bootstrap_interval(test, BOOTSTRAP_DRAWS)
+    return bootstrap.bootstrap_interval(test, digits=INTERVAL_DIGITS)
 
 
 @query
 def final_evaluation(spark, folder):
     return promotion.final_evaluation(
-        _split_states(spark, folder, C.PROBABILITY), BOOTSTRAP_DRAWS
+        _split_states(spark, folder, C.PROBABILITY), interval_digits=INTERVAL_DIGITS
     )
 
 

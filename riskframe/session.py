@@ -3,9 +3,11 @@
 import atexit
 import functools
 import shutil
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 _WRITTEN: list[str] = []
@@ -33,6 +35,11 @@ def _local_folder() -> str:
     return base
 
 
+def by_value(module: str) -> None:
+    """Ship the module's functions to workers by value: they need not have this package on their path."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path below ``spark.checkpoint.dir``, the folder that all executors share.
 

@@ -12,6 +12,7 @@ from riskframe.functions.times import utc_day
 from riskframe.operators.contract import quarantine
 from riskframe.operators.drift import DriftCheck
 from riskframe.session import stage
+from riskframe.sources import versions
 
 
 def json_stream(
@@ -62,13 +63,23 @@ def daily_stats_stream(records: DataFrame, delay: str = "1 day") -> DataFrame:
 
 
 def update_stream(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Write the changed windows of every micro-batch to its own directory.
+    """Merge the changed windows of every micro-batch into a versioned table of all windows.
 
-    A repeated micro-batch overwrites its directory, so results are exact after a restart.
+    Each micro-batch commits one snapshot that names it, so a repeated one finds itself and is skipped: results
+    are exact after a restart, and readers see one snapshot however many micro-batches there were.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        spark = batch.sparkSession
+        batch = stage(batch, "changed-windows")  # read twice below; its state must run once
+
+        def merged(now: DataFrame | None, version: versions.Version | None) -> DataFrame | None:
+            if version is not None and version.meta["batch"] >= batch_id:
+                return None
+            new = batch if now is None else now.join(F.broadcast(batch.select("day")), "day", "left_anti").unionByName(batch)
+            return new.coalesce(1)  # one row per window
+
+        versions.update(spark, path, merged, {"batch": batch_id})
 
     return (
         stream.writeStream.outputMode("update").foreachBatch(write)
@@ -77,15 +88,9 @@ def update_stream(stream: DataFrame, path: str, checkpoint: str) -> StreamingQue
 
 
 def current_daily_stats(spark: SparkSession, path: str) -> DataFrame:
-    """The latest state of every window as a static table."""
-    rows = spark.read.parquet(path)
-    latest = rows.groupBy("day").agg(
-        F.max_by(
-            F.struct("requests", "alarms", "probability_sum", "latency_sum"), F.col("batch")
-        ).alias("s")
-    ).select("day", "s.*")
+    """The latest state of every window as a static table: the newest snapshot."""
     n = F.col("requests")
-    return latest.select(
+    return versions.read(spark, path).select(
         "day", "requests",
         F.round(F.col("alarms") / n, 6).alias("alarm_rate"),
         F.round(F.col("probability_sum") / n, 6).alias("mean_probability"),

@@ -49,9 +49,8 @@ def brute_ks(ref, cur):
     return float(np.abs(f - g).max())
 
 
-@pytest.mark.parametrize("limit", [20, 10**6])
 @pytest.mark.parametrize("case", ["normal", "ties", "shifted", "hot value"])
-def test_psi_and_ks_equal_brute_force(spark, case, limit):
+def test_psi_and_ks_equal_brute_force(spark, case):
     rng = np.random.default_rng(4)
     ref, cur = {
         "normal": (rng.normal(0, 1, 900), rng.normal(0.1, 1, 700)),
@@ -62,7 +61,7 @@ def test_psi_and_ks_equal_brute_force(spark, case, limit):
             np.concatenate([np.full(350, 7.0), rng.lognormal(0.2, 3, 350), [-1e9, 1e12]]),
         ),
     }[case]
-    r = one(spark, ref, cur, max_distinct=limit).numeric_summary().first()
+    r = one(spark, ref, cur).numeric_summary().first()
     assert r["psi"] == pytest.approx(brute_psi(ref, cur), rel=1e-9)
     assert r["statistic"] == pytest.approx(brute_ks(ref, cur), abs=1e-12)
     assert r["ref_mean"] == pytest.approx(np.mean(ref), rel=1e-9)

@@ -1,12 +1,13 @@
 import itertools
 import random
 
+import numpy as np
 import pytest
 from score_tables import scored
 
 from riskframe import config as C
-from riskframe.operators import metrics, thresholds
-from riskframe.operators.bootstrap import bootstrap_interval, poisson_cdf, replicates
+from riskframe.operators import bootstrap, metrics, thresholds
+from riskframe.operators.bootstrap import bootstrap_interval, replicates
 from riskframe.operators.slicing import (
     cross_metrics,
     metrics_by_cause,
@@ -76,11 +77,6 @@ def test_best_threshold_takes_the_largest_of_equals(spark):
     assert best["tied_candidates"] == 88
 
 
-def test_poisson_table():
-    assert poisson_cdf(1)[:2] == pytest.approx([0.36787944, 0.73575888])
-    assert all(poisson_cdf(m)[-1] > 1 - 1e-12 for m in range(1, 31))
-
-
 def test_bootstrap_is_reproducible_and_covers_the_estimate(spark):
     rng = random.Random(9)
     y = [int(rng.random() < 0.1) for _ in range(2000)]
@@ -94,7 +90,47 @@ def test_bootstrap_is_reproducible_and_covers_the_estimate(spark):
 def test_bootstrap_skips_draws_without_positives(spark):
     df = scored(spark, [1] + [0] * 50, [0.5] + [0.1] * 50)
     n = replicates(df, 200).count()
-    assert 90 < n < 160  # a single positive is drawn in about 63 % of the draws
+    assert 100 < n < 152  # a single positive is drawn in about 63 % of the draws
+
+
+@pytest.mark.parametrize("width", [4096, 20_000, 1_000_000])
+def test_bootstrap_agrees_with_plain_resampling(spark, monkeypatch, width):
+    monkeypatch.setattr(bootstrap, "BLOCK_WIDTH", width)
+    rng = random.Random(4)
+    y = [int(rng.random() < 0.15) for _ in range(600)]
+    p = [round(min(1.0, max(0.0, rng.gauss(0.05 + 0.1 * v, 0.08))), 2 + width % 3) for v in y]
+    drawn = replicates(scored(spark, y, p), 2000).toPandas()
+    assert (drawn["rows"] == 600).all() and len(drawn) == 2000
+    plain = np.random.default_rng(7)
+    aps, recalls, yy, pp = [], [], np.array(y), np.array(p)
+    for _ in range(2000):
+        at = plain.integers(0, 600, 600)
+        aps.append(brute_ap(yy[at].tolist(), pp[at].tolist()))
+        recalls.append(yy[at][pp[at] >= C.THRESHOLD].sum() / yy[at].sum())
+    for got, want in ((drawn["pr_auc"], aps), (drawn["recall"], recalls)):
+        assert got.mean() == pytest.approx(np.mean(want), abs=4 * np.std(want) / 2000**0.5)
+        assert got.std() == pytest.approx(np.std(want), rel=0.08)
+        for q in (0.025, 0.5, 0.975):
+            assert got.quantile(q) == pytest.approx(np.quantile(want, q), abs=0.2 * np.std(want))
+
+
+def test_resamples_of_any_size_keep_their_rows():
+    """Cells far beyond any normal approximation: totals hold, spreads are those of the binomial."""
+    totals = np.array([[3 * 10**15, 5], [10**12, 0]])
+    blocks, cells = np.array([9, 4]), np.array([[2 * 10**15, 10**15], [10**12 - 7, 7]])
+    drawn, before = bootstrap.resampled(9, blocks, totals, cells, 0, 400, 1)
+    rest, upto = bootstrap.resampled(4, blocks, totals, np.array([[5, 0], [0, 0]]), 0, 400, 1)
+    assert (before == 0).all() and (upto == drawn.sum(axis=2)).all()
+    assert (drawn.sum(axis=(0, 2)) + rest.sum(axis=(0, 2)) == totals.sum()).all()
+    assert drawn[1, :, 1].mean() == pytest.approx(7, abs=0.6) and drawn[1, :, 1].var() == pytest.approx(7, rel=0.3)
+    share = 2 * 10**15 / totals.sum()
+    assert drawn[0, :, 0].std() == pytest.approx((totals.sum() * share * (1 - share)) ** 0.5, rel=0.15)
+
+
+def test_bootstrap_of_empty_tables(spark):
+    row = bootstrap_interval(scored(spark, [1], [0.5]).limit(0)).first()
+    assert row["draws"] == 0 and row["pr_auc_low"] is None
+    assert bootstrap_interval(scored(spark, [0, 0], [0.5, 0.1])).first()["draws"] == 0
 
 
 CAUSE_ROWS = [

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskframe.functions import ordering
+from riskframe.functions.ranks import ValueRanks, exact_percentiles
 
 
 def keyed(spark, n, copies=0):
@@ -61,8 +62,8 @@ def test_numbered_rows_of_a_hot_group(spark):
     assert {(r["g"], r["id"]): r["n"] for r in lots} == want
 
 
-@pytest.mark.parametrize("limit", [10, 10**6])
-def test_percentiles_equal_numpy_directly_and_by_narrowing(spark, limit):
+@pytest.mark.parametrize("partitions", [1, 4, 37])
+def test_percentiles_equal_numpy(spark, partitions):
     rng = np.random.default_rng(7)
     a = rng.normal(300, 2, 4000)
     b = np.concatenate([rng.lognormal(0, 4, 2500), np.full(1500, 5.0)])  # outliers and one hot value
@@ -71,13 +72,32 @@ def test_percentiles_equal_numpy_directly_and_by_narrowing(spark, limit):
         [(float(x), float(y)) for x, y in zip(a, b, strict=True)] + [(None, None)], "a double, b double"
     )
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
-    got = ordering.exact_percentiles(
-        df, {"a": F.col("a"), "b": F.col("b")}, probs, max_distinct=limit
-    )
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = exact_percentiles(df, {"a": F.col("a"), "b": F.col("b"), "none": F.lit(None)}, probs)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     np.testing.assert_allclose(got["a"], np.quantile(a, probs), rtol=1e-12)
     np.testing.assert_allclose(got["b"], np.quantile(b, probs), rtol=1e-12)
+    assert got["none"] == [None] * len(probs)
 
 
 def test_percentiles_of_an_empty_column_are_none(spark):
     df = spark.createDataFrame([(None,)], "a double")
-    assert ordering.exact_percentiles(df, {"a": F.col("a")}, [0.5]) == {"a": [None]}
+    assert exact_percentiles(df, {"a": F.col("a")}, [0.5]) == {"a": [None]}
+    assert exact_percentiles(df, {}, [0.5]) == {}
+
+
+def test_distances_equal_numpy(spark):
+    rng = np.random.default_rng(3)
+    a, b = rng.normal(0, 1, 700).round(2), np.concatenate([rng.normal(0.3, 1, 300), np.full(200, 0.5)]).round(2)
+    rows = [(0, float(x), 1) for x in a] + [(0, float(x), 0) for x in b] + [(1, 2.0, 1), (1, 2.0, 0), (2, 1.0, 1)]
+    df = spark.createDataFrame(rows, "spec int, value double, left int").repartition(5)
+    ranks = ValueRanks(df, {"x": F.sum("left"), "y": F.sum(1 - F.col("left"))})
+    got = {r["spec"]: r["distance"] for r in ranks.distances("x", "y").collect()}
+    points = np.unique(np.concatenate([a, b]))
+    want = max(abs((a <= p).mean() - (b <= p).mean()) for p in points)
+    assert got[0] == pytest.approx(want, abs=1e-12) and got[1] == 0.0 and got[2] is None
