@@ -10,37 +10,58 @@ from riskframe.functions.ranks import exact_percentiles
 def column_profile(df: DataFrame, exact: bool = True) -> DataFrame:
     """Type, nulls and distinct values per column.
 
-    The exact distinct count groups (column, value) pairs once, so each map task sends a value at
-    most once and no task sees a whole column; ``exact=False`` uses sketches instead.
+    Exact counts move no values. Whole-number columns become bitmaps: a value is one bit of its bucket of 32,768
+    neighbours, or-ed map-side. Other columns are counted by 128-bit digests, narrow keys that are combined
+    map-side. ``exact=False`` uses sketches in one pass instead.
     """
     types = dict(df.dtypes)
-    nulls = [F.sum(F.col(c).isNull().cast("long")).alias(c) for c in df.columns]
-    if exact:
-        pairs = F.array(*[
-            F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("v"))
-            for c in df.columns
+    nulls = [F.sum(F.col(c).isNull().cast("long")) for c in df.columns]
+    if not exact:
+        found = df.agg(*[
+            F.struct(n.alias("missing"), F.approx_count_distinct(c).alias("distinct_values")).alias(c)
+            for c, n in zip(df.columns, nulls, strict=True)
         ])
-        per_value = (
-            df.select(F.explode(pairs).alias("p")).select("p.*")
-            .groupBy("column", "v").agg(F.count("*").alias("n"))
-        )
-        counted = per_value.groupBy("column").agg(
-            F.sum(F.when(F.col("v").isNull(), F.col("n")).otherwise(0)).alias("missing"),
-            F.count("v").alias("distinct_values"),
-        )
-    else:
-        approx = [F.approx_count_distinct(c).alias(f"d_{c}") for c in df.columns]
-        packed = F.array(*[
+        return found.select(F.inline(F.array(*[
             F.struct(
-                F.lit(c).alias("column"), F.col(c).alias("missing"),
-                F.col(f"d_{c}").alias("distinct_values"),
+                F.lit(c).alias("column"), F.lit(types[c]).alias("type"),
+                F.coalesce(F.col(f"`{c}`.missing"), F.lit(0)).alias("missing"),
+                F.col(f"`{c}`.distinct_values").alias("distinct_values"),
             )
             for c in df.columns
-        ])
-        counted = df.agg(*nulls, *approx).select(F.explode(packed).alias("p")).select("p.*")
-    kind = F.create_map(*[F.lit(x) for c, t in types.items() for x in (c, t)])
-    return counted.select(
-        "column", kind[F.col("column")].alias("type"), "missing", "distinct_values"
+        ])))
+    whole = [c for c in df.columns if types[c] in ("tinyint", "smallint", "int", "bigint")]
+    other = [c for c in df.columns if c not in whole]
+    missing = df.agg(*[n.alias(c) for c, n in zip(df.columns, nulls, strict=True)]).select(
+        F.inline(F.array(*[
+            F.struct(F.lit(i).alias("spec"), F.coalesce(F.col(f"`{c}`"), F.lit(0)).alias("missing"))
+            for i, c in enumerate(df.columns)
+        ]))
+    )
+    number = {c: i for i, c in enumerate(df.columns)}
+    counted = []
+    if whole:
+        cells = [x for c in whole for x in (F.lit(number[c]), F.col(c).cast("long"))]
+        rows = df.select(F.stack(F.lit(len(whole)), *cells).alias("spec", "v")).where("v is not null")
+        bitmaps = rows.groupBy("spec", F.bitmap_bucket_number("v").alias("bucket")).agg(
+            F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position("v"))).alias("n")
+        )
+        counted.append(bitmaps.groupBy("spec").agg(F.sum("n").alias("distinct_values")))
+    if other:
+        cells = [
+            x for c in other
+            for x in (F.lit(number[c]), F.when(F.col(c).isNotNull(), F.xxhash64(c)), F.xxhash64(F.lit(1), c))
+        ]
+        rows = df.select(F.stack(F.lit(len(other)), *cells).alias("spec", "a", "b")).where("a is not null")
+        digests = rows.groupBy("spec", "a", "b").agg(F.lit(1).alias("n"))
+        counted.append(digests.groupBy("spec").agg(F.count("*").alias("distinct_values")))
+    found = counted[0] if len(counted) == 1 else counted[0].unionByName(counted[1])
+
+    def of(names: list[str]) -> Column:
+        return F.element_at(F.array(*[F.lit(n) for n in names]), F.col("spec") + 1)
+
+    return missing.join(F.broadcast(found), "spec", "left").select(  # one row per column
+        of(df.columns).alias("column"), of([types[c] for c in df.columns]).alias("type"), "missing",
+        F.coalesce("distinct_values", F.lit(0)).alias("distinct_values"),
     )
 
 

@@ -1,11 +1,20 @@
 """Reading raw files: header check and renaming, file hashes, content fingerprints."""
 
+import hashlib
+import re
+from collections.abc import Iterator
+from urllib.parse import quote
+
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskframe import config as C
-from riskframe.session import stage
+from riskframe.session import by_value, stage
+
+by_value(__name__)
 
 RAW_TYPES = {
     "udi": T.LongType(), "product_id": T.StringType(), "type": T.StringType(),
@@ -16,6 +25,7 @@ RAW_TYPES = {
 }
 BOM = "﻿"
 HASH_LIMIT = 2**31 - 1  # a binary cell cannot be larger
+BLOCK_BYTES = 8 * 1024 * 1024
 
 
 def load_raw(spark: SparkSession, path: str, expected_rows: int | None = None) -> DataFrame:
@@ -74,26 +84,40 @@ def read_any(spark: SparkSession, path: str) -> DataFrame:
     raise ValueError(f"neither .csv nor .parquet: {path}")
 
 
-def file_hashes(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """Size and SHA-256 per file. Files beyond the cell limit get no hash: fingerprint the table."""
+def file_hashes(spark: SparkSession, path: str, pattern: str = "*", cell_limit: int = HASH_LIMIT) -> DataFrame:
+    """Size and SHA-256 per file, whatever its size.
+
+    Files up to ``cell_limit`` bytes are hashed by Spark as one cell each; longer ones, which no cell can hold,
+    are streamed in blocks into one running digest, a task per file. Spark's file scans skip empty files.
+    """
     files = (
         spark.read.format("binaryFile").option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", True).load(path)
     )
     name = F.element_at(F.split("path", "/"), -1).alias("file")
-    large = files.where(F.col("length") > HASH_LIMIT).select(name).collect()
-    if large:
-        raise ValueError(
-            f"files beyond {HASH_LIMIT} bytes have no hash, fingerprint the table: "
-            + ", ".join(sorted(r["file"] for r in large))
-        )
-    hashed = files.where(F.col("length") <= HASH_LIMIT).select(
+    hashed = files.where(F.col("length") <= cell_limit).select(
         name, F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256")
     )
-    too_large = files.where(F.col("length") > HASH_LIMIT).select(
-        name, F.col("length").alias("bytes"), F.lit(None).cast("string").alias("sha256")
+    long = files.where(F.col("length") > cell_limit).select("path")
+    return hashed.unionByName(
+        long.repartition(F.col("path")).mapInPandas(block_hashes, "path string, bytes long, sha256 string").select(
+            name, "bytes", "sha256"
+        )
     )
-    return hashed.unionByName(too_large)
+
+
+def block_hashes(batches: Iterator[pd.DataFrame], block: int = BLOCK_BYTES) -> Iterator[pd.DataFrame]:
+    """Digests of the files named in ``path``, a block in memory at a time."""
+    for batch in batches:
+        for path in batch["path"]:
+            digest, size = hashlib.sha256(), 0
+            uri = re.sub("^file:/+", "file:///", quote(path, safe=":/%"))
+            store, inside = fs.FileSystem.from_uri(uri)
+            with store.open_input_stream(inside) as stream:
+                while part := stream.read(block):
+                    digest.update(part)
+                    size += len(part)
+            yield pd.DataFrame({"path": [path], "bytes": [size], "sha256": [digest.hexdigest()]})
 
 
 def check_integrity(spark: SparkSession, path: str, expected: dict[str, str], pattern: str = "*") -> DataFrame:

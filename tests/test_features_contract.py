@@ -114,3 +114,18 @@ def test_failure_rate_lists_unknown_categories(spark):
     df = spark.createDataFrame([("L", 1), ("M", 0), ("X", 1), ("X", 0), (None, 0)], "type string, machine_failure int")
     out = {r["type"]: (r["order_no"], r["rows"], r["failures"]) for r in profiling.failure_rate_by(df, "type", ["L", "M"]).collect()}
     assert out == {"L": (1, 1, 1), "M": (2, 1, 0), "X": (3, 2, 1), None: (3, 1, 0)}
+
+
+def test_column_profile_counts_exactly(spark):
+    rows = [(i % 70_000 - 35_000 if i % 7 else None, i % 3, f"v{i % 1000}" if i % 2 else None, i / 4 % 50, i % 5 == 0) for i in range(4000)]
+    rows += [(2**62, 1, "", -0.0, None), (-(2**62), 1, "", 0.0, None)]
+    df = spark.createDataFrame(rows, "`a.b` long, k int, s string, x double, flag boolean")
+    for exact in (True, False):
+        got = {r["column"]: r for r in profiling.column_profile(df.toDF("a", "k", "s", "x", "flag"), exact).collect()}
+        for i, (name, kind) in enumerate((("a", "bigint"), ("k", "int"), ("s", "string"), ("x", "double"), ("flag", "boolean"))):
+            values = [r[i] for r in rows]
+            distinct = len({v for v in values if v is not None})
+            assert got[name]["type"] == kind and got[name]["missing"] == values.count(None)
+            assert got[name]["distinct_values"] == (distinct if exact else pytest.approx(distinct, rel=0.1))
+    empty = {r["column"]: (r["missing"], r["distinct_values"]) for r in profiling.column_profile(df.toDF(*"abcde").limit(0)).collect()}
+    assert empty == dict.fromkeys("abcde", (0, 0))

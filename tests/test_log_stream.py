@@ -121,6 +121,28 @@ def test_file_hashes_equal_hashlib(spark, tmp_path):
         ingest.check_integrity(spark, str(tmp_path), {"a.bin": "0"})
 
 
+def test_files_beyond_the_cell_limit_are_streamed(spark, tmp_path):
+    parts = {"a b.bin": b"0123456789" * 1000, "small.bin": b"x", "ü.bin": bytes(range(256)) * 40}
+    for name, content in parts.items():
+        (tmp_path / name).write_bytes(content)
+    got = {r["file"]: (r["bytes"], r["sha256"]) for r in ingest.file_hashes(spark, str(tmp_path), cell_limit=100).collect()}
+    assert got == {n: (len(c), hashlib.sha256(c).hexdigest()) for n, c in parts.items()}
+
+
+def test_a_file_longer_than_any_cell(tmp_path):
+    import pandas as pd
+
+    path, size = tmp_path / "long.bin", 2**31 + 5
+    with open(path, "wb") as f:
+        f.truncate(size)  # a sparse file takes no room
+    digest = hashlib.sha256()
+    for _ in range(size // 2**20):
+        digest.update(bytes(2**20))
+    digest.update(bytes(size % 2**20))
+    row = next(ingest.block_hashes(iter([pd.DataFrame({"path": [f"file:{path}"]})]))).iloc[0]
+    assert (row["bytes"], row["sha256"]) == (size, digest.hexdigest())
+
+
 def test_fingerprint_ignores_order_and_files(spark, states):
     cols = ["state_id", "type", "torque_nm"]
     a = ingest.table_fingerprint(states, cols).first()
