@@ -10,6 +10,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskframe.session import small_table
+
 MAX_STRATA = 1000
 MAX_BROADCAST_ROWS = 100_000
 
@@ -90,8 +92,8 @@ def rank_cuts(
     cuts: dict = {r["s"]: [None] * len(shares) for r in found}
     if not found:
         return cuts
-    spark = df.sparkSession
-    wanted = spark.createDataFrame(
+    wanted = small_table(
+        df.sparkSession,
         [(r["s"], r["prefix"], r["cut"], r["rank"]) for r in found],
         hist.select("s", "prefix").schema.add("cut", "integer").add("rank", "long"),
     )

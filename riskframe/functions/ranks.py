@@ -57,36 +57,36 @@ class ValueRanks:
         return values.withColumns({f"{w}_upto": F.sum(w).over(upto) for w in self.weights})
 
     def percentiles(self, probs: Sequence[float], weight: str) -> DataFrame:
-        """Exact percentiles (linear interpolation): one row per ``spec`` with an array ``q``."""
+        """Exact percentiles (linear interpolation): one row per ``spec`` with an array ``q`` and its totals."""
+        total, before = F.col(f"{weight}_all"), F.col(f"{weight}_before")
         spots = F.array(*[
-            F.struct(F.lit(i).alias("i"), (F.lit(float(p)) * (F.col("all") - 1)).alias("at"))
-            for i, p in enumerate(probs)
+            F.struct(F.lit(i).alias("i"), (F.lit(float(p)) * (total - 1)).alias("at")) for i, p in enumerate(probs)
         ])
-        ends = F.array(F.floor(F.col("spot.at")), F.ceil(F.col("spot.at")))
-        wanted = (
-            self.blocks.where(f"{weight} > 0").groupBy("spec").agg(F.max(f"{weight}_all").alias("all"))
-            .select("spec", F.explode(spots).alias("spot"))
-            .select("spec", "spot.*", F.explode(F.array_distinct(ends)).alias("rank"))
-        )
-        after = F.col("rank") - F.col(f"{weight}_before")
-        placed = wanted.join(
-            self.blocks.select("spec", "block", weight, f"{weight}_before"), "spec"
-        ).where((after >= 0) & (after < F.col(weight))).select("spec", "block", "i", "at", "rank", after.alias("inside"))
-        placed = stage(placed, "wanted-ranks")  # two rows per column and probability
-        some = self.values.join(F.broadcast(placed.select("spec", "block").distinct()), ["spec", "block"], "left_semi")
+        ranks = F.flatten(F.transform(spots, lambda s: F.transform(
+            F.array_distinct(F.array(F.floor(s["at"]), F.ceil(s["at"]))),
+            lambda r: F.struct(s["i"].alias("i"), s["at"].alias("at"), r.alias("rank"), (r - before).alias("inside")),
+        )))
+        here = F.filter(ranks, lambda x: (x["inside"] >= 0) & (x["inside"] < F.col(weight)))
+        # the few ranges that hold a wanted rank: at most two per column and probability
+        wanted = self.blocks.where(f"{weight} > 0").select(
+            "spec", "block", here.alias("wanted"), *[f"{w}_all" for w in self.weights]
+        ).where(F.size("wanted") > 0)
+        some = self.values.join(F.broadcast(wanted), ["spec", "block"])
         upto = F.col(f"{weight}_upto")
-        hits = self._running(some).join(F.broadcast(placed), ["spec", "block"]).where(
-            (F.col("inside") < upto) & (F.col("inside") >= upto - F.col(weight))
+        x = F.col("x")
+        hits = self._running(some).select("*", F.explode("wanted").alias("x")).where(
+            (x["inside"] < upto) & (x["inside"] >= upto - F.col(weight))
+        )
+        part = x["at"] - F.floor(x["at"])
+        low = F.max(F.when(x["rank"] == F.floor(x["at"]), F.col("value")))
+        high = F.max(F.when(x["rank"] == F.ceil(x["at"]), F.col("value")))
+        each = hits.groupBy("spec", x["i"].alias("i"), part.alias("part")).agg(
+            low.alias("low"), high.alias("high"), *[F.max(f"{w}_all").alias(f"{w}_all") for w in self.weights]
         )
-        low = F.max(F.when(F.col("rank") == F.floor("at"), F.col("value")))
-        high = F.max(F.when(F.col("rank") == F.ceil("at"), F.col("value")))
-        each = hits.groupBy("spec", "i", "at").agg(low.alias("low"), high.alias("high"))
-        part = F.col("at") - F.floor("at")
+        value = F.col("low") + (F.col("high") - F.col("low")) * F.col("part")
         return each.groupBy("spec").agg(
-            F.transform(
-                F.sort_array(F.collect_list(F.struct("i", (F.col("low") + (F.col("high") - F.col("low")) * part).alias("v")))),
-                lambda x: x["v"],
-            ).alias("q")
+            F.transform(F.sort_array(F.collect_list(F.struct("i", value.alias("v")))), lambda y: y["v"]).alias("q"),
+            *[F.max(f"{w}_all").alias(f"{w}_all") for w in self.weights],
         )
 
     def distances(self, a: str, b: str) -> DataFrame:

@@ -20,8 +20,10 @@ from riskframe.session import by_value, stage
 
 by_value(__name__)
 
-#: Scores of six decimals fall into at most 245 blocks of this width.
-BLOCK_WIDTH = 4096
+#: Scores of six decimals fall into at most 245 strips of this width; thin neighbours share a block.
+STRIP = 4096
+#: Distinct scores a block has at least, where there are so many, and at most (with ``STRIP`` more).
+BLOCK_CELLS = 4096
 #: Replicates drawn together.
 CHUNK = 50
 
@@ -29,17 +31,25 @@ _PARTIAL = "draw int, rows long, positives long, hits long, ranked double"
 
 
 def score_blocks(df: DataFrame, threshold: float = C.THRESHOLD) -> DataFrame:
-    """One row per block of scores: its cells in descending order and its totals."""
-    cells = df.where(F.col(C.PROBABILITY).isNotNull() & F.col(C.TARGET).isNotNull()).groupBy(C.PROBABILITY).agg(
-        F.sum((F.col(C.TARGET) == 0).cast("long")).alias("n0"),
-        F.sum((F.col(C.TARGET) == 1).cast("long")).alias("n1"),
+    """One row per block of neighbouring scores: its cells in descending order and its totals."""
+    cells = stage(
+        df.where(F.col(C.PROBABILITY).isNotNull() & F.col(C.TARGET).isNotNull()).groupBy(C.PROBABILITY).agg(
+            F.sum((F.col(C.TARGET) == 0).cast("long")).alias("n0"),
+            F.sum((F.col(C.TARGET) == 1).cast("long")).alias("n1"),
+        ).withColumn("strip", F.floor(F.round(F.col(C.PROBABILITY) * 1e6) / STRIP).cast("long")),
+        "score-cells",
     )
-    block = F.floor(F.round(F.col(C.PROBABILITY) * 1e6) / BLOCK_WIDTH).cast("long")
+    starts, held = [], 0
+    for r in cells.groupBy("strip").count().orderBy("strip").collect():  # at most 245 rows
+        if held >= BLOCK_CELLS:
+            starts, held = [*starts, r["strip"]], 0
+        held += r["count"]
+    block = " + ".join(f"int(strip >= {s})" for s in starts) or "0"
     cell = F.struct(
         (-F.col(C.PROBABILITY)).alias("order"), "n0", "n1", (F.col(C.PROBABILITY) >= threshold).alias("hit")
     )
-    return cells.groupBy(block.alias("block")).agg(
-        F.sort_array(F.collect_list(cell)).alias("cells"),  # at most BLOCK_WIDTH of them
+    return cells.groupBy(F.expr(f"cast({block} as bigint)").alias("block")).agg(
+        F.sort_array(F.collect_list(cell)).alias("cells"),  # fewer than BLOCK_CELLS + STRIP
         F.sum("n0").alias("n0"), F.sum("n1").alias("n1"),
     ).select("block", "n0", "n1", *(F.col(f"cells.{c}").alias(f"cell_{c}") for c in ("n0", "n1", "hit")))
 
@@ -69,7 +79,7 @@ def replicates(df: DataFrame, draws: int, threshold: float = C.THRESHOLD, seed:
     """Rows, average precision and recall of every replicate with at least one positive."""
     spark = df.sparkSession
     blocks = stage(score_blocks(df, threshold), "score-blocks")
-    # at most 245 rows of three numbers for scores of six decimals
+    # three numbers a block
     total = blocks.select("block", "n0", "n1").orderBy(F.desc("block")).collect()
     names = np.array([r["block"] for r in total], dtype=np.int64)
     totals = np.array([[r["n0"] for r in total], [r["n1"] for r in total]], dtype=np.int64)

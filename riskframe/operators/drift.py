@@ -5,12 +5,13 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskframe import config as C
 from riskframe.functions.features import common_columns, numeric_columns
 from riskframe.functions.ranks import ValueRanks, exact_percentiles, long_values
 from riskframe.functions.stats import chi2_p, kolmogorov_p, psi_term, verdict
-from riskframe.session import stage
+from riskframe.session import small_table, stage
 
 
 def _side_counts() -> list[Column]:
@@ -23,12 +24,13 @@ def _both(ref: DataFrame, cur: DataFrame, cols: Sequence[str]) -> DataFrame:
     )
 
 
-def bin_number(value: Column, edges: Sequence[float]) -> Column:
-    """Index of the left-closed bin between reference quantiles; outer bins are open."""
-    total = F.lit(0)
-    for e in list(edges)[1:-1]:
-        total = total + F.when(value >= F.lit(e), 1).otherwise(0)
-    return total
+def bin_sql(value: str, edges: Sequence[float]) -> str:
+    """SQL for the left-closed bin between reference quantiles; outer bins are open, null is in none.
+
+    One parsed expression: hundreds of column objects take longer to build than to run.
+    """
+    steps = " + ".join(f"int({value} >= {e!r}D)" for e in list(edges)[1:-1])
+    return f"case when {value} is not null then {steps or 0} end"
 
 
 def distinct_edges(quantiles: Sequence[float | None]) -> list[float]:
@@ -68,20 +70,24 @@ class DriftCheck:
         sides = dict(zip(("n_ref", "n_cur"), _side_counts(), strict=True))
         ranks = ValueRanks(rows, sides)
         every = len(self.numeric)
-        sizes = ranks.values.where(F.col("spec") == every).first()  # one row, none for empty tables
-        self.reference_rows, self.current_rows = (sizes["n_ref"], sizes["n_cur"]) if sizes else (0, 0)
+        quantiles = {r["spec"]: r for r in ranks.percentiles([i / bins for i in range(bins + 1)], "n_ref").collect()}
+        if every in quantiles:
+            sizes = (quantiles[every]["n_ref_all"], quantiles[every]["n_cur_all"])
+        else:  # no reference rows; one row, none for empty tables
+            sizes = ranks.values.where(F.col("spec") == every).select("n_ref", "n_cur").first() or (0, 0)
+        self.reference_rows, self.current_rows = sizes
         self.edges: dict[str, list[float]] = {c: [] for c in self.numeric}
         self._binned_rows = self._distances = self.categories = None
         if self.categorical:
             self.categories = stage(_per_category(both, self.categorical), "category-counts")
         if not self.numeric:
             return
-        for r in ranks.percentiles([i / bins for i in range(bins + 1)], "n_ref").collect():
-            if r["spec"] < every:
-                self.edges[self.numeric[r["spec"]]] = distinct_edges(r["q"])
-        number = F.lit(0)
         for i, c in enumerate(self.numeric):
-            number = F.when(F.col("spec") == i, bin_number(F.col("value"), self.edges[c])).otherwise(number)
+            if i in quantiles:
+                self.edges[c] = distinct_edges(quantiles[i]["q"])
+        number = F.expr(
+            "case spec " + " ".join(f"when {i} then {bin_sql('value', self.edges[c])}" for i, c in enumerate(self.numeric)) + " end"
+        )
         hit = F.col("value") >= threshold
         feature = _name([*self.numeric, ""]).alias("feature")
         values = ranks.values.where(F.col("spec") < every)
@@ -139,7 +145,8 @@ class DriftCheck:
         tests = [(c, "KS") for c in self.numeric if c != C.PROBABILITY]
         tests += [(c, "chi2") for c in self.categorical]
         # a column that is null throughout has no counts, but its row belongs in the table
-        listed = self.spark.createDataFrame(tests, "feature string, test string")
+        names = T.StructType().add("feature", "string").add("test", "string")
+        listed = small_table(self.spark, tests, names)
         rows = listed.join(F.broadcast(_union(parts)), "feature", "left")
         return rows.select(
             "feature",
@@ -348,14 +355,15 @@ class Bins(NamedTuple):
 def reference_bins(ref: DataFrame, cols: Sequence[str], bins: int = C.PSI_BINS) -> dict[str, Bins]:
     """Bins per column from the reference's quantiles: a few numbers per column."""
     edges = reference_edges(ref, cols, bins)
-    number = {c: F.when(F.col(c).isNotNull(), bin_number(F.col(c), edges[c])) for c in cols}
+    number = {c: bin_sql(f"`{c}`", edges[c]) for c in cols}
     size = {c: max(1, len(edges[c]) - 1) for c in cols}
     cells = [(c, i) for c in cols for i in range(size[c])]
-    row = ref.agg(*[F.sum((number[c] == i).cast("long")).alias(f"n{k}") for k, (c, i) in enumerate(cells)]).first()
+    numbered = ref.selectExpr(*[f"{number[c]} as `{c}`" for c in cols])
+    row = numbered.selectExpr(*[f"count_if(`{c}` = {i}) as n{k}" for k, (c, i) in enumerate(cells)]).first()
     counts: dict[str, list[int]] = {c: [] for c in cols}
     for k, (c, _) in enumerate(cells):
-        counts[c].append(row[f"n{k}"] or 0)
-    return {c: Bins(number[c], counts[c]) for c in cols}
+        counts[c].append(row[f"n{k}"])
+    return {c: Bins(F.expr(number[c]), counts[c]) for c in cols}
 
 
 def psi_by_run(
@@ -366,8 +374,9 @@ def psi_by_run(
     The runs are counted in a single aggregate with one sum per column and bin, so no row is multiplied.
     """
     found = reference_bins(ref, cols, bins)
-    wide = cur.groupBy(run).agg(*[
-        F.sum((b.number == i).cast("long")).alias(f"{c}|{i}") for c, b in found.items() for i in range(len(b.reference))
+    numbered = cur.select(run, *[b.number.alias(c) for c, b in found.items()])  # once for all its sums
+    wide = numbered.groupBy(run).agg(*[
+        F.expr(f"sum(if(`{c}` = {i}, 1L, 0L)) as `{c}|{i}`") for c, b in found.items() for i in range(len(b.reference))
     ])
     rows = []
     for c, b in found.items():

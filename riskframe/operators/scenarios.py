@@ -10,7 +10,7 @@ from riskframe import config as C
 from riskframe.functions.decision import alarm, error_kind, expected_cost, ratio_or_zero
 from riskframe.functions.stats import verdict
 from riskframe.operators.drift import (
-    bin_number,
+    bin_sql,
     psi_from_counts,
     reference_edges,
     worst_verdict,
@@ -84,24 +84,19 @@ def scenario_table(
     kinds = ["TP", "FP", "FN", "TN"]
 
     def cells(df: DataFrame, side: int, keys: Sequence[str]) -> DataFrame:
-        def rows(cond: Column, name: str) -> Column:
-            return F.sum(cond.cast("long")).alias(name)
-
-        number = {c: bin_number(F.col(c), edges[c]) for c in numeric}
-        sums = [rows(F.col(c).isNotNull() & (number[c] == i), f"b{k}") for k, (c, i) in enumerate(bins)]
+        # as text: hundreds of column objects take longer to build than to run
+        df = df.selectExpr("*", *[f"{bin_sql(c, edges[c])} as `__{c}`" for c in numeric])  # once for all its sums
+        sums = [F.expr(f"sum(if(`__{c}` = {i}, 1L, 0L)) as b{k}") for k, (c, i) in enumerate(bins)]
+        packed = [f"'{c}', '{i}', b{k}" for k, (c, i) in enumerate(bins)] + ["'type', cast(type as string), of_type"]
         if not side:
-            kind = error_kind(C.TARGET, alarm(threshold=threshold))
-            sums += [rows(kind == name, name) for name in kinds]
+            df = df.withColumn("__kind", error_kind(C.TARGET, alarm(threshold=threshold)))
+            sums += [F.expr(f"sum(if(__kind = '{name}', 1L, 0L)) as {name}") for name in kinds]
+            packed += [f"'outcome', '{name}', {name}" for name in kinds]
         wide = df.groupBy(*keys, "type").agg(F.count("*").alias("of_type"), *sums)
-        packed = [(c, F.lit(str(i)), F.col(f"b{k}")) for k, (c, i) in enumerate(bins)]
-        packed.append(("type", F.col("type").cast("string"), F.col("of_type")))
-        packed += [] if side else [("outcome", F.lit(name), F.col(name)) for name in kinds]
-        entries = F.array(*[
-            F.struct(F.lit(f).alias("feature"), b.alias("bin"), n.alias("n")) for f, b, n in packed
-        ])
+        entries = F.expr(f"stack({len(packed)}, {', '.join(packed)}) as (feature, bin, n)")
         n = F.coalesce("n", F.lit(0))
         zero = F.lit(0).cast("long")
-        return wide.select(*keys, F.explode(entries).alias("x")).select(*keys, "x.*").where("bin is not null").select(
+        return wide.select(*keys, entries).where("bin is not null").select(
             *keys, "feature", "bin", (n if side else zero).alias("n_ref"), (zero if side else n).alias("n_cur")
         )
 

@@ -7,8 +7,11 @@ import sys
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 _WRITTEN: list[str] = []
 
@@ -65,6 +68,13 @@ def release(spark: SparkSession) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def small_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A few rows as a table that no Python worker has to read."""
+    columns = zip(*rows, strict=True) if rows else [[]] * len(schema)
+    table = pa.table([pa.array(c, to_arrow_type(f.dataType)) for c, f in zip(columns, schema, strict=True)], schema.names)
+    return spark.createDataFrame(table, schema)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a (small) intermediate once and read it back.
 
