@@ -133,6 +133,7 @@ MODEL_NAME = "random_forest"
 RETRAIN_ROWS = 2000
 RETRAIN_DAYS = 182
 PERSISTENCE_RUNS = 3
+LEAST_IMPORTANCE = 0.01  # average precision that a contributing feature loses when permuted
 MAX_BATCH_ITEMS = 1000
 
 # The measures whose quartile bands are sliced by, and the pairs that are crossed.

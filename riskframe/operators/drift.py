@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from riskframe import config as C
 from riskframe.functions.features import common_columns, numeric_columns
 from riskframe.functions.ranks import ValueRanks, exact_percentiles, long_values
-from riskframe.functions.stats import chi2_p, kolmogorov_p, psi_term, verdict
+from riskframe.functions.stats import chi2_p, exact_kolmogorov_p, kolmogorov_p, psi_term, verdict
 from riskframe.session import small_table, stage
 
 
@@ -61,7 +61,10 @@ class DriftCheck:
         without: Sequence[str] = (C.TARGET, C.KEY),
         threshold: float = C.THRESHOLD,
         bins: int = C.PSI_BINS,
+        exact_p: bool = False,
     ):
+        """``exact_p``: p-values of the distance from the exact distribution, for samples of bounded size."""
+        self.exact_p = exact_p
         self.spark = ref.sparkSession
         self.threshold = threshold
         self.numeric, self.categorical = feature_kinds(ref, cur, without)
@@ -110,7 +113,8 @@ class DriftCheck:
             self._binned_rows, extra=("s_ref", "s_cur", "a_ref", "a_cur")
         ).join(F.broadcast(self._distances), "feature", "left")  # one row per column
         usable = (F.col("ref_rows") > 0) & (F.col("cur_rows") > 0)
-        p = kolmogorov_p(F.col("distance"), F.col("ref_rows"), F.col("cur_rows"))
+        p_value = exact_kolmogorov_p if self.exact_p else kolmogorov_p
+        p = p_value(F.col("distance"), F.col("ref_rows"), F.col("cur_rows"))
         return rows.select(
             "feature", "psi",
             F.when(usable, F.col("distance")).alias("statistic"),
@@ -378,17 +382,17 @@ def psi_by_run(
     wide = numbered.groupBy(run).agg(*[
         F.expr(f"sum(if(`{c}` = {i}, 1L, 0L)) as `{c}|{i}`") for c, b in found.items() for i in range(len(b.reference))
     ])
-    rows = []
-    for c, b in found.items():
-        counts = [F.coalesce(F.col(f"`{c}|{i}`"), F.lit(0)) for i in range(len(b.reference))]
-        n, total = sum(counts[1:], counts[0]), sum(b.reference)
-        terms = [
-            psi_term(F.lit(r / total), F.try_divide(x, n)) for r, x in zip(b.reference, counts, strict=True)
-        ] if total else []
-        psi = sum(terms, F.lit(0.0)) if terms else F.lit(None).cast("double")
-        rows.append(F.struct(F.lit(c).alias("feature"), F.when(n > 0, psi).alias("psi")))
-    return wide.select(F.col(run).alias("run"), F.explode(F.array(*rows)).alias("x")).select(
-        "run", "x.*"
+    cells = [
+        f"'{c}', {r / sum(b.reference) if sum(b.reference) else 0.0!r}D, `{c}|{i}`"
+        for c, b in found.items() for i, r in enumerate(b.reference)
+    ]
+    long = wide.select(F.col(run).alias("run"), F.expr(f"stack({len(cells)}, {', '.join(cells)}) as (feature, share, n)"))
+    # a few rows per run and feature
+    whole = Window.partitionBy("run", "feature")
+    long = long.select("*", F.sum("n").over(whole).alias("total"), F.sum("share").over(whole).alias("reference"))
+    term = psi_term(F.col("share"), F.try_divide("n", "total"))
+    return long.groupBy("run", "feature").agg(
+        F.sum(F.when((F.col("total") > 0) & (F.col("reference") > 0), term)).alias("psi")
     )
 
 

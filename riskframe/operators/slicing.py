@@ -12,6 +12,8 @@ from riskframe.operators.profiling import band_labels, band_number, quantile_edg
 BANDS = C.SLICE_BANDS
 SLICES = ["type", *BANDS]
 CROSSES = C.SLICE_CROSSES
+PARTS = 4
+OTHER, MISSING = "other", "missing"
 
 
 def attach_causes(scored: DataFrame, states: DataFrame, key: str = C.KEY) -> DataFrame:
@@ -27,16 +29,18 @@ def attach_causes(scored: DataFrame, states: DataFrame, key: str = C.KEY) -> Dat
 def slice_cells(df: DataFrame, threshold: float = C.THRESHOLD) -> tuple[DataFrame, dict]:
     """Counts per combination of all slice values, and the label of each slice value.
 
-    At most types x 4^5 rows, from one pass with map-side combining; every slice, cross and
-    overall metric is a sum over these cells.
+    At most (types + 1) x 5^5 rows, from one pass with map-side combining; every slice, cross and
+    overall metric is a sum over these cells. No row is left out: types that are not listed (or null) share the
+    value "other", rows without a measure the last band, "missing".
     """
     edges = quantile_edges(df, list(BANDS.values()))
-    labels = {"type": {i: t for i, t in enumerate(C.TYPES, 1)}}
+    last = len(C.TYPES) + 1
+    labels = {"type": {**dict(enumerate(C.TYPES, 1)), last: OTHER}}
     order = F.array_position(F.array(*[F.lit(t) for t in C.TYPES]), F.col("type")).cast("int")
-    numbers = [order.alias("type")]
+    numbers = [F.when(order > 0, order).otherwise(last).alias("type")]
     for name, col in BANDS.items():
-        numbers.append(band_number(col, edges[col]).alias(name))
-        labels[name] = dict(enumerate(band_labels(edges[col]), 1))
+        numbers.append(F.coalesce(band_number(col, edges[col]), F.lit(PARTS + 1)).alias(name))
+        labels[name] = {**dict(enumerate(band_labels(edges[col]), 1)), PARTS + 1: MISSING}
     kind = error_kind(C.TARGET, alarm(threshold=threshold)).alias("kind")
 
     def n(value: str, alias: str) -> Column:
@@ -82,7 +86,7 @@ def slice_metrics(cells: DataFrame, labels: dict) -> DataFrame:
     ])
     long = cells.select(F.explode(picks).alias("p"), "rows", "tp", "fp", "fn").select(
         "p.*", "rows", "tp", "fp", "fn"
-    ).where("value_no is not null")
+    )
     table = _metrics(_sums(long, ["slice", "value_no"]))
     total = F.sum("cost_eur").over(Window.partitionBy("slice"))
     return table.withColumns({
@@ -111,20 +115,21 @@ def cross_metrics(
     The metric is null below ``min_rows`` rows; the size is always shown.
     """
     a, b = pair
+    columns = range(1, PARTS + 2)  # the last one: rows that are in no band
     table = _metrics(_sums(cells, [a, b])).withColumn(
         "m", F.when(F.col("rows") >= min_rows, F.col(metric))
     )
     wide = table.groupBy(a).agg(
-        *[F.max(F.when(F.col(b) == i, F.col("m"))).alias(f"{metric}_{i}") for i in range(1, 5)],
-        *[F.max(F.when(F.col(b) == i, F.col("rows"))).alias(f"rows_{i}") for i in range(1, 5)],
+        *[F.max(F.when(F.col(b) == i, F.col("m"))).alias(f"{metric}_{i}") for i in columns],
+        *[F.max(F.when(F.col(b) == i, F.col("rows"))).alias(f"rows_{i}") for i in columns],
     )
     return wide.select(
         F.lit(f"{a} x {b}").alias("pair"),
         F.col(a).alias("row_no"),
         _label(labels, F.lit(a), F.col(a)).alias("row_value"),
-        *[f"{metric}_{i}" for i in range(1, 5)],
-        *[f"rows_{i}" for i in range(1, 5)],
-    ).where("row_no is not null")
+        *[f"{metric}_{i}" for i in columns],
+        *[f"rows_{i}" for i in columns],
+    )
 
 
 def metrics_by_cause(df: DataFrame, threshold: float = C.THRESHOLD) -> DataFrame:

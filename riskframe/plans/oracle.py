@@ -414,8 +414,8 @@ sm as (select *, round(coalesce(cost_eur/nullif(sum(cost_eur) over (partition by
         an = "type_no" if a == "type" else a
         av = "type" if a == "type" else f"l_{a}"
         cells = ", ".join(
-            f"max(case when b={i} and rows>=50 then r end) as recall_{i}" for i in range(1, 5)
-        ) + ", " + ", ".join(f"max(case when b={i} then rows end) as rows_{i}" for i in range(1, 5))
+            f"max(case when b={i} and rows>=50 then r end) as recall_{i}" for i in range(1, 6)
+        ) + ", " + ", ".join(f"max(case when b={i} then rows end) as rows_{i}" for i in range(1, 6))
         crosses.append(
             f"select '{a} x {b}' as pair, a as row_no, any_value(v) as row_value, {cells} from ("
             f"select {an} as a, {av} as v, {b} as b, count(*) as rows,"
@@ -542,6 +542,55 @@ pd as (select run, feature, round(psi,4) as psi, {VERDICT} as verdict, case when
  from dp window w as (partition by feature order by run rows between 2 preceding and current row))"""
 
 
+def _importance_sql() -> str:
+    """CTE im: average precision lost per permuted feature, on the reference half."""
+    cols = [*C.MEASURES, "l_linenumber"]
+    given = ", ".join(cols)
+    variants = union([f"select 'none permuted' as f, machine_failure, {given} from px"] + [
+        f"select '{f}', machine_failure, " + ", ".join(f"o_{c} as {c}" if c == f else c for c in cols) + " from px"
+        for f in cols
+    ])
+    lag = ", ".join(f"coalesce(lag({c}) over w, last_value({c}) over (partition by lot order by h, state_id"
+                    f" rows between unbounded preceding and unbounded following)) as o_{c}" for c in cols)
+    return f"""ph as (select *, md5('permutation|'||state_id) as h from ss where state_id<'8'),
+pl as (select *, ('0x'||substr(h,1,8))::bigint % 8 as lot from ph),
+px as (select machine_failure, {given}, {lag} from pl window w as (partition by lot order by h, state_id)),
+pv as ({variants}),
+pw as (select *, round(process_temperature_k-air_temperature_k,1) as temp_difference_k,
+ torque_nm*rotational_speed_rpm*2*pi()/60 as power_w, tool_wear_min*torque_nm as wear_torque_min_nm from pv),
+pq as (select f, machine_failure, {score_sql()} as probability from pw),
+{metrics_cte("pq", "pm", "f")},
+pa as (select f, sum(pos*(cp*1e0/cn))/sum(pos) as ap from pm_r group by f),
+im as (select f as feature, round(ap,6) as pr_auc, round((select ap from pa where f='none permuted')-ap,6) as importance
+ from pa where f<>'none permuted')"""
+
+
+def _contributing_sql() -> str:
+    cols = [*C.MEASURES, "l_linenumber"]
+    edges = union([
+        f"select '{c}' as feature, list(distinct round(x,9) order by round(x,9)) as e from"
+        f" (select unnest(quantile_cont({c},{_DECILES})) as x from ss where state_id<'8')" for c in cols
+    ])
+    moved = {"l_linenumber": "case when run in ('8','9','a','b') then l_linenumber+4 else l_linenumber end",
+             "tool_wear_min": "case when run in ('c','d','e','f') then tool_wear_min+60 else tool_wear_min end"}
+    long = union([
+        f"select run, '{c}' as feature, cast({moved.get(c, c)} as double) as v from (select *, case when state_id<'8' then 'ref'"
+        f" else substr(state_id,1,1) end as run from ss)" for c in cols
+    ])
+    return f"""with {BASE}, {_importance_sql()}, ce as ({edges}), cl as ({long}),
+cb as (select run, feature, len(list_filter(e[2:len(e)-1], lambda z: v>=z)) as b, count(*) as n from cl join ce using (feature) group by all),
+cs as (select run, feature, b, n*1e0/sum(n) over (partition by run, feature) as s from cb),
+cp as (select r.run, c.feature, sum({psi_term("coalesce(c.s,0)", "coalesce(x.s,0)")}) as psi
+ from (select distinct run from cs where run<>'ref') r cross join (select * from cs where run='ref') c
+ left join cs x on x.run=r.run and x.feature=c.feature and x.b=c.b group by all),
+cw as (select run, feature, case when count(*) over w=3 then min(psi) over w end as held
+ from cp window w as (partition by feature order by run rows between 2 preceding and current row)),
+cj as (select run, feature, coalesce(held>=0.25, false) as acting, importance>={C.LEAST_IMPORTANCE} as relied from cw join im using (feature))
+select run, coalesce(string_agg(feature, ',' order by feature) filter (where acting and relied), '') as contributing,
+ coalesce(string_agg(feature, ',' order by feature) filter (where acting and not relied), '') as other,
+ bool_or(acting and relied) as retrain from cj group by run"""
+
+
 def _scenario_ctes() -> str:
     """CTE st: the scenario table by running every scenario on its own."""
     variants = {
@@ -616,6 +665,8 @@ def drift_sql() -> dict[str, str]:
  case when alarm_rate>0.25 or alarm_rate<0.01 then 'act' when alarm_rate<0.03 or alarm_rate>0.1 then 'watch' else 'stable' end as alarm_band,
  case when median_latency_ms>200 then 'act' when median_latency_ms>=50 then 'watch' else 'stable' end as latency_band,
  case when error_rate>0.05 then 'act' when error_rate>=0.01 then 'watch' else 'stable' end as error_band from t""",
+        "permutation_importance": f"with {BASE}, {_importance_sql()} select * from im",
+        "retrain_contributing": _contributing_sql(),
         "stream_drift_runs": f"""with {_runs_sql()} select cast(run as varchar) as run, feature, psi, verdict, persistent_verdict
  from pd where run < (select cast(max(ts) - interval 1 hour as date) from lo)""",
         "drift_persistent": f"with {_runs_sql()} select * replace (cast(run as varchar) as run) from pd",

@@ -11,6 +11,7 @@ from riskframe.functions.ordering import numbered_rows
 from riskframe.functions.times import utc_day, utc_wall
 from riskframe.operators import (
     bootstrap,
+    contribution,
     contract,
     drift,
     metrics,
@@ -489,6 +490,19 @@ def ks_two_sample(spark, folder):
     )
 
 
+@query
+def ks_exact(spark, folder):
+    """Exact p-values for samples of 1,000 reference and 1,500 current rows."""
+    ref, cur = _drift_pair(spark, folder)
+    cols = [*C.MEASURES, C.PROBABILITY]
+    check = drift.DriftCheck(
+        splits.uniform_sample(ref, C.SAMPLE_SIZE).select(*cols), splits.uniform_sample(cur, 1500).select(*cols), exact_p=True
+    )
+    return check.numeric_summary().select(
+        "feature", F.round("statistic", 6).alias("statistic"), F.round("p", 9).alias("p_value")
+    )
+
+
 @query
 def chi2_homogeneity(spark, folder):
     ref, cur = _drift_pair(spark, folder, shifted=False)
@@ -567,6 +581,36 @@ def retrain_trigger(spark, folder):
     )
 
 
+CONTRIBUTORS = [*C.MEASURES, "l_linenumber"]
+
+
+def _later_runs(spark, folder):
+    """Reference half of the states, and the other half in eight runs; two features drift in some of them."""
+    both = tables.stored_states(spark, folder, *C.INPUT_FIELDS, C.TARGET, "l_linenumber")
+    run = F.substring(C.KEY, 1, 1).alias("run")
+    cur = both.where("state_id >= '8'").select("*", run).withColumns({
+        "l_linenumber": F.when(F.col("run").isin("8", "9", "a", "b"), F.col("l_linenumber") + 4).otherwise(F.col("l_linenumber")),
+        "tool_wear_min": F.when(F.col("run") >= "c", F.col("tool_wear_min") + 60).otherwise(F.col("tool_wear_min")),
+    })
+    return both.where("state_id < '8'"), cur
+
+
+@query
+def permutation_importance(spark, folder):
+    ref, _ = _later_runs(spark, folder)
+    return contribution.permutation_importance(ref, CONTRIBUTORS, _score, lots=8)
+
+
+@query
+def retrain_contributing(spark, folder):
+    """Retraining only for lasting drift of features that the scorer relies on."""
+    ref, cur = _later_runs(spark, folder)
+    runs = drift.persistent_drift(drift.psi_by_run(ref, cur, "run", CONTRIBUTORS))
+    return contribution.contributing_drift(
+        runs, contribution.permutation_importance(ref, CONTRIBUTORS, _score, lots=8)
+    )
+
+
 # ---- what-if scenarios ----------------------------------------------------------------------
 
 

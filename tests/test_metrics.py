@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from score_tables import scored
 
 from riskframe import config as C
@@ -195,6 +196,17 @@ def test_slice_recall_is_null_without_failures(spark):
     assert r["recall"] is None and r["precision"] is None and r["f1"] is None
 
 
+def test_unlisted_types_and_missing_measures_stay_in_all_tables(sliced):
+    df, _, _ = sliced
+    odd = df.limit(7).withColumns({"type": F.when(F.col("machine_failure") == 1, "X"), "tool_wear_min": F.lit(None).cast("int")})
+    cells, labels = slice_cells(df.unionByName(odd))
+    assert overall_metrics(cells).first()["rows"] == 607
+    table = {(r["slice"], r["value"]): r["rows"] for r in slice_metrics(cells, labels).collect()}
+    assert table["type", "other"] == 7 and table["wear_band", "missing"] == 7
+    crossed = {r["row_value"]: r for r in cross_metrics(cells, labels, ("type", "wear_band")).collect()}
+    assert crossed["other"]["rows_5"] == 7 and crossed["L"]["rows_5"] is None
+
+
 def test_small_cells_are_masked_but_counted(sliced):
     _, cells, labels = sliced
     out = cross_metrics(cells, labels, ("type", "wear_band"), min_rows=50).collect()
