@@ -95,23 +95,24 @@ SEARCH_TRIALS = 30
 # Fixed values of the random search: ranges are (from, to), lists are choices.
 SEARCH_RANGES = {
     "random_forest": {
-        "numTrees": ("whole", 100, 600),
-        "maxDepth": [6, 10, 15, 20, 30],
-        "minInstancesPerNode": ("whole", 1, 10),
-        "featureSubsetStrategy": ["sqrt", "log2", "0.5"],
-        "weightCol": ["unit_weight", "balanced_weight"],
+        "trees": ("whole", 100, 600),
+        "depth": [6, 10, 15, 20, 30],
+        "min_leaf": ("whole", 1, 10),
+        "share": ["sqrt", "log2", "0.5"],
+        "weight": ["unit_weight", "balanced_weight", "balanced_per_tree"],
     },
     "boosting": {
-        "maxIter": ("whole", 100, 600),
-        "maxDepth": ("whole", 3, 10),
-        "stepSize": ("log", 0.01, 0.3),
-        "subsamplingRate": ("even", 0.6, 1.0),
-        "minInstancesPerNode": ("whole", 1, 10),
-        "weightCol": ["unit_weight", "balanced_weight"],
+        "rounds": ("whole", 100, 600),
+        "depth": ("whole", 3, 10),
+        "step": ("log", 0.01, 0.3),
+        "subsample": ("even", 0.6, 1.0),
+        "share": ("share", 0.6, 1.0),
+        "min_leaf": ("whole", 1, 10),
+        "weight": ["unit_weight", "sqrt_weight", "ratio_weight"],
     },
     "logistic_regression": {
-        "C": ("log", 0.01, 100.0),
-        "weightCol": ["unit_weight", "balanced_weight"],
+        "c": ("log", 0.01, 100.0),
+        "weight": ["unit_weight", "balanced_weight"],
     },
 }
 

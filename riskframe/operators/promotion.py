@@ -56,14 +56,17 @@ LEDGER_COLUMNS = [
 
 
 def ledger_rows(
-    gated: DataFrame, params: Column, code_version: str, status: str = "finished"
+    gated: DataFrame, params: Column, code_version: str, status: str = "finished", facts: dict[str, Column] | None = None
 ) -> DataFrame:
-    """Ledger rows of gated runs (run_no, run_name and metrics are columns of ``gated``)."""
+    """Ledger rows of gated runs (run_no, run_name and metrics are columns of ``gated``).
+
+    ``facts`` are further columns, such as the durations of the run's steps.
+    """
     return gated.withColumns({
         "params": params,
         "code_version": F.lit(code_version),
         "status": F.lit(status),
-    }).select(*LEDGER_COLUMNS)
+    }).select(*LEDGER_COLUMNS, *[v.alias(k) for k, v in (facts or {}).items()])
 
 
 def append_ledger(rows: DataFrame, path: str) -> None:
@@ -122,6 +125,7 @@ def promote(
     model_path: str,
     params: Column,
     code_version: str,
+    facts: dict[str, Column] | None = None,
 ) -> bool:
     """Record the run, and save the model as a new version only if the gate passed.
 
@@ -131,7 +135,7 @@ def promote(
     run = gated.select("run_no", "passed").first()
     if run["passed"]:  # first the model: a recorded version always has one
         save(f"{model_path}/version={run['run_no']}")
-    append_ledger(ledger_rows(gated, params, code_version), ledger_path)
+    append_ledger(ledger_rows(gated, params, code_version, facts=facts), ledger_path)
     return run["passed"]
 
 

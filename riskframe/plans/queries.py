@@ -14,6 +14,7 @@ from riskframe.operators import (
     contribution,
     contract,
     drift,
+    forest,
     metrics,
     models,
     predlog,
@@ -923,6 +924,13 @@ def rf_metrics(spark, folder):
     return models.evaluate(models.fit(train, models.random_forest()), val)
 
 
+@query
+def balanced_forest_metrics(spark, folder):
+    """Ten of the published forest's trees, each class-balanced in its own bag."""
+    train, val = _train_val(spark, folder)
+    return models.evaluate(models.fit(train, forest.BalancedForest(trees=10)), val)
+
+
 @query
 def gbt_metrics(spark, folder):
     train, val = _train_val(spark, folder)
@@ -943,11 +951,7 @@ def cv_compare(spark, folder):
 @query
 def random_search(spark, folder):
     train, _ = _train_val(spark, folder)
-    space = {
-        "numTrees": lambda r: r.randrange(5, 15),
-        "maxDepth": lambda r: r.choice([4, 6, 8]),
-        "weightCol": lambda r: r.choice(models.WEIGHTS),
-    }
+    space = {**models.search_space("random_forest"), "trees": lambda r: r.randrange(4, 8), "depth": lambda r: r.choice([4, 6])}
     found, _model = models.random_search(
         splits.stratified_folds(train, 3), "random_forest", trials=3, folds=3, space=space
     )

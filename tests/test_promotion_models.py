@@ -4,7 +4,7 @@ from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.sql import functions as F
 
 from riskframe import config as C
-from riskframe.operators import metrics, models, promotion, splits
+from riskframe.operators import forest, metrics, models, promotion, splits
 
 
 def metric_row(spark, pr_auc, recall, cost):
@@ -129,7 +129,7 @@ def test_search_and_cross_validation(labelled):
     folded = splits.stratified_folds(train, 2)
     table, best = models.random_search(
         folded, "logistic_regression", trials=2, folds=2,
-        space={"C": lambda r: 0.01 * 10 ** (3 * r.random()), "weightCol": lambda r: r.choice(models.WEIGHTS)},
+        space={"c": lambda r: 0.01 * 10 ** (3 * r.random()), "weight": lambda r: r.choice(models.WEIGHTS)},
     )
     rows = table.collect()
     assert len(rows) == 2 and rows[0]["mean"] >= rows[1]["mean"]
@@ -142,6 +142,57 @@ def test_search_and_cross_validation(labelled):
         models.search_space("svm")
 
 
+def test_bags_are_poisson_and_differ_by_tree(spark):
+    df = spark.range(20_000).select(F.col("id").cast("string").alias(C.KEY))
+    row = df.agg(
+        *[F.avg(forest.bag_weight(t)).alias(f"m{t}") for t in (0, 1)],
+        F.avg((forest.bag_weight(0) == 0).cast("int")).alias("none"), F.max(forest.bag_weight(0)).alias("most"),
+        F.corr(forest.bag_weight(0), forest.bag_weight(1)).alias("r"),
+    ).first()
+    assert row["m0"] == pytest.approx(1, abs=0.03) and row["m1"] == pytest.approx(1, abs=0.03)
+    assert row["none"] == pytest.approx(0.3679, abs=0.015) and 5 <= row["most"] <= 10 and abs(row["r"]) < 0.03
+
+
+def test_balanced_forest_is_one_saved_model(spark, labelled, tmp_path):
+    train, val = labelled
+    rare = train.where((F.col(C.TARGET) == 0) | (F.col("tool_wear_min") % 5 == 0))  # few positives
+    model = models.fit(rare, forest.BalancedForest(trees=4, depth=5, min_leaf=1))
+    scores = models.score(model, val)
+    assert scores.where("probability < 0 or probability > 1 or probability is null").count() == 0
+    assert metrics.average_precision(scores).first()["pr_auc"] > 0.7
+    models.save_model(model, str(tmp_path / "m"), 0.5)
+    back, _ = models.load_model(spark, str(tmp_path / "m"))
+    assert sorted(models.score(back, val).collect()) == sorted(scores.collect())
+    # stumps score near the class rate, stumps of balanced bags near one half
+    plain, even = (
+        models.score(models.fit(rare, make(trees=3, depth=1, min_leaf=1)), val).agg(F.avg("probability")).first()[0]
+        for make in (models.random_forest, forest.BalancedForest)
+    )
+    assert even > 1.5 * plain
+
+
+def test_search_settings_become_estimators(labelled):
+    import random
+
+    draw = random.Random(3)
+    for name in C.SEARCH_RANGES:
+        space = models.search_space(name)
+        kinds = set()
+        for _ in range(12):
+            settings = {k: f(draw) for k, f in space.items()}
+            made = models.estimator(name, settings, 1000)
+            kinds.add(type(made).__name__)
+            if hasattr(made, "getWeightCol"):
+                assert made.getWeightCol() == settings["weight"]
+            if name == "boosting":
+                assert made.getFeatureSubsetStrategy() == settings["share"] and 0.6 <= float(settings["share"]) <= 1
+        assert len(kinds) == (2 if name == "random_forest" else 1)
+    row = models.with_class_weights(labelled[0]).groupBy(C.TARGET).agg(F.max("sqrt_weight"), F.max("ratio_weight"), F.count("*")).collect()
+    by = {r[0]: r[1:] for r in row}
+    ratio = by[0][2] / by[1][2]
+    assert by[1][:2] == (pytest.approx(ratio**0.5), pytest.approx(ratio)) and by[0][:2] == (1.0, 1.0)
+
+
 def test_average_precision_evaluator_equals_metric(labelled):
     train, val = labelled
     model = models.fit(train, models.random_forest(trees=3, depth=3))
@@ -165,6 +216,11 @@ def test_training_run_end_to_end(spark, labelled, tmp_path):
         train_run(states.withColumn("torque_nm", F.lit(-1.0)), store, 3, "third", forest)
     ledger = {r["run_no"]: r for r in promotion.read_ledger(spark, store + "/ledger").collect()}
     assert ledger[1]["passed"] and not ledger[2]["passed"]
+    # every run, also the failed one, tells how long its steps took and on which data
+    assert set(ledger[1]["step_seconds"]) == {"fingerprint", "contract", "split", "fit", "evaluate"}
+    assert set(ledger[3]["step_seconds"]) == {"fingerprint", "contract"}
+    assert ledger[1]["fingerprint"] == ledger[2]["fingerprint"] != ledger[3]["fingerprint"]
+    assert all(v >= 0 for v in ledger[2]["step_seconds"].values())
     assert ledger[3]["status"].startswith("failed") and ledger[2]["pr_auc"] == ledger[1]["pr_auc"]
     model, threshold = models.load_model(spark, f"{store}/models/version=1")
     assert threshold == C.THRESHOLD
