@@ -157,7 +157,8 @@ def union(parts: list[str]) -> str:
     return " union all ".join(parts)
 
 
-def _contract_rows() -> str:
+def _contract_rows(absent: str = "", text: str = "", expected: int | None = None) -> str:
+    """All checks as rows; optionally of a table without a column, with a measure as text, with a row count."""
     rows, no = [], 0
 
     def add(check, col, severity, violations, lo="null", hi="null"):
@@ -171,9 +172,13 @@ def _contract_rows() -> str:
         )
 
     for col, r in C.CONTRACT["columns"].items():
-        add("present", col, "error", "count(*)*0")
+        add("present", col, "error", f"count(*)*0+{int(col == absent)}")
+        if col == absent:
+            continue
         add("missing", col, "error", f"count(*) filter (where {col} is null)")
-        if r["kind"] == "numeric":
+        if col == text:
+            add("type", col, "error", "count(*)")
+        elif r["kind"] == "numeric":
             for check, sev, op in (("min", "error", "<"), ("max", "error", ">"),
                                    ("warn_min", "warning", "<"), ("warn_max", "warning", ">")):
                 add(check, col, sev, f"count(*) filter (where {col} {op} {r[check]})",
@@ -181,6 +186,8 @@ def _contract_rows() -> str:
         else:
             allowed = ",".join(repr(a) for a in r["allowed"])
             add("allowed", col, "error", f"count(*) filter (where {col} not in ({allowed}))")
+    if expected is not None:
+        add("row_count", None, "error", f"abs(count(*)-{expected})")
     add("unexpected", None, "warning", "count(*)*0+1")
     return f"select *, violations=0 as passed from ({union(rows)})"
 
@@ -262,6 +269,11 @@ def table_sql() -> dict[str, str]:
  (select count(*) from (select state_id from k where split='train' intersect select state_id from k where split='test')) as train_test,
  (select count(*) from (select state_id from k where split='val' intersect select state_id from k where split='test')) as val_test,
  0 as forbidden_columns""",
+        "contract_broken": f"{w}, {DIRTY} " + _contract_rows("tool_wear_min", "torque_nm", C.CONTRACT["expected_row_count"]),
+        "split_changed": f"""{s}, a as (select state_id, machine_failure, split from sp),
+ b as (select state_id, machine_failure, case when rn<=floor(0.2*nc+0.5) then 'test' when rn<=floor(0.35*nc+0.5) then 'val' else 'train' end as split from rk)
+ select (select count(*) from (from a except all from b)) as only_stored,
+ (select count(*) from (from b except all from a)) as only_recomputed, false as reproduced""",
         "split_reproducible": f"""{s}, a as (select state_id, machine_failure, split from sp) select
  (select count(*) from (from a except all from a)) as only_stored,
  (select count(*) from (from a except all from a)) as only_recomputed, true as reproduced""",

@@ -200,6 +200,13 @@ def contract_report(spark, folder):
     return contract.contract_report(_dirty_states(spark, folder))
 
 
+@query
+def contract_broken(spark, folder):
+    """A table that breaks the schema checks too: a text measure, an absent column, too many rows."""
+    df = _dirty_states(spark, folder).withColumn("torque_nm", F.col("torque_nm").cast("string")).drop("tool_wear_min")
+    return contract.contract_report(df, {**C.CONTRACT, "check_row_count": True})
+
+
 @query
 def contract_summary(spark, folder):
     return contract.contract_summary(contract.contract_report(_dirty_states(spark, folder)))
@@ -271,6 +278,17 @@ def split_reproducible(spark, folder):
     return splits.split_reproducible(stores.read_split(spark, path).select(*cols), again)
 
 
+@query
+def split_changed(spark, folder):
+    """A stored split does not pass for one with another test share."""
+    path = work_path(spark, "splits")
+    cols = ["state_id", C.TARGET, "split"]
+    states = tables.stored_states(spark, folder, C.TARGET)
+    stores.write_splits(splits.stratified_split(states).select(*cols), path)
+    again = splits.stratified_split(states, test=0.2).select(*cols)
+    return splits.split_reproducible(stores.read_split(spark, path).select(*cols), again)
+
+
 @query
 def uniform_sample(spark, folder):
     return splits.uniform_sample(
