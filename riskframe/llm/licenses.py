@@ -3,11 +3,11 @@
 Blocks are the lines, and the windows of consecutive words over the whole text, whatever its line breaks:
 one starts at every word that occurs in a template, and a template sees as many of its words as the template
 has itself and may be missing. A block meets a template if it holds at least ``CONTAINMENT`` of the
-template's distinct words. Words that occur in a template are ordered by their global frequency, rarest
+template's distinct words, those among them that tell it from other licenses. Words that occur in a template are ordered by their global frequency, rarest
 first. With ``o`` the words needed, a matching block must share one of its first ``m - o + 1`` words with the
 template's first ``t - o + 1`` words (prefix filter), have ``m >= o`` words (length filter), and have
 enough words left after the shared one on both sides (positional filter). Pairs that pass, each
-emitted at its first shared word only, are confirmed by their full overlap.
+emitted at its first shared word only, are confirmed by their full overlap and the required words.
 
 Templates are a parameter; their words and prefixes are small by that and are sent along as literals
 and a broadcast table. Texts are read once; blocks are made only of texts that hold enough words of a template,
@@ -51,6 +51,21 @@ TEMPLATES = {
 }
 CONTAINMENT = 0.8
 
+#: The words that tell a notice from those of other licenses; a match holds all of them.
+REQUIRED = {
+    "agpl-notice": "affero",
+    "apache-2.0-notice": "apache",
+    "apache-2.0-text": "compliance",
+    "bsd-text": "redistribution",
+    "cc-by-notice": "creative commons",
+    "cc-by-nc-notice": "cc nc",
+    "gpl-notice": "gnu general",
+    "gpl-text": "gnu general",
+    "mit-notice": "mit",
+    "mit-text": "permission",
+    "mpl-2.0-notice": "mozilla",
+}
+
 
 def _words(text: str) -> list[str]:
     return re.findall(WORD, text.lower())
@@ -134,10 +149,14 @@ def _blocks(parsed: DataFrame, rare: list[str], least: int, longest: int) -> Dat
 
 
 def licenses(
-    docs: DataFrame, templates: dict[str, str] | None = None, containment: float = CONTAINMENT
+    docs: DataFrame,
+    templates: dict[str, str] | None = None,
+    containment: float = CONTAINMENT,
+    required: dict[str, str] | None = None,
 ) -> DataFrame:
     """Per row: ``doc_id``, words, phrase places, labels, and the best containment of a template."""
     spark = docs.sparkSession
+    required = required if required is not None else {} if templates else REQUIRED
     lists = {name: _words(text) for name, text in (templates or TEMPLATES).items()}
     sets = {name: list(dict.fromkeys(words)) for name, words in lists.items()}
     needed = {name: _needed(len(words), containment) for name, words in sets.items()}
@@ -155,9 +174,10 @@ def licenses(
     for name, words in sets.items():
         ranked, o = sorted(words, key=rank.__getitem__), needed[name]
         prefix = ranked[: len(words) - o + 1]
-        index += [(w, i, name, len(words), o, reach[name], ranked) for i, w in enumerate(prefix)]
+        own = _words(required.get(name, ""))
+        index += [(w, i, name, len(words), o, reach[name], ranked, own) for i, w in enumerate(prefix)]
     prefixes = spark.createDataFrame(
-        index, "token string, at_t int, template string, t int, o int, reach int, words array<string>"
+        index, "token string, at_t int, template string, t int, o int, reach int, words array<string>, own array<string>"
     )
     blocks = _blocks(parsed, sorted({x[0] for x in index}), least, max(reach.values()))
     ordered = blocks.withColumn("tokens", F.array_intersect(_literals(order), "tokens")).withColumn(
@@ -173,8 +193,10 @@ def licenses(
         & (F.size(F.array_intersect(F.expr("slice(tokens, 1, at_b)"), "words")) == 0)
     )
     within = F.filter("block", lambda x: x["off"] < F.col("reach"))
-    overlap = F.size(F.array_intersect("words", F.transform(within, lambda x: x["token"])))
-    matches = pairs.withColumn("overlap", overlap).where(F.col("overlap") >= F.col("o"))
+    seen = F.transform(within, lambda x: x["token"])
+    matches = pairs.withColumn("overlap", F.size(F.array_intersect("words", seen))).where(
+        (F.col("overlap") >= F.col("o")) & (F.size(F.array_except("own", seen)) == 0)
+    )
     best = matches.groupBy(F.col("doc_id").alias("_doc"), F.col("version").alias("_version")).agg(
         F.collect_set("template").alias("templates"), F.max(F.col("overlap") / F.col("t")).alias("best")
     )

@@ -37,8 +37,10 @@ from s group by conv_id"""
 def _licenses() -> str:
     sets = {name: list(dict.fromkeys(licenses._words(t))) for name, t in licenses.TEMPLATES.items()}
     rows = ", ".join(
-        f"('{name}', {words}, {len(words)}, {licenses._needed(len(words), licenses.CONTAINMENT)})"
+        f"('{name}', {words}, {len(words)}, {o}, {len(licenses._words(licenses.TEMPLATES[name])) + len(words) - o},"
+        f" {licenses.REQUIRED[name].split(' ')})"
         for name, words in sets.items()
+        for o in [licenses._needed(len(words), licenses.CONTAINMENT)]
     )
     places = "union all by name ".join(
         "select doc_id, '{label}' as label, i - 1 as pos from w, unnest(range(1, len(words) + 1)) r(i) where {same}\n".format(
@@ -48,13 +50,19 @@ def _licenses() -> str:
     )
     return f"""
 with w as (select doc_id, {_WORDS.format(t='text')} as words from documents),
-templates(name, words, t, o) as (values {rows}),
-lines as (
-  select doc_id, list_distinct({_WORDS.format(t='line')}) as words
-  from documents, unnest(string_split(coalesce(text, ''), chr(10))) x(line)
+templates(name, words, t, o, reach, own) as (values {rows}),
+able as (
+  select doc_id, name from w, templates where len(list_intersect(list_distinct(w.words), templates.words)) >= o
+), blocks as (
+  select doc_id, name, list_distinct({_WORDS.format(t='line')}) as words
+  from documents join able using (doc_id), unnest(string_split(coalesce(text, ''), chr(10))) x(line)
+  union all
+  select doc_id, name, list_distinct(w.words[i : i + reach - 1])
+  from able join w using (doc_id) join templates using (name), unnest(range(1, len(w.words) + 1)) r(i)
+  where list_contains(templates.words, w.words[i])
 ), hits as (
-  select doc_id, name, len(list_intersect(lines.words, templates.words)) as n, t
-  from lines, templates where len(list_intersect(lines.words, templates.words)) >= o
+  select doc_id, name, len(list_intersect(blocks.words, templates.words)) as n, t from blocks join templates using (name)
+  where len(list_intersect(blocks.words, templates.words)) >= o and len(list_intersect(blocks.words, own)) = len(own)
 ), best as (
   select doc_id, list(distinct name) as names, max(n / t) as score from hits group by doc_id
 ), places as ({places}), base as (

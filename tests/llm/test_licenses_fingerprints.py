@@ -21,8 +21,8 @@ def plain(text):
     for name, template in licenses.TEMPLATES.items():
         t = set(words(template))
         for line in (text or "").split("\n"):
-            n = len(t & set(words(line)))
-            if n >= licenses._needed(len(t), licenses.CONTAINMENT):
+            n, own = len(t & set(words(line))), set(licenses.REQUIRED[name].split())
+            if n >= licenses._needed(len(t), licenses.CONTAINMENT) and own <= set(words(line)):
                 found.add(name)
                 best = max(best, n / len(t))
     ends = (min(at), max(at)) if at else (None, None)
@@ -51,6 +51,22 @@ def test_licenses_odd_rows(spark, table):
     assert licenses.licenses(table([])).count() == 0
 
 
+@pytest.mark.parametrize(
+    ("text", "labels"),
+    [
+        ("licensed under the GNU General Public License, version 3", "gpl,gpl-notice"),
+        ("licensed under the GNU General Public License", "gpl"),
+        ("licensed under the GNU Affero General Public License", "agpl-notice,gpl"),
+        ("Released under the Apache License", "apache"),
+        ("released under the MIT License", "mit,mit-notice"),
+        ("Licensed under the Apache License, Version 2.0", "apache,apache-2.0-notice"),
+        ("the general public, licensed under a GNU license", ""),
+    ],
+)
+def test_labels_need_their_own_words(spark, table, text, labels):
+    assert [r.labels for r in licenses.licenses(table([(1, text), (2, text.replace(" ", "\n"))])).collect()] == [labels] * 2
+
+
 WRAPPED = {
     "gpl-text": [
         "you can redistribute it and/or modify",
@@ -89,7 +105,9 @@ def test_license_windows_equal_plain(spark, table, prose):
             t = set(words(template))
             o = licenses._needed(len(t), licenses.CONTAINMENT)
             size = len(words(template)) + len(t) - o
-            n = max(len(t & set(w[i : i + size])) for i in range(len(w)))
+            own = set(licenses.REQUIRED[name].split())
+            seen = [set(w[i : i + size]) for i in range(len(w))]
+            n = max((len(t & x) for x in seen if own <= x), default=0)
             if n >= o:
                 out.add(name)
                 best = max(best, n / len(t))
