@@ -101,13 +101,15 @@ def current_daily_stats(spark: SparkSession, path: str) -> DataFrame:
 def drift_stream(
     stream: DataFrame, ref: DataFrame, path: str, checkpoint: str, min_rows: int = C.MIN_ROWS
 ) -> StreamingQuery:
-    """A drift verdict per micro-batch against a static reference, stored once as each batch is."""
+    """A drift verdict per micro-batch against a static reference, which is stored once."""
     ref = stage(ref, "drift-reference")
 
     def check(batch: DataFrame, batch_id: int) -> None:
-        DriftCheck(ref, stage(batch, "drift-batch")).verdict(min_rows).write.mode("overwrite").parquet(
-            f"{path}/batch={batch_id}"
-        )
+        batch.persist()  # several passes follow, and nothing of the batch is left behind
+        try:
+            DriftCheck(ref, batch).verdict(min_rows).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        finally:
+            batch.unpersist()
 
     return (
         stream.writeStream.foreachBatch(check).option("checkpointLocation", checkpoint)

@@ -50,12 +50,3 @@ def test_raw_files_with_other_headers_or_bad_numbers_fail(spark, tmp_path):
     bad.write_text("\n".join([header, ",".join(cells)]), encoding="utf-8")
     with pytest.raises(Exception, match="(?i)malformed|parse"):
         ingest.load_raw(spark, str(bad)).collect()
-
-
-def test_files_beyond_the_limit_fail_loudly(spark, tmp_path, monkeypatch):
-    import pytest
-
-    monkeypatch.setattr(ingest, "HASH_LIMIT", 3)
-    (tmp_path / "long.bin").write_bytes(b"12345")
-    with pytest.raises(ValueError, match="long.bin"):
-        ingest.file_hashes(spark, str(tmp_path))
