@@ -677,6 +677,8 @@ def drift_sql() -> dict[str, str]:
  case when alarm_rate>0.25 or alarm_rate<0.01 then 'act' when alarm_rate<0.03 or alarm_rate>0.1 then 'watch' else 'stable' end as alarm_band,
  case when median_latency_ms>200 then 'act' when median_latency_ms>=50 then 'watch' else 'stable' end as latency_band,
  case when error_rate>0.05 then 'act' when error_rate>=0.01 then 'watch' else 'stable' end as error_band from t""",
+        "stream_deduplicated": f"""with {LOG} select cast(cast(ts as date) as varchar) as day, count(*) as records,
+ round(sum(probability),4) as probability_sum from lo group by all""",
         "permutation_importance": f"with {BASE}, {_importance_sql()} select * from im",
         "retrain_contributing": _contributing_sql(),
         "stream_drift_runs": f"""with {_runs_sql()} select cast(run as varchar) as run, feature, psi, verdict, persistent_verdict

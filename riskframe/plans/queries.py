@@ -793,6 +793,28 @@ def stream_daily_stats(spark, folder):
     return _day_text(log_stream.current_daily_stats(spark, out), "day")
 
 
+@query
+def stream_deduplicated(spark, folder):
+    """Records per day of a stream in which many arrive twice, also in a later run, where state must remember them."""
+    source, out, checkpoint = (work_path(spark, n) for n in ("stream-in", "stream-out", "checkpoint"))
+    log = tables.prediction_log(spark, folder, numbered=True).select("ts", "request_id", "row_no", "probability")
+    day = utc_day("ts")
+    first, rest = day <= "2024-01-15", day > "2024-01-15"
+    parts = [
+        log.where(first).unionByName(log.where(first & (F.col("row_no") % 2 == 0))),
+        log.where(rest).unionByName(log.where(day == "2024-01-15")),
+    ]
+    for part in parts:
+        part.write.mode("append").json(source)
+        stream = log_stream.json_stream(spark, source, log.schema)
+        log_stream.finish(log_stream.append_stream(log_stream.deduplicated(stream), out, checkpoint))
+    seen = spark.read.schema(log.schema).parquet(out)
+    counts = seen.groupBy(day.alias("day")).agg(
+        F.count("*").alias("records"), F.round(F.sum("probability"), 4).alias("probability_sum")
+    )
+    return _day_text(counts, "day")
+
+
 @query
 def stream_drift(spark, folder):
     ref, cur = _drift_pair(spark, folder)
