@@ -603,8 +603,9 @@ select run, coalesce(string_agg(feature, ',' order by feature) filter (where act
  bool_or(acting and relied) as retrain from cj group by run"""
 
 
-def _scenario_ctes() -> str:
-    """CTE st: the scenario table by running every scenario on its own."""
+def _scenario_ctes(torque: dict[str, str] | None = None) -> str:
+    """CTE st: the scenario table by running every scenario on its own; ``torque`` are further ones."""
+    torque = torque or {}
     variants = {
         "control": ("type", "process_temperature_k", "tool_wear_min"),
         "temperature_calibration": ("type", "process_temperature_k+3e0", "tool_wear_min"),
@@ -613,10 +614,11 @@ def _scenario_ctes() -> str:
             "case when row_number() over (order by state_id)<=floor(0.8*(select count(*) from pc)) then 'H' else type end",
             "process_temperature_k", "tool_wear_min",
         ),
+        **{n: ("type", "process_temperature_k", "tool_wear_min") for n in torque},
     }
     rows = union([
         f"""select '{n}' as scenario, machine_failure, {t} as type, air_temperature_k, {p} as process_temperature_k,
- rotational_speed_rpm, torque_nm, {w} as tool_wear_min from pc""" for n, (t, p, w) in variants.items()
+ rotational_speed_rpm, {torque.get(n, "torque_nm")} as torque_nm, {w} as tool_wear_min from pc""" for n, (t, p, w) in variants.items()
     ])
     cols = [*C.MEASURES, C.PROBABILITY]
     ref = union([f"select '{c}' as feature, cast({c} as double) as v from pr" for c in cols])
@@ -659,6 +661,10 @@ def drift_sql() -> dict[str, str]:
  (select prediction_verdict from om) as prediction_verdict, {", ".join(
      f"(select count(*) from dt where verdict='{x}') as {x}" for x in ("act", "watch", "unknown"))}"""
     sc = f"with {BASE}, {EVEN}, {_scenario_ctes()}"
+    uneven = {"uneven_torque": "case when type='L' then torque_nm*0.85e0 else torque_nm*1.03e0 end"}
+    silent = """ select scenario, alarm_rate, recall, round(cr-recall,4) as recall_drop, max_psi, prediction_psi
+ from st, ctl where scenario<>'control' and abs(alarm_rate-ca)<=0.25*ca and round(cr-recall,4)>=0.05
+ order by round(cr-recall,4) desc, scenario limit 1"""
     return {
         "psi_numeric": f"{w} select feature, round(psi,4) as psi, len(e)<3 as degenerate_reference from ps join ed using (feature) where feature<>'probability'",
         "psi_categorical": f"""with {BASE}, {PAIR}, {CATEGORY} select 'type' as feature, cast(nr as bigint) as ref_rows,
@@ -693,9 +699,8 @@ def drift_sql() -> dict[str, str]:
  when days_since>={C.RETRAIN_DAYS} then 'schedule' else 'none' end as trigger,
  persistent_act or new_rows>={C.RETRAIN_ROWS} or days_since>={C.RETRAIN_DAYS} as retrain from c join pa using (run)""",
         "scenario_table": f"{sc} select * from st",
-        "scenario_silent": f"""{sc} select scenario, alarm_rate, recall, round(cr-recall,4) as recall_drop, max_psi, prediction_psi
- from st, ctl where scenario<>'control' and abs(alarm_rate-ca)<=0.25*ca and round(cr-recall,4)>=0.05
- order by round(cr-recall,4) desc, scenario limit 1""",
+        "scenario_silent": f"{sc}{silent}",
+        "scenario_silent_found": f"with {BASE}, {EVEN}, {_scenario_ctes(uneven)}{silent}",
         "scenario_harmless": f"""{sc} select scenario, max_psi, max_psi_feature, recall, cost_eur from st, ctl
  where scenario<>'control' and verdict='act' and recall>=cr-0.01 and abs(cost_eur-cc)<1""",
         "scenario_selfcheck": f"""{sc} select bool_and(verdict='stable') filter (where scenario='control') as control_stable,

@@ -639,6 +639,18 @@ def scenario_table(spark, folder):
     return scenarios.scenario_table(ref, cur.drop(C.PROBABILITY), _score)
 
 
+@query
+def scenario_silent_found(spark, folder):
+    """Torque sensors that read low on one type and high on the others: alarms stay, hits go."""
+    uneven = scenarios.Scenario(
+        "torque reads 15 % low on type L, 3 % high on the others",
+        lambda df: {"torque_nm": F.when(F.col("type") == "L", F.col("torque_nm") * 0.85).otherwise(F.col("torque_nm") * 1.03)},
+    )
+    ref, cur = _drift_pair(spark, folder, shifted=False)
+    tried = {**scenarios.SCENARIOS, "uneven_torque": uneven}
+    return scenarios.silent_failure(scenarios.scenario_table(ref, cur.drop(C.PROBABILITY), _score, tried))
+
+
 @query
 def scenario_silent(spark, folder):
     return scenarios.silent_failure(scenario_table(spark, folder))
