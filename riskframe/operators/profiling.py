@@ -2,9 +2,11 @@
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskframe import config as C
 from riskframe.functions.ranks import exact_percentiles
+from riskframe.session import small_table
 
 
 def column_profile(df: DataFrame, exact: bool = True) -> DataFrame:
@@ -31,36 +33,29 @@ def column_profile(df: DataFrame, exact: bool = True) -> DataFrame:
         ])))
     whole = [c for c in df.columns if types[c] in ("tinyint", "smallint", "int", "bigint")]
     other = [c for c in df.columns if c not in whole]
-    missing = df.agg(*[n.alias(c) for c, n in zip(df.columns, nulls, strict=True)]).select(
-        F.inline(F.array(*[
-            F.struct(F.lit(i).alias("spec"), F.coalesce(F.col(f"`{c}`"), F.lit(0)).alias("missing"))
-            for i, c in enumerate(df.columns)
-        ]))
-    )
     number = {c: i for i, c in enumerate(df.columns)}
     counted = []
     if whole:
         cells = [x for c in whole for x in (F.lit(number[c]), F.col(c).cast("long"))]
-        rows = df.select(F.stack(F.lit(len(whole)), *cells).alias("spec", "v")).where("v is not null")
+        rows = df.select(F.stack(F.lit(len(whole)), *cells).alias("spec", "v"))
         bitmaps = rows.groupBy("spec", F.bitmap_bucket_number("v").alias("bucket")).agg(
-            F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position("v"))).alias("n")
+            F.count_if(F.col("v").isNull()).alias("missing"),
+            F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position("v"))).alias("n"),
         )
-        counted.append(bitmaps.groupBy("spec").agg(F.sum("n").alias("distinct_values")))
+        counted.append(bitmaps.groupBy("spec").agg(F.sum("missing").alias("missing"), F.sum("n").alias("distinct_values")))
     if other:
         cells = [
             x for c in other
-            for x in (F.lit(number[c]), F.when(F.col(c).isNotNull(), F.xxhash64(c)), F.xxhash64(F.lit(1), c))
+            for x in (F.lit(number[c]), *(F.when(F.col(c).isNotNull(), h) for h in (F.xxhash64(c), F.xxhash64(F.lit(1), c))))
         ]
-        rows = df.select(F.stack(F.lit(len(other)), *cells).alias("spec", "a", "b")).where("a is not null")
-        digests = rows.groupBy("spec", "a", "b").agg(F.lit(1).alias("n"))
-        counted.append(digests.groupBy("spec").agg(F.count("*").alias("distinct_values")))
+        rows = df.select(F.stack(F.lit(len(other)), *cells).alias("spec", "a", "b"))
+        digests = rows.groupBy("spec", "a", "b").agg(F.count_if(F.col("a").isNull()).alias("missing"))
+        counted.append(digests.groupBy("spec").agg(F.sum("missing").alias("missing"), F.count("a").alias("distinct_values")))
     found = counted[0] if len(counted) == 1 else counted[0].unionByName(counted[1])
-
-    def of(names: list[str]) -> Column:
-        return F.element_at(F.array(*[F.lit(n) for n in names]), F.col("spec") + 1)
-
-    return missing.join(F.broadcast(found), "spec", "left").select(  # one row per column
-        of(df.columns).alias("column"), of([types[c] for c in df.columns]).alias("type"), "missing",
+    schema = T.StructType().add("spec", "integer").add("column", "string").add("type", "string")
+    listed = small_table(df.sparkSession, [(i, c, types[c]) for c, i in number.items()], schema)
+    return listed.join(F.broadcast(found), "spec", "left").select(  # one row per column
+        "column", "type", F.coalesce("missing", F.lit(0)).alias("missing"),
         F.coalesce("distinct_values", F.lit(0)).alias("distinct_values"),
     )
 
