@@ -3,8 +3,9 @@
 Permutation importance of a feature is the loss of average precision when its values are dealt out
 anew. All features are permuted in one scan: rows are put into lots by a hash of their key, ordered inside
 a lot by the rest of the hash, and each row borrows the values of the row before it (the first one those of the
-last), a permutation of the lot. One variant of the row per feature, with that feature borrowed,
-is scored beside the row itself, and the variants' score counts are ranked together. Lots hold about
+last), a permutation of the lot. A lot of more rows than ``LOT`` is ordered in ranges of the hash, whose first
+rows borrow from the range before. One variant of the row per feature, with that feature borrowed,
+is scored beside the row itself, and the variants' score counts are ranked together. Ranges hold about
 ``LOT`` rows, so no task sorts more, and every draw is a hash: a rerun repeats it.
 """
 
@@ -23,16 +24,32 @@ ALL = "none permuted"
 
 def permuted(df: DataFrame, features: Sequence[str], key: str = C.KEY, lots: int | None = None) -> DataFrame:
     """The rows, and per feature a variant of each row with that feature borrowed (column ``permuted``)."""
-    lots = lots or -(-df.count() // LOT) or 1
+    rows = df.count()
+    lots = lots or -(-rows // LOT) or 1
+    parts = min(-(-rows // (lots * LOT)) or 1, 65_536)
     digest = F.md5(F.concat(F.lit("permutation|"), F.col(key)))
-    hashed = df.withColumn("__h", digest).withColumn(
-        "__lot", F.conv(F.substring("__h", 1, 8), 16, 10).cast("long") % lots
-    )
-    lot = Window.partitionBy("__lot")
-    order = lot.orderBy("__h", key)
     values = F.struct(*features)
-    last = F.last(values).over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    borrowed = hashed.withColumn("__other", F.coalesce(F.lag(values).over(order), last)).drop("__h", "__lot")
+    # a large lot is cut into ranges of the hash, which the order inside the lot follows
+    start = F.conv(F.substring("__h", 1, 8), 16, 10).cast("long")
+    lot, place = start % lots, F.shiftright(start * parts, 32)
+    hashed = df.withColumn("__h", digest).withColumns({
+        "__values": values, "__lot": F.coalesce(lot, F.lit(-1)), "__part": F.coalesce(place, F.lit(0)),
+    })
+    # values last: rows with the same key are in one order in both places
+    order = ["__h", key, "__values"]
+    ends = hashed.groupBy("__lot", "__part").agg(F.max(F.struct(*order)).alias("end"))
+    around = Window.partitionBy("__lot").orderBy("__part")
+    whole = around.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    before = ends.select(
+        "__lot", "__part", F.coalesce(F.lag("end").over(around), F.last("end").over(whole))["__values"].alias("__before")
+    )
+    inside = Window.partitionBy("__lot", "__part").orderBy(*order)
+    borrowed = (
+        hashed.withColumn("__other", F.lag("__values").over(inside))
+        .join(F.broadcast(before), ["__lot", "__part"])  # a row per range of LOT rows
+        .withColumn("__other", F.coalesce("__other", "__before"))
+        .drop("__h", "__lot", "__part", "__values", "__before")
+    )
     variants = [F.struct(F.lit(ALL).alias("permuted"), *features)] + [
         F.struct(F.lit(f).alias("permuted"), *[F.col(f"__other.{c}").alias(c) if c == f else F.col(c) for c in features])
         for f in features

@@ -38,6 +38,20 @@ def test_variants_are_permutations(table, lots):
         assert (part[C.TARGET] == plain[C.TARGET]).all()
 
 
+def test_large_lots_are_ordered_in_ranges(table, monkeypatch):
+    def pairs(df):
+        return sorted(tuple(r) for r in df.collect())
+
+    rows = table.unionByName(table.where("a < 0.2").withColumn("b", F.col("b") / 2))  # some keys come twice
+    whole = contribution.permuted(rows, ["a", "b", "c"], lots=2)
+    monkeypatch.setattr(contribution, "LOT", 50)
+    cut = contribution.permuted(rows, ["a", "b", "c"], lots=2)
+    assert pairs(cut) == pairs(whole)
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert "__part" in plan.split("Window", 1)[1]  # a lot is not one group
+    assert cut.count() == 4 * rows.count()
+
+
 def test_importance_ranks_the_features(table):
     got = {r["feature"]: r["importance"] for r in contribution.permutation_importance(table, ["a", "b", "c"], scorer).collect()}
     assert got["a"] > 0.2 > got["b"] > -0.02 and got["c"] == 0.0
