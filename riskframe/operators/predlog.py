@@ -3,13 +3,12 @@
 import logging
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskframe import config as C
 from riskframe.functions.times import utc_day
-from riskframe.session import stage
 
 log = logging.getLogger(__name__)
 
@@ -50,8 +49,8 @@ def log_records(
 
 
 def append_json(records: DataFrame, path: str) -> int:
-    """Append records as JSON lines; a failed write is reported and returns 0, never raised."""
-    return _append(records, lambda df: df.write.mode("append").json(path))
+    """Append records as gzipped JSON lines; a failed write is reported and returns 0, never raised."""
+    return _append(records, lambda df: df.write.mode("append").json(path, compression="gzip"))
 
 
 def append_table(records: DataFrame, path: str) -> int:
@@ -66,11 +65,11 @@ def append_table(records: DataFrame, path: str) -> int:
 
 
 def _append(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
-    """Write and return the rows written; they are stored once for both."""
+    """Write and return the rows written, counted on their way."""
     try:
-        rows = stage(df, "log-rows")
-        write(rows)
-        return rows.count()
+        seen = Observation()
+        write(df.observe(seen, F.count("*").alias("rows")))
+        return seen.get.get("rows", 0)
     except Exception as e:  # noqa: BLE001 - a full log store must not stop scoring
         log.error("log records could not be written: %s", e)
         return 0

@@ -56,6 +56,20 @@ def test_two_appends_accumulate_in_both_stores(spark, calls, tmp_path):
     assert set(C.INPUT_FIELDS) < set(back.columns) and back.count() == 8
 
 
+def test_appends_write_rows_once_and_count_them(spark, calls, tmp_path):
+    from riskframe import session
+
+    records = predlog.log_records(calls)
+    before = len(session._WRITTEN)
+    assert predlog.append_json(records, str(tmp_path / "j")) == 4
+    assert predlog.append_table(records, str(tmp_path / "t")) == 4
+    assert predlog.append_json(records.limit(0), str(tmp_path / "j")) == 0
+    assert predlog.append_table(records.where("row_no < 0"), str(tmp_path / "t")) == 0
+    assert len(session._WRITTEN) == before  # no copy beside the store
+    assert {p.suffix for p in (tmp_path / "j").glob("part-*")} == {".gz"}
+    assert predlog.read_json(spark, str(tmp_path / "j"), records).count() == 4
+
+
 def test_failed_append_is_reported_not_raised(calls, tmp_path):
     blocker = tmp_path / "file"
     blocker.write_text("x")
