@@ -11,8 +11,10 @@ nodes only those go on that hold several components. There the classes outside o
 component are compared with all classes of other components, at once where they are at most
 ``OUTSIDE``, after branching on otherwise, and after ``DEEPER`` further levels in any case: no node is left
 uncompared, and a group of copies that its centre links costs no further pairs. Pairs must agree in
-size and in a 128-bit sketch; the rest is confirmed on the full sets. Pairs that two trees find are
-confirmed once. Two levels are branched at a time, so a signature is dealt out once per two levels and
+size and in a 128-bit sketch of their signatures. Before any full set travels, a sketch of the parities of
+``PARITY`` buckets of a set's elements is compared: two of them differ in no more bits than the sets differ in
+elements, so a pair that differs in more than the threshold allows is dropped without loss. The rest is
+confirmed on the full sets. Pairs that two trees find are confirmed once. Two levels are branched at a time, so a signature is dealt out once per two levels and
 not at all for the first two.
 
 Defined results: null, empty and wordless texts have an empty set, link with nothing and are kept;
@@ -25,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,11 +39,16 @@ SIGNATURE = 128
 TREES, LEVELS, SECOND = 8, 4, 0.15
 SMALL, PIVOTS = 12, 2
 OUTSIDE, DEEPER = 64, 4
+FEW_CLASSES = 100_000
 #: Largest difference of two 128-bit sketches; pairs at the threshold differ in far fewer bits.
 SLACK_SIGMAS = 5.0
 
+#: Buckets of the parity sketch. For sets so long that most of them are hit, a bound of as many deviations is closer.
+PARITY, PARITY_SIGMAS = 512, 6.0
+_ODD = [f"o{i}" for i in range(PARITY // 64)]
+
 _SEEDS = np.random.default_rng(7).integers(1, 1 << 63, (2, SIGNATURE), dtype=np.uint64)
-_SET = "size long, hi long, lo long, signature binary, s0 long, s1 long"
+_SET = "size long, hi long, lo long, signature binary, s0 long, s1 long, " + ", ".join(f"{c} long" for c in _ODD)
 
 
 def shingles(text: str | None, words: int, hashes: WordHash) -> np.ndarray:
@@ -62,6 +69,12 @@ def signature(elements: np.ndarray) -> np.ndarray:
     return low
 
 
+def parities(elements: np.ndarray) -> list[int]:
+    """Whether the number of elements is odd, per bucket, as whole numbers of 64 bits."""
+    odd = np.bincount((mix64(elements) % np.uint64(PARITY)).astype(np.int64), minlength=PARITY) & 1
+    return np.frombuffer(np.packbits(odd.astype(bool)).tobytes(), np.int64).tolist()
+
+
 def _described(words: int):
     @F.pandas_udf(_SET)
     def described(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -73,14 +86,14 @@ def _described(words: int):
             for t in texts:
                 e = shingles(t, words, hashes)
                 if not len(e):
-                    rows.append((0, 0, 0, None, 0, 0))
+                    rows.append((0, 0, 0, None, 0, 0, *[0] * len(_ODD)))
                     continue
                 d, sig = xxhash.xxh3_128_digest(e.tobytes()), signature(e)
                 hi, lo = np.frombuffer(d, np.int64).tolist()
                 bits = np.packbits((mix64(sig.astype(np.uint64)) & np.uint64(1)).astype(bool))
                 s0, s1 = np.frombuffer(bits.tobytes(), np.int64).tolist()
-                rows.append((len(e), hi, lo, sig.tobytes(), s0, s1))
-            yield pd.DataFrame(rows, columns=["size", "hi", "lo", "signature", "s0", "s1"])
+                rows.append((len(e), hi, lo, sig.tobytes(), s0, s1, *parities(e)))
+            yield pd.DataFrame(rows, columns=["size", "hi", "lo", "signature", "s0", "s1", *_ODD])
 
     return described
 
@@ -158,10 +171,18 @@ def _alike(percent: int):
     )
 
 
+def _parities_allow(percent: int) -> Column:
+    """Whether two sets may be similar, by the bits in which their parities differ."""
+    differ = sum((F.bit_count(F.col(f"l.{c}").bitwiseXOR(F.col(f"r.{c}"))) for c in _ODD), F.lit(0))
+    most = (F.col("l.size") + F.col("r.size")) * ((100 - percent) / (100 + percent))  # elements of one set only
+    likely = PARITY / 2 * (1 - F.exp(most * (-2 / PARITY))) + PARITY_SIGMAS * PARITY**0.5 / 2
+    return differ <= F.least(most + 1e-6, likely)
+
+
 def _pairs(left: DataFrame, right: DataFrame, percent: int, ordered: bool, apart: bool = False) -> DataFrame:
     how = _alike(percent) & (F.col("l.path") == F.col("r.path"))
     if apart:
-        how = how & (F.col("l.comp") != F.col("r.comp"))
+        how = how & (F.col("l.comp") != F.col("r.comp")) & _parities_allow(percent)
     if ordered:
         how = how & (F.col("l.rep") < F.col("r.rep"))
     return left.alias("l").join(right.alias("r"), how).select(
@@ -244,7 +265,7 @@ def pairs_outside(dense: DataFrame, classes: DataFrame, confirmed: DataFrame, pe
     """
     if dense.isEmpty():
         return None
-    signatures = classes.select("rep", "signature")
+    signatures, odd = classes.select("rep", "signature"), classes.select("rep", *_ODD)
     known = components(confirmed).select(F.col("node").alias("rep"), "component")
     nodes = dense.join(known, "rep", "left").withColumn("comp", F.coalesce("component", "rep")).drop("component")
     found = []
@@ -256,7 +277,7 @@ def pairs_outside(dense: DataFrame, classes: DataFrame, confirmed: DataFrame, pe
         if mixed.isEmpty():
             break
         few = F.lit(level > LEVELS + DEEPER) | (F.col("outside") <= OUTSIDE)
-        now = mixed.where(few).select(*_NODE, "comp", "main")
+        now = mixed.where(few).select(*_NODE, "comp", "main").join(odd, "rep")
         rest = now.where(F.col("comp") != F.col("main"))
         found.append(_pairs(now, rest, percent, ordered=False, apart=True))
         large = mixed.where(~few).drop("main", "outside")
@@ -271,6 +292,14 @@ def pairs_outside(dense: DataFrame, classes: DataFrame, confirmed: DataFrame, pe
     return out if out is None else out.distinct()
 
 
+def _allowed(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs that the parities of their sets allow."""
+    held = classes.select("rep", "size", *_ODD)
+    left = pairs.join(held.select("rep", F.struct("size", *_ODD).alias("l")).hint("merge"), F.col("a") == F.col("rep")).drop("rep")
+    both = left.join(held.select("rep", F.struct("size", *_ODD).alias("r")).hint("merge"), F.col("b") == F.col("rep"))
+    return both.where(_parities_allow(percent)).select("a", "b")
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int, name: str) -> DataFrame:
     """The pairs whose full sets (``rep``, ``elements``) are similar."""
     full_a = sets.select(F.col("rep").alias("a"), F.col("elements").alias("x"))
@@ -279,6 +308,16 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int, name: str) -> Da
     return stage(checked.where(_similar(F.lit(percent), F.col("x"), F.col("y"))).select("a", "b"), name)
 
 
+def _full_sets(docs: DataFrame, pairs: DataFrame, words: int, name: str) -> DataFrame:
+    """The full sets of the classes in ``pairs``; a few classes are broadcast, so that the texts stay where they are."""
+    needed = stage(pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct(), f"{name}-needed")
+    needed = F.broadcast(needed) if needed.count() <= FEW_CLASSES else needed.hint("shuffle_hash")
+    sets = docs.join(needed, F.col("doc_id") == F.col("rep"), "left_semi").select(
+        F.col("doc_id").alias("rep"), _sets(words)(F.col("text")).alias("elements")
+    )
+    return stage(sets.dropDuplicates(["rep"]), name)
+
+
 def links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """The described rows (``doc_id``, set size and digest) and confirmed pairs of classes.
 
@@ -293,22 +332,19 @@ def links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> tuple[
             F.first("signature").alias("signature"),
             F.first("s0").alias("s0"),
             F.first("s1").alias("s1"),
+            *[F.first(c).alias(c) for c in _ODD],
         ).where(F.col("rep").isNotNull()),
         "near-classes",
     )
     pairs, dense = candidate_pairs(classes, percent)
-    pairs = stage(pairs, "near-pairs")
-    needed = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).union(dense.select("rep")).distinct()
-    sets = docs.join(needed.hint("shuffle_hash"), F.col("doc_id") == F.col("rep"), "left_semi").select(
-        F.col("doc_id").alias("rep"), _sets(words)(F.col("text")).alias("elements")
-    )
-    sets = stage(sets.dropDuplicates(["rep"]), "near-full")
-    confirmed = _confirmed(pairs, sets, percent, "near-links")
+    pairs = stage(_allowed(pairs, classes, percent), "near-pairs")
+    confirmed = _confirmed(pairs, _full_sets(docs, pairs, words, "near-full"), percent, "near-links")
     more = pairs_outside(dense, classes, confirmed, percent)
     if more is not None:
         more = stage(more.join(pairs, ["a", "b"], "left_anti"), "near-pairs-outside")
-        asked = more.select(F.col("a").alias("rep")).union(more.select("b")).distinct()
-        confirmed = confirmed.union(_confirmed(more, sets.join(asked, "rep", "left_semi"), percent, "near-links-outside"))
+        if not more.isEmpty():
+            sets = _full_sets(docs, more, words, "near-full-outside")
+            confirmed = confirmed.union(_confirmed(more, sets, percent, "near-links-outside"))
     return described.select("doc_id", "size", "hi", "lo"), confirmed
 
 

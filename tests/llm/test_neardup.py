@@ -73,3 +73,42 @@ def test_odd_rows(spark, table):
     assert sorted(r.doc_id or -1 for r in kept.collect()) == [-1, -1, 1, 3]
     assert neardup.near_duplicates(table([])).count() == 0
     assert neardup.one_of_each(table([])).count() == 0
+
+
+def test_parities_drop_no_similar_pair(spark, prose):
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from riskframe.llm.common import WordHash
+
+    hashes, rows = WordHash(), []
+    for i, n in enumerate([5, 40, 250, 1500, 6000]):
+        text = prose(n, seed=i)
+        a = neardup.shingles(text, 3, hashes)
+        for k in [0, 1, *[round(n * x / 100) for x in (1, 2, 2.5, 3, 8, 12, 20)]]:
+            b = neardup.shingles(edited(text, k, seed=n + k), 3, hashes)
+            common = len(np.intersect1d(a, b))
+            rows.append((*[(len(e), *neardup.parities(e)) for e in (a, b)], 100 * common / (len(a) + len(b) - common)))
+    cell = "struct<size:long," + ",".join(f"{c}:long" for c in neardup._ODD) + ">"
+    got = spark.createDataFrame(rows, f"l {cell}, r {cell}, percent double").select("percent", F.expr("l.size").alias("n"), neardup._parities_allow(85).alias("ok")).collect()
+    assert all(r.ok for r in got if r.percent >= 85) and sum(r.percent >= 85 for r in got) >= 10
+    far = [r for r in got if r.percent < 70 and 30 < r.n < 2000]
+    assert len(far) >= 5 and not any(r.ok for r in far)
+
+
+def test_pairs_below_the_threshold_are_not_confirmed_one_by_one(spark, table, prose, monkeypatch):
+    # all pairs are somewhat below the threshold: many candidates, no link
+    base = prose(220, seed=5)
+    docs = [(k, edited(base, 7, seed=k)) for k in range(120)]
+    monkeypatch.setattr(neardup, "LEVELS", 2)
+    sizes, confirmed = [], neardup._confirmed
+    monkeypatch.setattr(neardup, "_confirmed", lambda pairs, *more: sizes.append(pairs.count()) or confirmed(pairs, *more))
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(table(docs), 3, 85).collect()}
+    want = {i: c for i, (_, c) in near(docs, 3, 85).items()}
+    assert got == want and sum(sizes) < 200
+
+
+def test_full_sets_of_many_classes(spark, table, docs, monkeypatch):
+    monkeypatch.setattr(neardup, "FEW_CLASSES", 0)
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(table(docs), 3, 85).collect()}
+    assert got == {i: c for i, (_, c) in near(docs, 3, 85).items()}
