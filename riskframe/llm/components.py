@@ -23,25 +23,28 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.where("a <> b").distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def _settled(stars: DataFrame) -> bool:
+    """Whether every node has one edge as the larger end, or edges as the smaller end only."""
+    ends = stars.select(F.col("a").alias("node"), F.lit(1).alias("up")).union(stars.select("b", F.lit(0)))
+    counts = ends.groupBy("node").agg(F.sum("up").alias("up"), F.count("*").alias("n"))
+    return not counts.agg(F.count_if(F.expr("up > 1 or up = 1 and n > 1"))).first()[0]
+
+
+def components(edges: DataFrame, stored: bool = False) -> DataFrame:
     """``node`` and ``component`` (its smallest reachable node) for all nodes of ``edges`` (a, b).
 
-    Each step is stored in the shared folder; steps repeat until the edges no longer change, which
-    takes logarithmically many. Stars of hot nodes are grouped with map-side minima; the joins that
-    distribute them are split by AQE when skewed. Nodes without edges are not listed.
+    Each step is stored in the shared folder, the edges before the first unless they are ``stored``; steps repeat
+    until only stars around smallest nodes are left, which takes logarithmically many. Stars of hot nodes are
+    grouped with map-side minima; the joins that distribute them are split by AQE when skewed. Nodes without
+    edges are not listed.
     """
-    now = stage(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    mark = None
+    now = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    if not stored:
+        now = stage(now.distinct(), "edges")
     while True:
         now = stage(_star(_star(now, True), False), "stars")
-        seen = now.agg(
-            F.count("*").alias("n"),
-            F.bit_xor(F.xxhash64("a", "b")).alias("x"),
-            F.sum(F.xxhash64("a", "b") % 1_000_003).alias("s"),
-        ).first()
-        if seen == mark or not seen["n"]:
+        if _settled(now):
             break
-        mark = seen
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )

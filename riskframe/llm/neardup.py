@@ -38,7 +38,8 @@ WORDS, PERCENT = 5, 80
 SIGNATURE = 128
 TREES, LEVELS, SECOND = 8, 4, 0.15
 SMALL, PIVOTS = 12, 2
-OUTSIDE, DEEPER = 64, 4
+#: Classes outside of a node's largest component that all its classes are compared with at once: pairs grow with the rows.
+OUTSIDE, DEEPER = 2048, 4
 FEW_CLASSES = 100_000
 #: Largest difference of two 128-bit sketches; pairs at the threshold differ in far fewer bits.
 SLACK_SIGMAS = 5.0
@@ -237,7 +238,7 @@ def candidate_pairs(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFr
     signatures = classes.select("rep", "signature")
     trees = F.explode(F.sequence(F.lit(1), F.lit(TREES)))
     roots = classes.select(trees.alias("tree"), F.lit(0).cast("long").alias("path"), "rep", "size", "s0", "s1", "signature")
-    found, large = [], roots
+    found, large, compared = [], roots, None
     for level in range(1, LEVELS + 1):
         if level % 2 == 0:
             nodes = _below(large)
@@ -246,28 +247,28 @@ def candidate_pairs(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFr
         counts = nodes.groupBy("path").agg(F.count("*").alias("n")).where("n > 1")
         sized = stage(nodes.join(counts, "path"), f"near-nodes-{level}")
         small = sized.where(F.col("n") <= SMALL).select(*_NODE)
-        found.append(_pairs(small, small, percent, ordered=True))
+        compared = small if compared is None else compared.union(small)
         large = sized.where(F.col("n") > SMALL).drop("n")
         if large.isEmpty():
             break
     else:
         found.append(_pairs(large.select(*_NODE), _pivots(large.select(*_NODE)), percent, ordered=False))
-    out = found[0]
-    for more in found[1:]:
+    # a path is a hash of its tree and level too: the nodes of all levels are compared in one join
+    out = _pairs(compared, compared, percent, ordered=True)
+    for more in found:
         out = out.union(more)
     return out.distinct(), large.select("tree", *_NODE)
 
 
-def pairs_outside(dense: DataFrame, classes: DataFrame, confirmed: DataFrame, percent: int) -> DataFrame | None:
+def pairs_outside(dense: DataFrame, classes: DataFrame, known: DataFrame, percent: int) -> DataFrame | None:
     """Pairs that the large nodes have left: classes outside of a node's largest component, with all others.
 
-    ``confirmed`` are the links so far; pairs within one of their components are not needed.
+    ``known`` has the components (``node``, ``component``) of the links so far; pairs within one are not needed.
     """
     if dense.isEmpty():
         return None
     signatures, odd = classes.select("rep", "signature"), classes.select("rep", *_ODD)
-    known = components(confirmed).select(F.col("node").alias("rep"), "component")
-    nodes = dense.join(known, "rep", "left").withColumn("comp", F.coalesce("component", "rep")).drop("component")
+    nodes = dense.join(known.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("component", "rep")).drop("component")
     found = []
     for level in range(LEVELS + 1, LEVELS + DEEPER + 2):
         shares = nodes.groupBy("path", "comp").agg(F.count("*").alias("m")).groupBy("path").agg(
@@ -281,6 +282,8 @@ def pairs_outside(dense: DataFrame, classes: DataFrame, confirmed: DataFrame, pe
         rest = now.where(F.col("comp") != F.col("main"))
         found.append(_pairs(now, rest, percent, ordered=False, apart=True))
         large = mixed.where(~few).drop("main", "outside")
+        if large.isEmpty():
+            break
         # LEVELS is even, so odd levels branch and even ones follow what was branched
         if level % 2 == 0:
             nodes = _below(large)
@@ -318,11 +321,10 @@ def _full_sets(docs: DataFrame, pairs: DataFrame, words: int, name: str) -> Data
     return stage(sets.dropDuplicates(["rep"]), name)
 
 
-def links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """The described rows (``doc_id``, set size and digest) and confirmed pairs of classes.
+def linked(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """The described rows (``doc_id``, set size and digest) and the components (``node``, ``component``) of linked classes.
 
-    A class is named by its smallest document. The pairs connect all classes that are linked; pairs
-    of large nodes that other links already connect may be absent.
+    A class is named by its smallest document. Pairs of large nodes that other links already connect may stay unconfirmed.
     """
     described = docs.select("doc_id", _described(words)(F.col("text")).alias("s")).select("doc_id", "s.*")
     described = stage(described, "near-sets")
@@ -339,22 +341,27 @@ def links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> tuple[
     pairs, dense = candidate_pairs(classes, percent)
     pairs = stage(_allowed(pairs, classes, percent), "near-pairs")
     confirmed = _confirmed(pairs, _full_sets(docs, pairs, words, "near-full"), percent, "near-links")
-    more = pairs_outside(dense, classes, confirmed, percent)
+    known = components(confirmed, stored=True)
+    more = pairs_outside(dense, classes, known, percent)
     if more is not None:
         more = stage(more.join(pairs, ["a", "b"], "left_anti"), "near-pairs-outside")
         if not more.isEmpty():
             sets = _full_sets(docs, more, words, "near-full-outside")
-            confirmed = confirmed.union(_confirmed(more, sets, percent, "near-links-outside"))
-    return described.select("doc_id", "size", "hi", "lo"), confirmed
+            added = _confirmed(more, sets, percent, "near-links-outside")
+            if not added.isEmpty():
+                # the components so far are stars around their smallest class: few edges, and mostly settled
+                stars = known.select(F.col("node").alias("a"), F.col("component").alias("b"))
+                known = components(stars.union(added), stored=True)
+    return described.select("doc_id", "size", "hi", "lo"), known
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """Per row: ``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` (the smallest one is kept)."""
-    described, confirmed = links(docs, words, percent)
+    described, known = linked(docs, words, percent)
     smallest = described.where((F.col("size") > 0) & F.col("doc_id").isNotNull()).groupBy("hi", "lo", "size").agg(
         F.min("doc_id").alias("rep")
     )
-    joined = smallest.join(components(confirmed), F.col("rep") == F.col("node"), "left").select(
+    joined = smallest.join(known, F.col("rep") == F.col("node"), "left").select(
         "hi", "lo", "size", F.coalesce("component", "rep").alias("found")
     )
     out = described.join(joined, ["hi", "lo", "size"], "left")

@@ -112,3 +112,37 @@ def test_full_sets_of_many_classes(spark, table, docs, monkeypatch):
     monkeypatch.setattr(neardup, "FEW_CLASSES", 0)
     got = {r.doc_id: r.component_id for r in neardup.near_duplicates(table(docs), 3, 85).collect()}
     assert got == {i: c for i, (_, c) in near(docs, 3, 85).items()}
+
+
+def _stages(monkeypatch):
+    from riskframe.llm import components
+
+    names, stage = [], neardup.stage
+    for module in (neardup, components):
+        monkeypatch.setattr(module, "stage", lambda df, name: names.append(name) or stage(df, name))
+    return names
+
+
+def test_groups_below_the_threshold_are_compared_without_branching_on(spark, table, prose, monkeypatch):
+    # no link inside a large node: it is compared at once, not on every further level
+    base = prose(220, seed=5)
+    docs = [(k, edited(base, 7, seed=k)) for k in range(120)] + [(500, base)]
+    monkeypatch.setattr(neardup, "LEVELS", 2)
+    names = _stages(monkeypatch)
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(table(docs), 3, 85).collect()}
+    assert got == {i: c for i, (_, c) in near(docs, 3, 85).items()}
+    assert [n for n in names if n.startswith("near-mixed")] == ["near-mixed-3"]
+    assert "near-level-3" not in names
+
+
+def test_settled_stars_are_not_repeated(spark, monkeypatch):
+    from riskframe.llm.components import components
+
+    names = _stages(monkeypatch)
+    edges = [(k, 1) for k in range(2, 30)] + [(40, 41), (41, 42), (42, 41), (7, 7)]
+    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {k: 1 for k in range(1, 30)} | {k: 40 for k in (40, 41, 42)}
+    assert names == ["edges", "stars"]
+    chain = spark.createDataFrame([(k, k + 1) for k in range(60)], "a long, b long")
+    assert {r.component for r in components(chain, stored=True).collect()} == {0}
+    assert components(chain.where("a < 0")).count() == 0
