@@ -12,9 +12,9 @@ from riskframe.session import small_table
 def column_profile(df: DataFrame, exact: bool = True) -> DataFrame:
     """Type, nulls and distinct values per column.
 
-    Exact counts move no values. Whole-number columns become bitmaps: a value is one bit of its bucket of 32,768
-    neighbours, or-ed map-side. Other columns are counted by 128-bit digests, narrow keys that are combined
-    map-side. ``exact=False`` uses sketches in one pass instead.
+    Exact counts move no values and sort none: one scan, one hash aggregate that is combined map-side. A whole number
+    is one bit of the word of its 64 neighbours, the words are or-ed; any other value is a 128-bit digest with one bit.
+    ``exact=False`` uses sketches in one pass instead.
     """
     types = dict(df.dtypes)
     nulls = [F.sum(F.col(c).isNull().cast("long")) for c in df.columns]
@@ -31,27 +31,27 @@ def column_profile(df: DataFrame, exact: bool = True) -> DataFrame:
             )
             for c in df.columns
         ])))
-    whole = [c for c in df.columns if types[c] in ("tinyint", "smallint", "int", "bigint")]
-    other = [c for c in df.columns if c not in whole]
     number = {c: i for i, c in enumerate(df.columns)}
-    counted = []
-    if whole:
-        cells = [x for c in whole for x in (F.lit(number[c]), F.col(c).cast("long"))]
-        rows = df.select(F.stack(F.lit(len(whole)), *cells).alias("spec", "v"))
-        bitmaps = rows.groupBy("spec", F.bitmap_bucket_number("v").alias("bucket")).agg(
-            F.count_if(F.col("v").isNull()).alias("missing"),
-            F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position("v"))).alias("n"),
-        )
-        counted.append(bitmaps.groupBy("spec").agg(F.sum("missing").alias("missing"), F.sum("n").alias("distinct_values")))
-    if other:
-        cells = [
-            x for c in other
-            for x in (F.lit(number[c]), *(F.when(F.col(c).isNotNull(), h) for h in (F.xxhash64(c), F.xxhash64(F.lit(1), c))))
-        ]
-        rows = df.select(F.stack(F.lit(len(other)), *cells).alias("spec", "a", "b"))
-        digests = rows.groupBy("spec", "a", "b").agg(F.count_if(F.col("a").isNull()).alias("missing"))
-        counted.append(digests.groupBy("spec").agg(F.sum("missing").alias("missing"), F.count("a").alias("distinct_values")))
-    found = counted[0] if len(counted) == 1 else counted[0].unionByName(counted[1])
+    one, nothing = F.lit(1).cast("long"), F.lit(0).cast("long")
+
+    def cell(c: str) -> list[Column]:
+        """Column number, two keys and the bit of a value; null values share a key and have no bit."""
+        v, there = F.col(c), F.col(c).isNotNull()
+        if types[c] in ("tinyint", "smallint", "int", "bigint"):
+            v = v.cast("long")
+            keys = F.shiftright(v, 6), F.when(there, nothing)
+            bit = F.call_function("shiftleft", one, v.bitwiseAND(63).cast("int"))
+        else:
+            keys = F.when(there, F.xxhash64(c)), F.when(there, F.xxhash64(F.lit(1), c))
+            bit = F.when(there, one)
+        return [F.lit(number[c]), *keys, bit]
+
+    cells = [x for c in df.columns for x in cell(c)]
+    rows = df.select(F.stack(F.lit(len(number)), *cells).alias("spec", "a", "b", "bits"))
+    words = rows.groupBy("spec", "a", "b").agg(
+        F.bit_or("bits").alias("bits"), F.count_if(F.col("bits").isNull()).alias("missing")
+    )
+    found = words.groupBy("spec").agg(F.sum("missing").alias("missing"), F.sum(F.bit_count("bits")).alias("distinct_values"))
     schema = T.StructType().add("spec", "integer").add("column", "string").add("type", "string")
     listed = small_table(df.sparkSession, [(i, c, types[c]) for c, i in number.items()], schema)
     return listed.join(F.broadcast(found), "spec", "left").select(  # one row per column

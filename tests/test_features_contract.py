@@ -129,3 +129,14 @@ def test_column_profile_counts_exactly(spark):
             assert got[name]["distinct_values"] == (distinct if exact else pytest.approx(distinct, rel=0.1))
     empty = {r["column"]: (r["missing"], r["distinct_values"]) for r in profiling.column_profile(df.toDF(*"abcde").limit(0)).collect()}
     assert empty == dict.fromkeys("abcde", (0, 0))
+
+
+def test_column_profile_sorts_no_rows_and_reads_once(spark):
+    edges = [-(2**63), -(2**63) + 1, -65, -64, -1, 0, 63, 64, 2**63 - 1, None, None, -1, 63]
+    df = spark.createDataFrame([(v, v and v % 128 - 64, None, str(v)) for v in edges], "v long, t tinyint, n int, s string")
+    out = profiling.column_profile(df)
+    got = {r["column"]: (r["type"], r["missing"], r["distinct_values"]) for r in out.collect()}
+    small = {v and v % 128 - 64 for v in edges} - {None}
+    assert got == {"v": ("bigint", 2, 9), "t": ("tinyint", 2, len(small)), "n": ("int", 13, 0), "s": ("string", 0, 10)}
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert "Sort" not in plan and plan.count("stack(") == 1
