@@ -1,5 +1,7 @@
 import copy
+import datetime
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,6 +9,7 @@ from pyspark.sql import functions as F
 from riskframe import config as C
 from riskframe.functions import features
 from riskframe.operators import contract, profiling
+from riskframe.sources import tables
 
 
 def test_engineered_features_by_hand(states):
@@ -140,3 +143,30 @@ def test_column_profile_sorts_no_rows_and_reads_once(spark):
     assert got == {"v": ("bigint", 2, 9), "t": ("tinyint", 2, len(small)), "n": ("int", 13, 0), "s": ("string", 0, 10)}
     plan = out._jdf.queryExecution().sparkPlan().toString()
     assert "Sort" not in plan and plan.count("stack(") == 1
+
+
+def test_rounded_equals_round_to_the_last_bit(spark):
+    rng = random.Random(5)
+    values = [rng.uniform(-1, 1) * 10.0 ** rng.randint(-9, 17) for _ in range(20_000)]
+    ties = [k / 2 / 10**d for k in range(-400, 400) for d in (0, 1, 6)] + [rng.randrange(2 * 10**9) / 2 / 10**rng.choice((0, 1, 6)) for _ in range(5000)]
+    values += [y for x in ties for y in (x, math.nextafter(x, -math.inf), math.nextafter(x, math.inf))]
+    values += [None, 0.0, -0.0, -0.04, -1e-9, 5e-324, 1e300, -1e300, math.inf, -math.inf, math.nan, 1e9, 1e8 + 0.05]
+    df = spark.createDataFrame([(x,) for x in values], "x double").repartition(4)
+    for digits in (0, 1, 6):
+        both = df.select("x", F.round("x", digits).cast("string").alias("a"), F.expr(features.rounded("x", digits)).cast("string").alias("b"))
+        assert both.where("not (a <=> b)").collect() == []
+
+
+def test_states_and_scores_leave_round_to_ties(spark, tmp_path):
+    row = (1, 2, 3, 1, 17.0, 24386.67, 0.04, 0.02, "N", datetime.datetime(1998, 3, 2))
+    schema = (
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double,"
+        " l_discount double, l_tax double, l_returnflag string, l_shipdate timestamp"
+    )
+    spark.createDataFrame([row], schema).write.parquet(f"{tmp_path}/lineitem.parquet")
+    states = tables.scored_states(spark, str(tmp_path))
+    r = states.first()
+    assert (r["air_temperature_k"], r["process_temperature_k"], r["temp_difference_k"]) == (299.0, 308.0, 9.0)
+    assert r["probability"] == round(r["probability"], 6)
+    plan = states._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("round(") == plan.count("ELSE round(") == 5
